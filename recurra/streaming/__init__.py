@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The source system is a once-a-day full rebuild of batch tables: it has no
+event-time windows, watermarks or incremental state. A scheduler calls
+`recurra.plans.pipeline.Pipeline(...).outputs()` and writes each table
+(`recurra.sources.sinks.write_table`); nothing here is needed for that.
+"""
