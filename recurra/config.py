@@ -94,6 +94,7 @@ class Config:
     # Batch generation: also drop charges linked to a refund. The source's
     # filter is a no-op (its subquery tests the outer row), so this is off.
     strict: bool = False
-    # Persist the sliced order table (reliable checkpoint) before the
-    # monthly/rollforward stages read it several times.
-    materialize: bool = False
+    # Cut lineage at the stage boundaries (staged transactions, sliced
+    # orders, rollforward) with reliable checkpoints in the shared
+    # `spark.checkpoint.dir`; each is read by several later stages.
+    materialize: bool = True

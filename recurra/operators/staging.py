@@ -146,47 +146,52 @@ def staged_view(staged: DataFrame) -> DataFrame:
     return staged.select(*STAGED_COLUMNS)
 
 
-def not_in(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> DataFrame:
-    """`col NOT IN (SELECT ref_col FROM ref)` for a NULL-free ref column.
-
-    Anti join, plus SQL's rule that a NULL probe is not "not in" a
-    non-empty list. The emptiness test is a scalar subquery.
+def flag_refund_links(staged: DataFrame, clean: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """Tag each staged row once with its refund links.
+
+    `_matched`: the order is a charge in the clean refund map.
+    `_not_in_clean`: SQL `ordernumber NOT IN (clean charge ids)`, which is
+    not true for a NULL order id unless the map is empty.
+    `_unmatched_refund`: the order is an unmatched/ambiguous refund.
+    Every later IN / NOT IN test is a filter on these columns, so the
+    refund sets are joined to the staged table exactly once.
     """
-    keys = ref.select(F.col(ref_col).alias("_ni_key"))
-    out = df.join(keys, df[col] == keys["_ni_key"], "left_anti")
-    ref_empty = ref.select((F.count(F.lit(1)) == 0).alias("e")).scalar()
-    return out.filter(F.col(col).isNotNull() | ref_empty)
-
-
-def is_in(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> DataFrame:
-    keys = ref.select(F.col(ref_col).alias("_in_key"))
-    return df.join(keys, df[col] == keys["_in_key"], "left_semi")
-
-
-def orders_all(staged: DataFrame, clean: DataFrame) -> DataFrame:
+    cids = clean.select(F.col("charge_id").alias("_fl_c")).distinct()
+    rids = unmatched.select(F.col("refund_id").alias("_fl_r")).distinct()
+    clean_empty = clean.select((F.count(F.lit(1)) == 0).alias("e")).scalar()
+    s = staged.join(cids, staged["ordernumber"] == cids["_fl_c"], "left")
+    s = s.join(rids, s["ordernumber"] == rids["_fl_r"], "left")
+    matched = F.col("_fl_c").isNotNull()
+    return s.withColumns(
+        {
+            "_matched": matched,
+            "_not_in_clean": F.when(F.col("ordernumber").isNull(), clean_empty).otherwise(~matched),
+            "_unmatched_refund": F.col("_fl_r").isNotNull(),
+        }
+    ).drop("_fl_c", "_fl_r")
+
+
+def orders_all(staged: DataFrame) -> DataFrame:
     """The whole-business slice after the staging DELETE.
 
     Only rows where the predicate is TRUE are removed, so NULL and negative
-    costs stay (the test is `= 0`).
+    costs stay (the test is `= 0`), and a NULL order id is never "in" the
+    refund map.
     """
-    doomed = (F.col("_cost") == 0) | (lower_or_dash("type") == "refund")
-    kept = staged.filter(~truthy(doomed))
-    keys = clean.select(F.col("charge_id").alias("_cid"))
-    kept = kept.join(keys, kept["ordernumber"] == keys["_cid"], "left_anti")
-    return kept.withColumn("for_product", F.lit(ALL_SLICE))
+    doomed = (F.col("_cost") == 0) | (lower_or_dash("type") == "refund") | F.col("_matched")
+    return staged.filter(~truthy(doomed)).withColumn("for_product", F.lit(ALL_SLICE))
 
 
-def orders_by_product(staged: DataFrame, clean: DataFrame) -> DataFrame:
+def orders_by_product(staged: DataFrame) -> DataFrame:
     """Per-product slices, keyed by the dimension's product name.
 
     Strict `cost > 0`; the slice filter binds to the dimension column, so
     unmapped (Addon) orders belong to no product slice.
     """
     kept = staged.filter(
-        truthy((F.col("_cost") > 0) & (lower_or_dash("type") != "refund"))
+        truthy((F.col("_cost") > 0) & (lower_or_dash("type") != "refund") & F.col("_not_in_clean"))
         & F.col("_dim_product").isNotNull()
     )
-    kept = not_in(kept, "ordernumber", clean, "charge_id")
     return kept.withColumn("for_product", F.col("_dim_product"))
 
 
@@ -216,19 +221,14 @@ def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> D
     return j.withColumn("standardenddate_adjusted", F.when(truthy(ok), adj)).drop("_next_start")
 
 
-def slice_orders(
-    staged: DataFrame,
-    clean: DataFrame,
-    region: DataFrame,
-    cfg: Config,
-    products: bool = True,
-) -> DataFrame:
+def slice_orders(staged: DataFrame, region: DataFrame, cfg: Config, products: bool = True) -> DataFrame:
     """O09 (+O10 when `products`) with adjusted end date and country name.
 
-    Output: one row per (for_product, order); the input of O17-O27.
+    `staged` carries the refund flags (`flag_refund_links`). Output: one
+    row per (for_product, order); the input of O17-O27.
     """
-    s = orders_all(staged, clean)
+    s = orders_all(staged)
     if products:
-        s = s.unionByName(orders_by_product(staged, clean))
+        s = s.unionByName(orders_by_product(staged))
     s = adjusted_end_date(s, cfg.grace_days, F.col("_cost") > 0)
     return with_country(s, region, fallback=True)

@@ -44,10 +44,16 @@ class Pipeline:
     def refund_sets(self) -> refunds.RefundSets:
         return refunds.refund_sets(self.inputs.transactions)
 
+    def _cut(self, df: DataFrame) -> DataFrame:
+        return materialize(df) if self.cfg.materialize else df
+
     @cached_property
     def staged(self) -> DataFrame:
+        """Every transaction staged once, tagged with its refund links."""
         i = self.inputs
-        return staging.stage_orders(i.transactions, i.company, i.product_dim, self.cfg)
+        rs = self.refund_sets
+        s = staging.stage_orders(i.transactions, i.company, i.product_dim, self.cfg)
+        return self._cut(staging.flag_refund_links(s, rs.clean, rs.unmatched))
 
     @cached_property
     def bounds(self) -> SpineBounds:
@@ -60,10 +66,8 @@ class Pipeline:
     @cached_property
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
-        o = staging.slice_orders(
-            self.staged, self.refund_sets.clean, self.inputs.region_dim, self.cfg, self.products
-        )
-        return materialize(o) if self.cfg.materialize else o
+        o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
+        return self._cut(o)
 
     @cached_property
     def arr_monthly(self) -> DataFrame:
@@ -71,7 +75,7 @@ class Pipeline:
 
     @cached_property
     def rollforward_full(self) -> DataFrame:
-        return rollforward.rollforward(
+        rf = rollforward.rollforward(
             self.orders,
             self.arr_monthly,
             self.slices,
@@ -79,6 +83,7 @@ class Pipeline:
             rollforward.first_start_dates(self.orders),
             self.cfg.source_label,
         )
+        return self._cut(rf)
 
     @cached_property
     def rollforward(self) -> DataFrame:
@@ -100,15 +105,14 @@ class Pipeline:
     # --- refund / trial facts (whole business only) ---------------------
     def refunded_arr(self) -> DataFrame:
         i = self.inputs
-        return facts.refunded_arr(self.staged, self.refund_sets.clean, i.calendar, i.region_dim)
+        return facts.refunded_arr(self.staged, i.calendar, i.region_dim)
 
     def not_refunded_arr(self) -> DataFrame:
-        rs = self.refund_sets
-        return facts.not_refunded_arr(self.staged, rs.clean, rs.unmatched, self.bounds, self.inputs.region_dim)
+        return facts.not_refunded_arr(self.staged, self.bounds, self.inputs.region_dim)
 
     def trial_arr(self) -> DataFrame:
         i = self.inputs
-        return facts.trial_arr(self.staged, self.refund_sets.clean, i.calendar, i.region_dim)
+        return facts.trial_arr(self.staged, i.calendar, i.region_dim)
 
     # --- legacy licences -------------------------------------------------
     @cached_property
@@ -128,11 +132,12 @@ class Pipeline:
     @cached_property
     def batch_orders(self) -> DataFrame:
         i = self.inputs
-        return batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
+        return self._cut(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg))
 
     @cached_property
     def batch_rollforward_full(self) -> DataFrame:
-        return batch_ops.batch_rollforward(self.batch_orders, self.inputs.classified, self.bounds, self.cfg)
+        rf = batch_ops.batch_rollforward(self.batch_orders, self.inputs.classified, self.bounds, self.cfg)
+        return self._cut(rf)
 
     def batch_refunded_arr(self) -> DataFrame:
         i = self.inputs

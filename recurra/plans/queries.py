@@ -70,13 +70,11 @@ def q_term_bucket(spark, sf_dir):
 
 
 def q_orders_all(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
-    return staging.orders_all(p.staged, p.refund_sets.clean).select(*staging.STAGED_COLUMNS)
+    return staging.orders_all(pipeline(spark, sf_dir).staged).select(*staging.STAGED_COLUMNS)
 
 
 def q_orders_by_product(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
-    return staging.orders_by_product(p.staged, p.refund_sets.clean).select(
+    return staging.orders_by_product(pipeline(spark, sf_dir).staged).select(
         "for_product", *staging.STAGED_COLUMNS
     )
 
