@@ -120,6 +120,28 @@ def first_order_dates(orders: DataFrame) -> DataFrame:
     )
 
 
+def customer_company_months(om: DataFrame) -> DataFrame:
+    """Order-month rows reduced to (slice, customer, company, month).
+
+    `_sum_u`: ARR (micro-units); `_tail`: (arr, order id) of the smallest
+    paying row, the one a synthetic churn row copies; `_min_on` /
+    `_null_on`: first order id of the month. Partial aggregation runs
+    before the shuffle, so a customer's volume never meets in one task.
+    Computed once and shared by the rollforward and the ARR table.
+    """
+    paying = F.col("_arr_u") > 0
+    return (
+        om.filter(F.col("pivot_month").isNotNull())
+        .groupBy(*K4)
+        .agg(
+            F.sum("_arr_u").alias("_sum_u"),
+            F.min(F.when(paying, F.struct(F.col("_arr_u").alias("a"), F.col("ordernumber").alias("o")))).alias("_tail"),
+            F.min("ordernumber").alias("_min_on"),
+            F.max(F.col("ordernumber").isNull()).alias("_null_on"),
+        )
+    )
+
+
 @dataclass
 class ArrParts:
     rows: DataFrame  # order-month rows, all output + internal columns
@@ -128,34 +150,39 @@ class ArrParts:
 
 def arr_parts(
     orders: DataFrame,
+    ccm: DataFrame,
     rf: DataFrame,
     bounds: SpineBounds,
     variant: Variant = PROCEDURE,
+    cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> ArrParts:
+    """O23-O26 for every slice at once.
+
+    `ccm` is `customer_company_months` of the same orders; `cut` may
+    materialize the customer-month fact table (read by several branches).
+    """
     om = arr_by_month(orders, bounds, keep_monthless=variant.keep_monthless)
     om_m = om.filter(F.col("pivot_month").isNotNull())
 
-    # (slice, customer, company, month): sum, tail-row candidate, order ids.
-    tail = F.struct(F.col("_arr_u").alias("_k_arr"), *[F.col(c) for c in variant.attrs])
-    cmc = om_m.groupBy(*K4).agg(
-        F.sum("_arr_u").alias("_sum_u"),
-        F.min(F.when(F.col("_arr_u") > 0, tail)).alias("_tail"),
-        F.min("ordernumber").alias("_min_on"),
-        F.max(F.col("ordernumber").isNull()).alias("_null_on"),
-    )
     # The label of the same customer-company-month rollforward row.
     labels = _rename_k4(
         rf.filter(F.col("customer_id").isNotNull()).select(*K4, F.col("customer_classification").alias("_label"))
     )
-    g = cmc.join(labels, _null_safe_k4(cmc, labels), "left").drop("_r_fp", "_r_cust", "_r_company", "_r_month")
+    g = ccm.join(labels, _null_safe_k4(ccm, labels), "left").drop("_r_fp", "_r_cust", "_r_company", "_r_month")
     churned = truthy(variant.churn_match(F.col("_label")))
-    g = g.withColumn("_eff_u", F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).withColumn(
-        "_tail", F.when(~churned, F.col("_tail"))
+    g = g.select(
+        *K4,
+        "_label",
+        F.when(churned, F.lit(0)).otherwise(F.col("_sum_u")).alias("_eff_u"),
+        F.when(~churned, F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"),
+                                  F.col("company").alias("c"))).alias("_tail"),
+        "_min_on",
+        "_null_on",
     )
     # (slice, customer, month)
     cm = g.groupBy(*K3).agg(
         F.sum("_eff_u").alias("_cum_u"),
-        F.min("_tail").alias("_tail"),
+        F.min(F.when(F.col("_tail.a").isNotNull(), F.col("_tail"))).alias("_tail"),
         F.min("_min_on").alias("_min_on"),
         F.max("_null_on").alias("_null_on"),
     )
@@ -163,22 +190,23 @@ def arr_parts(
     wc = Window.partitionBy("for_product", "customer_id").orderBy("pivot_month")
     act = cm.filter(F.col("_tail").isNotNull()).withColumn("_next", F.lead("pivot_month").over(wc))
     gap = F.col("_next").isNull() | (month_boundaries("pivot_month", "_next") > 1)
-    synth = act.filter(gap).select(
+    churn_keys = act.filter(gap).select(
         "for_product",
         "customer_id",
+        F.col("pivot_month").alias("_active_month"),
         next_month_end(F.col("pivot_month")).alias("pivot_month"),
-        *[F.col("_tail")[c].alias(c) for c in variant.attrs],
-        F.lit(0).cast("long").alias("_arr_u"),
+        F.col("_tail.o").alias("_t_on"),
+        F.col("_tail.c").alias("_t_co"),
+        F.col("_tail.a").alias("_t_arr"),
         (-F.col("_cum_u")).alias("_churn_u"),
-        F.lit("Churn").alias("_label"),
     )
     # O25/O26 facts per present month (order months and churn months).
     present = cm.select(*K3, "_cum_u", "_min_on", "_null_on").unionByName(
-        synth.select(
+        churn_keys.select(
             *K3,
             F.lit(0).cast("long").alias("_cum_u"),
-            F.col("ordernumber").alias("_min_on"),
-            F.col("ordernumber").isNull().alias("_null_on"),
+            F.col("_t_on").alias("_min_on"),
+            F.col("_t_on").isNull().alias("_null_on"),
         )
     ).groupBy(*K3).agg(
         F.sum("_cum_u").alias("_cum_u"), F.min("_min_on").alias("_min_on"), F.max("_null_on").alias("_null_on")
@@ -190,6 +218,7 @@ def arr_parts(
         F.when(~F.col("_null_on"), F.col("_min_on")).alias("_first_on"),
         F.max("pivot_month").over(wp).alias("_churn_date"),
     ).join(first_order_dates(orders), ["for_product", "customer_id"], "left")
+    facts = cut(facts, "month-facts")
 
     f4 = _rename_k4(g.select(*K4, "_label").join(facts, K3, "left"))
     rows = om_m.join(f4, _null_safe_k4(om_m, f4), "left").drop("_r_fp", "_r_cust", "_r_company", "_r_month")
@@ -206,7 +235,31 @@ def arr_parts(
         for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "string"), ("_churn_date", "date")):
             monthless = monthless.withColumn(c, F.lit(None).cast(t))
         rows = rows.unionByName(monthless.select(*rows.columns))
-    synth = synth.join(facts, K3, "left")
+
+    # Synthetic rows copy the tail order's attributes (few rows: one per gap).
+    src = orders.select(
+        F.col("for_product").alias("_s_fp"),
+        F.col("customer_id").alias("_s_cust"),
+        *[F.col(c).alias("_s_" + c) for c in variant.attrs],
+    )
+    j = churn_keys.join(
+        src,
+        (churn_keys["for_product"] == src["_s_fp"])
+        & (churn_keys["customer_id"] == src["_s_cust"])
+        & churn_keys["_t_on"].eqNullSafe(src["_s_ordernumber"])
+        & churn_keys["_t_co"].eqNullSafe(src["_s_company"])
+        & (churn_keys["_t_arr"] == src["_s__cost_u"]),
+        "inner",
+    )
+    synth = j.select(
+        "for_product",
+        "customer_id",
+        "pivot_month",
+        *[F.col("_s_" + c).alias(c) for c in variant.attrs],
+        F.lit(0).cast("long").alias("_arr_u"),
+        "_churn_u",
+        F.lit("Churn").alias("_label"),
+    ).join(facts, K3, "left")
     return ArrParts(rows=_finish(rows, variant), synthetic=_finish(synth, variant))
 
 
@@ -258,9 +311,16 @@ def _finish(df: DataFrame, variant: Variant) -> DataFrame:
     return df.select(*cols, *[F.col(c) for c in keep_internal])
 
 
-def arr_final(orders: DataFrame, rf: DataFrame, bounds: SpineBounds, variant: Variant = PROCEDURE) -> DataFrame:
+def arr_final(
+    orders: DataFrame,
+    ccm: DataFrame,
+    rf: DataFrame,
+    bounds: SpineBounds,
+    variant: Variant = PROCEDURE,
+    cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> DataFrame:
     """O27 (one or many slices): order-month rows plus synthetic churn rows."""
-    parts = arr_parts(orders, rf, bounds, variant)
+    parts = arr_parts(orders, ccm, rf, bounds, variant, cut)
     return parts.rows.unionByName(parts.synthetic)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import ALL_SLICE, BATCH_TERM_MONTHS, UNMAPPED_PRODUCT, Config
 from ..functions import lower_or_dash, norm, truthy
 from ..sources.calendar import SpineBounds, month_spine
-from .arr import BATCH, arr_final, first_order_dates
+from .arr import BATCH, arr_final, customer_company_months, first_order_dates
 from .monthly import arr_by_month
 from .rollforward import rollforward, slice_list
 from .staging import adjusted_end_date
@@ -123,15 +123,22 @@ def batch_first_dates(classified: DataFrame) -> DataFrame:
     ).withColumn("for_product", F.lit(ALL_SLICE))
 
 
-def batch_rollforward(orders: DataFrame, classified: DataFrame, bounds: SpineBounds, cfg: Config) -> DataFrame:
+def batch_customer_months(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
+    return customer_company_months(arr_by_month(orders, bounds, keep_monthless=False))
+
+
+def batch_rollforward(
+    orders: DataFrame, ccm: DataFrame, classified: DataFrame, bounds: SpineBounds, cfg: Config
+) -> DataFrame:
     """Rollforward with the batch 'customer since' rule."""
     spark = orders.sparkSession
-    om = arr_by_month(orders, bounds, keep_monthless=True)
     return rollforward(
-        orders, om, slice_list(spark), bounds, batch_first_dates(classified), cfg.source_label
+        orders, ccm, slice_list(spark), bounds, batch_first_dates(classified), cfg.source_label
     )
 
 
-def batch_arr_final(orders: DataFrame, rf: DataFrame, bounds: SpineBounds) -> DataFrame:
+def batch_arr_final(orders: DataFrame, ccm: DataFrame, rf: DataFrame, bounds: SpineBounds, cut=None) -> DataFrame:
     """Final ARR table of the batch generation (month-less rows kept)."""
-    return arr_final(orders, rf, bounds, BATCH)
+    if cut is None:
+        return arr_final(orders, ccm, rf, bounds, BATCH)
+    return arr_final(orders, ccm, rf, bounds, BATCH, cut)

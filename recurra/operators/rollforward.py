@@ -42,15 +42,6 @@ def churn_month_end(client_end: Column) -> Column:
     )
 
 
-def customer_months(arr_monthly: DataFrame) -> DataFrame:
-    """ARR per (slice, customer, company, month) in micro-units."""
-    return (
-        arr_monthly.filter(F.col("pivot_month").isNotNull())
-        .groupBy("for_product", "customer_id", "company", "pivot_month")
-        .agg(F.sum("_arr_u").alias("_arr_u"))
-    )
-
-
 def slice_list(spark, product_dim: DataFrame | None = None) -> DataFrame:
     """'All' plus (if given) every non-NULL dimension product: (for_product).
 
@@ -112,7 +103,7 @@ def classify(arr: Column, prev: Column, chg_const: Column, month: Column, client
 
 def rollforward(
     orders: DataFrame,
-    arr_monthly: DataFrame,
+    ccm: DataFrame,
     slices: DataFrame,
     bounds: SpineBounds,
     first_dates: DataFrame,
@@ -120,12 +111,13 @@ def rollforward(
 ) -> DataFrame:
     """Monthly ARR per customer-company with movement labels.
 
-    `first_dates`: (for_product, customer_id, _first_date); a 'New' month
+    `ccm`: ARR per (slice, customer, company, month), `_sum_u` in
+    micro-units (`arr.customer_company_months`). `first_dates`: (for_product, customer_id, _first_date); a 'New' month
     after the month of the customer's first date becomes 'Reactivation'.
     Internal `_arr_u` / `_prev_u` (micro-units) are kept for the ARR table.
     """
     base = rollforward_base(orders, slices, bounds)
-    cm = customer_months(arr_monthly)
+    cm = ccm.select("for_product", "customer_id", "company", "pivot_month", F.col("_sum_u").alias("_arr_u"))
     rf = base.join(cm, ["for_product", "customer_id", "company", "pivot_month"], "left")
     w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first())
     arr = F.col("_arr_u")

@@ -44,8 +44,8 @@ class Pipeline:
     def refund_sets(self) -> refunds.RefundSets:
         return refunds.refund_sets(self.inputs.transactions)
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.cfg.materialize else df
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.cfg.materialize else df
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -53,7 +53,7 @@ class Pipeline:
         i = self.inputs
         rs = self.refund_sets
         s = staging.stage_orders(i.transactions, i.company, i.product_dim, self.cfg)
-        return self._cut(staging.flag_refund_links(s, rs.clean, rs.unmatched))
+        return self._cut(staging.flag_refund_links(s, rs.clean, rs.unmatched), "staged")
 
     @cached_property
     def bounds(self) -> SpineBounds:
@@ -67,23 +67,30 @@ class Pipeline:
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
         o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
-        return self._cut(o)
+        return self._cut(o, "orders")
 
     @cached_property
     def arr_monthly(self) -> DataFrame:
         return arr_by_month(self.orders, self.bounds, keep_monthless=True)
 
+    @cached_property
+    def ccm(self) -> DataFrame:
+        """(slice, customer, company, month) ARR facts, shared by the
+        rollforward and the ARR table."""
+        om = arr_by_month(self.orders, self.bounds, keep_monthless=False)
+        return self._cut(arr_ops.customer_company_months(om), "customer-months")
+
     @cached_property
     def rollforward_full(self) -> DataFrame:
         rf = rollforward.rollforward(
             self.orders,
-            self.arr_monthly,
+            self.ccm,
             self.slices,
             self.bounds,
             rollforward.first_start_dates(self.orders),
             self.cfg.source_label,
         )
-        return self._cut(rf)
+        return self._cut(rf, "rollforward")
 
     @cached_property
     def rollforward(self) -> DataFrame:
@@ -91,7 +98,9 @@ class Pipeline:
 
     @cached_property
     def arr_parts(self) -> arr_ops.ArrParts:
-        return arr_ops.arr_parts(self.orders, self.rollforward_full, self.bounds, arr_ops.PROCEDURE)
+        return arr_ops.arr_parts(
+            self.orders, self.ccm, self.rollforward_full, self.bounds, arr_ops.PROCEDURE, cut=self._cut
+        )
 
     @cached_property
     def arr_final_full(self) -> DataFrame:
@@ -132,12 +141,18 @@ class Pipeline:
     @cached_property
     def batch_orders(self) -> DataFrame:
         i = self.inputs
-        return self._cut(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg))
+        return self._cut(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg), "batch-orders")
+
+    @cached_property
+    def batch_ccm(self) -> DataFrame:
+        return self._cut(batch_ops.batch_customer_months(self.batch_orders, self.bounds), "batch-customer-months")
 
     @cached_property
     def batch_rollforward_full(self) -> DataFrame:
-        rf = batch_ops.batch_rollforward(self.batch_orders, self.inputs.classified, self.bounds, self.cfg)
-        return self._cut(rf)
+        rf = batch_ops.batch_rollforward(
+            self.batch_orders, self.batch_ccm, self.inputs.classified, self.bounds, self.cfg
+        )
+        return self._cut(rf, "batch-rollforward")
 
     def batch_refunded_arr(self) -> DataFrame:
         i = self.inputs
@@ -145,7 +160,10 @@ class Pipeline:
 
     def batch_arr_final(self) -> DataFrame:
         return arr_ops.public(
-            batch_ops.batch_arr_final(self.batch_orders, self.batch_rollforward_full, self.bounds), arr_ops.BATCH
+            batch_ops.batch_arr_final(
+                self.batch_orders, self.batch_ccm, self.batch_rollforward_full, self.bounds, cut=self._cut
+            ),
+            arr_ops.BATCH,
         )
 
     def outputs(self) -> dict[str, DataFrame]:
