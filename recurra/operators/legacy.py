@@ -43,7 +43,7 @@ def latest_transaction(txn: DataFrame) -> DataFrame:
         F.col("DATE").alias("_k1"),
         F.col("id").alias("_k2"),
         F.col("source"),
-        year_boundaries(F.to_date("periodstart"), F.to_date("periodend")).alias("n_years"),
+        year_boundaries(F.to_date("periodstart"), F.to_date("periodend")).cast("long").alias("n_years"),
         F.col("originalamount"),
         F.col("originalcurrencycode"),
     )
