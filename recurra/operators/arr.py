@@ -159,7 +159,8 @@ def arr_parts(
     """O23-O26 for every slice at once.
 
     `ccm` is `customer_company_months` of the same orders; `cut` may
-    materialize the customer-month fact table (read by several branches).
+    materialize the small customer-month tables that several branches read
+    (labelled months, month totals, churn keys, month facts).
     """
     om = arr_by_month(orders, bounds, keep_monthless=variant.keep_monthless)
     om_m = om.filter(F.col("pivot_month").isNotNull())
@@ -179,12 +180,16 @@ def arr_parts(
         "_min_on",
         "_null_on",
     )
+    g = cut(g, "labelled-months")
     # (slice, customer, month)
-    cm = g.groupBy(*K3).agg(
-        F.sum("_eff_u").alias("_cum_u"),
-        F.min(F.when(F.col("_tail.a").isNotNull(), F.col("_tail"))).alias("_tail"),
-        F.min("_min_on").alias("_min_on"),
-        F.max("_null_on").alias("_null_on"),
+    cm = cut(
+        g.groupBy(*K3).agg(
+            F.sum("_eff_u").alias("_cum_u"),
+            F.min(F.when(F.col("_tail.a").isNotNull(), F.col("_tail"))).alias("_tail"),
+            F.min("_min_on").alias("_min_on"),
+            F.max("_null_on").alias("_null_on"),
+        ),
+        "customer-month-totals",
     )
     # A churn row after every active month not followed by the next month.
     wc = Window.partitionBy("for_product", "customer_id").orderBy("pivot_month")
@@ -200,6 +205,7 @@ def arr_parts(
         F.col("_tail.a").alias("_t_arr"),
         (-F.col("_cum_u")).alias("_churn_u"),
     )
+    churn_keys = cut(churn_keys, "churn-keys")
     # O25/O26 facts per present month (order months and churn months).
     present = cm.select(*K3, "_cum_u", "_min_on", "_null_on").unionByName(
         churn_keys.select(

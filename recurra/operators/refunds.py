@@ -115,8 +115,10 @@ class RefundSets:
     clean: DataFrame
 
 
-def refund_sets(txn: DataFrame) -> RefundSets:
-    pairs = refund_match(txn)
+def refund_sets(txn: DataFrame, cut=lambda df, name: df) -> RefundSets:
+    """All refund sets; `cut` may materialize the pairs, which the other
+    four sets each read."""
+    pairs = cut(refund_match(txn), "refund-pairs")
     dref = dup_refunds(pairs)
     dchg = dup_charges(pairs)
     return RefundSets(

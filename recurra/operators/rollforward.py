@@ -116,9 +116,21 @@ def rollforward(
     after the month of the customer's first date becomes 'Reactivation'.
     Internal `_arr_u` / `_prev_u` (micro-units) are kept for the ARR table.
     """
-    base = rollforward_base(orders, slices, bounds)
-    cm = ccm.select("for_product", "customer_id", "company", "pivot_month", F.col("_sum_u").alias("_arr_u"))
-    rf = base.join(cm, ["for_product", "customer_id", "company", "pivot_month"], "left")
+    k4 = ["for_product", "customer_id", "company", "pivot_month"]
+    base = rollforward_base(orders, slices, bounds).withColumn("_arr_u", F.lit(None).cast("long"))
+    # ARR of a span month: the source's left join on customer, company and
+    # month (NULL never matches). Each such month of `ccm` meets exactly one
+    # span month, so a union + aggregate does it, on data partitioned by
+    # (slice, customer) that the lag window below reuses: one shuffle.
+    cm = ccm.filter(F.col("customer_id").isNotNull() & F.col("company").isNotNull()).select(
+        *k4, F.lit(None).cast("date").alias("client_end_date"), F.col("_sum_u").alias("_arr_u")
+    )
+    rf = (
+        base.unionByName(cm)
+        .repartition(*KEY)
+        .groupBy(*k4)
+        .agg(F.max("client_end_date").alias("client_end_date"), F.sum("_arr_u").alias("_arr_u"))
+    )
     w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first())
     arr = F.col("_arr_u")
     rf = rf.withColumn("_prev_u", F.lag("_arr_u").over(w))

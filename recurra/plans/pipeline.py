@@ -42,7 +42,7 @@ class Pipeline:
 
     @cached_property
     def refund_sets(self) -> refunds.RefundSets:
-        return refunds.refund_sets(self.inputs.transactions)
+        return refunds.refund_sets(self.inputs.transactions, cut=self._cut)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if self.cfg.materialize else df
