@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..config import UNMAPPED_PRODUCT, PriceRules
 from ..functions import norm, round_half_away, truthy, year_boundaries
 
-LATEST_COLUMNS = ("objectid", "source", "DATE", "n_years", "originalamount", "originalcurrencycode")
 SUMMARY_KEYS = (
     "licenseid", "companyid", "country", "companyname", "product", "accesstype",
     "latesttransactiondate", "latesttransactioncurrency", "latesttransactionamount",
@@ -26,12 +25,6 @@ SUMMARY_COLUMNS = SUMMARY_KEYS + ("first_license_purchase_date", "currentexpirat
 TRACKER_COLUMNS = SUMMARY_COLUMNS + (
     "renewal_price_stage1", "renewal_price_stage2", "renewal_price_stage3", "renewal_status",
 )
-CHURN_FOR_LEGACY_COLUMNS = (
-    "companyname", "companyid", "orderdate", "licenseid", "originalamount", "product",
-    "license_cohort", "current_license_status_num", "current_license_status", "customer_since",
-)
-
-
 def latest_transaction(txn: DataFrame) -> DataFrame:
     """Newest transaction of each licence (any type).
 

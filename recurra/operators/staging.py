@@ -29,10 +29,6 @@ STAGED_COLUMNS = (
     "subtypeatordertime", "company", "company_type", "countrycode", "state", "city",
     "product", "originalcurrencycode", "standardstartdate", "standardenddate",
 )
-# Carried alongside: the raw DOUBLE cost (predicates), its micro-units (sums),
-# the dimension product (slice membership), the transaction's source system
-# and link, and the resolved country name.
-CARRIED = ("_cost", "_cost_u", "_dim_product", "transaction_source", "connectedto")
 
 
 def fx_rate(code, fx: dict[str, float]) -> Column:
@@ -141,11 +137,6 @@ def stage_orders(txn: DataFrame, company: DataFrame, product_dim: DataFrame, cfg
     )
 
 
-def staged_view(staged: DataFrame) -> DataFrame:
-    """The staged table with the source's columns only."""
-    return staged.select(*STAGED_COLUMNS)
-
-
 def flag_refund_links(staged: DataFrame, clean: DataFrame, unmatched: DataFrame) -> DataFrame:
     """Tag each staged row once with its refund links.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import from_micros
 from ..operators import arr as arr_ops
 from ..operators import batch as batch_ops
-from ..operators import legacy, refunds, rollforward, staging
+from ..operators import legacy, rollforward, staging
 from ..sources.fixtures import fixture_config, fixture_inputs
 from .pipeline import Pipeline
 
@@ -118,7 +118,6 @@ def q_trial_arr(spark, sf_dir):
 
 
 # --- monthly, rollforward, ARR table ---------------------------------------
-MONTHLY_COLUMNS = ("for_product", "pivot_month", "customer_id", "ordernumber", "arr_currency", "churn_arr_currency")
 
 
 def _monthly(p: Pipeline) -> DataFrame:
