@@ -81,21 +81,27 @@ def _ambiguous_refund_ids(pairs: DataFrame, dref: DataFrame, dchg: DataFrame) ->
 
 
 def unmatched_refunds(txn: DataFrame, pairs: DataFrame, dref: DataFrame, dchg: DataFrame) -> DataFrame:
-    """Refunds without a charge, plus every pair of an ambiguous refund."""
-    r = _refunds(txn)
-    c = _charges(txn)
-    lonely = r.join(c, _on(r, c), "left_anti").select(
+    """Refunds without a charge, plus every pair of an ambiguous refund.
+
+    Both parts come from `pairs`, which already holds every refund-charge
+    match, so the charge side is not joined again: a refund without a pair
+    (same id and key) has no charge, and with transaction ids as the key an
+    ambiguous refund's rows left-joined to the charges are its pairs.
+    """
+    r = _refunds(txn).select(
         F.col("id").alias("refund_id"),
         key_col().alias("key_col"),
         F.lit(None).cast("string").alias("charge_id"),
         "originalamount",
     )
-    amb = _ambiguous_refund_ids(pairs, dref, dchg)
-    # Rows whose id is ambiguous, any type, left-joined to the charges.
-    t = txn.join(amb, txn["id"] == amb["refund_id"], "left_semi")
-    amb_rows = t.join(c, _on(t, c), "left").select(
-        F.col("id").alias("refund_id"), key_col().alias("key_col"), "charge_id", "originalamount"
+    matched = pairs.select(F.col("refund_id").alias("_p_id"), F.col("key_col").alias("_p_key")).distinct()
+    lonely = r.join(
+        matched,
+        r["refund_id"].eqNullSafe(matched["_p_id"]) & r["key_col"].eqNullSafe(matched["_p_key"]),
+        "left_anti",
     )
+    amb = _ambiguous_refund_ids(pairs, dref, dchg)
+    amb_rows = pairs.join(amb, "refund_id", "left_semi").select(*PAIR_COLUMNS)
     return lonely.unionByName(amb_rows).distinct()
 
 
