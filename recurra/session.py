@@ -46,17 +46,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch folder; on a cluster a machine-local folder would not survive
     the loss of an executor, so it is an error there.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the setting is all there is
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="recurra-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir() or configured
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
