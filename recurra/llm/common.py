@@ -9,11 +9,15 @@ repeated `doc_id`s need no special care.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +49,31 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that they
+    need no copy of it on their own path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="recurra-code-")) / "recurra_code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def sums(df: DataFrame, **cols) -> dict[str, int]:
@@ -76,6 +103,23 @@ class Block:
         self.starts = np.concatenate([[0], np.cumsum(self.lens + 1)])[:-1].astype(np.int64)
         self.ends = self.starts + self.lens
 
+    @classmethod
+    def of(cls, ids: list, texts: list) -> "Block":
+        """A block of these ids and UTF-8 texts (or None)."""
+        b = cls.__new__(cls)
+        b.block = 0
+        b.ids = np.array([i or 0 for i in ids], np.int64)
+        b.id_null = np.array([i is None for i in ids], np.bool_)
+        b.raw_lens = np.array([-1 if t is None else len(t) for t in texts], np.int64)
+        b.lens = np.maximum(b.raw_lens, 0)
+        b.buf = np.frombuffer(b"".join([(t or b"") + b"\n" for t in texts]), np.uint8)
+        b.starts = np.concatenate([[0], np.cumsum(b.lens + 1)])[:-1].astype(np.int64)
+        b.ends = b.starts + b.lens
+        return b
+
+    def doc_ids(self) -> pa.Array:
+        return pa.array(self.ids, pa.int64(), mask=self.id_null)
+
     def __len__(self) -> int:
         return len(self.ids)
 
@@ -91,7 +135,7 @@ def _count_words(buf: np.ndarray) -> int:
 def corpus_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`documents` packed into blocks of about `block_bytes` (a longer single
     text is a block of its own) and written as a stage table."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    src = id_and_text(docs)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
@@ -134,6 +178,24 @@ def corpus_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) ->
     return stage(src.mapInArrow(pack, BLOCK_SCHEMA), name, "uncompressed")
 
 
+def id_and_text(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def small_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = 1 << 20) -> Iterator[Block]:
+    """Blocks of about `block_bytes` from batches of (doc_id, text): what a
+    narrow pass works on at a time."""
+    for b in batches:
+        ids = b.column(0)
+        texts = b.column(1).cast(pa.binary())
+        size = np.cumsum([0 if n is None else n for n in pc.binary_length(texts).to_pylist()]) if b.num_rows else []
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + block_bytes, "right")))
+            yield Block.of(ids.slice(lo, hi - lo).to_pylist(), texts.slice(lo, hi - lo).to_pylist())
+            lo = hi
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Row dicts of Arrow batches, one at a time."""
     for b in batches:

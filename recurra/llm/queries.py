@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.llm.decontamination import OP8_SQL, op8_decontamination
 from recurra.llm.packing import op10_packing
+from recurra.llm.quality import op4_quality
 from recurra.llm.sharding import op7_sharding
 from recurra.llm.token_counts import op6_token_counts
+from recurra.llm.topk import OP3_SQL, op3_topk
+from recurra.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_topk": op3_topk,
+    "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_topk": OP3_SQL,
+    "op8_decontamination": OP8_SQL,
+}
