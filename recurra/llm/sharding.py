@@ -70,7 +70,7 @@ def shuffle_to_shards(
 
     schema = keyed.select("rec", "shard", "grown_shard", "bucket").withColumn("pos", F.lit(0).cast("long")).schema
     written = keyed.groupBy("bucket").applyInArrow(fisher_yates, schema)
-    written.write.partitionBy("shard").parquet(out)
+    written.write.option("compression", "zstd").partitionBy("shard").parquet(out)
     table = spark.read.schema(schema).parquet(out)
     first = (
         table.groupBy("shard", "bucket")

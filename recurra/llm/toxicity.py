@@ -95,7 +95,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.theta[None, :] - score[:, None], -500, 500)))
 
 
-def fit_ordinal(rows: list[np.ndarray], y: np.ndarray, steps: int = 400, rate: float = 0.1, ridge: float = 1e-4) -> OrdinalModel:
+def fit_ordinal(rows: list[np.ndarray], y: np.ndarray, steps: int = 400, rate: float = 0.1, ridge: float = 3e-5) -> OrdinalModel:
     """`rows`: the features of each document; `y`: its label, 0 or 1."""
     size = len(LEVELS) << BITS
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
