@@ -55,30 +55,27 @@ def shuffle_to_shards(
     )
     keyed = keyed.withColumn("bucket", (F.col("shard") * per_shard + F.col("sub")).cast("long"))
 
-    def fisher_yates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    # where each bucket begins in its shard: counted from the ids alone
+    first = (
+        keyed.groupBy("shard", "bucket")
+        .agg(F.count("*").alias("n"))
+        .select("bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
+    )
+
+    def fisher_yates(key: tuple[pa.Scalar, ...], table: pa.Table, before: pa.Table) -> pa.Table:
         order = pc.sort_indices(
             pa.table({"id": pc.struct_field(table["rec"], "doc_id"), "tie": table["tie"]}),
             sort_keys=[("id", "ascending"), ("tie", "ascending")],
         ).to_numpy()
         order = order.copy()
         np.random.default_rng([seed, key[0].as_py()]).shuffle(order)  # Fisher-Yates, in place
-        return (
-            table.select(["rec", "shard", "grown_shard", "bucket"])
-            .take(pa.array(order))
-            .append_column("pos", pa.array(np.arange(len(order)), pa.int64()))
-        )
-
-    schema = keyed.select("rec", "shard", "grown_shard", "bucket").withColumn("pos", F.lit(0).cast("long")).schema
-    written = keyed.groupBy("bucket").applyInArrow(fisher_yates, schema)
+        slot = before["before"][0].as_py() + np.arange(len(order))
+        return table.select(["rec", "shard", "grown_shard"]).take(pa.array(order)).append_column("slot", pa.array(slot, pa.int64()))
+
+    schema = keyed.select("rec", "shard", "grown_shard").withColumn("slot", F.lit(0).cast("long")).schema
+    written = keyed.groupBy("bucket").cogroup(first.groupBy("bucket")).applyInArrow(fisher_yates, schema)
     written.write.option("compression", "zstd").partitionBy("shard").parquet(out)
-    table = spark.read.schema(schema).parquet(out)
-    first = (
-        table.groupBy("shard", "bucket")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n"))
-        .select("bucket", "before")
-    )
-    return table.join(first, "bucket").select("rec", "shard", (F.col("before") + F.col("pos")).alias("slot"), "grown_shard")
+    return spark.read.schema(schema).parquet(out)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
