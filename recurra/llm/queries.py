@@ -11,10 +11,14 @@ from recurra.llm.packing import op10_packing
 from recurra.llm.quality import op4_quality
 from recurra.llm.sharding import op7_sharding
 from recurra.llm.token_counts import op6_token_counts
+from recurra.llm.substrings import op2_substrings
+from recurra.llm.suffixes import op1_suffixes
 from recurra.llm.topk import OP3_SQL, op3_topk
 from recurra.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffixes": op1_suffixes,
+    "op2_substrings": op2_substrings,
     "op3_topk": op3_topk,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
