@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from recurra.llm.decontamination import OP8_SQL, op8_decontamination
+from recurra.llm.jaccard import op9_jaccard
 from recurra.llm.packing import op10_packing
 from recurra.llm.quality import op4_quality
 from recurra.llm.sharding import op7_sharding
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
+    "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
 
