@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -41,14 +41,32 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/recurra-llm-{name}-{uuid.uuid4().hex}"
 
 
+_stages: list[str] = []  # tables written and not yet dropped
+
+
 def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write `df` once under the shared folder and read it back: cuts the
     lineage, and no lost executor takes it along."""
     path = stage_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
+    _stages.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession, but: int = 0) -> int:
+    """Delete the stage tables written so far except the first `but`, once
+    nothing reads them any more; returns how many are left."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_stages) > but:
+        path = jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return len(_stages)
+
+
+def stages_written() -> int:
+    return len(_stages)
+
+
 _shipped: set[str] = set()
 
 
@@ -84,7 +102,7 @@ def sums(df: DataFrame, **cols) -> dict[str, int]:
 
 # --- corpus blocks -----------------------------------------------------------
 
-BLOCK_SCHEMA = "block long, n int, n_bytes long, n_words long, ids binary, id_null binary, lens binary, body binary"
+BLOCK_SCHEMA = "block long, n int, n_bytes long, n_words long, ids binary, id_null binary, lens binary, body binary, rest binary"
 
 
 class Block:
@@ -132,21 +150,29 @@ def _count_words(buf: np.ndarray) -> int:
     return int(np.count_nonzero(blank[1:] & ~blank[:-1])) if len(buf) else 0
 
 
-def corpus_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def corpus_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
     """`documents` packed into blocks of about `block_bytes` (a longer single
-    text is a block of its own) and written as a stage table."""
-    src = id_and_text(docs)
+    text is a block of its own) and written as a stage table; with `carry`, the
+    blocks also hold the other columns, for `block_rows`."""
+    other = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *other)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
         zip_ = zstandard.ZstdCompressor(level=3)
         ids: list = []
         texts: list = []
+        rest: list = []
         size = 0
 
         def flush():
-            nonlocal ids, texts, size, serial
+            nonlocal ids, texts, rest, size, serial
             raw = b"".join(t + b"\n" if t is not None else b"\n" for t in texts)
+            sink = pa.BufferOutputStream()
+            if rest:
+                with pa.ipc.new_stream(sink, rest[0].schema) as out:
+                    for r in rest:
+                        out.write_batch(r)
             row = {
                 "block": [(part << 32) | serial],
                 "n": [len(ids)],
@@ -156,28 +182,66 @@ def corpus_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) ->
                 "id_null": [np.array([i is None for i in ids], np.bool_).tobytes()],
                 "lens": [np.array([-1 if t is None else len(t) for t in texts], np.int64).tobytes()],
                 "body": [zip_.compress(raw)],
+                "rest": [zip_.compress(sink.getvalue().to_pybytes())],
             }
             serial += 1
-            ids, texts, size = [], [], 0
+            ids, texts, rest, size = [], [], [], 0
             return pa.RecordBatch.from_pydict(
                 {k: pa.array(v, pa.binary() if isinstance(v[0], bytes) else pa.int32() if k == "n" else pa.int64()) for k, v in row.items()}
             )
 
         for b in batches:
             doc_ids = b.column(0).to_pylist()
-            col = b.column(1).cast(pa.binary())
-            for i, t in zip(doc_ids, col.to_pylist()):
+            more = pa.RecordBatch.from_arrays(b.columns[2:], names=b.schema.names[2:]) if other else None
+            lo = 0
+            for k, (i, t) in enumerate(zip(doc_ids, b.column(1).cast(pa.binary()).to_pylist())):
                 ids.append(i)
                 texts.append(t)
                 size += len(t or b"")
                 if size >= block_bytes:
+                    if other:
+                        rest.append(more.slice(lo, k + 1 - lo))
+                    lo = k + 1
                     yield flush()
+            if other and lo < b.num_rows:
+                rest.append(more.slice(lo))
         if ids:
             yield flush()
 
     return stage(src.mapInArrow(pack, BLOCK_SCHEMA), name, "uncompressed")
 
 
+def block_rows(row: dict, block: Block, keep: np.ndarray, columns: list[str], new: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The kept documents of a block with all `columns`; `new` replaces some,
+    and those of `doc_id` and `text` come from the block itself."""
+    cols = dict(new)
+    cols.setdefault("doc_id", block.doc_ids())
+    if "text" not in cols:
+        cols["text"] = pa.array([None if n < 0 else block.text(i) for i, n in enumerate(block.raw_lens.tolist())], pa.binary()).cast(pa.string())
+    raw = zstandard.ZstdDecompressor().decompressobj().decompress(row["rest"])
+    if raw:
+        held = pa.ipc.open_stream(raw).read_all().combine_chunks()
+        for c in held.column_names:
+            cols.setdefault(c, held[c].combine_chunks() if len(held) else held[c])
+    flat = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (cols[c] for c in columns)]
+    return pa.RecordBatch.from_arrays(flat, names=columns).filter(pa.array(keep))
+
+
+def filter_documents(docs: DataFrame, make: Callable[[], Callable[[Block], np.ndarray]]) -> DataFrame:
+    """The rows of `docs` that `make()(block)` keeps, in one narrow pass."""
+    at_id, at_text = docs.columns.index("doc_id"), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for b in batches:
+            pair = pa.RecordBatch.from_arrays([b.column(at_id).cast(pa.int64()), b.column(at_text).cast(pa.string())], names=["doc_id", "text"])
+            masks = [keep(x) for x in small_blocks([pair])]
+            if masks:
+                yield b.filter(pa.array(np.concatenate(masks).astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 

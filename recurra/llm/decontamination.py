@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm.common import Block, documents, id_and_text, ngram_hashes, small_blocks, sums, table, Words
+from recurra.llm.common import Block, Words, documents, filter_documents, id_and_text, ngram_hashes, small_blocks, sums, table
 
 SHINGLE = 5
 PERCENT = 75
@@ -92,17 +92,40 @@ class ItemIndex:
                     yield d, k, shared
 
 
-def contained_items(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """doc_id, item_id, n_shared, n_item for each item contained in a document."""
-    spark = docs.sparkSession
+def item_blocks(items: DataFrame, item_bytes: int = ITEM_BYTES) -> Iterator:
+    """The benchmark as broadcast (ids, texts), at most about `item_bytes` each."""
+    spark = items.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = sums(items, b=F.sum(F.octet_length("text")))["b"]
     n_blocks = max(1, -(-2 * size // item_bytes))  # a hash fills no block to twice its share
-    src = id_and_text(docs)
-    out = None
     for k in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
-        index = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        yield spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """The rows of `docs`, all columns, that contain no item."""
+    for index in item_blocks(items, item_bytes):
+
+        def make(index=index):
+            found = ItemIndex(*index.value)
+
+            def keep(b: Block) -> np.ndarray:
+                clean = np.ones(len(b), bool)
+                clean[[d for d, _, _ in found.search(b)]] = False
+                return clean
+
+            return keep
+
+        docs = filter_documents(docs, make)
+    return docs
+
+
+def contained_items(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """doc_id, item_id, n_shared, n_item for each item contained in a document."""
+    src = id_and_text(docs)
+    out = None
+    for index in item_blocks(items, item_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             found = ItemIndex(*index.value)

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from recurra.llm.common import (
     Block,
     Words,
+    block_rows,
     corpus_blocks,
     delta,
     documents,
@@ -115,11 +116,10 @@ def _matches(count: np.ndarray, base: int, need: int, n: int) -> int:
     return int(np.argmin(read * (1 + (n / 16) / ask))) + 1
 
 
-def shingle_links(docs: DataFrame, part_tokens: int = 3_000_000) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, key) of every document, and the links (x, y)
-    between set keys that join the classes."""
+def shingle_links(blocks: DataFrame, part_tokens: int = 3_000_000) -> tuple[DataFrame, DataFrame]:
+    """(block, place, doc_id, n_shingles, key) of every document of the corpus
+    blocks, and the links (x, y) between set keys that join the classes."""
     columns = ["block", "n", "n_bytes", "ids", "id_null", "lens", "body"]
-    blocks = corpus_blocks(docs, "jaccard-blocks").select(*columns, "n_words")
     words = sums(blocks, w=F.sum("n_words"))["w"]
     parts = max(1, -(-words // part_tokens))
     bits = min(64, max(32, int(words).bit_length() + 13))
@@ -156,7 +156,7 @@ def shingle_links(docs: DataFrame, part_tokens: int = 3_000_000) -> tuple[DataFr
         for row in rows_of(batches):
             block = Block(row)
             s = Sets(block)
-            yield _found(0, 0, [pack_arrays(block.ids, block.id_null.astype(np.uint8), s.n, s.key)])
+            yield _found(0, row["block"], [pack_arrays(block.ids, block.id_null.astype(np.uint8), s.n, s.key)])
             if not row["counts"]:
                 continue
             _, one = np.unique(s.key, return_index=True)
@@ -203,8 +203,14 @@ def shingle_links(docs: DataFrame, part_tokens: int = 3_000_000) -> tuple[DataFr
         for row in rows_of(batches):
             ids, null, n, key = unpack_arrays(row["payload"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64(), mask=null.astype(bool)), pa.array(n, pa.int64()), pa.array(key.view(np.int64), pa.int64())],
-                names=["doc_id", "n_shingles", "key"],
+                [
+                    pa.array(np.full(len(n), row["id"]), pa.int64()),
+                    pa.array(np.arange(len(n)), pa.int64()),
+                    pa.array(ids, pa.int64(), mask=null.astype(bool)),
+                    pa.array(n, pa.int64()),
+                    pa.array(key.view(np.int64), pa.int64()),
+                ],
+                names=["block", "place", "doc_id", "n_shingles", "key"],
             )
 
     def read_lists(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
@@ -214,7 +220,9 @@ def shingle_links(docs: DataFrame, part_tokens: int = 3_000_000) -> tuple[DataFr
         x, y, shared, ask, hub = pairs_of_lists(token, node, n.astype(np.int64), m.astype(np.int64), ask)
         return pa.table({"x": x.view(np.int64), "y": y.view(np.int64), "shared": shared, "ask": ask, "hub": hub})
 
-    doc_keys = found.filter("kind = 0").select("payload").mapInArrow(read_docs, "doc_id long, n_shingles long, key long")
+    doc_keys = found.filter("kind = 0").select("id", "payload").mapInArrow(
+        read_docs, "block long, place long, doc_id long, n_shingles long, key long"
+    )
     sets = found.filter("kind = 1").groupBy(F.col("id").alias("key")).agg(*[F.first(c).alias(c) for c in ("payload", "n", "m")])
     pairs = stage(
         found.filter("kind = 2").select(F.col("id").alias("part"), "payload").groupBy("part")
@@ -323,9 +331,9 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """`nodes`: key, label (null last). Smallest label of each node's class:
-    labels spread along links, then jump to the label of the node they name."""
+def components(links: DataFrame) -> DataFrame:
+    """(key, root) of every node with a link; nodes of a class have one root.
+    Labels spread along links, then jump to the label of the node they name."""
     edges = stage(
         links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).filter("x <> y").distinct(), "jaccard-edges"
     )
@@ -339,18 +347,44 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             break
         jump = step.select(F.col("key").alias("root"), F.col("root").alias("next"))
         state = stage(step.join(jump, "root").select("key", F.least("root", "next").alias("root")), "jaccard-labels")
-    roots = nodes.join(state, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = roots.groupBy("root").agg(F.min("label").alias("component_id"))
-    return roots.join(least, "root").select("key", "component_id")
+    return state
+
+
+def _rooted(blocks: DataFrame) -> DataFrame:
+    """Documents with shingles and without, each with its class's root."""
+    doc_keys, links = shingle_links(blocks)
+    return doc_keys.join(components(links), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    doc_keys, links = shingle_links(docs)
-    nodes = doc_keys.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("label"))
-    classes = components(nodes, links)
-    full = doc_keys.filter("n_shingles > 0").join(classes, "key").select("doc_id", "n_shingles", "component_id")
-    return full.unionByName(doc_keys.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    rooted = _rooted(corpus_blocks(docs, "jaccard-blocks"))
+    full = rooted.filter("n_shingles > 0")
+    least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    full = full.join(least, "root").select("doc_id", "n_shingles", "component_id")
+    return full.unionByName(rooted.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """`docs`, all columns, with one document of each class: the smallest
+    doc_id, and the first read of rows that share it. Documents without
+    shingles all stay."""
+    columns = docs.columns
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    blocks = corpus_blocks(docs, "jaccard-blocks", carry=True)
+    rooted = _rooted(blocks)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "block", "place")).alias("best")
+    stays = rooted.filter("n_shingles > 0").groupBy("root").agg(best).select("best.block", "best.place")
+    stays = stays.unionByName(rooted.filter("n_shingles = 0").select("block", "place"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            block = Block(row)
+            keep = np.zeros(len(block), bool)
+            keep[row["places"]] = True
+            yield block_rows(row, block, keep, columns, {})
+
+    return blocks.join(stays.groupBy("block").agg(F.collect_list("place").alias("places")), "block").mapInArrow(run, docs.schema)
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,10 +144,10 @@ def _batch(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for k, v in cols.items()], names=list(cols))
 
 
-def covered_blocks(docs: DataFrame, find: Finder, hot: int = HOT, part_entries: int = 1_500_000) -> DataFrame:
+def covered_blocks(docs: DataFrame, find: Finder, hot: int = HOT, part_entries: int = 1_500_000, carry: bool = False) -> DataFrame:
     """The corpus as blocks, each with `cover`: payloads of (document, start,
     stop) ranges of symbols to remove."""
-    blocks = corpus_blocks(docs, f"{find.name}-blocks")
+    blocks = corpus_blocks(docs, f"{find.name}-blocks", carry=carry)
     size = sums(blocks, b=F.sum("n_words" if find.by_doc else "n_bytes"))["b"]
     parts = max(1, -(-2 * size // ((find.spread + 1) * part_entries)))
 

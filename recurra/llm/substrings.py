@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm.common import Block, Words, documents, pack_arrays, rows_of, unpack_arrays
+from recurra.llm.common import Block, Words, block_rows, documents, pack_arrays, rows_of, unpack_arrays
 from recurra.llm.repeats import HOT, Finder, Seq, _part, _split, cover_mask, covered_blocks
 
 LENGTH = 13
@@ -173,35 +173,69 @@ def _symbols(block: Block):
     return Seq(w.hash, w.first[:-1], w.first[1:]), w
 
 
+FINDER = Finder("words", LENGTH, 8, 6, True, _symbols, _Fragments, compare_in_shard)
+
+
+def _kept(block: Block, w: Words, gone: np.ndarray) -> list[bytes]:
+    """The words left in each document, joined by one space."""
+    buf = block.buf.copy()
+    buf[w.end] = 32
+    n = len(buf) + 1
+    edge = np.bincount(w.start[~gone], minlength=n) - np.bincount(w.end[~gone] + 1, minlength=n + 1)[:n]
+    keep = np.cumsum(edge[:-1]) > 0
+    return [buf[s : e + 1][keep[s : e + 1]].tobytes()[:-1] for s, e in zip(block.starts.tolist(), block.ends.tolist())]
+
+
+def _removed(w: Words, gone: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(gone)])
+    return total[w.first[1:]] - total[w.first[:-1]]
+
+
 def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, text, n_words, n_removed and kept (the kept words, UTF-8) of every document."""
-    find = Finder("words", LENGTH, 8, 6, True, _symbols, _Fragments, compare_in_shard)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             block = Block(row)
             w = Words(block)
             gone = cover_mask(row["cover"], len(w.start))
-            buf = block.buf.copy()
-            buf[w.end] = 32
-            keep = np.zeros(len(buf) + 1, np.int8)
-            np.add.at(keep, w.start[~gone], 1)
-            np.add.at(keep, w.end[~gone] + 1, -1)
-            keep = np.cumsum(keep[:-1]) > 0
-            kept = [buf[s : e + 1][keep[s : e + 1]].tobytes()[:-1] for s, e in zip(block.starts.tolist(), block.ends.tolist())]
-            removed = np.add.reduceat(np.concatenate([gone, [False]]), w.first[:-1]) * (w.count > 0) if len(block) else w.count
             yield pa.RecordBatch.from_arrays(
                 [
                     block.doc_ids(),
                     pa.array([None if n < 0 else block.text(i) for i, n in enumerate(block.raw_lens.tolist())], pa.binary()),
                     pa.array(w.count, pa.int64()),
-                    pa.array(removed.astype(np.int64), pa.int64()),
-                    pa.array(kept, pa.binary()),
+                    pa.array(_removed(w, gone), pa.int64()),
+                    pa.array(_kept(block, w, gone), pa.binary()),
                 ],
                 names=["doc_id", "text", "n_words", "n_removed", "kept"],
             )
 
-    return covered_blocks(docs, find, hot).mapInArrow(run, SCHEMA)
+    return covered_blocks(docs, FINDER, hot).mapInArrow(run, SCHEMA)
+
+
+def cut_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """`docs`, all columns, without the repeated words: a text that loses words
+    becomes its kept words joined by one space (`n_chars`, if there, follows),
+    one that loses none stays as it is, and one that loses all goes."""
+    columns, kinds = docs.columns, dict(docs.dtypes)
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            block = Block(row)
+            w = Words(block)
+            gone = cover_mask(row["cover"], len(w.start))
+            lost = _removed(w, gone)
+            kept = _kept(block, w, gone)
+            old = [None if n < 0 else block.text(i) for i, n in enumerate(block.raw_lens.tolist())]
+            texts = [k if n else t for k, n, t in zip(kept, lost.tolist(), old)]
+            new = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
+            if kinds.get("n_chars") == "bigint":
+                chars = [None if t is None else len(t.decode()) for t in texts]
+                new["n_chars"] = pa.array(chars, pa.int64())
+            yield block_rows(row, block, (lost == 0) | (lost < w.count), columns, new)
+
+    return covered_blocks(docs, FINDER, hot, carry=True).mapInArrow(run, docs.schema)
 
 
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

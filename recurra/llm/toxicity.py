@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm.common import Block, documents, id_and_text, lower_ascii, pack_arrays, small_blocks, table, unpack_arrays, word_hashes
+from recurra.llm.common import Block, documents, filter_documents, id_and_text, lower_ascii, pack_arrays, small_blocks, table, unpack_arrays, word_hashes
 
 MAX_ROWS = 8_000
 BITS = 18
@@ -198,6 +198,28 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, SCHEMA)
 
 
+def drop_toxic(docs: DataFrame, model: OrdinalModel) -> DataFrame:
+    """The rows of `docs`, all columns, that are not graded toxic."""
+    kept = np.flatnonzero(model.weight)
+    state = docs.sparkSession.sparkContext.broadcast((kept, model.weight[kept], model.theta))
+
+    def make():
+        kept, w, theta = state.value
+        weight = np.zeros(len(LEVELS) << BITS)
+        weight[kept] = w
+        mask = np.zeros(1 << BITS, bool)
+        mask[kept // len(LEVELS)] = True
+        fitted = OrdinalModel(weight, theta)
+
+        def keep(b: Block) -> np.ndarray:
+            doc, feature = features(b, mask)
+            return fitted.above(np.bincount(doc, weights=weight[feature], minlength=len(b)))[:, 0] < 0.5
+
+        return keep
+
+    return filter_documents(docs, make)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document graded: doc_id, held_out, severity, p_toxic, grade, toxic."""
     docs = documents(spark, sf_dir)
