@@ -2,22 +2,26 @@
 interim churn, enrichment.
 
 The source runs windows over *every order-month row of a customer*
-(`lead`/`lag`/`sum over (partition by customer)`), which puts all of a
-large customer's rows in one task. Here every window runs on
-customer-month aggregates (at most one row per month per customer), built
-with partial aggregation, and the order-month rows meet those facts in a
-single equi-join on (slice, customer, company, month):
-
-    orders --explode--> order-months --partial agg--> (slice,cust,company,month)
-                                   \\                     | + labels
-                                    \\                    v
-                                     \\         (slice,cust,month) windows
-                                      \\________ join once _|
+(`lead`/`lag`/`sum over (partition by customer)`), which puts all of a large
+customer's rows in one task. Here every window runs on customer-month
+aggregates (at most one row per month and company of a customer), built with
+partial aggregation, and on one exchange by (slice, customer):
+
+    orders --explode, partial agg--> (slice, cust, company, month)
+        --exchange by (slice, cust)--> labels -> month totals -> gaps -> facts
+        --> one row per (slice, cust, company) with an array of month facts
+
+That row is joined to the *unexploded* orders; each order then explodes to the
+months of the array it is active in, and to the synthetic churn months it is
+the model of. The array is bounded by the calendar, so what the large exchange
+carries is orders, never order-months; a hot customer's orders are split by
+the skew-join rule, since the other side has one row for the key.
 
 Ties the source leaves to chance are fixed: the synthetic churn row copies
-the month's smallest-ARR row (then smallest order number); the movement
-delta goes to the month's first order number; an order takes the label of
-its own company's rollforward row.
+the month's smallest-ARR row (then smallest order number, then smallest
+attributes where rows repeat an order); the movement delta goes to the month's
+first order number; an order takes the label of its own company's rollforward
+row.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
-from .monthly import arr_by_month
+from .monthly import active_month_starts
 
 K3 = ["for_product", "customer_id", "pivot_month"]
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
@@ -98,26 +102,9 @@ BATCH = Variant(
 )
 
 
-def _null_safe_k4(left: DataFrame, right: DataFrame) -> Column:
-    return (
-        (left["for_product"] == right["_r_fp"])
-        & (left["customer_id"] == right["_r_cust"])
-        & (left["pivot_month"] == right["_r_month"])
-        & left["company"].eqNullSafe(right["_r_company"])
-    )
-
-
-def _rename_k4(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(
-        {"for_product": "_r_fp", "customer_id": "_r_cust", "company": "_r_company", "pivot_month": "_r_month"}
-    )
-
-
-def first_order_dates(orders: DataFrame) -> DataFrame:
+def first_order_dates(spans: DataFrame) -> DataFrame:
     """O15 (ARR table): min order date per (slice, customer)."""
-    return orders.groupBy("for_product", "customer_id").agg(
-        F.min("orderdate").alias("_first_order_date")
-    )
+    return spans.select("for_product", "customer_id", "_first_order_date").distinct()
 
 
 def customer_company_months(om: DataFrame) -> DataFrame:
@@ -148,124 +135,145 @@ class ArrParts:
     synthetic: DataFrame  # appended churn rows, same columns
 
 
-def arr_parts(
-    orders: DataFrame,
-    ccm: DataFrame,
-    rf: DataFrame,
-    bounds: SpineBounds,
-    variant: Variant = PROCEDURE,
-    cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
-) -> ArrParts:
-    """O23-O26 for every slice at once.
-
-    `ccm` is `customer_company_months` of the same orders; `cut` may
-    materialize the small customer-month tables that several branches read
-    (labelled months, month totals, churn keys, month facts).
+def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
+    """O23-O26 facts: one row per (slice, customer, company) with `_facts`, an
+    array of its months (`rollforward.labelled_months` in, all on its
+    partitioning). An element with `syn` is a synthetic churn month (O24), of
+    the order (`t_on`, `t_arr`) it copies; the others are months with orders.
     """
-    om = arr_by_month(orders, bounds, keep_monthless=variant.keep_monthless)
-    om_m = om.filter(F.col("pivot_month").isNotNull())
-
-    # The label of the same customer-company-month rollforward row.
-    labels = _rename_k4(
-        rf.filter(F.col("customer_id").isNotNull()).select(*K4, F.col("customer_classification").alias("_label"))
-    )
-    g = ccm.join(labels, _null_safe_k4(ccm, labels), "left").drop("_r_fp", "_r_cust", "_r_company", "_r_month")
     churned = truthy(variant.churn_match(F.col("_label")))
-    g = g.select(
-        *K4,
-        "_label",
-        F.when(churned, F.lit(0)).otherwise(F.col("_sum_u")).alias("_eff_u"),
-        F.when(~churned, F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"),
-                                  F.col("company").alias("c"))).alias("_tail"),
-        "_min_on",
-        "_null_on",
+    tail = F.when(
+        ~churned & F.col("_tail.a").isNotNull(),
+        F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c")),
     )
-    g = cut(g, "labelled-months")
-    # (slice, customer, month)
-    cm = cut(
-        g.groupBy(*K3).agg(
-            F.sum("_eff_u").alias("_cum_u"),
-            F.min(F.when(F.col("_tail.a").isNotNull(), F.col("_tail"))).alias("_tail"),
+    months = (
+        labelled.filter(F.col("_sum_u").isNotNull() & F.col("customer_id").isNotNull())
+        .groupBy(*K3)
+        .agg(
+            F.sum(F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).alias("_cum_u"),
+            F.min(tail).alias("_tail"),
             F.min("_min_on").alias("_min_on"),
             F.max("_null_on").alias("_null_on"),
-        ),
-        "customer-month-totals",
+            F.max("_first_order_date").alias("_first_order_date"),
+            F.collect_list(F.struct("company", "_label")).alias("_cos"),
+        )
     )
     # A churn row after every active month not followed by the next month.
-    wc = Window.partitionBy("for_product", "customer_id").orderBy("pivot_month")
-    act = cm.filter(F.col("_tail").isNotNull()).withColumn("_next", F.lead("pivot_month").over(wc))
-    gap = F.col("_next").isNull() | (month_boundaries("pivot_month", "_next") > 1)
-    churn_keys = act.filter(gap).select(
-        "for_product",
-        "customer_id",
-        F.col("pivot_month").alias("_active_month"),
-        next_month_end(F.col("pivot_month")).alias("pivot_month"),
-        F.col("_tail.o").alias("_t_on"),
-        F.col("_tail.c").alias("_t_co"),
-        F.col("_tail.a").alias("_t_arr"),
-        (-F.col("_cum_u")).alias("_churn_u"),
+    back = Window.partitionBy("for_product", "customer_id").orderBy(F.desc("pivot_month"))
+    active = F.col("_tail").isNotNull()
+    following = F.last(F.when(active, F.col("pivot_month")), ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, -1)
     )
-    churn_keys = cut(churn_keys, "churn-keys")
-    # O25/O26 facts per present month (order months and churn months).
-    present = cm.select(*K3, "_cum_u", "_min_on", "_null_on").unionByName(
-        churn_keys.select(
-            *K3,
-            F.lit(0).cast("long").alias("_cum_u"),
-            F.col("_t_on").alias("_min_on"),
-            F.col("_t_on").isNull().alias("_null_on"),
-        )
-    ).groupBy(*K3).agg(
-        F.sum("_cum_u").alias("_cum_u"), F.min("_min_on").alias("_min_on"), F.max("_null_on").alias("_null_on")
+    months = months.withColumn("_next", following)
+    gap = active & (F.col("_next").isNull() | (month_boundaries("pivot_month", "_next") > 1))
+    nothing = F.filter(F.col("_cos"), lambda x: F.lit(False))
+    event = lambda month, cum, first_on, null_on, cos, churn: F.struct(
+        month.alias("m"), cum.alias("u"), first_on.alias("on"), null_on.alias("null_on"), cos.alias("cos"), churn.alias("churn")
     )
-    wp = Window.partitionBy("for_product", "customer_id")
-    facts = present.select(
-        *K3,
-        (F.col("_cum_u") - F.lag("_cum_u", 1, 0).over(wc)).alias("_delta_u"),
-        F.when(~F.col("_null_on"), F.col("_min_on")).alias("_first_on"),
-        F.max("pivot_month").over(wp).alias("_churn_date"),
-    ).join(first_order_dates(orders), ["for_product", "customer_id"], "left")
-    facts = cut(facts, "month-facts")
-
-    f4 = _rename_k4(g.select(*K4, "_label").join(facts, K3, "left"))
-    rows = om_m.join(f4, _null_safe_k4(om_m, f4), "left").drop("_r_fp", "_r_cust", "_r_company", "_r_month")
-    rows = rows.withColumn(
-        "_arr_u", F.when(truthy(variant.churn_match(F.col("_label"))), F.lit(0)).otherwise(F.col("_arr_u"))
-    ).withColumn(
-        "_churn_u",
-        F.when(truthy(~variant.churn_match(F.col("_label"))), F.lit(0)).otherwise(F.col("_churn_u")),
+    churn = F.struct(F.col("_tail.c").alias("c"), F.col("_tail.o").alias("t_on"), F.col("_tail.a").alias("t_arr"), (-F.col("_cum_u")).alias("u"))
+    own = event(F.col("pivot_month"), F.col("_cum_u"), F.col("_min_on"), F.col("_null_on"), F.col("_cos"), F.when(F.lit(False), churn))
+    late = event(
+        next_month_end(F.col("pivot_month")), F.lit(0).cast("long"), F.col("_tail.o"), F.col("_tail.o").isNull(), nothing, churn
     )
-    if variant.keep_monthless:
-        monthless = om.filter(F.col("pivot_month").isNull()).join(
-            first_order_dates(orders), ["for_product", "customer_id"], "left"
+    events = F.explode(F.when(gap, F.array(own, late)).otherwise(F.array(own))).alias("e")
+    present = (
+        months.select("for_product", "customer_id", "_first_order_date", events)
+        .groupBy("for_product", "customer_id", F.col("e.m").alias("pivot_month"))
+        .agg(
+            F.sum("e.u").alias("_cum_u"),
+            F.min("e.on").alias("_min_on"),
+            F.max("e.null_on").alias("_null_on"),
+            F.max("_first_order_date").alias("_first_order_date"),
+            F.flatten(F.collect_list("e.cos")).alias("_cos"),
+            F.max("e.churn").alias("_churn"),
         )
-        for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "string"), ("_churn_date", "date")):
-            monthless = monthless.withColumn(c, F.lit(None).cast(t))
-        rows = rows.unionByName(monthless.select(*rows.columns))
-
-    # Synthetic rows copy the tail order's attributes (few rows: one per gap).
-    src = orders.select(
-        F.col("for_product").alias("_s_fp"),
-        F.col("customer_id").alias("_s_cust"),
-        *[F.col(c).alias("_s_" + c) for c in variant.attrs],
     )
-    j = churn_keys.join(
-        src,
-        (churn_keys["for_product"] == src["_s_fp"])
-        & (churn_keys["customer_id"] == src["_s_cust"])
-        & churn_keys["_t_on"].eqNullSafe(src["_s_ordernumber"])
-        & churn_keys["_t_co"].eqNullSafe(src["_s_company"])
-        & (churn_keys["_t_arr"] == src["_s__cost_u"]),
-        "inner",
+    wc = Window.partitionBy("for_product", "customer_id").orderBy("pivot_month")
+    facts = present.withColumns(
+        {
+            "_delta_u": F.col("_cum_u") - F.lag("_cum_u", 1, 0).over(wc),
+            "_first_on": F.when(~F.col("_null_on"), F.col("_min_on")),
+            "_churn_date": F.max("pivot_month").over(Window.partitionBy("for_product", "customer_id")),
+        }
+    )
+    label = lambda x: F.struct(
+        x["company"].alias("c"), x["_label"].alias("label"), F.lit(False).alias("syn"),
+        F.lit(None).cast("string").alias("t_on"), F.lit(None).cast("long").alias("t_arr"), F.lit(None).cast("long").alias("u"),
+    )
+    synthetic = F.struct(
+        F.col("_churn.c").alias("c"), F.lit("Churn").alias("label"), F.lit(True).alias("syn"),
+        F.col("_churn.t_on").alias("t_on"), F.col("_churn.t_arr").alias("t_arr"), F.col("_churn.u").alias("u"),
+    )
+    rows = F.transform("_cos", label)
+    rows = F.when(F.col("_churn").isNotNull(), F.concat(rows, F.array(synthetic))).otherwise(rows)
+    flat = facts.select("for_product", "customer_id", "pivot_month", "_delta_u", "_first_on", "_churn_date", "_first_order_date", F.explode(rows).alias("x"))
+    fact = F.struct(
+        F.col("pivot_month").alias("m"), F.col("x.label").alias("label"), F.col("_delta_u").alias("delta"), F.col("_first_on").alias("first_on"),
+        F.col("_churn_date").alias("churn_date"), F.col("x.syn").alias("syn"), F.col("x.t_on").alias("t_on"),
+        F.col("x.t_arr").alias("t_arr"), F.col("x.u").alias("u"),
+    )
+    return flat.groupBy("for_product", "customer_id", F.col("x.c").alias("company")).agg(
+        F.max("_first_order_date").alias("_first_order_date"), F.collect_list(fact).alias("_facts")
+    )
+
+
+def _with_facts(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "pivot_month": F.col("_f.m"),
+            "_label": F.col("_f.label"),
+            "_delta_u": F.col("_f.delta"),
+            "_first_on": F.col("_f.first_on"),
+            "_churn_date": F.col("_f.churn_date"),
+        }
     )
-    synth = j.select(
-        "for_product",
-        "customer_id",
-        "pivot_month",
-        *[F.col("_s_" + c).alias(c) for c in variant.attrs],
-        F.lit(0).cast("long").alias("_arr_u"),
-        "_churn_u",
-        F.lit("Churn").alias("_label"),
-    ).join(facts, K3, "left")
+
+
+def arr_parts(
+    orders: DataFrame, facts: DataFrame, spans: DataFrame, bounds: SpineBounds, variant: Variant = PROCEDURE
+) -> ArrParts:
+    """O23-O26 for every slice at once, from `customer_facts` of the same orders."""
+    f = facts.withColumnsRenamed({"for_product": "_r_fp", "customer_id": "_r_cust", "company": "_r_company"})
+    joined = orders.join(
+        f,
+        (orders["for_product"] == f["_r_fp"])
+        & (orders["customer_id"] == f["_r_cust"])
+        & orders["company"].eqNullSafe(f["_r_company"]),
+        "inner",  # an order with a customer finds each of its months among the facts
+    ).drop("_r_fp", "_r_cust", "_r_company")
+    start_m, end_m = F.last_day("standardstartdate"), F.last_day("standardenddate_adjusted")
+    taken = F.filter(
+        "_facts",
+        lambda x: F.when(
+            x["syn"], x["t_on"].eqNullSafe(F.col("ordernumber")) & (x["t_arr"] == F.col("_cost_u"))
+        ).otherwise((x["m"] >= start_m) & (x["m"] < end_m)),
+    )
+    wide = joined.withColumn("_f", F.explode(taken)).drop("_facts")
+    churned = truthy(variant.churn_match(F.col("_label")))
+    # within its months an order pays; the month it ends in is not one of them
+    rows = _with_facts(wide.filter(~F.col("_f.syn"))).withColumns(
+        {"_arr_u": F.when(churned, F.lit(0)).otherwise(F.col("_cost_u")), "_churn_u": F.lit(0).cast("long")}
+    ).drop("_f")
+    # Orders without a customer have months but no facts; those of the batch generation without months stay, too.
+    none = {c: F.lit(None).cast(t) for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "string"), ("_churn_date", "date"))}
+    months = active_month_starts("standardstartdate", "standardenddate_adjusted", bounds)
+    nobody = orders.filter(F.col("customer_id").isNull()).select("*", F.explode(months).alias("_ms"))
+    nobody = nobody.withColumns(
+        none | {"pivot_month": F.last_day("_ms"), "_arr_u": F.col("_cost_u"), "_churn_u": F.lit(0).cast("long"), "_first_order_date": F.lit(None).cast("date")}
+    ).drop("_ms")
+    rows = rows.unionByName(nobody)
+    if variant.keep_monthless:
+        lone = orders.filter(F.coalesce(F.size(months), F.lit(0)) <= 0).join(
+            first_order_dates(spans), ["for_product", "customer_id"], "left"
+        )
+        zero = F.lit(0).cast("long")
+        rows = rows.unionByName(lone.withColumns(none | {"pivot_month": F.lit(None).cast("date"), "_arr_u": zero, "_churn_u": zero}))
+    # Rows that repeat an order would each be copied; one of them is.
+    attrs = [c for c in variant.attrs if c not in ("for_product", "customer_id")]
+    synth = _with_facts(wide.filter(F.col("_f.syn")))
+    pick = F.struct(*attrs, F.col("_f.u").alias("_u"), "_label", "_delta_u", "_first_on", "_churn_date", "_first_order_date")
+    synth = synth.groupBy(*K3).agg(F.min(pick).alias("_p")).select(*K3, "_p.*")
+    synth = synth.withColumns({"_arr_u": F.lit(0).cast("long"), "_churn_u": F.col("_u")}).drop("_u")
     return ArrParts(rows=_finish(rows, variant), synthetic=_finish(synth, variant))
 
 
@@ -317,18 +325,5 @@ def _finish(df: DataFrame, variant: Variant) -> DataFrame:
     return df.select(*cols, *[F.col(c) for c in keep_internal])
 
 
-def arr_final(
-    orders: DataFrame,
-    ccm: DataFrame,
-    rf: DataFrame,
-    bounds: SpineBounds,
-    variant: Variant = PROCEDURE,
-    cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
-) -> DataFrame:
-    """O27 (one or many slices): order-month rows plus synthetic churn rows."""
-    parts = arr_parts(orders, ccm, rf, bounds, variant, cut)
-    return parts.rows.unionByName(parts.synthetic)
-
-
 def public(df: DataFrame, variant: Variant = PROCEDURE) -> DataFrame:
     return df.select(*variant.columns)

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..config import ALL_SLICE, BATCH_TERM_MONTHS, UNMAPPED_PRODUCT, Config
 from ..functions import lower_or_dash, norm, truthy
 from ..sources.calendar import SpineBounds, month_spine
-from .arr import BATCH, arr_final, customer_company_months, first_order_dates
+from .arr import customer_company_months, first_order_dates
 from .monthly import arr_by_month
-from .rollforward import rollforward, slice_list
+from .rollforward import labelled_months, slice_list
 from .staging import adjusted_end_date
 
 BATCH_ORDER_COLUMNS = (
@@ -98,14 +98,17 @@ def batch_orders(classified: DataFrame, company: DataFrame, cfg: Config) -> Data
     return adjusted_end_date(s, cfg.grace_days, F.lit(True))
 
 
-def batch_refunded_arr(classified: DataFrame, company: DataFrame, calendar: DataFrame, cfg: Config) -> DataFrame:
-    """Charges linked to a refund, once at their end month."""
+def batch_refunded_arr(
+    classified: DataFrame, company: DataFrame, spans: DataFrame, calendar: DataFrame, cfg: Config
+) -> DataFrame:
+    """Charges linked to a refund, once at their end month. `spans`: of
+    the batch orders, for the first order dates."""
     s = batch_stage(classified, company, cfg).filter(truthy(F.col("transactionarr") > 0))
     refs = _refund_ids(classified)
     s = s.join(refs, s["matchingrefund"] == refs["_ref_id"], "left_semi")
-    sp = F.broadcast(month_spine(calendar))
+    sp = month_spine(calendar)
     s = s.join(sp, F.last_day(s["standardenddate"]) == sp["pivot_month"], "inner")
-    fod = first_order_dates(batch_orders(classified, company, cfg)).drop("for_product")
+    fod = first_order_dates(spans).drop("for_product")
     s = s.join(fod, "customer_id", "left")
     return s.select(
         "pivot_month",
@@ -127,18 +130,8 @@ def batch_customer_months(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
     return customer_company_months(arr_by_month(orders, bounds, keep_monthless=False))
 
 
-def batch_rollforward(
-    orders: DataFrame, ccm: DataFrame, classified: DataFrame, bounds: SpineBounds, cfg: Config
+def batch_labelled_months(
+    spans: DataFrame, ccm: DataFrame, classified: DataFrame, bounds: SpineBounds
 ) -> DataFrame:
-    """Rollforward with the batch 'customer since' rule."""
-    spark = orders.sparkSession
-    return rollforward(
-        orders, ccm, slice_list(spark), bounds, batch_first_dates(classified), cfg.source_label
-    )
-
-
-def batch_arr_final(orders: DataFrame, ccm: DataFrame, rf: DataFrame, bounds: SpineBounds, cut=None) -> DataFrame:
-    """Final ARR table of the batch generation (month-less rows kept)."""
-    if cut is None:
-        return arr_final(orders, ccm, rf, bounds, BATCH)
-    return arr_final(orders, ccm, rf, bounds, BATCH, cut)
+    """Labelled months with the batch 'customer since' rule."""
+    return labelled_months(spans, ccm, slice_list(spans.sparkSession), bounds, batch_first_dates(classified))

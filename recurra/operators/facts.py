@@ -1,8 +1,8 @@
 """Refunded, not-refunded and trial ARR facts.
 
 All three read the staged table *before* the staging DELETE and place rows on
-the month spine; the spine is a bounded dimension (one row per calendar
-month), so its equi-joins are broadcast.
+the month spine by an equi-join, which the planner broadcasts when its own
+size check allows it.
 """
 
 from __future__ import annotations
@@ -27,11 +27,6 @@ def paid_first_order_dates(staged: DataFrame) -> DataFrame:
     return paid.groupBy("customer_id").agg(F.min("orderdate").alias("first_order_date"))
 
 
-def _spine(calendar: DataFrame) -> DataFrame:
-    # Bounded by the calendar's month count, never by the fact data.
-    return F.broadcast(month_spine(calendar))
-
-
 def _enrich(df: DataFrame, region: DataFrame, first_dates: DataFrame | None) -> DataFrame:
     if first_dates is not None:
         df = df.join(first_dates, "customer_id", "left")
@@ -41,7 +36,7 @@ def _enrich(df: DataFrame, region: DataFrame, first_dates: DataFrame | None) ->
 def refunded_arr(staged: DataFrame, calendar: DataFrame, region: DataFrame) -> DataFrame:
     """Each refunded charge once, at the month-end of its end date."""
     r = staged.filter(truthy(F.col("_cost") > 0) & F.col("_matched"))
-    sp = _spine(calendar)
+    sp = month_spine(calendar)
     r = r.join(sp, F.last_day(r["standardenddate"]) == sp["pivot_month"], "inner")
     r = r.withColumns(
         {
@@ -75,7 +70,7 @@ def not_refunded_arr(staged: DataFrame, bounds: SpineBounds, region: DataFrame)
 def trial_arr(staged: DataFrame, calendar: DataFrame, region: DataFrame) -> DataFrame:
     """Zero-cost, non-refund, unmatched orders at their start month."""
     t = staged.filter(truthy((F.col("_cost") == 0) & is_charge_type("type") & F.col("_not_in_clean")))
-    sp = _spine(calendar)
+    sp = month_spine(calendar)
     t = t.join(sp, F.last_day(t["standardstartdate"]) == sp["pivot_month"], "inner")
     t = t.withColumns(
         {"trial_arr_currency": F.lit(0.0), "customer_classification": F.lit("Trial")}

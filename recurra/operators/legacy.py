@@ -25,13 +25,11 @@ SUMMARY_COLUMNS = SUMMARY_KEYS + ("first_license_purchase_date", "currentexpirat
 TRACKER_COLUMNS = SUMMARY_COLUMNS + (
     "renewal_price_stage1", "renewal_price_stage2", "renewal_price_stage3", "renewal_status",
 )
-def latest_transaction(txn: DataFrame) -> DataFrame:
-    """Newest transaction of each licence (any type).
-
-    Newest = latest "DATE", a NULL date counting as newest (descending
-    order puts NULLs first in the source dialect); ties -> larger id.
-    """
-    key = F.struct(
+def _newest() -> Column:
+    """Sort key and attributes of a transaction; the largest is the newest: a
+    NULL date counts as newest (descending order puts NULLs first in the
+    source dialect), ties go to the larger id."""
+    return F.struct(
         F.col("DATE").isNull().alias("_k0"),
         F.col("DATE").alias("_k1"),
         F.col("id").alias("_k2"),
@@ -40,7 +38,9 @@ def latest_transaction(txn: DataFrame) -> DataFrame:
         F.col("originalamount"),
         F.col("originalcurrencycode"),
     )
-    top = txn.groupBy("objectid").agg(F.max(key).alias("_t"))
+
+
+def _newest_columns(top: DataFrame) -> DataFrame:
     return top.select(
         "objectid",
         F.col("_t.source").alias("source"),
@@ -51,6 +51,11 @@ def latest_transaction(txn: DataFrame) -> DataFrame:
     )
 
 
+def latest_transaction(txn: DataFrame) -> DataFrame:
+    """Newest transaction of each licence (any type)."""
+    return _newest_columns(txn.groupBy("objectid").agg(F.max(_newest()).alias("_t")))
+
+
 def license_summary(
     txn: DataFrame,
     company: DataFrame,
@@ -66,9 +71,11 @@ def license_summary(
     per transaction.
     """
     pre = txn.groupBy("objectid", "currentbillingentityid", "objecttypeid", "objectaccesstype").agg(
-        F.min("DATE").alias("_min_date"), F.max("periodend").alias("_max_end")
+        F.min("DATE").alias("_min_date"), F.max("periodend").alias("_max_end"), F.max(_newest()).alias("_t")
     )
-    lt = latest_transaction(txn).withColumnRenamed("objectid", "_lt_obj")
+    # the newest of a licence is the newest of its pre-aggregated rows: no second pass over the transactions
+    lt = _newest_columns(pre.groupBy("objectid").agg(F.max("_t").alias("_t"))).withColumnRenamed("objectid", "_lt_obj")
+    pre = pre.drop("_t")
     comp = company.select(
         F.col("id").alias("_b_id"), F.col("name").alias("_b_name"), F.col("countrycode").alias("_b_cc")
     )
@@ -113,7 +120,13 @@ def _in(col: Column, values) -> Column:
 
 
 def legacy_tracker(summary: DataFrame, price_grid: DataFrame, rules: PriceRules) -> DataFrame:
-    """Price-rise ladder and renewal status of each legacy licence."""
+    """Price-rise ladder and renewal status of each legacy licence.
+
+    The rules name the products it applies to; without them the result would
+    be empty whatever the data hold, so that is an error.
+    """
+    if not rules.legacy_products:
+        raise ValueError("PriceRules.legacy_products is empty: name the legacy products")
     res = summary.filter(
         _in(F.col("product"), rules.legacy_products) & (F.col("legacy_status") == "Legacy")
     )

@@ -3,8 +3,8 @@
 The source range-joins every order to the month spine
 (`last_day(start) <= m < last_day(adj_end)`), which Spark can only plan as a
 nested-loop join. Here each order generates its own month-ends with
-`sequence` clipped to the calendar's bounds: a narrow Generate, no shuffle,
-no join.
+`sequence`, kept to the months the calendar has: a narrow Generate, no
+shuffle, no join.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def active_month_starts(start, end_exclusive, bounds: SpineBounds):
     e = F.col(end_exclusive) if isinstance(end_exclusive, str) else end_exclusive
     lo = F.greatest(month_start(s), bounds.first)
     hi = F.least(F.add_months(month_start(e), -1), bounds.last)
-    return F.when(s.isNotNull() & e.isNotNull(), month_starts_between(lo, hi))
+    return F.when(s.isNotNull() & e.isNotNull(), bounds.within(month_starts_between(lo, hi)))
 
 
 def arr_by_month(orders: DataFrame, bounds: SpineBounds, keep_monthless: bool = True) -> DataFrame:

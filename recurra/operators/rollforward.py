@@ -19,20 +19,26 @@ from ..functions import from_micros, from_units, month_start, month_starts_betwe
 from ..sources.calendar import SpineBounds
 
 KEY = ["for_product", "customer_id"]
-ROLLFORWARD_COLUMNS = (
-    "for_product", "source", "customer_id", "pivot_month", "company", "client_end_date",
-    "arr_spot_rate_usd", "arr_spot_rate_usd_prev", "arr_spot_rate_usd_change",
-    "arr_const_curr_py_usd", "arr_const_curr_py_usd_prev", "arr_const_curr_py_usd_change",
-    "customer_classification",
-)
 
 
-def registration_span(orders: DataFrame) -> DataFrame:
-    """First start and last adjusted end per (slice, customer, company)."""
-    return orders.groupBy("for_product", "customer_id", "company").agg(
+def customer_spans(orders: DataFrame) -> DataFrame:
+    """One pass over the orders per (slice, customer, company): O19's span and
+    the first order date, and over the customer's companies the first start
+    (`_first_start`) and first order date (`_first_order_date`)."""
+    spans = orders.groupBy("for_product", "customer_id", "company").agg(
         F.min("standardstartdate").alias("client_start_date"),
         F.max("standardenddate_adjusted").alias("client_end_date"),
+        F.min("orderdate").alias("_first"),
     )
+    w = Window.partitionBy(*KEY)
+    return spans.withColumns(
+        {"_first_start": F.min("client_start_date").over(w), "_first_order_date": F.min("_first").over(w)}
+    ).drop("_first")
+
+
+def registration_span(spans: DataFrame) -> DataFrame:
+    """First start and last adjusted end per (slice, customer, company)."""
+    return spans.select("for_product", "customer_id", "company", "client_start_date", "client_end_date")
 
 
 def churn_month_end(client_end: Column) -> Column:
@@ -57,34 +63,29 @@ def slice_list(spark, product_dim: DataFrame | None = None) -> DataFrame:
     return out
 
 
+SPAN = ["client_end_date", "_first_start", "_first_order_date"]
+
+
 def _span_months(spans: DataFrame, bounds: SpineBounds) -> DataFrame:
     cs, ce = F.col("client_start_date"), F.col("client_end_date")
     lo = F.greatest(month_start(cs), bounds.first)
     hi = F.least(month_start(churn_month_end(ce)), bounds.last)
-    months = F.when(cs.isNotNull() & ce.isNotNull(), month_starts_between(lo, hi))
-    cols = ["for_product", "customer_id", "company", "client_end_date"]
-    return spans.select(*cols, F.explode(months).alias("_ms")).select(
-        *cols, F.last_day("_ms").alias("pivot_month")
-    )
+    months = F.when(cs.isNotNull() & ce.isNotNull(), bounds.within(month_starts_between(lo, hi)))
+    cols = ["for_product", "customer_id", "company", *SPAN]
+    return spans.select(*cols, F.explode(months).alias("_ms")).select(*cols, F.last_day("_ms").alias("pivot_month"))
 
 
-def rollforward_base(orders: DataFrame, slices: DataFrame, bounds: SpineBounds) -> DataFrame:
+def rollforward_base(spans: DataFrame, slices: DataFrame, bounds: SpineBounds) -> DataFrame:
     """Spine x spans: every covered month of each span, and one NULL-customer
     row for each slice month no span covers."""
-    covered = _span_months(registration_span(orders), bounds)
-    spine = slices.select(
-        "for_product", F.explode(month_starts_between(bounds.first, bounds.last)).alias("_ms")
-    ).select("for_product", F.last_day("_ms").alias("pivot_month"))
+    covered = _span_months(spans, bounds)
+    spine = slices.select("for_product", F.explode(bounds.months).alias("_ms")).select(
+        "for_product", F.last_day("_ms").alias("pivot_month")
+    )
     empty = spine.join(
         covered.select("for_product", "pivot_month").distinct(), ["for_product", "pivot_month"], "left_anti"
-    ).select(
-        "for_product",
-        F.lit(None).cast("string").alias("customer_id"),
-        F.lit(None).cast("string").alias("company"),
-        F.lit(None).cast("date").alias("client_end_date"),
-        "pivot_month",
     )
-    return covered.unionByName(empty)
+    return covered.unionByName(empty, allowMissingColumns=True)
 
 
 def classify(arr: Column, prev: Column, chg_const: Column, month: Column, client_end: Column) -> Column:
@@ -101,49 +102,56 @@ def classify(arr: Column, prev: Column, chg_const: Column, month: Column, client
     )
 
 
-def rollforward(
-    orders: DataFrame,
-    ccm: DataFrame,
-    slices: DataFrame,
-    bounds: SpineBounds,
-    first_dates: DataFrame,
-    source_label: str,
-) -> DataFrame:
-    """Monthly ARR per customer-company with movement labels.
+#: What `arr.customer_company_months` knows of a month.
+MONTH = ["_sum_u", "_tail", "_min_on", "_null_on"]
 
-    `ccm`: ARR per (slice, customer, company, month), `_sum_u` in
-    micro-units (`arr.customer_company_months`). `first_dates`: (for_product, customer_id, _first_date); a 'New' month
-    after the month of the customer's first date becomes 'Reactivation'.
-    Internal `_arr_u` / `_prev_u` (micro-units) are kept for the ARR table.
+
+def labelled_months(
+    spans: DataFrame, ccm: DataFrame, slices: DataFrame, bounds: SpineBounds, first_dates: DataFrame | None = None
+) -> DataFrame:
+    """O20-O22 per (slice, customer, company, month): ARR, the ARR before, the
+    label, and the month's own facts from `ccm` for the ARR table.
+
+    Spans and month facts meet by union and aggregate on data partitioned by
+    (slice, customer), so the lag window, and whatever follows on that key
+    (`arr.customer_facts`), reuse one exchange and one sort. `first_dates`:
+    (for_product, customer_id, _first_date), by default the first start; a
+    'New' month after the month of that date becomes 'Reactivation'.
     """
-    k4 = ["for_product", "customer_id", "company", "pivot_month"]
-    base = rollforward_base(orders, slices, bounds).withColumn("_arr_u", F.lit(None).cast("long"))
-    # ARR of a span month: the source's left join on customer, company and
-    # month (NULL never matches). Each such month of `ccm` meets exactly one
-    # span month, so a union + aggregate does it, on data partitioned by
-    # (slice, customer) that the lag window below reuses: one shuffle.
-    cm = ccm.filter(F.col("customer_id").isNotNull() & F.col("company").isNotNull()).select(
-        *k4, F.lit(None).cast("date").alias("client_end_date"), F.col("_sum_u").alias("_arr_u")
-    )
+    base = rollforward_base(spans, slices, bounds)
+    # A month of `ccm` lies in exactly one span month. The source's join on
+    # customer, company and month never matches a NULL, so the rollforward's
+    # ARR leaves those out; the ARR table's facts keep NULL companies.
+    cm = ccm.filter(F.col("customer_id").isNotNull())
+    arr = F.when(F.col("company").isNotNull(), F.col("_sum_u"))
     rf = (
-        base.unionByName(cm)
+        base.unionByName(cm, allowMissingColumns=True)
+        .withColumn("_arr_u", arr)
         .repartition(*KEY)
-        .groupBy(*k4)
-        .agg(F.max("client_end_date").alias("client_end_date"), F.sum("_arr_u").alias("_arr_u"))
+        .groupBy(*KEY, "pivot_month", "company")
+        .agg(F.sum("_arr_u").alias("_arr_u"), *[F.max(c).alias(c) for c in (*SPAN, *MONTH)])
     )
     w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first())
-    arr = F.col("_arr_u")
-    rf = rf.withColumn("_prev_u", F.lag("_arr_u").over(w))
-    prev = F.col("_prev_u")
+    arr, prev = F.col("_arr_u"), F.col("_prev_u")
     zero = F.lit(0)
-    chg_spot = F.coalesce(arr, zero) - F.coalesce(prev, zero)
-    chg_const = F.coalesce(round_units(arr, 5), zero) - F.coalesce(round_units(prev, 5), zero)
-    rf = rf.withColumn("_chg_c5", chg_const).withColumn(
-        "_label", classify(arr, prev, F.col("_chg_c5"), F.col("pivot_month"), F.col("client_end_date"))
-    )
-    rf = rf.join(first_dates, KEY, "left")
+    rf = rf.withColumn("_prev_u", F.lag("_arr_u").over(w))
+    rf = rf.withColumn(
+        "_chg_c5", F.coalesce(round_units(arr, 5), zero) - F.coalesce(round_units(prev, 5), zero)
+    ).withColumn("_label", classify(arr, prev, F.col("_chg_c5"), F.col("pivot_month"), F.col("client_end_date")))
+    if first_dates is None:
+        rf = rf.withColumn("_first_date", F.col("_first_start"))
+    else:
+        rf = rf.join(first_dates, KEY, "left")
     react = (F.col("_label") == "New") & (F.col("pivot_month") > F.last_day("_first_date"))
-    return rf.select(
+    return rf.withColumn(
+        "_label", F.when(F.coalesce(react, F.lit(False)), F.lit("Reactivation")).otherwise(F.col("_label"))
+    )
+
+
+def rollforward(labelled: DataFrame, source_label: str) -> DataFrame:
+    """The published rollforward."""
+    arr, prev, zero = F.col("_arr_u"), F.col("_prev_u"), F.lit(0)
+    return labelled.select(
         "for_product",
         F.lit(source_label).alias("source"),
         "customer_id",
@@ -152,17 +160,9 @@ def rollforward(
         "client_end_date",
         from_micros(arr).alias("arr_spot_rate_usd"),
         from_micros(prev).alias("arr_spot_rate_usd_prev"),
-        from_micros(chg_spot).alias("arr_spot_rate_usd_change"),
+        from_micros(F.coalesce(arr, zero) - F.coalesce(prev, zero)).alias("arr_spot_rate_usd_change"),
         from_micros(arr).alias("arr_const_curr_py_usd"),
         from_micros(prev).alias("arr_const_curr_py_usd_prev"),
         from_units(F.col("_chg_c5"), 5).alias("arr_const_curr_py_usd_change"),
-        F.when(F.coalesce(react, F.lit(False)), F.lit("Reactivation"))
-        .otherwise(F.col("_label"))
-        .alias("customer_classification"),
-        "_arr_u",
+        F.col("_label").alias("customer_classification"),
     )
-
-
-def first_start_dates(orders: DataFrame) -> DataFrame:
-    """S-generation 'customer since': min start date of the slice's orders."""
-    return orders.groupBy(*KEY).agg(F.min("standardstartdate").alias("_first_date"))

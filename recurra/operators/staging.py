@@ -197,6 +197,10 @@ def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> D
     Rows that are not `eligible`, or lack customer/order id/end date, get
     NULL, like the source's UPDATE that finds no row.
     """
+    end = F.col("standardenddate")
+    ok = eligible & end.isNotNull() & F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull()
+    if grace_days == 0:  # no stretch: max(end, min(end, next start)) is the end itself
+        return orders.withColumn("standardenddate_adjusted", F.when(truthy(ok), end))
     starts = (
         orders.filter(F.col("customer_id").isNotNull() & F.col("standardstartdate").isNotNull())
         .select("for_product", "customer_id", "standardstartdate")
@@ -205,10 +209,8 @@ def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> D
     w = Window.partitionBy("for_product", "customer_id").orderBy("standardstartdate")
     nxt = starts.withColumn("_next_start", F.lead("standardstartdate").over(w))
     j = orders.join(nxt, ["for_product", "customer_id", "standardstartdate"], "left")
-    end = F.col("standardenddate")
     stretched = F.date_add(end, grace_days)
     adj = F.greatest(end, F.least(stretched, F.coalesce(F.col("_next_start"), stretched)))
-    ok = eligible & end.isNotNull() & F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull()
     return j.withColumn("standardenddate_adjusted", F.when(truthy(ok), adj)).drop("_next_start")
 
 

@@ -1,4 +1,9 @@
-"""The daily rebuild as one set of lazy DataFrames.
+"""The daily rebuild: DataFrames over stage tables.
+
+Asking for an output writes the stage tables it needs (sliced orders, spans,
+customer-months, customer facts, ...) while the plan is built; the output
+itself is lazy over them. `publish` writes all outputs and deletes the stage
+tables.
 
     transactions --refund_sets--> clean map / unmatched
          |                               |
@@ -6,7 +11,9 @@
                                |
                     slice_orders (All + every product, `for_product` key)
                                |
-                    arr_by_month --> rollforward --> arr_final
+        spans, customer-months --> labelled months --> rollforward
+                                          |
+                                   customer facts --> arr_final
 
 The source runs staging -> ARR -> rollforward once for "All" and once per
 product, serially. Here the product is a key column of one plan, so every
@@ -15,6 +22,7 @@ shuffle serves all slices at once.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -25,8 +33,9 @@ from ..operators import arr as arr_ops
 from ..operators import batch as batch_ops
 from ..operators import facts, legacy, refunds, rollforward, staging
 from ..operators.monthly import arr_by_month
-from ..session import materialize
+from ..session import delete_folder, materialize
 from ..sources.calendar import SpineBounds
+from ..sources.sinks import switch, write_table
 from ..sources.tables import Inputs
 
 
@@ -45,7 +54,16 @@ class Pipeline:
         return refunds.refund_sets(self.inputs.transactions, cut=self._cut)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.cfg.materialize else df
+        return materialize(df, name, self._written) if self.cfg.materialize else df
+
+    @cached_property
+    def _written(self) -> list[str]:
+        return []
+
+    def drop_stages(self) -> None:
+        """Delete the stage tables; DataFrames taken from here no longer work."""
+        while self._written:
+            delete_folder(self.spark, self._written.pop())
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -73,6 +91,10 @@ class Pipeline:
     def arr_monthly(self) -> DataFrame:
         return arr_by_month(self.orders, self.bounds, keep_monthless=True)
 
+    @cached_property
+    def spans(self) -> DataFrame:
+        return self._cut(rollforward.customer_spans(self.orders), "spans")
+
     @cached_property
     def ccm(self) -> DataFrame:
         """(slice, customer, company, month) ARR facts, shared by the
@@ -81,26 +103,17 @@ class Pipeline:
         return self._cut(arr_ops.customer_company_months(om), "customer-months")
 
     @cached_property
-    def rollforward_full(self) -> DataFrame:
-        rf = rollforward.rollforward(
-            self.orders,
-            self.ccm,
-            self.slices,
-            self.bounds,
-            rollforward.first_start_dates(self.orders),
-            self.cfg.source_label,
-        )
-        return self._cut(rf, "rollforward")
+    def labelled(self) -> DataFrame:
+        return rollforward.labelled_months(self.spans, self.ccm, self.slices, self.bounds)
 
     @cached_property
     def rollforward(self) -> DataFrame:
-        return self.rollforward_full.select(*rollforward.ROLLFORWARD_COLUMNS)
+        return rollforward.rollforward(self.labelled, self.cfg.source_label)
 
     @cached_property
     def arr_parts(self) -> arr_ops.ArrParts:
-        return arr_ops.arr_parts(
-            self.orders, self.ccm, self.rollforward_full, self.bounds, arr_ops.PROCEDURE, cut=self._cut
-        )
+        facts = self._cut(arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE), "customer-facts")
+        return arr_ops.arr_parts(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
 
     @cached_property
     def arr_final_full(self) -> DataFrame:
@@ -131,7 +144,8 @@ class Pipeline:
 
     @cached_property
     def legacy_tracker(self) -> DataFrame:
-        return legacy.legacy_tracker(self.license_summary, self.inputs.price_grid, self.cfg.price_rules)
+        tracker = legacy.legacy_tracker(self.license_summary, self.inputs.price_grid, self.cfg.price_rules)
+        return self._cut(tracker, "legacy-tracker")
 
     def churn_for_legacy(self) -> DataFrame:
         i = self.inputs
@@ -143,32 +157,34 @@ class Pipeline:
         i = self.inputs
         return self._cut(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg), "batch-orders")
 
+    @cached_property
+    def batch_spans(self) -> DataFrame:
+        return self._cut(rollforward.customer_spans(self.batch_orders), "batch-spans")
+
     @cached_property
     def batch_ccm(self) -> DataFrame:
         return self._cut(batch_ops.batch_customer_months(self.batch_orders, self.bounds), "batch-customer-months")
 
     @cached_property
-    def batch_rollforward_full(self) -> DataFrame:
-        rf = batch_ops.batch_rollforward(
-            self.batch_orders, self.batch_ccm, self.inputs.classified, self.bounds, self.cfg
-        )
-        return self._cut(rf, "batch-rollforward")
+    def batch_labelled(self) -> DataFrame:
+        return batch_ops.batch_labelled_months(self.batch_spans, self.batch_ccm, self.inputs.classified, self.bounds)
+
+    def batch_rollforward(self) -> DataFrame:
+        return rollforward.rollforward(self.batch_labelled, self.cfg.source_label)
 
     def batch_refunded_arr(self) -> DataFrame:
         i = self.inputs
-        return batch_ops.batch_refunded_arr(i.classified, i.batch_company, i.calendar, self.cfg)
+        return batch_ops.batch_refunded_arr(i.classified, i.batch_company, self.batch_spans, i.calendar, self.cfg)
 
     def batch_arr_final(self) -> DataFrame:
-        return arr_ops.public(
-            batch_ops.batch_arr_final(
-                self.batch_orders, self.batch_ccm, self.batch_rollforward_full, self.bounds, cut=self._cut
-            ),
-            arr_ops.BATCH,
-        )
+        facts = self._cut(arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH), "batch-customer-facts")
+        p = arr_ops.arr_parts(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
+        return arr_ops.public(p.rows.unionByName(p.synthetic), arr_ops.BATCH)
 
     def outputs(self) -> dict[str, DataFrame]:
-        """Every table the daily run publishes."""
-        return {
+        """Every table the daily run publishes; the batch generation's too,
+        where its inputs are there (`batch_product_map` must then be set)."""
+        out = {
             "arr_final": self.arr_final,
             "arr_rollforward": self.rollforward,
             "refunded_arr": self.refunded_arr(),
@@ -177,3 +193,26 @@ class Pipeline:
             "legacy_tracker": self.legacy_tracker,
             "churn_for_legacy": self.churn_for_legacy(),
         }
+        if self.inputs.classified is not None and self.inputs.batch_company is not None:
+            if not self.cfg.batch_product_map:
+                raise ValueError("Config.batch_product_map is empty: every batch order would be an add-on")
+            out |= {
+                "batch_arr_final": self.batch_arr_final(),
+                "batch_rollforward": self.batch_rollforward(),
+                "batch_refunded_arr": self.batch_refunded_arr(),
+            }
+        return out
+
+    def publish(self, base: str) -> str:
+        """Write every output into a fresh folder below `base`, then point
+        `base/current` (a one-row table of the folder's name) at it, and
+        delete the stage tables. A reader that resolves `current` first sees
+        either the former run whole or this one whole."""
+        run = f"run-{uuid.uuid4().hex}"
+        try:
+            for name, df in self.outputs().items():
+                write_table(df, f"{base}/{run}/{name}", ["for_product"] if "for_product" in df.columns else None)
+        finally:
+            self.drop_stages()
+        switch(self.spark, base, run)
+        return f"{base}/{run}"

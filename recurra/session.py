@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,32 +39,20 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`.
+    """The folder that stage tables go to: the session's
+    `spark.checkpoint.dir`, else (tests, a laptop) its warehouse folder. Both
+    are settings of the session; nothing here chooses a machine-local one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
-    Only a local-mode session (tests, benchmarks) without one gets a fresh
-    scratch folder; on a cluster a machine-local folder would not survive
-    the loss of an executor, so it is an error there.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext; the setting is all there is
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="recurra-ckpt-")
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", written: list[str] | None = None) -> DataFrame:
     """Cut lineage: write `df` as a Parquet table under the shared
     checkpoint folder and read it back.
 
@@ -73,10 +60,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     save it, and stores serialized rows) this computes the plan once, and
     later readers get column pruning and filter pushdown. The files live in
     the cluster's shared folder, so the loss of an executor never loses a
-    finished stage.
+    finished stage. The path is added to `written`, whose owner deletes it
+    (`Pipeline.drop_stages`).
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/recurra-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{ensure_checkpoint_dir(spark)}/recurra-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if written is not None:
+        written.append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -23,19 +23,24 @@ def month_spine(calendar: DataFrame) -> DataFrame:
 
 
 class SpineBounds:
-    """First and last month (as month starts) of a contiguous calendar.
+    """The spine's months (as month starts): first, last, and all in order.
 
-    Exposed as scalar subqueries, so the plan stays lazy and the bounds are
-    computed once per query from a partial aggregate of the calendar.
-    Expanding orders over months with `sequence` between these bounds equals
-    the range join to the spine when the calendar has no missing month,
-    which holds for a date dimension.
+    Exposed as scalar subqueries, so the plan stays lazy and they are computed
+    once per query from a partial aggregate of the calendar; `months` holds at
+    most twelve dates per calendar year. `within` keeps a generated run of
+    months to those that the calendar has, so a month missing from it is
+    missing from every expansion, as in a join to the spine.
     """
 
     def __init__(self, calendar: DataFrame):
         agg = calendar.agg(
             F.trunc(F.min("ds"), "month").alias("lo"),
             F.trunc(F.max("ds"), "month").alias("hi"),
+            F.sort_array(F.collect_set(F.trunc("ds", "month"))).alias("months"),
         )
         self.first: Column = agg.select("lo").scalar()
         self.last: Column = agg.select("hi").scalar()
+        self.months: Column = agg.select("months").scalar()
+
+    def within(self, month_starts: Column) -> Column:
+        return F.array_intersect(month_starts, self.months)

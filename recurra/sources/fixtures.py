@@ -21,17 +21,17 @@ from .tables import Inputs
 
 # Fixed fixture values (FIXTURES.md section 2).
 FIXTURE_PRODUCTS = [
-    ("P0", "Plan"),
-    ("P1", "Path"),
-    ("P2", "Plan Training"),
-    ("P3", "Path Training"),
-    ("P9", "Plan Online"),  # a dimension product without orders
+    ("P0", "Kettle"),
+    ("P1", "Lantern"),
+    ("P2", "Kettle Lessons"),
+    ("P3", "Anvil"),
+    ("P9", "Feather"),  # a dimension product without orders
 ]
 FIXTURE_PRODUCT_NAMES = [p for _, p in FIXTURE_PRODUCTS]
 FIXTURE_GRID_CURRENCIES = ["USD", "AUD", "GBP", "EUR", "NZD"]
-FIXTURE_GRID_PRODUCTS = ["Plan", "Path", "Plan Training", "Path Training"]
+FIXTURE_GRID_PRODUCTS = ["Kettle", "Lantern", "Kettle Lessons", "Anvil"]
 FIXTURE_GRID_ACCESS = ["MULTI USER", "single user"]
-FIXTURE_GRID_OMIT = ("EUR", "Path")
+FIXTURE_GRID_OMIT = ("EUR", "Lantern")
 FIXTURE_GRID_BASE = (400, 900, 1600)
 FIXTURE_CALENDAR = (dt.date(1994, 12, 1), dt.date(2005, 12, 31))
 FIXTURE_OVERRIDE_COMPANY = "C6"
@@ -43,7 +43,7 @@ FIXTURE_TERMS = ["YEARLY", "monthly", "Three Year", None]  # by k % 4
 def fixture_config(**overrides) -> Config:
     rules = PriceRules(
         override_company_ids=(FIXTURE_OVERRIDE_COMPANY,),
-        training_product="Plan Training",
+        training_product="Kettle Lessons",
         legacy_products=tuple(FIXTURE_GRID_PRODUCTS),
     )
     base = dict(
@@ -274,14 +274,6 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> In
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     orders = rd("orders")
-    # The driver's fact file is a single split; a real transactions table
-    # is many files. Spread it so the derived table scans in parallel.
-    try:
-        par = spark.sparkContext.defaultParallelism
-        if orders.rdd.getNumPartitions() < par:
-            orders = orders.repartition(par)
-    except Exception:  # Spark Connect: leave the scan as it is
-        pass
     customer = rd("customer")
     txn_k = derive_transactions(orders)
     company = derive_company(customer)

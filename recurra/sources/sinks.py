@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(
@@ -21,3 +21,26 @@ def write_table(
 def write_noop(df: DataFrame) -> None:
     """Execute the full plan without storing the result (benchmarking)."""
     df.write.format("noop").mode("overwrite").save()
+
+
+def switch(spark: SparkSession, base: str, run: str) -> None:
+    """Make `run` the current run of `base`: a small text file is written
+    aside and renamed over the former one, which readers see at once."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    aside = jvm.org.apache.hadoop.fs.Path(f"{base}/.current-{run}")
+    current = jvm.org.apache.hadoop.fs.Path(f"{base}/current")
+    fs = current.getFileSystem(conf)
+    out = fs.create(aside, True)
+    out.write(bytearray(run.encode()))
+    out.close()
+    option = jvm.org.apache.hadoop.fs.Options.Rename
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(current.toUri(), conf) if current.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(conf)
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    context.rename(fs.makeQualified(aside), fs.makeQualified(current), options)
+
+
+def current_run(spark: SparkSession, base: str) -> str:
+    """The folder of the current run of `base`."""
+    name = spark.read.text(f"{base}/current").first()[0]
+    return f"{base}/{name}"

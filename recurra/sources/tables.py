@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ PRODUCT_DIM_COLUMNS = ("objecttypeid", "product")
 PRICE_GRID_COLUMNS = (
     "currency_code", "product", "objectaccesstype", "price_th1", "price_th2", "price_th3",
 )
+BATCH_COMPANY_COLUMNS = ("id", "classification", "countrycode", "state", "city")
 REGION_COLUMNS = ("country_code", "country")
 CLASSIFIED_COLUMNS = (
     "id", "currentbillingentityid", "DATE", "transactionarr", "termlength",
@@ -41,21 +43,39 @@ class Inputs:
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+    """Instants become UTC wall-clock times, whatever the session's time zone;
+    columns that are wall-clock already stay as they are."""
+    kinds = dict(df.dtypes)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def wall(c: str):
+        if kinds[c] == "timestamp":
+            return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch)
+        return F.col(c).cast("timestamp_ntz")
+
+    return df.withColumns({c: wall(c) for c in cols})
 
 
 def read_inputs(spark: SparkSession, base: str, fmt: str = "parquet") -> Inputs:
-    """Read `<base>/<table>` for each input table (production layout)."""
+    """Read `<base>/<table>` for each input table (production layout).
+
+    The batch generation's tables (`classified_transactions`, `company`) are
+    optional; any other failure to read is an error.
+    """
 
     def rd(name: str) -> DataFrame:
         return spark.read.format(fmt).load(f"{base}/{name}")
 
+    def optional(name: str) -> DataFrame | None:
+        try:
+            return rd(name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     txn = _ntz(rd("transactions_raw"), "DATE", "periodstart", "periodend")
-    classified = None
-    try:
-        classified = _ntz(rd("classified_transactions"), "DATE")
-    except Exception:  # batch generation inputs are optional
-        classified = None
+    classified, batch_company = optional("classified_transactions"), optional("company")
     return Inputs(
         transactions=txn.select(*TRANSACTION_COLUMNS),
         company=rd("company_raw").select(*COMPANY_COLUMNS),
@@ -64,6 +84,6 @@ def read_inputs(spark: SparkSession, base: str, fmt: str = "parquet") -> Inputs:
         legacy_licenses=rd("legacy_licenses").select("licenseid"),
         calendar=rd("calendar").select(F.col("ds").cast("date")),
         region_dim=rd("region_dim").select(*REGION_COLUMNS),
-        classified=classified.select(*CLASSIFIED_COLUMNS) if classified is not None else None,
-        batch_company=rd("company_raw").select(*COMPANY_COLUMNS) if classified is not None else None,
+        classified=_ntz(classified, "DATE").select(*CLASSIFIED_COLUMNS) if classified is not None else None,
+        batch_company=batch_company.select(*BATCH_COMPANY_COLUMNS) if batch_company is not None else None,
     )
