@@ -26,8 +26,8 @@ FIXTURE_PRODUCTS = [
     ("P2", "Kettle Lessons"),
     ("P3", "Anvil"),
     ("P9", "Feather"),  # a dimension product without orders
+    ("P1", "Lantern"),  # a row twice: its orders fan out, as a dirty dimension makes them
 ]
-FIXTURE_PRODUCT_NAMES = [p for _, p in FIXTURE_PRODUCTS]
 FIXTURE_GRID_CURRENCIES = ["USD", "AUD", "GBP", "EUR", "NZD"]
 FIXTURE_GRID_PRODUCTS = ["Kettle", "Lantern", "Kettle Lessons", "Anvil"]
 FIXTURE_GRID_ACCESS = ["MULTI USER", "single user"]

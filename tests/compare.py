@@ -53,6 +53,13 @@ def rows_of(cols, rows, order):
     return out
 
 
+#: Spark type -> DuckDB type.
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def compare(spark, con, name: str, spark_df, sql: str, verbose: bool = True) -> dict:
     t0 = time.time()
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -68,6 +75,12 @@ def compare(spark, con, name: str, spark_df, sql: str, verbose: bool = True) ->
         out["status"] = "COLUMNS"
         out["detail"] = f"spark-only {sorted(set(s_cols) - set(d_cols))} oracle-only {sorted(set(d_cols) - set(s_cols))}"
         return out
+    kinds = {c: KINDS.get(t, t) for c, t in spark_df.dtypes}
+    unlike = {d[0]: (kinds[d[0]], str(d[1])) for d in res.description if kinds[d[0]] != str(d[1])}
+    if unlike:
+        out["status"] = "TYPES"
+        out["detail"] = unlike
+        return out
     order = sorted(s_cols)
     a = rows_of(s_cols, s_rows, order)
     b = rows_of(d_cols, d_rows, order)
