@@ -18,10 +18,9 @@ carries is orders, never order-months; a hot customer's orders are split by
 the skew-join rule, since the other side has one row for the key.
 
 Ties the source leaves to chance are fixed: the synthetic churn row copies
-the month's smallest-ARR row (then smallest order number, then smallest
-attributes where rows repeat an order); the movement delta goes to the month's
-first order number; an order takes the label of its own company's rollforward
-row.
+the month's smallest-ARR row, then smallest order number; the movement delta
+goes to the month's first order number; where rows repeat an order, to one of
+them; an order takes the label of its own company's rollforward row.
 """
 
 from __future__ import annotations
@@ -107,12 +106,24 @@ def first_order_dates(spans: DataFrame) -> DataFrame:
     return spans.select("for_product", "customer_id", "_first_order_date").distinct()
 
 
+def _row() -> list[Column]:
+    """Which of a month's rows: order id, then the row's content, then the row."""
+    return [F.col("ordernumber").alias("o"), F.col("_h").alias("h"), F.col("_rid").alias("r")]
+
+
+def number_rows(orders: DataFrame) -> DataFrame:
+    """`_rid` and `_h`: every order row's number and content hash. Where a
+    dirty dimension or feed repeats an order, exactly one of its rows carries a
+    synthetic churn or a movement."""
+    return orders.withColumn("_h", F.xxhash64(*orders.columns)).withColumn("_rid", F.monotonically_increasing_id())
+
+
 def customer_company_months(om: DataFrame) -> DataFrame:
     """Order-month rows reduced to (slice, customer, company, month).
 
-    `_sum_u`: ARR (micro-units); `_tail`: (arr, order id) of the smallest
+    `_sum_u`: ARR (micro-units); `_tail`: (arr, order id, row) of the smallest
     paying row, the one a synthetic churn row copies; `_min_on` /
-    `_null_on`: first order id of the month. Partial aggregation runs
+    `_null_on`: first order row of the month. Partial aggregation runs
     before the shuffle, so a customer's volume never meets in one task.
     Computed once and shared by the rollforward and the ARR table.
     """
@@ -122,29 +133,26 @@ def customer_company_months(om: DataFrame) -> DataFrame:
         .groupBy(*K4)
         .agg(
             F.sum("_arr_u").alias("_sum_u"),
-            F.min(F.when(paying, F.struct(F.col("_arr_u").alias("a"), F.col("ordernumber").alias("o")))).alias("_tail"),
-            F.min("ordernumber").alias("_min_on"),
+            F.min(F.when(paying, F.struct(F.col("_arr_u").alias("a"), *_row()))).alias("_tail"),
+            F.min(F.struct(*_row())).alias("_min_on"),
             F.max(F.col("ordernumber").isNull()).alias("_null_on"),
         )
     )
 
 
-@dataclass
-class ArrParts:
-    rows: DataFrame  # order-month rows, all output + internal columns
-    synthetic: DataFrame  # appended churn rows, same columns
-
-
 def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     """O23-O26 facts: one row per (slice, customer, company) with `_facts`, an
     array of its months (`rollforward.labelled_months` in, all on its
     partitioning). An element with `syn` is a synthetic churn month (O24), of
-    the order (`t_on`, `t_arr`) it copies; the others are months with orders.
+    the order row (`t_rid`) it copies; the others are months with orders.
     """
     churned = truthy(variant.churn_match(F.col("_label")))
     tail = F.when(
         ~churned & F.col("_tail.a").isNotNull(),
-        F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c")),
+        F.struct(
+            F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"),
+            F.col("_tail.h").alias("h"), F.col("_tail.r").alias("r"),
+        ),
     )
     months = (
         labelled.filter(F.col("_sum_u").isNotNull() & F.col("customer_id").isNotNull())
@@ -170,10 +178,15 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     event = lambda month, cum, first_on, null_on, cos, churn: F.struct(
         month.alias("m"), cum.alias("u"), first_on.alias("on"), null_on.alias("null_on"), cos.alias("cos"), churn.alias("churn")
     )
-    churn = F.struct(F.col("_tail.c").alias("c"), F.col("_tail.o").alias("t_on"), F.col("_tail.a").alias("t_arr"), (-F.col("_cum_u")).alias("u"))
+    churn = F.struct(F.col("_tail.c").alias("c"), F.col("_tail.r").alias("t_rid"), (-F.col("_cum_u")).alias("u"))
     own = event(F.col("pivot_month"), F.col("_cum_u"), F.col("_min_on"), F.col("_null_on"), F.col("_cos"), F.when(F.lit(False), churn))
     late = event(
-        next_month_end(F.col("pivot_month")), F.lit(0).cast("long"), F.col("_tail.o"), F.col("_tail.o").isNull(), nothing, churn
+        next_month_end(F.col("pivot_month")),
+        F.lit(0).cast("long"),
+        F.struct(*[F.col(f"_tail.{c}").alias(c) for c in ("o", "h", "r")]),
+        F.col("_tail.o").isNull(),
+        nothing,
+        churn,
     )
     events = F.explode(F.when(gap, F.array(own, late)).otherwise(F.array(own))).alias("e")
     present = (
@@ -192,25 +205,24 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     facts = present.withColumns(
         {
             "_delta_u": F.col("_cum_u") - F.lag("_cum_u", 1, 0).over(wc),
-            "_first_on": F.when(~F.col("_null_on"), F.col("_min_on")),
+            "_first_on": F.when(~F.col("_null_on"), F.col("_min_on.r")),
             "_churn_date": F.max("pivot_month").over(Window.partitionBy("for_product", "customer_id")),
         }
     )
     label = lambda x: F.struct(
         x["company"].alias("c"), x["_label"].alias("label"), F.lit(False).alias("syn"),
-        F.lit(None).cast("string").alias("t_on"), F.lit(None).cast("long").alias("t_arr"), F.lit(None).cast("long").alias("u"),
+        F.lit(None).cast("long").alias("t_rid"), F.lit(None).cast("long").alias("u"),
     )
     synthetic = F.struct(
         F.col("_churn.c").alias("c"), F.lit("Churn").alias("label"), F.lit(True).alias("syn"),
-        F.col("_churn.t_on").alias("t_on"), F.col("_churn.t_arr").alias("t_arr"), F.col("_churn.u").alias("u"),
+        F.col("_churn.t_rid").alias("t_rid"), F.col("_churn.u").alias("u"),
     )
     rows = F.transform("_cos", label)
     rows = F.when(F.col("_churn").isNotNull(), F.concat(rows, F.array(synthetic))).otherwise(rows)
     flat = facts.select("for_product", "customer_id", "pivot_month", "_delta_u", "_first_on", "_churn_date", "_first_order_date", F.explode(rows).alias("x"))
     fact = F.struct(
         F.col("pivot_month").alias("m"), F.col("x.label").alias("label"), F.col("_delta_u").alias("delta"), F.col("_first_on").alias("first_on"),
-        F.col("_churn_date").alias("churn_date"), F.col("x.syn").alias("syn"), F.col("x.t_on").alias("t_on"),
-        F.col("x.t_arr").alias("t_arr"), F.col("x.u").alias("u"),
+        F.col("_churn_date").alias("churn_date"), F.col("x.syn").alias("syn"), F.col("x.t_rid").alias("t_rid"), F.col("x.u").alias("u"),
     )
     return flat.groupBy("for_product", "customer_id", F.col("x.c").alias("company")).agg(
         F.max("_first_order_date").alias("_first_order_date"), F.collect_list(fact).alias("_facts")
@@ -225,14 +237,16 @@ def _with_facts(df: DataFrame) -> DataFrame:
             "_delta_u": F.col("_f.delta"),
             "_first_on": F.col("_f.first_on"),
             "_churn_date": F.col("_f.churn_date"),
+            "_syn": F.col("_f.syn"),
         }
     )
 
 
-def arr_parts(
+def arr_rows(
     orders: DataFrame, facts: DataFrame, spans: DataFrame, bounds: SpineBounds, variant: Variant = PROCEDURE
-) -> ArrParts:
-    """O23-O26 for every slice at once, from `customer_facts` of the same orders."""
+) -> DataFrame:
+    """O23-O27 for every slice at once, from `customer_facts` of the same
+    orders: order-month rows, and synthetic churn rows (`_syn`)."""
     f = facts.withColumnsRenamed({"for_product": "_r_fp", "customer_id": "_r_cust", "company": "_r_company"})
     joined = orders.join(
         f,
@@ -244,44 +258,40 @@ def arr_parts(
     start_m, end_m = F.last_day("standardstartdate"), F.last_day("standardenddate_adjusted")
     taken = F.filter(
         "_facts",
-        lambda x: F.when(
-            x["syn"], x["t_on"].eqNullSafe(F.col("ordernumber")) & (x["t_arr"] == F.col("_cost_u"))
-        ).otherwise((x["m"] >= start_m) & (x["m"] < end_m)),
+        lambda x: F.when(x["syn"], x["t_rid"] == F.col("_rid")).otherwise((x["m"] >= start_m) & (x["m"] < end_m)),
     )
     wide = joined.withColumn("_f", F.explode(taken)).drop("_facts")
-    churned = truthy(variant.churn_match(F.col("_label")))
+    zero = F.lit(0).cast("long")
+    free = F.col("_syn") | truthy(variant.churn_match(F.col("_label")))
     # within its months an order pays; the month it ends in is not one of them
-    rows = _with_facts(wide.filter(~F.col("_f.syn"))).withColumns(
-        {"_arr_u": F.when(churned, F.lit(0)).otherwise(F.col("_cost_u")), "_churn_u": F.lit(0).cast("long")}
+    rows = _with_facts(wide).withColumns(
+        {
+            "_arr_u": F.when(free, zero).otherwise(F.col("_cost_u")),
+            "_churn_u": F.when(F.col("_syn"), F.col("_f.u")).otherwise(zero),
+        }
     ).drop("_f")
     # Orders without a customer have months but no facts; those of the batch generation without months stay, too.
-    none = {c: F.lit(None).cast(t) for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "string"), ("_churn_date", "date"))}
+    none = {c: F.lit(None).cast(t) for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "long"), ("_churn_date", "date"))}
+    none |= {"_churn_u": zero, "_syn": F.lit(False)}
     months = active_month_starts("standardstartdate", "standardenddate_adjusted", bounds)
     nobody = orders.filter(F.col("customer_id").isNull()).select("*", F.explode(months).alias("_ms"))
     nobody = nobody.withColumns(
-        none | {"pivot_month": F.last_day("_ms"), "_arr_u": F.col("_cost_u"), "_churn_u": F.lit(0).cast("long"), "_first_order_date": F.lit(None).cast("date")}
+        none | {"pivot_month": F.last_day("_ms"), "_arr_u": F.col("_cost_u"), "_first_order_date": F.lit(None).cast("date")}
     ).drop("_ms")
     rows = rows.unionByName(nobody)
     if variant.keep_monthless:
         lone = orders.filter(F.coalesce(F.size(months), F.lit(0)) <= 0).join(
             first_order_dates(spans), ["for_product", "customer_id"], "left"
         )
-        zero = F.lit(0).cast("long")
-        rows = rows.unionByName(lone.withColumns(none | {"pivot_month": F.lit(None).cast("date"), "_arr_u": zero, "_churn_u": zero}))
-    # Rows that repeat an order would each be copied; one of them is.
-    attrs = [c for c in variant.attrs if c not in ("for_product", "customer_id")]
-    synth = _with_facts(wide.filter(F.col("_f.syn")))
-    pick = F.struct(*attrs, F.col("_f.u").alias("_u"), "_label", "_delta_u", "_first_on", "_churn_date", "_first_order_date")
-    synth = synth.groupBy(*K3).agg(F.min(pick).alias("_p")).select(*K3, "_p.*")
-    synth = synth.withColumns({"_arr_u": F.lit(0).cast("long"), "_churn_u": F.col("_u")}).drop("_u")
-    return ArrParts(rows=_finish(rows, variant), synthetic=_finish(synth, variant))
+        rows = rows.unionByName(lone.withColumns(none | {"pivot_month": F.lit(None).cast("date"), "_arr_u": zero}))
+    return _finish(rows, variant)
 
 
 def _finish(df: DataFrame, variant: Variant) -> DataFrame:
     """Row-level O25 split, O26 interim churn and the output columns."""
     label = F.col("_label")
     ok = F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull() & F.col("pivot_month").isNotNull()
-    first = truthy(F.col("ordernumber") == F.col("_first_on"))
+    first = truthy(F.col("_rid") == F.col("_first_on"))
     zero = F.lit(0).cast("long")
 
     def split(name: str) -> Column:
@@ -320,7 +330,7 @@ def _finish(df: DataFrame, variant: Variant) -> DataFrame:
         "interim_churn_arr_currency": from_micros(F.col("_interim_u")),
         "first_order_date": F.col("_first_order_date"),
     }
-    keep_internal = ["_label", "_arr_u", "_churn_u", "_interim_u", "_cost_u"]
+    keep_internal = ["_label", "_arr_u", "_churn_u", "_interim_u", "_cost_u", "_syn"]
     cols = [out[c].alias(c) if c in out else F.col(c) for c in variant.columns]
     return df.select(*cols, *[F.col(c) for c in keep_internal])
 

@@ -85,7 +85,7 @@ class Pipeline:
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
         o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
-        return self._cut(o, "orders")
+        return self._cut(arr_ops.number_rows(o), "orders")
 
     @cached_property
     def arr_monthly(self) -> DataFrame:
@@ -110,15 +110,10 @@ class Pipeline:
     def rollforward(self) -> DataFrame:
         return rollforward.rollforward(self.labelled, self.cfg.source_label)
 
-    @cached_property
-    def arr_parts(self) -> arr_ops.ArrParts:
-        facts = self._cut(arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE), "customer-facts")
-        return arr_ops.arr_parts(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
-
     @cached_property
     def arr_final_full(self) -> DataFrame:
-        p = self.arr_parts
-        return p.rows.unionByName(p.synthetic)
+        facts = self._cut(arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE), "customer-facts")
+        return arr_ops.arr_rows(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
 
     @cached_property
     def arr_final(self) -> DataFrame:
@@ -155,7 +150,7 @@ class Pipeline:
     @cached_property
     def batch_orders(self) -> DataFrame:
         i = self.inputs
-        return self._cut(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg), "batch-orders")
+        return self._cut(arr_ops.number_rows(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)), "batch-orders")
 
     @cached_property
     def batch_spans(self) -> DataFrame:
@@ -178,8 +173,8 @@ class Pipeline:
 
     def batch_arr_final(self) -> DataFrame:
         facts = self._cut(arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH), "batch-customer-facts")
-        p = arr_ops.arr_parts(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
-        return arr_ops.public(p.rows.unionByName(p.synthetic), arr_ops.BATCH)
+        rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
+        return arr_ops.public(rows, arr_ops.BATCH)
 
     def outputs(self) -> dict[str, DataFrame]:
         """Every table the daily run publishes; the batch generation's too,

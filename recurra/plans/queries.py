@@ -149,7 +149,7 @@ def q_rollforward_slices(spark, sf_dir):
 
 
 def q_arr_classified(spark, sf_dir):
-    rows = pipeline(spark, sf_dir, products=True).arr_parts.rows
+    rows = pipeline(spark, sf_dir, products=True).arr_final_full.filter("NOT _syn")
     return rows.select(
         "for_product", "pivot_month", "customer_id", "ordernumber", "company", "arr_currency",
         from_micros(F.col("_churn_u") + F.col("_interim_u")).alias("churn_arr_currency"),
@@ -158,7 +158,7 @@ def q_arr_classified(spark, sf_dir):
 
 
 def q_append_churn(spark, sf_dir):
-    syn = pipeline(spark, sf_dir, products=True).arr_parts.synthetic
+    syn = pipeline(spark, sf_dir, products=True).arr_final_full.filter("_syn")
     return syn.select(
         "for_product", "pivot_month", "customer_id", "ordernumber", "company", "totalordercost",
         "standardenddate_adjusted", "arr_currency",

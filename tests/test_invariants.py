@@ -24,7 +24,7 @@ def test_order_arr_sums_to_rollforward(spark):
 
 def test_one_churn_row_per_gap(spark):
     p = _p(spark)
-    syn = p.arr_parts.synthetic
+    syn = p.arr_final_full.filter("_syn")
     dup = syn.groupBy("for_product", "customer_id", "pivot_month").count().filter("count > 1")
     assert dup.count() == 0
     # churn amount = minus the last active month's total

@@ -4,15 +4,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from recurra.plans.queries import QUERIES
 from tests.compare import compare
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -25,14 +25,14 @@ def txn(id_, cust, start, end, amount, type_="Charge", obj="L1", ptype="P0"):
     return (id_, cust, ts(start), ts(start), ts(end), amount, "USD", obj, ptype, "Multi User", type_, "Manual", "X")
 
 
-def make_inputs(spark, rows):
-    return Inputs(
+def make_inputs(spark, rows, **other):
+    given = dict(
         transactions=spark.createDataFrame(rows, TXN_SCHEMA),
         company=spark.createDataFrame(
             [("C1", "acme", "SMB", "n1", "s", "c"), ("C2", "beta", "SMB", None, "s", "c")],
             "id string, name string, classification string, countrycode string, state string, city string",
         ),
-        product_dim=spark.createDataFrame([("P0", "Plan"), ("P9", "Empty")], "objecttypeid string, product string"),
+        product_dim=spark.createDataFrame([("P0", "Kettle"), ("P9", "Empty")], "objecttypeid string, product string"),
         price_grid=spark.createDataFrame(
             [], "currency_code string, product string, objectaccesstype string, price_th1 double, "
             "price_th2 double, price_th3 double"),
@@ -40,6 +40,7 @@ def make_inputs(spark, rows):
         calendar=day_calendar(spark, dt.date(1999, 12, 1), dt.date(2001, 12, 31)),
         region_dim=spark.createDataFrame([("N1", "Nation One")], "country_code string, country string"),
     )
+    return Inputs(**(given | other))
 
 
 @pytest.fixture(scope="module")
@@ -132,3 +133,81 @@ def test_ambiguous_refunds_go_unmatched(spark):
     assert unmatched == [("R1", "T1"), ("R2", "T1"), ("R9", None)]
     # the NULL-type row is neither a charge nor a refund, and stays an order
     assert {r.ordernumber for r in p.orders.collect()} == {"T1", "TN"}
+
+
+ONE_ORDER = [txn("T1", "C1", "2000-01-10 00:00:00", "2000-04-10 00:00:00", 300.0)]  # 1200/yr, Jan-Mar
+
+
+def churn_rows(p):
+    af = p.arr_final.filter((F.col("for_product") == "All") & (F.col("churn_arr_currency") != 0))
+    return [(str(r.pivot_month), r.customer_classification, r.churn_arr_currency) for r in af.collect()]
+
+
+COMPANY = "id string, name string, classification string, countrycode string, state string, city string"
+
+
+@pytest.mark.parametrize(
+    "rows, other",
+    [
+        (ONE_ORDER, {"product_dim": ([("P0", "Kettle"), ("P0", "Kettle")], "objecttypeid string, product string")}),
+        (ONE_ORDER, {"company": ([("C1", "acme", "SMB", "n1", "s", "c"), ("C1", "ACME", "SMB", "n1", "s", "c")], COMPANY)}),
+        (ONE_ORDER * 2, {}),
+    ],
+    ids=["product", "company", "transaction"],
+)
+def test_one_churn_row_where_rows_repeat_an_order(spark, rows, other):
+    """The doubled order pays twice and churns once, with all it paid."""
+    given = make_inputs(spark, rows, **{k: spark.createDataFrame(*v) for k, v in other.items()})
+    p = Pipeline(given, Config(as_of=dt.date(2001, 1, 1)), products=False)
+    assert churn_rows(p) == [("2000-04-30", "Churn", -2400.0)]
+
+
+@pytest.mark.parametrize("materialize", [True, False])
+def test_month_missing_from_the_calendar(spark, materialize):
+    cal = day_calendar(spark, dt.date(1999, 12, 1), dt.date(2001, 12, 31)).filter("date_trunc('month', ds) <> '2000-02-01'")
+    cfg = Config(as_of=dt.date(2001, 1, 1), materialize=materialize)
+    refund = txn("R9", "C1", "2000-01-10 00:00:00", "2000-04-10 00:00:00", 299.0, "Refund")
+    p = Pipeline(make_inputs(spark, [*ONE_ORDER, refund], calendar=cal), cfg, products=False)
+    months = sorted(str(r.pivot_month) for r in p.arr_monthly.collect())
+    assert months == ["2000-01-31", "2000-03-31"]
+    rf = {str(r.pivot_month): r.customer_classification for r in p.rollforward.filter("customer_id = 'C1'").collect()}
+    assert rf == {"2000-01-31": "New", "2000-03-31": "ForEx", "2000-04-30": "Churn"}
+    assert sorted(str(r.pivot_month) for r in p.not_refunded_arr().collect()) == ["2000-01-31", "2000-03-31"]
+    # a month without the one before is a gap, as the source counts months
+    assert len(p.rollforward.filter("customer_id IS NULL").collect()) == 25 - 1 - 3
+
+
+def test_legacy_outputs_need_their_rules(spark):
+    p = Pipeline(make_inputs(spark, ONE_ORDER), Config(as_of=dt.date(2001, 1, 1)), products=False)
+    with pytest.raises(ValueError, match="legacy_products"):
+        p.legacy_tracker  # noqa: B018
+    with pytest.raises(ValueError, match="legacy_products"):
+        p.outputs()
+
+
+CLASSIFIED = (
+    "id string, currentbillingentityid string, DATE timestamp_ntz, transactionarr double, termlength string, "
+    "customername string, objecttypeid string, type string, matchingrefund string"
+)
+
+
+def batch_pipeline(spark, **cfg):
+    rows = [
+        ("T1", "C1", ts("2000-01-31 23:30:00"), 100.0, "MONTHLY", "acme", "P0", "Charge", "R1"),
+        ("T2", "C1", ts("2000-05-10 00:00:00"), 50.0, "YEARLY", "acme", "P7", "Charge", None),
+        ("R1", "C1", ts("2000-02-01 00:00:00"), 100.0, "MONTHLY", "acme", "P0", "Refund", None),
+    ]
+    given = make_inputs(spark, ONE_ORDER, classified=spark.createDataFrame(rows, CLASSIFIED))
+    given.batch_company = given.company.drop("name")
+    return Pipeline(given, Config(as_of=dt.date(2001, 1, 1), batch_product_map={"P0": "Kettle"}, **cfg), products=False)
+
+
+def test_batch_strict_drops_refunded_charges(spark):
+    assert {r.ordernumber for r in batch_pipeline(spark).batch_orders.collect()} == {"T1", "T2"}
+    assert {r.ordernumber for r in batch_pipeline(spark, strict=True).batch_orders.collect()} == {"T2"}
+
+
+def test_batch_source_time_zone(spark):
+    day = lambda p: {r.ordernumber: str(r.orderdate) for r in p.batch_orders.collect()}["T1"]
+    assert day(batch_pipeline(spark)) == "2000-01-31"
+    assert day(batch_pipeline(spark, source_tz="America/New_York")) == "2000-02-01"
