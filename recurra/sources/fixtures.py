@@ -262,10 +262,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> In
     tables as a production run would instead of re-deriving them in every
     branch of their plans.
     """
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # Spark Connect
-        app = str(id(spark))
+    app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir))
     if prepare and key in _PREPARED:
         return _PREPARED[key]
@@ -273,7 +270,8 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> In
     def rd(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    orders = rd("orders")
+    # The driver's fact file is one small file; a transactions table is many.
+    orders = rd("orders").repartition(spark.sparkContext.defaultParallelism)
     customer = rd("customer")
     txn_k = derive_transactions(orders)
     company = derive_company(customer)
