@@ -152,7 +152,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
-_WORDS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+WORDS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
 
 
 def shingle_sql(table: str, key: str, width: str) -> str:
@@ -161,14 +161,14 @@ def shingle_sql(table: str, key: str, width: str) -> str:
     return f"""
   SELECT DISTINCT {key}, width, array_to_string(w[i : i + width - 1], ' ') AS shingle FROM (
     SELECT {key}, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM (
-      SELECT {key}, {width} AS width, {_WORDS.format(t="coalesce(text, '')")} AS w FROM {table}
+      SELECT {key}, {width} AS width, {WORDS.format(t="coalesce(text, '')")} AS w FROM {table}
     ) WHERE width > 0 AND len(w) >= width
   )"""
 
 
 OP8_SQL = f"""
 WITH b AS (
-  SELECT item_id, text, least(5, len({_WORDS.format(t="coalesce(text, '')")})) AS w_n FROM benchmark
+  SELECT item_id, text, least(5, len({WORDS.format(t="coalesce(text, '')")})) AS w_n FROM benchmark
 ), item AS ({shingle_sql("b", "item_id", "w_n")}
 ), widths AS (SELECT DISTINCT w_n FROM b
 ), d AS (SELECT doc_id, text, w_n FROM documents, widths

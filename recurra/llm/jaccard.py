@@ -54,6 +54,7 @@ from recurra.llm.common import (
     undelta,
     unpack_arrays,
 )
+from recurra.llm.decontamination import WORDS, shingle_sql
 
 SHINGLE = 5
 PERCENT = 75
@@ -390,3 +391,19 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class: doc_id, n_shingles, component_id."""
     return jaccard_classes(documents(spark, sf_dir))
+
+
+OP9_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, least(5, len({WORDS.format(t="coalesce(text, '')")})) AS w_n FROM documents
+), sh AS ({shingle_sql("d", "doc_id", "w_n")}
+), size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), link AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS s FROM sh a JOIN sh b USING (width, shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+  ) JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * s >= 75 * (p.n + q.n - s)
+), reach AS (
+  SELECT doc_id, doc_id AS c FROM d UNION SELECT y, c FROM reach JOIN link ON x = doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(c) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY ALL
+"""

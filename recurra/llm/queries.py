@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from recurra.llm.decontamination import OP8_SQL, op8_decontamination
-from recurra.llm.jaccard import op9_jaccard
+from recurra.llm.jaccard import OP9_SQL, op9_jaccard
 from recurra.llm.packing import op10_packing
 from recurra.llm.quality import op4_quality
 from recurra.llm.sharding import op7_sharding
 from recurra.llm.token_counts import op6_token_counts
-from recurra.llm.substrings import op2_substrings
-from recurra.llm.suffixes import op1_suffixes
+from recurra.llm.substrings import OP2_SQL, op2_substrings
+from recurra.llm.suffixes import OP1_SQL, op1_suffixes
 from recurra.llm.topk import OP3_SQL, op3_topk
 from recurra.llm.toxicity import op5_toxicity
 
@@ -31,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffixes": OP1_SQL,
+    "op2_substrings": OP2_SQL,
     "op3_topk": OP3_SQL,
     "op8_decontamination": OP8_SQL,
+    "op9_jaccard": OP9_SQL,
 }

@@ -241,3 +241,21 @@ def cut_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is kept of every document: doc_id, n_words, n_removed, kept_sha256."""
     return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+), earliest AS (SELECT k, min(doc_id) AS first_id FROM win GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM win JOIN earliest USING (k) WHERE first_id < doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

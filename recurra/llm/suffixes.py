@@ -263,3 +263,26 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+OP1_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), piece AS (
+  SELECT doc_id, base, h[2 * base + 1 : 2 * (base + 599)] AS p FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 200)) AS base FROM d WHERE len(h) >= 800)
+), win AS (
+  SELECT doc_id, base + j AS i, hash(p[2 * j + 1 : 2 * j + 800]) AS k FROM (SELECT doc_id, base, p, unnest(range(least(200, len(p) // 2 - 399))) AS j FROM piece)
+), again AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1
+), hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM win JOIN again USING (k)
+), run AS (SELECT doc_id, i, sum(CAST(last IS NULL OR i > last + 400 AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit
+), span AS (SELECT doc_id, min(i) AS lo, max(i) + 400 AS hi FROM run GROUP BY doc_id, run
+), gap AS (
+  SELECT doc_id, lo AS stop, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS start FROM span
+  UNION ALL SELECT doc_id, len(h) // 2, coalesce((SELECT max(hi) FROM span WHERE span.doc_id = d.doc_id), 0) FROM d
+), kept AS (
+  SELECT doc_id, string_agg(h[2 * start + 1 : 2 * stop], '' ORDER BY start) AS h FROM gap JOIN d USING (doc_id) GROUP BY doc_id
+), lost AS (SELECT doc_id, sum(hi - lo) AS n, count(*) AS spans FROM span GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
