@@ -4,7 +4,10 @@ Pass 1 scatters the records by a seeded hash into buckets of a bounded
 expected size; pass 2 puts each bucket into canonical order, Fisher-Yates
 shuffles it with a generator seeded by (seed, bucket) and writes it into its
 shard's folder. A bucket is one task's group, sized by bytes, so memory does
-not grow with the input; a rerun writes the same order.
+not grow with the input; a rerun writes the same order. A shard has as
+many buckets as its own bytes need, and the whole record decides the bucket, so
+rows that share an id (or have none) are spread over their shard's buckets;
+only rows equal in every column share one.
 
 The law is `key`: a record's shard is the rendezvous winner of its `doc_id`
 among the shard numbers, so the id and the shard count alone decide, and one
@@ -24,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import documents, stage_path, sums
+from recurra.llm.common import documents, stage_path
 
 BUCKET_BYTES = 24 << 20
 
@@ -44,18 +47,20 @@ def shuffle_to_shards(
     spark = docs.sparkSession
     size = F.octet_length(F.coalesce(F.col("rec.text"), F.lit(""))) + F.lit(8)
     recs = docs.select(F.struct("*").alias("rec"))
-    total = sums(recs, b=F.sum(size.cast("long")))["b"]
-    per_shard = max(1, -(-total // (n_shards * bucket_bytes)))
     keyed = recs.select(
         "rec",
-        F.xxhash64("rec").alias("tie"),
         shard_of(F.col("rec.doc_id"), n_shards).alias("shard"),
         shard_of(F.col("rec.doc_id"), n_shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col("rec.doc_id"), F.lit(seed)), F.lit(per_shard)).cast("int").alias("sub"),
+        F.xxhash64("rec").alias("tie"),
     )
-    keyed = keyed.withColumn("bucket", (F.col("shard") * per_shard + F.col("sub")).cast("long"))
-
-    # where each bucket begins in its shard: counted from the ids alone
+    held = dict(keyed.groupBy("shard").agg(F.sum(size.cast("long"))).collect())  # a row a shard
+    buckets = [max(1, -(-held.get(s, 0) // bucket_bytes)) for s in range(n_shards)]
+    nth = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("shard") + 1)
+    starts = [sum(buckets[:s]) for s in range(n_shards)]
+    sub = F.pmod(F.xxhash64("tie", F.lit(seed)), nth(buckets))
+    keyed = keyed.withColumn("bucket", nth(starts) + sub)
+
+    # where each bucket begins in its shard: counted without moving the records
     first = (
         keyed.groupBy("shard", "bucket")
         .agg(F.count("*").alias("n"))

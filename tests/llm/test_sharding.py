@@ -37,6 +37,14 @@ def test_same_order_from_other_partitions(spark):
     assert order != sorted(order)
 
 
+def test_one_id_holds_most_rows(spark):
+    rows = [(None, f"text {i}") for i in range(2000)] + [(7, f"text {i}") for i in range(2000)] + [(i, "x") for i in range(100)]
+    got = shards(spark, rows, bucket_bytes=2000)
+    assert len(got) == len(rows)
+    for s in {r["s"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["s"] == s) == list(range(sum(r["s"] == s for r in got)))
+
+
 def test_empty(spark):
     assert shards(spark, []) == []
 
