@@ -15,7 +15,8 @@ temperature fitted on a part of the sample the network has not seen. Only the
 text is an input of a score.
 
 Defined cases: a null or empty text has zero pools and gets a score like any
-other; repeated rows score alike; without usable labels every score is 0.5; an
+other; repeated rows score alike; of rows that share a labelled id one is
+learned from; without usable labels every score is 0.5; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurra.llm.common import Block, documents, id_and_text, lower_ascii, small_blocks, table, word_hashes
-from recurra.llm.toxicity import held_out, labelled_sample
+from recurra.llm.toxicity import held_out, labelled_sample, one_per_id
 
 MAX_ROWS = 12_000
 BUCKETS = 2048
@@ -175,7 +176,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
                 at += len(b)
 
     sample = labelled_sample(docs, labels, "quality", max_rows).select("doc_id", "text", "y")
-    rows = sorted(sample.mapInArrow(features, "doc_id long, x binary, y int").collect())
+    rows = sorted(one_per_id(sample.mapInArrow(features, "doc_id long, x binary, y int"), "x").collect())
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float32).reshape(len(rows), 2 * DIM)
     return vectors, fit_network(x, np.array([r["y"] for r in rows], np.int64))
 

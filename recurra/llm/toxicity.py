@@ -14,7 +14,8 @@ in one narrow pass: expected severity = sum over k of P(grade > k).
 Rows whose crc32(doc_id as text) mod 3 is 1 are held out of fitting.
 
 Defined cases: a null or empty text has no features and gets the base
-probability; repeated rows are scored alike; null labels and labels of no
+probability; repeated rows are scored alike; of rows that share a labelled id
+one is learned from; null labels and labels of no
 document are not used; with labels of one kind only, the weights are zero; an
 empty table gives no rows; other columns are ignored.
 """
@@ -86,6 +87,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     return id_and_text(docs).join(F.broadcast(chosen), "doc_id")
 
 
+def one_per_id(sample: DataFrame, features: str) -> DataFrame:
+    """One row of a sample for each id, the one of the smallest features, so
+    that what reaches the driver is bounded however many rows share an id."""
+    return sample.groupBy("doc_id").agg(F.min(features).alias(features), F.first("y").alias("y"))
+
+
 class OrdinalModel:
     def __init__(self, weight: np.ndarray, theta: np.ndarray):
         self.weight, self.theta = weight, theta
@@ -164,7 +171,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
                 at += len(b)
 
     sample = labelled_sample(docs, labels, "toxic", max_rows).select("doc_id", "text", "y")
-    rows = sorted(set(map(tuple, sample.mapInArrow(reduce, "doc_id long, features binary, y int").collect())))
+    rows = sorted(map(tuple, one_per_id(sample.mapInArrow(reduce, "doc_id long, features binary, y int"), "features").collect()))
     first = dict.fromkeys((bytes(x), y) for _, x, y in rows)  # equal documents count once
     sets = [np.cumsum(unpack_arrays(x)[0].astype(np.int64)) for x, _ in first]
     return fit_ordinal(sets, np.array([y for _, y in first], np.int64))

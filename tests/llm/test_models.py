@@ -42,6 +42,16 @@ def test_awkward_rows(spark):
     assert toxicity.drop_toxic(docs, model).count() == sum(r["p_toxic"] < 0.5 for r in graded)
 
 
+def test_an_id_of_many_rows_is_learned_once(spark):
+    docs = frame(spark, [(0, f"good w{k}") for k in range(300)] + [(7, "bad"), (8, None), (2, "held out")])
+    labels = spark.createDataFrame([(0, 1, 0), (7, 0, 1), (8, 1, 0), (2, 0, 1)], LABELS)
+    sample = toxicity.labelled_sample(docs, labels, "toxic", 8)
+    assert sample.count() == 302
+    one = toxicity.one_per_id(sample.withColumnRenamed("text", "features"), "features").collect()
+    assert sorted(r["doc_id"] for r in one) == [0, 7, 8]
+    assert toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).count() == 303
+
+
 def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], LABELS)
     docs = frame(spark, [(1, "a b"), (2, None)])
