@@ -5,8 +5,9 @@ words all in capitals share one token, digits another, each ASCII symbol has
 its own, and all further words are hashed into the rest of `BUCKETS`. Every
 bucket has a sparse random index vector; its word vector is the sum of the
 index vectors of its neighbours (two on either side) over the whole corpus.
-Each task counts neighbour pairs of its documents and adds up integer vectors,
-which are summed in two streaming steps into one fixed-size table.
+Each task counts neighbour pairs of its documents and adds up integer vectors;
+the table of fixed size is cut into slices, and each slice of all tasks is
+summed as a stream.
 
 A document is pooled to the mean and spread of its tokens' vectors. A
 two-layer numpy network is fitted on a bounded sample of labelled rows
@@ -36,6 +37,7 @@ MAX_ROWS = 12_000
 BUCKETS = 2048
 DIM = 64
 HIDDEN = 32
+SLICES = 128  # of the table of word vectors, each summed in one task
 _SPECIAL = 256  # 0: capitals, 1: digits, further: the symbol's byte
 
 _CLASS = np.full(256, 3, np.uint8)  # 0 blank, 1 letter, 2 digit, 3 symbol
@@ -84,18 +86,28 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                 code = t[:-step][near] * BUCKETS + t[step:][near]
                 pairs += np.bincount(code, minlength=len(pairs))
         m = pairs.reshape(BUCKETS, BUCKETS)
-        yield pa.RecordBatch.from_pydict({"sums": [((m + m.T) @ index_vectors()).tobytes()]})
+        yield as_rows(enumerate(((m + m.T) @ index_vectors()).reshape(SLICES, -1)))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS * DIM, np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column(0):
-                total += np.frombuffer(x.as_buffer(), np.int64)
-        yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
-
-    parts = id_and_text(docs).mapInArrow(count, "sums binary").repartition(16).mapInArrow(add, "sums binary")
-    total = parts.coalesce(1).mapInArrow(add, "sums binary").collect()
-    c = sum((np.frombuffer(r["sums"], np.int64) for r in total), np.zeros(BUCKETS * DIM, np.int64)).reshape(BUCKETS, DIM)
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(x.as_buffer(), np.int64)
+                total[k] = total[k] + part if k in total else part.copy()
+        yield as_rows(total.items())
+
+    def as_rows(slices) -> pa.RecordBatch:
+        rows = [(k, x.tobytes()) for k, x in slices]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["slice", "sums"]
+        )
+
+    schema = "slice long, sums binary"
+    slices = id_and_text(docs).mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema)
+    c = np.zeros((SLICES, BUCKETS * DIM // SLICES), np.int64)
+    for r in slices.collect():  # SLICES rows
+        c[r["slice"]] = np.frombuffer(r["sums"], np.int64)
+    c = c.reshape(BUCKETS, DIM)
     size = np.sqrt((c.astype(float) ** 2).sum(axis=1, keepdims=True))
     return (c / np.where(size == 0, 1, size)).astype(np.float32)
 
