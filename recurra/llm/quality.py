@@ -2,12 +2,13 @@
 
 Tokens are runs of letters (A-Z lower-cased), digits or one other symbol;
 words all in capitals share one token, digits another, each ASCII symbol has
-its own, and all further words are hashed into the rest of `BUCKETS`. Every
-bucket has a sparse random index vector; its word vector is the sum of the
-index vectors of its neighbours (two on either side) over the whole corpus.
-Each task counts neighbour pairs of its documents and adds up integer vectors;
-the table of fixed size is cut into slices, and each slice of all tasks is
-summed as a stream.
+its own, and all further words are hashed into the rest of `BUCKETS`, so that
+words share a vector only where a corpus has more of them than buckets, or by
+chance. Every bucket has a sparse random index vector; its word vector is the
+sum of the index vectors of its neighbours (two on either side) over the whole
+corpus. Each task adds the index vectors up in integers and sends the buckets
+it has met; the table is cut into slices by bucket range, and each slice of all
+tasks is summed as a stream.
 
 A document is pooled to the mean and spread of its tokens' vectors. A
 two-layer numpy network is fitted on a bounded sample of labelled rows
@@ -24,20 +25,22 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm.common import Block, documents, id_and_text, lower_ascii, small_blocks, table, word_hashes
+from recurra.llm.common import Block, documents, id_and_text, lower_ascii, pack_arrays, small_blocks, table, unpack_arrays, word_hashes
 from recurra.llm.toxicity import held_out, labelled_sample, one_per_id
 
 MAX_ROWS = 12_000
-BUCKETS = 2048
+BUCKETS = 1 << 17
 DIM = 64
 HIDDEN = 32
 SLICES = 128  # of the table of word vectors, each summed in one task
+PIECE = 1 << 15  # tokens worked on at a time
 _SPECIAL = 256  # 0: capitals, 1: digits, further: the symbol's byte
 
 _CLASS = np.full(256, 3, np.uint8)  # 0 blank, 1 letter, 2 digit, 3 symbol
@@ -66,64 +69,90 @@ def tokens(b: Block) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.searchsorted(b.starts, start, "right") - 1
 
 
+@cache
 def index_vectors(seed: int = 11, nonzero: int = 8) -> np.ndarray:
+    """For every bucket -1 or 1 in one place of each `nonzero`-th of the row, else 0."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((BUCKETS, DIM), np.int64)
-    for row in out:
-        row[rng.choice(DIM, nonzero, replace=False)] = rng.choice([-1, 1], nonzero)
+    width = DIM // nonzero
+    out = np.zeros((BUCKETS, DIM), np.int8)
+    at = np.arange(nonzero) * width + rng.integers(width, size=(BUCKETS, nonzero))
+    np.put_along_axis(out, at, rng.choice(np.array([-1, 1], np.int8), (BUCKETS, nonzero)), axis=1)
     return out
 
 
+def near_sums(t: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, sums of the index vectors of their neighbours), for a piece of
+    the tokens at a time."""
+    for lo in range(0, len(t), PIECE):
+        hi = min(len(t), lo + PIECE)
+        a, b = max(0, lo - 2), min(len(t), hi + 2)  # neighbours may lie outside the piece
+        index, d = index_vectors()[t[a:b]], doc[a:b]
+        near = np.zeros((b - a, DIM), np.int8)
+        for step in (1, 2):
+            same = (d[step:] == d[:-step])[:, None]
+            near[step:] += index[:-step] * same
+            near[:-step] += index[step:] * same
+        order = np.argsort(t[lo:hi], kind="stable")
+        bucket = t[lo:hi][order]
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        yield bucket[first], np.add.reduceat(near[lo - a : hi - a][order], first, axis=0, dtype=np.int64)
+
+
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit word vectors (BUCKETS x DIM) of the whole corpus."""
+    width = BUCKETS // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(BUCKETS * BUCKETS, np.int64)
+        total, met = np.zeros((BUCKETS, DIM), np.int64), np.zeros(BUCKETS, bool)
         for b in small_blocks(batches):
-            t, doc = tokens(b)
-            for step in (1, 2):
-                near = doc[step:] == doc[:-step]
-                code = t[:-step][near] * BUCKETS + t[step:][near]
-                pairs += np.bincount(code, minlength=len(pairs))
-        m = pairs.reshape(BUCKETS, BUCKETS)
-        yield as_rows(enumerate(((m + m.T) @ index_vectors()).reshape(SLICES, -1)))
+            for bucket, near in near_sums(*tokens(b)):
+                total[bucket] += near
+                met[bucket] = True
+        for k in range(SLICES):
+            at = np.flatnonzero(met[k * width : (k + 1) * width])
+            if len(at):
+                part = total[k * width + at]
+                top = np.abs(part).max()
+                small = next(t for t in (np.int8, np.int16, np.int32, np.int64) if top <= np.iinfo(t).max)
+                yield as_row(k, pack_arrays(at.astype(np.int32), part.astype(small).ravel()))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(x.as_buffer(), np.int64)
-                total[k] = total[k] + part if k in total else part.copy()
-        yield as_rows(total.items())
+                at, part = unpack_arrays(x.as_py())
+                if k not in total:
+                    total[k] = np.zeros((width, DIM), np.int64)
+                total[k][at] += part.reshape(-1, DIM)
+        for k, c in total.items():
+            size = np.sqrt((c.astype(float) ** 2).sum(axis=1, keepdims=True))
+            yield as_row(k, (c / np.where(size == 0, 1, size)).astype(np.float32).tobytes())
 
-    def as_rows(slices) -> pa.RecordBatch:
-        rows = [(k, x.tobytes()) for k, x in slices]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["slice", "sums"]
-        )
+    def as_row(k: int, x: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([x], pa.binary())], names=["slice", "sums"])
 
     schema = "slice long, sums binary"
     slices = id_and_text(docs).mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema)
-    c = np.zeros((SLICES, BUCKETS * DIM // SLICES), np.int64)
+    vectors = np.zeros((BUCKETS, DIM), np.float32)
     for r in slices.collect():  # SLICES rows
-        c[r["slice"]] = np.frombuffer(r["sums"], np.int64)
-    c = c.reshape(BUCKETS, DIM)
-    size = np.sqrt((c.astype(float) ** 2).sum(axis=1, keepdims=True))
-    return (c / np.where(size == 0, 1, size)).astype(np.float32)
+        vectors[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["sums"], np.float32).reshape(width, DIM)
+    return vectors
 
 
 def pooled(b: Block, vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of the token vectors of each document."""
     t, doc = tokens(b)
+    first = np.searchsorted(doc, np.arange(len(b) + 1)).tolist()
     out = np.zeros((len(b), 2 * DIM), np.float32)
-    for lo in range(0, len(b), 512):
-        hi = min(len(b), lo + 512)
-        i, j = np.searchsorted(doc, [lo, hi])
-        share = np.bincount((doc[i:j] - lo) * BUCKETS + t[i:j], minlength=(hi - lo) * BUCKETS).reshape(hi - lo, BUCKETS)
-        share = (share / np.maximum(share.sum(axis=1, keepdims=True), 1)).astype(np.float32)
-        mean = share @ vectors
-        out[lo:hi, :DIM] = mean
-        out[lo:hi, DIM:] = np.sqrt(np.maximum(share @ vectors**2 - mean**2, 0))
+    for d in range(len(b)):
+        total, square = np.zeros(DIM), np.zeros(DIM)
+        for lo in range(first[d], first[d + 1], PIECE):
+            x = vectors[t[lo : min(lo + PIECE, first[d + 1])]]
+            total += x.sum(axis=0, dtype=np.float64)
+            square += (x * x).sum(axis=0, dtype=np.float64)
+        n = max(1, first[d + 1] - first[d])
+        out[d, :DIM] = total / n
+        out[d, DIM:] = np.sqrt(np.maximum(square / n - (total / n) ** 2, 0))
     return out
 
 
@@ -177,13 +206,14 @@ def fit_network(x: np.ndarray, y: np.ndarray, steps: int = 600, batch: int = 512
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, Network]:
     vectors = word_vectors(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column(2)
             at = 0
             for b in small_blocks([batch]):
-                x = [r.tobytes() for r in pooled(b, vectors)]
+                x = [r.tobytes() for r in pooled(b, shared.value)]
                 yield pa.RecordBatch.from_arrays([b.doc_ids(), pa.array(x, pa.binary()), y.slice(at, len(b))], names=["doc_id", "x", "y"])
                 at += len(b)
 

@@ -1,8 +1,10 @@
 """Held-out accuracy, and the awkward rows."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from recurra.llm import quality, toxicity
+from recurra.llm.common import Block
 from tests.llm.corpus import awkward, frame
 
 DIR = "/root/testdata/sf0.1"
@@ -63,3 +65,32 @@ def test_no_labels_and_no_rows(spark):
     vectors, net = quality.fit_quality(empty, none)
     assert quality.score_quality(empty, vectors, net).count() == 0
     assert toxicity.score_toxicity(empty, toxicity.fit_toxicity(empty, none)).count() == 0
+
+
+def test_words_have_vectors_of_their_own():
+    words = 20_000
+    bucket, _ = quality.tokens(Block.of([1], [" ".join(f"w{chr(97 + k % 26)}{''.join(chr(97 + int(c)) for c in str(k))}" for k in range(words)).encode()]))
+    assert len(bucket) == words and len(np.unique(bucket)) > 0.9 * words
+
+
+def test_neighbours_of_every_token():
+    text = " ".join("abcdefgh"[k * k % 8] for k in range(3 * quality.PIECE)).encode()
+    t, doc = quality.tokens(Block.of([1, 2], [text, b"a b"]))
+    want = np.zeros((quality.BUCKETS, quality.DIM), np.int64)
+    for step in (1, 2):
+        near = doc[step:] == doc[:-step]
+        pair, n = np.unique(np.stack([t[:-step][near], t[step:][near]]), axis=1, return_counts=True)
+        for (x, y), k in zip(pair.T, n):
+            want[x] += k * quality.index_vectors()[y].astype(np.int64)
+            want[y] += k * quality.index_vectors()[x].astype(np.int64)
+    got = np.zeros_like(want)
+    for bucket, near in quality.near_sums(t, doc):
+        got[bucket] += near
+    assert (got == want).all()
+
+
+def test_bad_documents_held_out(spark):
+    got = held(quality.op4_quality(spark, DIR), "quality", spark)
+    right = {r["y"]: r["right"] for r in got.groupBy("y").agg(F.avg(F.expr("predicted = y").cast("int")).alias("right")).collect()}
+    print("held out, right by label:", right)
+    assert right[0] > 0.85 and right[1] > 0.98
