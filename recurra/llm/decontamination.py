@@ -10,8 +10,10 @@ powers of two; a partition asks only for items that can fit it, and keeps only
 shingle hashes up to the largest sketch hash of those. Candidates are verified
 by exact containment of shingles, so nothing is missed and nothing is guessed.
 
-The benchmark is broadcast in blocks of at most ITEM_BYTES of text; a larger
-benchmark takes more passes over the documents, never a larger block.
+The benchmark is broadcast in blocks of about ITEM_BYTES at most (text and a
+fixed share for each row), or of one longer item; a larger benchmark takes more
+passes over the documents, never a larger block. Rows equal in item_id and text
+are broadcast once with their number, and rows without text not at all.
 
 Defined cases: an item of fewer than five words is one shingle, its whole word
 sequence; null or empty items are contained nowhere and null or empty
@@ -33,6 +35,8 @@ from recurra.llm.common import Block, Words, documents, filter_documents, id_and
 SHINGLE = 5
 PERCENT = 75
 ITEM_BYTES = 16 << 20
+ROW_BYTES = 64  # of an item besides its text
+OUT_ROWS = 10_000  # found rows sent at a time
 SCHEMA = "doc_id long, item_id long, n_shared long, n_item long"
 
 
@@ -93,14 +97,16 @@ class ItemIndex:
 
 
 def item_blocks(items: DataFrame, item_bytes: int = ITEM_BYTES) -> Iterator:
-    """The benchmark as broadcast (ids, texts), at most about `item_bytes` each."""
+    """The benchmark's distinct items with text as broadcast (ids, texts, how
+    many rows each has), at most about `item_bytes` each."""
     spark = items.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = sums(items, b=F.sum(F.octet_length("text")))["b"]
+    items = items.filter(F.octet_length("text") > 0).groupBy("item_id", "text").agg(F.count("*").alias("n"))
+    size = sums(items, b=F.sum(F.octet_length("text").cast("long") + ROW_BYTES))["b"]
     n_blocks = max(1, -(-2 * size // item_bytes))  # a hash fills no block to twice its share
     for k in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
-        yield spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        yield spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows], [r["n"] for r in rows]))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
@@ -108,7 +114,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_
     for index in item_blocks(items, item_bytes):
 
         def make(index=index):
-            found = ItemIndex(*index.value)
+            found = ItemIndex(*index.value[:2])
 
             def keep(b: Block) -> np.ndarray:
                 clean = np.ones(len(b), bool)
@@ -128,18 +134,22 @@ def contained_items(docs: DataFrame, items: DataFrame, item_bytes: int = ITEM_BY
     for index in item_blocks(items, item_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            found = ItemIndex(*index.value)
+            found = ItemIndex(*index.value[:2])
+            times = np.array(index.value[2], np.int64)
             for b in small_blocks(batches):
                 got = list(found.search(b))
-                doc = [d for d, _, _ in got]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": b.doc_ids().take(pa.array(doc, pa.int64())),
-                        "item_id": pa.array([found.ids[i] for _, i, _ in got], pa.int64()),
-                        "n_shared": pa.array([s for _, _, s in got], pa.int64()),
-                        "n_item": pa.array([len(found.shingles[i]) for _, i, _ in got], pa.int64()),
-                    }
-                )
+                end = np.cumsum(times[[i for _, i, _ in got]]) if got else np.empty(0, np.int64)
+                # a row for every row of the item, some at a time
+                for lo in range(0, int(end[-1]) if got else 0, OUT_ROWS):
+                    rows = [got[k] for k in np.searchsorted(end, np.arange(lo, min(lo + OUT_ROWS, int(end[-1]))), "right")]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "doc_id": b.doc_ids().take(pa.array([d for d, _, _ in rows], pa.int64())),
+                            "item_id": pa.array([found.ids[i] for _, i, _ in rows], pa.int64()),
+                            "n_shared": pa.array([s for _, _, s in rows], pa.int64()),
+                            "n_item": pa.array([len(found.shingles[i]) for _, i, _ in rows], pa.int64()),
+                        }
+                    )
 
         part = src.mapInArrow(run, SCHEMA)
         out = part if out is None else out.unionByName(part)

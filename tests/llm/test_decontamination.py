@@ -44,3 +44,16 @@ def test_empty(spark):
     bench = spark.createDataFrame([(1, "one two three four five", 1)], ITEMS)
     assert D.contained_items(frame(spark, []), bench).count() == 0
     assert D.contained_items(frame(spark, awkward()), bench.limit(0)).count() == 0
+
+
+def test_repeated_items_are_broadcast_once(spark):
+    text = "one two three four five six seven"
+    items = [(1, text)] * 30_000 + [(1, text + " eight")] * 3 + [(None, text)] * 2 + [(2, None), (3, "")] * 2000
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = [b.value for b in D.item_blocks(bench, 1000)]
+    assert sum(len(ids) for ids, *_ in blocks) == 3
+    docs = frame(spark, [(7, "ONE two three four five six seven"), (8, "one two three four"), (None, text + " eight")])
+    got = D.contained_items(docs, bench, 1000).groupBy("doc_id", "item_id", "n_shared", "n_item").count().collect()
+    want = [(d, i, 3, 3, n) for d in (7, None) for i, n in ((1, 30_000), (None, 2))] + [(7, 1, 3, 4, 3), (None, 1, 4, 4, 3)]
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
+    assert [r["doc_id"] for r in D.drop_contaminated(docs, bench, 1000).collect()] == [8]
