@@ -6,8 +6,9 @@ shuffles it with a generator seeded by (seed, bucket) and writes it into its
 shard's folder. A bucket is one task's group, sized by bytes, so memory does
 not grow with the input; a rerun writes the same order. A shard has as
 many buckets as its own bytes need, and the whole record decides the bucket, so
-rows that share an id (or have none) are spread over their shard's buckets;
-only rows equal in every column share one.
+rows that share an id (or have none) are spread over their shard's buckets.
+Rows equal in every column that would fill a bucket by themselves are counted,
+and the copies, dealt out again by their number, are spread as well.
 
 The law is `key`: a record's shard is the rendezvous winner of its `doc_id`
 among the shard numbers, so the id and the shard count alone decide, and one
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import documents, stage_path
+from recurra.llm.common import documents, stage, stage_path, sums
 
 BUCKET_BYTES = 24 << 20
 
@@ -38,14 +39,29 @@ def shard_of(doc_id, n_shards: int):
     return F.array_max(scored)["s"]
 
 
-def shuffle_to_shards(
-    docs: DataFrame, out: str, n_shards: int = 24, seed: int = 7, bucket_bytes: int = BUCKET_BYTES
-) -> DataFrame:
-    """Write `docs` shuffled into folders `out/shard=N` and return the written
-    table: `rec` (the whole record), `shard`, `slot` (gapless from 0 in each
-    shard) and `grown_shard` (with one more shard)."""
-    spark = docs.sparkSession
-    size = F.octet_length(F.coalesce(F.col("rec.text"), F.lit(""))) + F.lit(8)
+def copies_spread(keyed: DataFrame, size, bucket_bytes: int) -> DataFrame:
+    """`keyed` with `copy`: 0, and 0, 1, ... for equal rows of over
+    `bucket_bytes` in all, whose records are counted and dealt out again."""
+    many = keyed.groupBy("tie").agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    many = stage(many.filter((F.col("n") > 1) & (F.col("bytes") > bucket_bytes)).select("tie"), "sharding-ties")  # fewer than buckets
+    if many.isEmpty():
+        return keyed.withColumn("copy", F.lit(0).cast("long"))
+    equal = keyed.join(F.broadcast(many), "tie", "left_semi").groupBy(keyed.columns).agg(F.count("*").alias("n"))
+    piece = F.greatest(F.lit(1), F.floor(F.lit(bucket_bytes // 8) / size)).cast("long")  # copies dealt out in one go
+    equal = stage(equal.select("*", piece.alias("piece")), "sharding-equal")
+    pieces = sums(equal, n=F.sum(F.ceil(F.col("n") / F.col("piece"))))["n"]
+    spread = (
+        equal.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.col("piece"))))
+        .repartition(max(1, min(pieces, 2000)), "tie", "from")
+        .withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + F.col("piece"), F.col("n")) - 1)))
+    )
+    rest = keyed.join(F.broadcast(many), "tie", "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    return rest.select(*keyed.columns, "copy").unionByName(spread.select(*keyed.columns, "copy"))
+
+
+def bucketed(docs: DataFrame, n_shards: int, seed: int, bucket_bytes: int) -> DataFrame:
+    """`rec`, `shard`, `grown_shard`, `tie` and `bucket` of every row."""
+    size = (F.octet_length(F.coalesce(F.col("rec.text"), F.lit(""))) + F.lit(8)).cast("long")
     recs = docs.select(F.struct("*").alias("rec"))
     keyed = recs.select(
         "rec",
@@ -53,18 +69,28 @@ def shuffle_to_shards(
         shard_of(F.col("rec.doc_id"), n_shards + 1).alias("grown_shard"),
         F.xxhash64("rec").alias("tie"),
     )
-    held = dict(keyed.groupBy("shard").agg(F.sum(size.cast("long"))).collect())  # a row a shard
+    held = dict(keyed.groupBy("shard").agg(F.sum(size)).collect())  # a row a shard
     buckets = [max(1, -(-held.get(s, 0) // bucket_bytes)) for s in range(n_shards)]
     nth = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("shard") + 1)
     starts = [sum(buckets[:s]) for s in range(n_shards)]
-    sub = F.pmod(F.xxhash64("tie", F.lit(seed)), nth(buckets))
-    keyed = keyed.withColumn("bucket", nth(starts) + sub)
+    hashed = F.when(F.col("copy") == 0, F.xxhash64("tie", F.lit(seed))).otherwise(F.xxhash64("tie", F.lit(seed), "copy"))
+    return copies_spread(keyed, size, bucket_bytes).withColumn("bucket", nth(starts) + F.pmod(hashed, nth(buckets))).drop("copy")
+
+
+def shuffle_to_shards(
+    docs: DataFrame, out: str, n_shards: int = 24, seed: int = 7, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
+    """Write `docs` shuffled into folders `out/shard=N` and return the written
+    table: `rec` (the whole record), `shard`, `slot` (gapless from 0 in each
+    shard) and `grown_shard` (with one more shard)."""
+    spark = docs.sparkSession
+    keyed = bucketed(docs, n_shards, seed, bucket_bytes)
 
     # where each bucket begins in its shard: counted without moving the records
     first = (
         keyed.groupBy("shard", "bucket")
         .agg(F.count("*").alias("n"))
-        .select("bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
+        .select(F.col("bucket").alias("bucket"), (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     )
 
     def fisher_yates(key: tuple[pa.Scalar, ...], table: pa.Table, before: pa.Table) -> pa.Table:

@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from recurra.llm.common import stage_path
-from recurra.llm.sharding import shuffle_to_shards
+from recurra.llm.sharding import bucketed, shuffle_to_shards
 from tests.llm.corpus import awkward, frame
 
 
@@ -58,3 +58,18 @@ def test_query_digest(spark):
         raw = (text[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 8, zlib.crc32(raw), "key")
     assert len(got) == len(text)
+
+
+def test_equal_rows_are_spread(spark):
+    rows = [(5, "the same text")] * 3000 + [(None, None)] * 2000 + [(i, f"text {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = shuffle_to_shards(docs, stage_path(spark, "test-shards"), bucket_bytes=2000)
+    got = out.select("rec.doc_id", "rec.text", "shard", "slot").collect()
+    assert sorted((repr(r[0]), repr(r[1])) for r in got) == sorted((repr(i), repr(t)) for i, t in rows)
+    for s in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    held = bucketed(docs, 24, 7, 2000).groupBy("bucket").count().agg({"count": "max"}).first()[0]
+    assert held < 600  # 250 null rows of 8 bytes fill a bucket
+    again = shuffle_to_shards(docs.repartition(7), stage_path(spark, "test-shards"), bucket_bytes=2000)
+    order = lambda x: sorted((r["shard"], r["slot"], repr(r["doc_id"])) for r in x)
+    assert order(got) == order(again.select("rec.doc_id", "shard", "slot").collect())
