@@ -16,6 +16,10 @@ through a Spark aggregation by window hash.
 
 What is sent in round 1 is one entry of about 12 bytes for a distinct context
 of a block, however often the block repeats it.
+
+A block of over `PIECE` symbols (one long text) is hashed in pieces that overlap
+by what a window reaches; contexts cut by a piece's end are put together again,
+so any length gives what one pass over all symbols would.
 """
 
 from __future__ import annotations
@@ -48,32 +52,58 @@ HOT = 20_000
 COVERED, SEND, IS_HOT = 1, 2, 4
 _LOW48 = U64((1 << 48) - 1)
 _INDEX = U64((1 << 28) - 1)
+PIECE = 1 << 22
 
 
 class Seq:
     """Symbols of a block with constant-time hashes of any range."""
 
-    def __init__(self, values: np.ndarray, first: np.ndarray, last: np.ndarray):
+    def __init__(self, values: np.ndarray, first: np.ndarray, last: np.ndarray, piece: int = PIECE):
         """`first`/`last`: where each document's symbols begin and end."""
-        n = len(values)
-        self.n, self.first, self.last = n, first, last
-        self.acc = np.zeros(n + 1, U64)
-        np.cumsum(values * _powers(_R, n + 1)[:n], dtype=U64, out=self.acc[1:])
-        self.inv = _powers(_R_INV, n + 1)
+        self.values, self.n, self.first, self.last, self.piece = values, len(values), first, last, piece
+        self.held: tuple = (0, -1, None)
+
+    def sums(self, a: int, b: int) -> np.ndarray:
+        """Prefix sums for hashes inside [a, b), counted from `a`."""
+        if self.n <= self.piece:
+            a, b = 0, self.n
+        if self.held[0] != a or self.held[1] < b:
+            acc = np.zeros(b - a + 1, U64)
+            np.cumsum((self.values[a:b].astype(U64) + U64(1)) * _powers(_R, b - a + 1)[: b - a], dtype=U64, out=acc[1:])
+            self.held = (a, b, acc)
+        return self.held[2]
 
     def span(self, lo, hi) -> np.ndarray:
-        x = (self.acc[hi] - self.acc[lo]) * self.inv[lo]
-        return mix(x + (np.asarray(hi) - np.asarray(lo)).astype(U64) * U64(0xD6E8FEB86659FD93))
+        lo, hi = np.asarray(lo), np.asarray(hi)
+        x = np.empty(len(lo), U64)
+        which = lo // self.piece if self.n > self.piece else np.zeros(len(lo), np.int64)
+        order = np.argsort(which, kind="stable") if self.n > self.piece else np.arange(len(lo))
+        for w, at in _split(which[order]):
+            at = order[at] if self.n > self.piece else at
+            a = w * self.piece
+            acc = self.sums(a, int(hi[at].max()))
+            x[at] = (acc[hi[at] - a] - acc[lo[at] - a]) * _powers(_R_INV, len(acc))[lo[at] - a]
+        return mix(x + (hi - lo).astype(U64) * U64(0xD6E8FEB86659FD93))
 
     def contexts(self, length: int, spread: int, k: int):
         """Arrays (document, anchor, lo, hi) of all contexts."""
         none = np.empty(0, np.int64)
-        m = self.n - k + 1 - spread + 1
-        if m <= 0 or self.n >= 1 << 28:
-            if self.n >= 1 << 28:
-                raise ValueError("a text of over 2^28 symbols")
+        got = [self.contexts_from(a, length, spread, k) for a in range(0, self.n, self.piece)]
+        doc, anchor, lo, hi = (np.concatenate([none, *x]) for x in zip(*got)) if got else (none,) * 4
+        if len(got) < 2 or not len(doc):
+            return doc, anchor, lo, hi
+        new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
+        return doc[new], anchor[new], lo[new], hi[np.concatenate([new[1:], [len(doc)]]) - 1]
+
+    def contexts_from(self, a: int, length: int, spread: int, k: int):
+        """The contexts of the windows that start in the piece at `a`."""
+        none = np.empty(0, np.int64)
+        stop = min(self.n, a + self.piece)
+        n = min(self.n, stop + spread + k - 2) - a
+        if n - k + 1 - spread + 1 <= 0:
             return none, none, none, none
-        key = mix((self.acc[k:] - self.acc[: self.n - k + 1]) * self.inv[: self.n - k + 1])
+        acc = self.sums(a, a + n)
+        key = mix((acc[k : n + 1] - acc[: n - k + 1]) * _powers(_R_INV, len(acc))[: n - k + 1])
         key &= ~_INDEX
         key |= np.arange(len(key), dtype=U64)
         size = 1
@@ -84,13 +114,14 @@ class Seq:
             key = np.minimum(key[: len(key) - (spread - size)], key[spread - size :])
         at = (key & _INDEX).astype(np.int64)
         # window starts that leave room for a whole window in their document
-        room = np.maximum(self.last - length + 1 - self.first, 0)
-        begin = np.repeat(self.first, room)
-        doc = np.repeat(np.arange(len(self.first)), room)
+        first = np.maximum(self.first, a)
+        room = np.maximum(np.minimum(self.last - length + 1, stop) - first, 0)
+        begin = np.repeat(first, room)
+        doc = np.repeat(np.arange(len(first)), room)
         p = begin + np.arange(len(begin)) - np.repeat(np.cumsum(room) - room, room)
         if not len(p):
             return none, none, none, none
-        anchor = at[p]
+        anchor = at[p - a] + a
         new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         end = np.concatenate([new[1:], [len(p)]]) - 1
         return doc[new], anchor[new], p[new], p[end]
@@ -102,6 +133,7 @@ class Finder:
     in a document with a smaller id, else if it starts anywhere else."""
 
     def __init__(self, name: str, length: int, spread: int, k: int, by_doc: bool, symbols: Callable, fragments: Callable, compare: Callable):
+        self.piece = PIECE
         if spread + k - 1 > length:
             raise ValueError("the anchor must lie inside the window")
         self.name, self.length, self.spread, self.k, self.by_doc = name, length, spread, k, by_doc
@@ -111,6 +143,7 @@ class Finder:
     def entries(self, block: Block):
         """Contexts of a block with their group and context hashes (48 bits)."""
         seq, more = self.symbols(block)
+        seq.piece = self.piece
         doc, anchor, lo, hi = seq.contexts(self.length, self.spread, self.k)
         group = seq.span(anchor, anchor + self.common) >> U64(16)
         inner = mix((anchor - lo).astype(U64) * U64(1 << 32) + (hi - lo).astype(U64))
@@ -310,8 +343,10 @@ def _merge(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 
 def cover_mask(payloads: list | None, n: int) -> np.ndarray:
     """Which of `n` symbols are in any of the ranges."""
-    edge = np.zeros(n + 1, np.int64)
-    for blob in payloads or []:
-        _, lo, hi = unpack_arrays(blob)
-        edge += np.bincount(lo, minlength=n + 1)[: n + 1] - np.bincount(hi, minlength=n + 1)[: n + 1]
-    return np.cumsum(edge[:n]) > 0
+    got = [unpack_arrays(blob)[1:] for blob in payloads or []]
+    lo, hi = (np.concatenate([np.empty(0, np.int32), *x]) for x in zip(*got)) if got else (np.empty(0, np.int32),) * 2
+    _, lo, hi = _merge(np.zeros(len(lo), np.int32), lo, hi)
+    edge = np.zeros(n + 1, np.int8)  # the ranges are apart, so a byte a symbol is enough
+    edge[lo] = 1
+    edge[hi] = -1
+    return np.cumsum(edge[:n], dtype=np.int8).view(np.bool_)

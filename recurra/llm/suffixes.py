@@ -20,7 +20,7 @@ the anchor, where only neighbours can be the best match.
 
 Defined cases: null and empty texts have no bytes; matches never cross
 documents; repeated rows match each other; a null doc_id stays null; a text of
-under 400 bytes keeps all; an empty table gives no rows; other columns are
+under 400 bytes keeps all, and one of any length is hashed in pieces; an empty table gives no rows; other columns are
 ignored.
 """
 
@@ -228,34 +228,35 @@ def combine(payloads: list[bytes]):
 
 
 def _symbols(block: Block):
-    return Seq(block.buf.astype(np.uint64) + np.uint64(1), block.starts, block.ends), None
+    return Seq(block.buf, block.starts, block.ends), None
+
+
+FINDER = Finder("bytes", LENGTH, SPREAD, GRAM, False, _symbols, _Runs, combine)
 
 
 def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, text, n_bytes, n_removed, n_spans and kept of every document."""
-    find = Finder("bytes", LENGTH, SPREAD, GRAM, False, _symbols, _Runs, combine)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             block = Block(row)
             gone = cover_mask(row["cover"], len(block.buf))
-            removed = np.concatenate([[0], np.cumsum(gone)])
-            begins = np.concatenate([[0], np.cumsum(gone & ~np.concatenate([[False], gone[:-1]]))])
-            s, e = block.starts, block.ends
-            kept = [block.buf[i:j][~gone[i:j]].tobytes() for i, j in zip(s.tolist(), e.tolist())]
+            begins = gone.copy()
+            begins[1:] &= ~gone[:-1]
+            places = list(zip(block.starts.tolist(), block.ends.tolist()))
+            kept = [block.buf[i:j][~gone[i:j]].tobytes() for i, j in places]
             yield pa.RecordBatch.from_arrays(
                 [
                     block.doc_ids(),
                     pa.array([None if n < 0 else block.text(i) for i, n in enumerate(block.raw_lens.tolist())], pa.binary()),
                     pa.array(block.lens, pa.int64()),
-                    pa.array(removed[e] - removed[s], pa.int64()),
-                    pa.array(begins[e] - begins[s], pa.int64()),
+                    pa.array([int(np.count_nonzero(gone[i:j])) for i, j in places], pa.int64()),
+                    pa.array([int(np.count_nonzero(begins[i:j])) for i, j in places], pa.int64()),
                     pa.array(kept, pa.binary()),
                 ],
                 names=["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    return covered_blocks(docs, find, hot).mapInArrow(run, SCHEMA)
+    return covered_blocks(docs, FINDER, hot).mapInArrow(run, SCHEMA)
 
 
 def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

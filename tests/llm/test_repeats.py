@@ -1,13 +1,16 @@
 """Byte and word dedup against brute force."""
 
+import copy
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from recurra.llm import substrings, suffixes
-from recurra.llm.repeats import HOT
+from recurra.llm.common import Block
+from recurra.llm.repeats import HOT, Seq
 from tests.llm.corpus import as_set, awkward, frame
 
 
@@ -94,3 +97,35 @@ def test_suffix_automaton_matches():
         have = {tuple(s[i : i + 3]) for s in seqs[:-1] for i in range(len(s) - 2)}
         want = [e for e in range(2, len(seqs[-1])) if tuple(seqs[-1][e - 2 : e + 1]) in have]
         assert sam.matches(seqs[-1], 3) == want
+
+
+def test_texts_of_many_pieces(spark, monkeypatch):
+    rows = awkward()
+    monkeypatch.setattr(suffixes.FINDER, "piece", 700)
+    got = suffixes.remove_repeats(frame(spark, rows))
+    assert as_set(got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))) == brute_bytes(rows)
+    monkeypatch.setattr(substrings.FINDER, "piece", 50)
+    got = substrings.remove_repeats(frame(spark, rows))
+    assert as_set(got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute_words(rows)
+
+
+def test_pieces_give_the_contexts_of_the_whole():
+    block = Block.of([i for i, _ in awkward()], [None if t is None else t.encode() for _, t in awkward()])
+    for find, piece in ((suffixes.FINDER, 300), (substrings.FINDER, 9)):
+        whole = find.entries(block)[2:]
+        small = copy.copy(find)
+        small.piece = piece
+        for x, y in zip(whole, small.entries(block)[2:]):
+            assert (x == y).all()
+
+
+def test_a_text_of_over_2_28_symbols():
+    n = (1 << 28) + 5000
+    values = np.resize(np.random.default_rng(1).integers(0, 256, 1_000_003, np.uint8), n)
+    seq = Seq(values, np.array([0]), np.array([n]))
+    far = [seq.contexts_from(a, suffixes.LENGTH, suffixes.SPREAD, suffixes.GRAM) for a in (0, 1 << 28)]
+    assert far[1][3][-1] == n - suffixes.LENGTH
+    _, anchor, lo, hi = seq.contexts(suffixes.LENGTH, suffixes.SPREAD, suffixes.GRAM)
+    assert lo[0] == 0 and hi[-1] == n - suffixes.LENGTH and (lo[1:] == hi[:-1] + 1).all()
+    k = (1 << 28) // 1_000_003 * 1_000_003
+    assert (seq.span(np.array([5, k + 5]), np.array([405, k + 405])) == seq.span(np.array([5, 5]), np.array([405, 405]))).all()
