@@ -18,8 +18,8 @@ lower-cased) have 100 * shared >= 75 * union. The steps:
    the member with the fewest shingles of its own, are verified. Members linked
    with the hub are in one class already. For two others the hub bounds what
    they can share, |x & y| <= min(|x & c|, |y & c|) + min(rest of x, rest of y),
-   and the pairs that pass this bound are verified as well, so no link is lost
-   and no list is expanded into all its pairs.
+   and the pairs that pass this bound are verified as well, so no link is lost.
+   The bound is tested on every pair of an open member and a member of its hub.
 4. Verified links become classes by label propagation with pointer jumping.
 
 Defined cases: null, empty and blank texts have no shingles and link with
