@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.llm.bpe_codec import op12_bpe_codec
+from recurra.llm.conversation_repair import OP11_SQL, op11_conversations
 from recurra.llm.decontamination import OP8_SQL, op8_decontamination
 from recurra.llm.jaccard import OP9_SQL, op9_jaccard
 from recurra.llm.packing import op10_packing
 from recurra.llm.quality import op4_quality
+from recurra.llm.ranking import OP13_SQL, op13_search
 from recurra.llm.sharding import op7_sharding
 from recurra.llm.token_counts import op6_token_counts
 from recurra.llm.substrings import OP2_SQL, op2_substrings
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
+    "op11_conversations": op11_conversations,
+    "op12_bpe_codec": op12_bpe_codec,
+    "op13_search": op13_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -36,4 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_topk": OP3_SQL,
     "op8_decontamination": OP8_SQL,
     "op9_jaccard": OP9_SQL,
+    "op11_conversations": OP11_SQL,
+    "op13_search": OP13_SQL,
 }
