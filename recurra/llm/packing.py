@@ -16,8 +16,9 @@ tokenizer always splits (before a space or around a line feed between two
 words), and the ids of each such piece are remembered, up to a bound, so that
 a repeated word is merged once per worker; new pieces are merged by `tiktoken`
 with the vocabulary read from the same file, which is a few times faster and
-gives the same ids (tested). Texts with any other white space go to
-`tokenizers` whole.
+gives the same ids (tested). Texts with any other white space, and those that
+hold the string of an added token (which the library's default makes that
+token), go to `tokenizers` whole.
 
 Defined cases: a null or empty text is its end id alone; repeated rows are
 packed like any others; a null `doc_id` stays null; an empty table gives no
@@ -79,8 +80,9 @@ class IdCache:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        #: A text that holds the string of an added token goes to the library whole.
+        self.added = re.compile("|".join(map(re.escape, sorted(special)))).search if special else lambda t: None
         as_byte = _byte_letters()
         ranks = {bytes(as_byte[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
         self.pieces = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -114,7 +116,7 @@ class IdCache:
         first: set[str] = set()
         later: set[str] = set()
         for t in texts:
-            if not _plain(t):
+            if not _plain(t) or self.added(t):
                 split.append(None)
                 continue
             lines = [x.split(" ") for x in t.split("\n")] if t else []

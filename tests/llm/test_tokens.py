@@ -33,7 +33,10 @@ def test_ids_equal_the_library(texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     cache = packing.IdCache(path, most=500)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    rng = random.Random(7)
+    end = "<|endoftext|>"
+    texts = texts + [end, f"{end} a b", f"a {end} b", f"a b {end}", f"a\n{end}\nb", f"a{end}b", end * 3, "<|endoftext", f" {end}  a"]
+    texts += ["".join(rng.choice([end, " ", "\n", "a", "of the", "<|", "|>"]) for _ in range(rng.randrange(1, 9))) for _ in range(500)]
     want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
     got = [x for k in range(0, len(texts), 100) for x in cache.encode(texts[k : k + 100])]
     assert got == want
@@ -76,9 +79,8 @@ def test_step_groups_are_balanced():
 
 
 def test_packing_round_trip(spark):
-    rows = [(k, t) for k, (_, t) in enumerate(awkward())] + [(None, "no id")]
+    rows = [(k, t) for k, (_, t) in enumerate(awkward())] + [(None, "no id"), (901, "a <|endoftext|> b"), (902, "<|endoftext|>")]
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     got = packing.pack(frame(spark, rows), group_tokens=3000).collect()
     docs, seqs = {}, {}
     for r in got:
