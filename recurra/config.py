@@ -98,3 +98,6 @@ class Config:
     # orders, rollforward) with reliable checkpoints in the shared
     # `spark.checkpoint.dir`; each is read by several later stages.
     materialize: bool = True
+    # A customer with more orders than this in a slice has them dealt to
+    # several tasks of the join with its facts.
+    hot_orders: int = 500_000

@@ -8,14 +8,14 @@ aggregates (at most one row per month and company of a customer), built with
 partial aggregation, and on one exchange by (slice, customer):
 
     orders --explode, partial agg--> (slice, cust, company, month)
-        --exchange by (slice, cust)--> labels -> month totals -> gaps -> facts
+        --exchange by (slice, cust), one sort--> labels -> month totals -> gaps
         --> one row per (slice, cust, company) with an array of month facts
 
-That row is joined to the *unexploded* orders; each order then explodes to the
-months of the array it is active in, and to the synthetic churn months it is
-the model of. The array is bounded by the calendar, so what the large exchange
-carries is orders, never order-months; a hot customer's orders are split by
-the skew-join rule, since the other side has one row for the key.
+That row is joined to the *unexploded* orders, which lie bucketed by the join's
+key, so the join moves facts only; each order then explodes to the months of
+the array it is active in, and to the synthetic churn months it is the model
+of. The array is bounded by the calendar. A hot customer's orders are dealt to
+several parts of the key, and its facts copied to each.
 
 Ties the source leaves to chance are fixed: the synthetic churn row copies
 the month's smallest-ARR row, then smallest order number; the movement delta
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
 from .monthly import active_month_starts
+from .staging import MEET
 
 K3 = ["for_product", "customer_id", "pivot_month"]
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
@@ -107,15 +108,8 @@ def first_order_dates(spans: DataFrame) -> DataFrame:
 
 
 def _row() -> list[Column]:
-    """Which of a month's rows: order id, then the row's content, then the row."""
-    return [F.col("ordernumber").alias("o"), F.col("_h").alias("h"), F.col("_rid").alias("r")]
-
-
-def number_rows(orders: DataFrame) -> DataFrame:
-    """`_rid` and `_h`: every order row's number and content hash. Where a
-    dirty dimension or feed repeats an order, exactly one of its rows carries a
-    synthetic churn or a movement."""
-    return orders.withColumn("_h", F.xxhash64(*orders.columns)).withColumn("_rid", F.monotonically_increasing_id())
+    """Which of a month's rows: order id, then the row's content."""
+    return [F.col("ordernumber").alias("o"), F.col("_h").alias("h")]
 
 
 def customer_company_months(om: DataFrame) -> DataFrame:
@@ -141,91 +135,73 @@ def customer_company_months(om: DataFrame) -> DataFrame:
 
 
 def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
-    """O23-O26 facts: one row per (slice, customer, company) with `_facts`, an
-    array of its months (`rollforward.labelled_months` in, all on its
-    partitioning). An element with `syn` is a synthetic churn month (O24), of
-    the order row (`t_rid`) it copies; the others are months with orders.
+    """O23-O26 facts: one row per (slice, customer, company) with its months,
+    from `rollforward.labelled_months` and all on its partitioning and sort.
+
+    `_facts`: the months with orders, in order (`_months`: their month-ends);
+    `_syn`: its synthetic churn months (O24), each with the hash `h` of the
+    order row it copies; `_churn_date`: the customer's last month.
     """
+    key = ["for_product", "customer_id"]
     churned = truthy(variant.churn_match(F.col("_label")))
     tail = F.when(
         ~churned & F.col("_tail.a").isNotNull(),
-        F.struct(
-            F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"),
-            F.col("_tail.h").alias("h"), F.col("_tail.r").alias("r"),
-        ),
+        F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"), F.col("_tail.h").alias("h")),
     )
+    # the companies of a customer's month meet in a window: the first row stands for them
+    of_month = Window.partitionBy(*K3)
     months = (
         labelled.filter(F.col("_sum_u").isNotNull() & F.col("customer_id").isNotNull())
-        .groupBy(*K3)
-        .agg(
-            F.sum(F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).alias("_cum_u"),
-            F.min(tail).alias("_tail"),
-            F.min("_min_on").alias("_min_on"),
-            F.max("_null_on").alias("_null_on"),
-            F.max("_first_order_date").alias("_first_order_date"),
-            F.collect_list(F.struct("company", "_label")).alias("_cos"),
+        .select(
+            *K3,
+            "_first_order_date",
+            F.row_number().over(of_month.orderBy(F.col("company").asc_nulls_first())).alias("_nth"),
+            F.sum(F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).over(of_month).alias("_cum_u"),
+            F.min(tail).over(of_month).alias("_tail"),
+            F.min("_min_on").over(of_month).alias("_min_on"),
+            F.max("_null_on").over(of_month).alias("_null_on"),
+            F.collect_list(F.struct(F.col("company").alias("c"), F.col("_label").alias("label"))).over(of_month).alias("_cos"),
         )
+        .filter("_nth = 1")
     )
-    # A churn row after every active month not followed by the next month.
-    back = Window.partitionBy("for_product", "customer_id").orderBy(F.desc("pivot_month"))
-    active = F.col("_tail").isNotNull()
-    following = F.last(F.when(active, F.col("pivot_month")), ignorenulls=True).over(
-        back.rowsBetween(Window.unboundedPreceding, -1)
-    )
-    months = months.withColumn("_next", following)
-    gap = active & (F.col("_next").isNull() | (month_boundaries("pivot_month", "_next") > 1))
-    nothing = F.filter(F.col("_cos"), lambda x: F.lit(False))
-    event = lambda month, cum, first_on, null_on, cos, churn: F.struct(
-        month.alias("m"), cum.alias("u"), first_on.alias("on"), null_on.alias("null_on"), cos.alias("cos"), churn.alias("churn")
-    )
-    churn = F.struct(F.col("_tail.c").alias("c"), F.col("_tail.r").alias("t_rid"), (-F.col("_cum_u")).alias("u"))
-    own = event(F.col("pivot_month"), F.col("_cum_u"), F.col("_min_on"), F.col("_null_on"), F.col("_cos"), F.when(F.lit(False), churn))
-    late = event(
-        next_month_end(F.col("pivot_month")),
-        F.lit(0).cast("long"),
-        F.struct(*[F.col(f"_tail.{c}").alias(c) for c in ("o", "h", "r")]),
-        F.col("_tail.o").isNull(),
-        nothing,
-        churn,
-    )
-    events = F.explode(F.when(gap, F.array(own, late)).otherwise(F.array(own))).alias("e")
-    present = (
-        months.select("for_product", "customer_id", "_first_order_date", events)
-        .groupBy("for_product", "customer_id", F.col("e.m").alias("pivot_month"))
-        .agg(
-            F.sum("e.u").alias("_cum_u"),
-            F.min("e.on").alias("_min_on"),
-            F.max("e.null_on").alias("_null_on"),
-            F.max("_first_order_date").alias("_first_order_date"),
-            F.flatten(F.collect_list("e.cos")).alias("_cos"),
-            F.max("e.churn").alias("_churn"),
-        )
-    )
-    wc = Window.partitionBy("for_product", "customer_id").orderBy("pivot_month")
-    facts = present.withColumns(
-        {
-            "_delta_u": F.col("_cum_u") - F.lag("_cum_u", 1, 0).over(wc),
-            "_first_on": F.when(~F.col("_null_on"), F.col("_min_on.r")),
-            "_churn_date": F.max("pivot_month").over(Window.partitionBy("for_product", "customer_id")),
-        }
-    )
-    label = lambda x: F.struct(
-        x["company"].alias("c"), x["_label"].alias("label"), F.lit(False).alias("syn"),
-        F.lit(None).cast("long").alias("t_rid"), F.lit(None).cast("long").alias("u"),
+    # A churn month after every paying month that the next month does not follow paying.
+    # Where the next month has (unpaying) orders it is that month, else a month of its own.
+    w = Window.partitionBy(*key).orderBy("pivot_month")
+    late = next_month_end(F.col("pivot_month"))
+    months = months.withColumns({"_next": F.lead("pivot_month").over(w), "_next_pays": F.lead(F.col("_tail").isNotNull()).over(w)})
+    months = months.withColumn("_next", F.when(F.col("_next") == late, F.col("_next")))
+    gap = F.col("_tail").isNotNull() & ~truthy(F.col("_next").isNotNull() & F.col("_next_pays"))
+    months = months.withColumn("_gap", gap).withColumn("_alone", gap & F.col("_next").isNull())
+    before = F.lag(F.struct("_gap", "_alone", "_cum_u", "_tail")).over(w)
+    end = F.max(F.when(F.col("_alone"), late).otherwise(F.col("pivot_month"))).over(Window.partitionBy(*key))
+    months = months.withColumns({"_b": before, "_churn_date": end})
+    met = truthy(F.col("_b._gap") & ~F.col("_b._alone"))  # the churn of the month before is of this month
+    copied = F.struct(F.col("_b._tail.o").alias("o"), F.col("_b._tail.h").alias("h"))
+    first = F.when(met, F.least(F.col("_min_on"), copied)).otherwise(F.col("_min_on"))
+    null_on = F.col("_null_on") | (met & F.col("_b._tail.o").isNull())
+    delta = F.col("_cum_u") - F.when(truthy(F.col("_b._alone")), F.lit(0)).otherwise(F.coalesce(F.col("_b._cum_u"), F.lit(0)))
+    own = F.transform(
+        "_cos",
+        lambda x: F.struct(
+            x["c"].alias("c"), F.col("pivot_month").alias("m"), x["label"].alias("label"), F.col("_delta_u").alias("delta"),
+            F.col("_first_h").alias("h"), F.lit(None).cast("long").alias("u"), F.lit(False).alias("syn"),
+        ),
     )
-    synthetic = F.struct(
-        F.col("_churn.c").alias("c"), F.lit("Churn").alias("label"), F.lit(True).alias("syn"),
-        F.col("_churn.t_rid").alias("t_rid"), F.col("_churn.u").alias("u"),
+    churn = F.struct(
+        F.col("_tail.c").alias("c"), late.alias("m"), F.lit("Churn").alias("label"), F.lit(None).cast("long").alias("delta"),
+        F.col("_tail.h").alias("h"), (-F.col("_cum_u")).alias("u"), F.lit(True).alias("syn"),
     )
-    rows = F.transform("_cos", label)
-    rows = F.when(F.col("_churn").isNotNull(), F.concat(rows, F.array(synthetic))).otherwise(rows)
-    flat = facts.select("for_product", "customer_id", "pivot_month", "_delta_u", "_first_on", "_churn_date", "_first_order_date", F.explode(rows).alias("x"))
-    fact = F.struct(
-        F.col("pivot_month").alias("m"), F.col("x.label").alias("label"), F.col("_delta_u").alias("delta"), F.col("_first_on").alias("first_on"),
-        F.col("_churn_date").alias("churn_date"), F.col("x.syn").alias("syn"), F.col("x.t_rid").alias("t_rid"), F.col("x.u").alias("u"),
+    months = months.withColumns({"_delta_u": delta, "_first_h": F.when(~null_on, first["h"])})
+    facts = months.select(*key, "_first_order_date", "_churn_date", F.explode(F.when(F.col("_gap"), F.concat(own, F.array(churn))).otherwise(own)).alias("x"))
+    all_of = F.collect_list(F.struct(*[F.col(f"x.{c}").alias(c) for c in ("m", "label", "delta", "h", "u", "syn")]))
+    facts = facts.groupBy(*key, F.col("x.c").alias("company")).agg(
+        F.max("_first_order_date").alias("_first_order_date"), F.max("_churn_date").alias("_churn_date"), all_of.alias("_all")
     )
-    return flat.groupBy("for_product", "customer_id", F.col("x.c").alias("company")).agg(
-        F.max("_first_order_date").alias("_first_order_date"), F.collect_list(fact).alias("_facts")
+    return (
+        facts.withColumn("_facts", F.sort_array(F.filter("_all", lambda x: ~x["syn"])))
+        .withColumn("_syn", F.filter("_all", lambda x: x["syn"]))
+        .withColumn("_months", F.col("_facts.m"))
+        .drop("_all")
     )
 
 
@@ -235,8 +211,7 @@ def _with_facts(df: DataFrame) -> DataFrame:
             "pivot_month": F.col("_f.m"),
             "_label": F.col("_f.label"),
             "_delta_u": F.col("_f.delta"),
-            "_first_on": F.col("_f.first_on"),
-            "_churn_date": F.col("_f.churn_date"),
+            "_first_on": F.col("_f.h"),
             "_syn": F.col("_f.syn"),
         }
     )
@@ -246,21 +221,19 @@ def arr_rows(
     orders: DataFrame, facts: DataFrame, spans: DataFrame, bounds: SpineBounds, variant: Variant = PROCEDURE
 ) -> DataFrame:
     """O23-O27 for every slice at once, from `customer_facts` of the same
-    orders: order-month rows, and synthetic churn rows (`_syn`)."""
-    f = facts.withColumnsRenamed({"for_product": "_r_fp", "customer_id": "_r_cust", "company": "_r_company"})
-    joined = orders.join(
-        f,
-        (orders["for_product"] == f["_r_fp"])
-        & (orders["customer_id"] == f["_r_cust"])
-        & orders["company"].eqNullSafe(f["_r_company"]),
-        "inner",  # an order with a customer finds each of its months among the facts
-    ).drop("_r_fp", "_r_cust", "_r_company")
-    start_m, end_m = F.last_day("standardstartdate"), F.last_day("standardenddate_adjusted")
-    taken = F.filter(
-        "_facts",
-        lambda x: F.when(x["syn"], x["t_rid"] == F.col("_rid")).otherwise((x["m"] >= start_m) & (x["m"] < end_m)),
-    )
-    wide = joined.withColumn("_f", F.explode(taken)).drop("_facts")
+    orders: order-month rows, and synthetic churn rows (`_syn`). Both sides
+    carry the `MEET` columns (`staging.deal_orders`, `staging.copy_facts`).
+
+    An order's months are a slice of its customer's: every month it is active
+    in has an order, so none is missing between its first and its last."""
+    f = facts.select(*MEET, "_first_order_date", "_churn_date", "_facts", "_months", F.col("_syn").alias("_churns"))
+    joined = orders.join(f, MEET)  # an order with a customer finds each of its months among the facts
+    at = F.array_position("_months", F.col("_first_month")).cast("int")
+    own = F.when(F.col("_n_months") > 0, F.slice("_facts", at, F.col("_n_months")))
+    copied = F.when((F.col("_copy") == 0) & (F.size("_churns") > 0), F.filter("_churns", lambda x: x["h"] == F.col("_h")))
+    none = F.filter("_churns", lambda x: F.lit(False))
+    taken = F.concat(F.coalesce(own, none), F.coalesce(copied, none))
+    wide = joined.withColumn("_f", F.explode(taken)).drop("_facts", "_months", "_churns")
     zero = F.lit(0).cast("long")
     free = F.col("_syn") | truthy(variant.churn_match(F.col("_label")))
     # within its months an order pays; the month it ends in is not one of them
@@ -280,7 +253,7 @@ def arr_rows(
     ).drop("_ms")
     rows = rows.unionByName(nobody)
     if variant.keep_monthless:
-        lone = orders.filter(F.coalesce(F.size(months), F.lit(0)) <= 0).join(
+        lone = orders.filter("_n_months = 0").join(
             first_order_dates(spans), ["for_product", "customer_id"], "left"
         )
         rows = rows.unionByName(lone.withColumns(none | {"pivot_month": F.lit(None).cast("date"), "_arr_u": zero}))
@@ -291,7 +264,7 @@ def _finish(df: DataFrame, variant: Variant) -> DataFrame:
     """Row-level O25 split, O26 interim churn and the output columns."""
     label = F.col("_label")
     ok = F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull() & F.col("pivot_month").isNotNull()
-    first = truthy(F.col("_rid") == F.col("_first_on"))
+    first = (F.col("_copy") == 0) & ~F.col("_syn") & truthy(F.col("_h") == F.col("_first_on"))
     zero = F.lit(0).cast("long")
 
     def split(name: str) -> Column:

@@ -26,6 +26,15 @@ def active_month_starts(start, end_exclusive, bounds: SpineBounds):
     return F.when(s.isNotNull() & e.isNotNull(), bounds.within(month_starts_between(lo, hi)))
 
 
+def with_active_run(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
+    """`_first_month` (a month-end) and `_n_months`: where an order's active
+    months begin in a run of months that has them all, and how many they are."""
+    months = active_month_starts("standardstartdate", "standardenddate_adjusted", bounds)
+    return orders.withColumn("_months", months).withColumns(
+        {"_first_month": F.last_day(F.get("_months", F.lit(0))), "_n_months": F.coalesce(F.size("_months"), F.lit(0))}
+    ).withColumn("_n_months", F.greatest("_n_months", F.lit(0))).drop("_months")
+
+
 def arr_by_month(orders: DataFrame, bounds: SpineBounds, keep_monthless: bool = True) -> DataFrame:
     """One row per order and active month-end.
 

@@ -112,26 +112,26 @@ def labelled_months(
     """O20-O22 per (slice, customer, company, month): ARR, the ARR before, the
     label, and the month's own facts from `ccm` for the ARR table.
 
-    Spans and month facts meet by union and aggregate on data partitioned by
-    (slice, customer), so the lag window, and whatever follows on that key
-    (`arr.customer_facts`), reuse one exchange and one sort. `first_dates`:
+    Spans and month facts meet on data partitioned by (slice, customer) and
+    sorted by month and company, where a month's facts are the row after it;
+    the lag window, and whatever follows on that key (`arr.customer_facts`),
+    reuse that one exchange and that one sort. `first_dates`:
     (for_product, customer_id, _first_date), by default the first start; a
     'New' month after the month of that date becomes 'Reactivation'.
     """
-    base = rollforward_base(spans, slices, bounds)
+    base = rollforward_base(spans, slices, bounds).withColumn("_is", F.lit(0))
     # A month of `ccm` lies in exactly one span month. The source's join on
     # customer, company and month never matches a NULL, so the rollforward's
     # ARR leaves those out; the ARR table's facts keep NULL companies.
-    cm = ccm.filter(F.col("customer_id").isNotNull())
-    arr = F.when(F.col("company").isNotNull(), F.col("_sum_u"))
-    rf = (
-        base.unionByName(cm, allowMissingColumns=True)
-        .withColumn("_arr_u", arr)
-        .repartition(*KEY)
-        .groupBy(*KEY, "pivot_month", "company")
-        .agg(F.sum("_arr_u").alias("_arr_u"), *[F.max(c).alias(c) for c in (*SPAN, *MONTH)])
-    )
-    w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first())
+    cm = ccm.filter(F.col("customer_id").isNotNull()).withColumn("_is", F.lit(1))
+    by_month = [F.col("pivot_month"), F.col("company").asc_nulls_first()]
+    w = Window.partitionBy(*KEY).orderBy(*by_month)
+    after = F.lead(F.struct("_is", "pivot_month", "company", *MONTH)).over(Window.partitionBy(*KEY).orderBy(*by_month, "_is"))
+    rf = base.unionByName(cm, allowMissingColumns=True).repartition(*KEY).withColumn("_after", after).filter("_is = 0")
+    own = (F.col("_after._is") == 1) & (F.col("_after.pivot_month") == F.col("pivot_month"))
+    own = own & F.col("_after.company").eqNullSafe(F.col("company"))
+    rf = rf.withColumns({c: F.when(own, F.col(f"_after.{c}")) for c in MONTH}).drop("_after", "_is")
+    rf = rf.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
     arr, prev = F.col("_arr_u"), F.col("_prev_u")
     zero = F.lit(0)
     rf = rf.withColumn("_prev_u", F.lag("_arr_u").over(w))

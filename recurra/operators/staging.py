@@ -162,6 +162,77 @@ def flag_refund_links(staged: DataFrame, clean: DataFrame, unmatched: DataFrame)
     ).drop("_fl_c", "_fl_r")
 
 
+def content_hash(columns: list[str]) -> Column:
+    """64 bits of a row's content; which columns are NULL counts, too."""
+    nulls = sum((F.col(c).isNull().cast("long") * (1 << k) for k, c in enumerate(columns)), F.lit(0).cast("long"))
+    return F.xxhash64(*columns, nulls)
+
+
+def mark_copies(rows: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+    """`_copy`: the number of a row within its equals, from 0 (`rows` carry
+    `_h`, their `content_hash`). Where a dirty dimension or feed repeats an
+    order, copy 0 carries a synthetic churn or a movement; `_h` and `_copy`
+    depend on nothing but the rows, however they are partitioned.
+
+    Equal rows are told by a count of `_h` alone; only those are counted by
+    their whole content (partial aggregates, so no group meets in one task)
+    and written out again, `chunk` copies at a time.
+    """
+    again = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
+    single = rows.join(again, "_h", "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    counted = rows.join(again, "_h", "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / chunk)))
+    parts = counted.withColumn("_part", chunks).repartition("_h", "_part")
+    last = F.least(F.col("_n"), (F.col("_part") + 1) * chunk) - 1
+    copies = parts.withColumn("_copy", F.explode(F.sequence(F.col("_part") * chunk, last)))
+    return single.select(*rows.columns, "_copy").unionByName(copies.select(*rows.columns, "_copy"))
+
+
+#: What orders and customer facts meet on; none but the customer is ever NULL.
+MEET = ["for_product", "customer_id", "_company_key", "_salt"]
+
+
+def hot_customers(keys: DataFrame, most: int) -> DataFrame:
+    """(for_product, customer_id) of more than `most` orders, with `_salts`,
+    the number of parts their orders are dealt to. `keys`: one row per order;
+    the result has at most one row for each `most` orders."""
+    counts = keys.groupBy("for_product", "customer_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > most).select("for_product", "customer_id", F.ceil(F.col("_n") / most).alias("_salts"))
+
+
+def _salts(df: DataFrame, hot: DataFrame) -> DataFrame:
+    h = hot.select(F.col("for_product").alias("_h_fp"), F.col("customer_id").alias("_h_cust"), "_salts")
+    on = (df["for_product"] == h["_h_fp"]) & df["customer_id"].eqNullSafe(h["_h_cust"])
+    return df.join(h, on, "left").drop("_h_fp", "_h_cust").withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long")))
+
+
+def company_key(company) -> Column:
+    """A company, or NULL, as a string that is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), F.col(company)), F.lit(""))
+
+
+def deal_orders(orders: DataFrame, hot: DataFrame) -> DataFrame:
+    """The `MEET` columns of orders: a hot customer's are dealt by content."""
+    dealt = F.pmod(F.xxhash64("_h", "_copy"), F.col("_salts"))
+    return _salts(orders, hot).withColumns({"_salt": dealt, "_company_key": company_key("company")}).drop("_salts")
+
+
+def copy_facts(facts: DataFrame, hot: DataFrame) -> DataFrame:
+    """The `MEET` columns of customer facts: a row for each part of the orders."""
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
+    return _salts(facts, hot).withColumns({"_salt": each, "_company_key": company_key("company")}).drop("_salts")
+
+
+def _in_all() -> Column:
+    doomed = (F.col("_cost") == 0) | (lower_or_dash("type") == "refund") | F.col("_matched")
+    return ~truthy(doomed)
+
+
+def _in_product() -> Column:
+    paid = (F.col("_cost") > 0) & (lower_or_dash("type") != "refund") & F.col("_not_in_clean")
+    return truthy(paid) & F.col("_dim_product").isNotNull()
+
+
 def orders_all(staged: DataFrame) -> DataFrame:
     """The whole-business slice after the staging DELETE.
 
@@ -169,8 +240,7 @@ def orders_all(staged: DataFrame) -> DataFrame:
     costs stay (the test is `= 0`), and a NULL order id is never "in" the
     refund map.
     """
-    doomed = (F.col("_cost") == 0) | (lower_or_dash("type") == "refund") | F.col("_matched")
-    return staged.filter(~truthy(doomed)).withColumn("for_product", F.lit(ALL_SLICE))
+    return staged.filter(_in_all()).withColumn("for_product", F.lit(ALL_SLICE))
 
 
 def orders_by_product(staged: DataFrame) -> DataFrame:
@@ -179,11 +249,7 @@ def orders_by_product(staged: DataFrame) -> DataFrame:
     Strict `cost > 0`; the slice filter binds to the dimension column, so
     unmapped (Addon) orders belong to no product slice.
     """
-    kept = staged.filter(
-        truthy((F.col("_cost") > 0) & (lower_or_dash("type") != "refund") & F.col("_not_in_clean"))
-        & F.col("_dim_product").isNotNull()
-    )
-    return kept.withColumn("for_product", F.col("_dim_product"))
+    return staged.filter(_in_product()).withColumn("for_product", F.col("_dim_product"))
 
 
 def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> DataFrame:
@@ -217,11 +283,17 @@ def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> D
 def slice_orders(staged: DataFrame, region: DataFrame, cfg: Config, products: bool = True) -> DataFrame:
     """O09 (+O10 when `products`) with adjusted end date and country name.
 
-    `staged` carries the refund flags (`flag_refund_links`). Output: one
-    row per (for_product, order); the input of O17-O27.
+    `staged` carries the refund flags (`flag_refund_links`) and is read once:
+    each row goes to the slices it is in. Output: one row per (for_product,
+    order); the input of O17-O27.
     """
-    s = orders_all(staged)
-    if products:
-        s = s.unionByName(orders_by_product(staged))
-    s = adjusted_end_date(s, cfg.grace_days, F.col("_cost") > 0)
+    s = adjusted_end_date(in_slices(staged, products), cfg.grace_days, F.col("_cost") > 0)
     return with_country(s, region, fallback=True)
+
+
+def in_slices(staged: DataFrame, products: bool) -> DataFrame:
+    """Each staged row once for every slice it is in."""
+    if not products:
+        return orders_all(staged)
+    slices = F.array(F.when(_in_all(), F.lit(ALL_SLICE)), F.when(_in_product(), F.col("_dim_product")))
+    return staged.withColumn("for_product", F.explode(F.array_compact(slices)))

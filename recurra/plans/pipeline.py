@@ -32,10 +32,11 @@ from ..config import Config
 from ..operators import arr as arr_ops
 from ..operators import batch as batch_ops
 from ..operators import facts, legacy, refunds, rollforward, staging
-from ..operators.monthly import arr_by_month
-from ..session import delete_folder, materialize
+from ..operators.monthly import arr_by_month, with_active_run
+from ..session import delete_folder, drop_stage, materialize, materialize_bucketed
 from ..sources.calendar import SpineBounds
-from ..sources.sinks import switch, write_table
+from ..sources.catalog import TableStore
+from ..sources.sinks import RUN_PREFIX, switch, write_table
 from ..sources.tables import Inputs
 
 
@@ -56,6 +57,9 @@ class Pipeline:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name, self._written) if self.cfg.materialize else df
 
+    def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize_bucketed(df, name, staging.MEET, self._written) if self.cfg.materialize else df
+
     @cached_property
     def _written(self) -> list[str]:
         return []
@@ -63,7 +67,7 @@ class Pipeline:
     def drop_stages(self) -> None:
         """Delete the stage tables; DataFrames taken from here no longer work."""
         while self._written:
-            delete_folder(self.spark, self._written.pop())
+            drop_stage(self.spark, self._written.pop())
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -71,6 +75,7 @@ class Pipeline:
         i = self.inputs
         rs = self.refund_sets
         s = staging.stage_orders(i.transactions, i.company, i.product_dim, self.cfg)
+        s = s.withColumn("_h", staging.content_hash(s.columns))
         return self._cut(staging.flag_refund_links(s, rs.clean, rs.unmatched), "staged")
 
     @cached_property
@@ -84,8 +89,14 @@ class Pipeline:
     @cached_property
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
-        o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
-        return self._cut(arr_ops.number_rows(o), "orders")
+        o = staging.slice_orders(staging.mark_copies(self.staged), self.inputs.region_dim, self.cfg, self.products)
+        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.hot), "orders")
+
+    @cached_property
+    def hot(self) -> DataFrame:
+        """Customers whose orders are dealt to several tasks."""
+        keys = staging.in_slices(self.staged, self.products)
+        return self._cut(staging.hot_customers(keys, self.cfg.hot_orders), "hot-customers")
 
     @cached_property
     def arr_monthly(self) -> DataFrame:
@@ -113,6 +124,7 @@ class Pipeline:
     @cached_property
     def arr_final_full(self) -> DataFrame:
         facts = self._cut(arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE), "customer-facts")
+        facts = staging.copy_facts(facts, self.hot)
         return arr_ops.arr_rows(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
 
     @cached_property
@@ -150,7 +162,15 @@ class Pipeline:
     @cached_property
     def batch_orders(self) -> DataFrame:
         i = self.inputs
-        return self._cut(arr_ops.number_rows(batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)), "batch-orders")
+        o = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
+        o = staging.mark_copies(self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged"))
+        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.batch_hot), "batch-orders")
+
+    @cached_property
+    def batch_hot(self) -> DataFrame:
+        i = self.inputs
+        keys = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
+        return self._cut(staging.hot_customers(keys, self.cfg.hot_orders), "batch-hot-customers")
 
     @cached_property
     def batch_spans(self) -> DataFrame:
@@ -173,6 +193,7 @@ class Pipeline:
 
     def batch_arr_final(self) -> DataFrame:
         facts = self._cut(arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH), "batch-customer-facts")
+        facts = staging.copy_facts(facts, self.batch_hot)
         rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
         return arr_ops.public(rows, arr_ops.BATCH)
 
@@ -202,12 +223,26 @@ class Pipeline:
         """Write every output into a fresh folder below `base`, then point
         `base/current` (a one-row table of the folder's name) at it, and
         delete the stage tables. A reader that resolves `current` first sees
-        either the former run whole or this one whole."""
-        run = f"run-{uuid.uuid4().hex}"
+        either the former run whole or this one whole. A run that fails leaves
+        no folder; what a lost driver leaves, and former runs, go by
+        `sinks.expire_runs`."""
+        run = f"{RUN_PREFIX}{uuid.uuid4().hex}"
         try:
             for name, df in self.outputs().items():
                 write_table(df, f"{base}/{run}/{name}", ["for_product"] if "for_product" in df.columns else None)
+            switch(self.spark, base, run)
+        except BaseException:
+            delete_folder(self.spark, f"{base}/{run}")
+            raise
         finally:
             self.drop_stages()
-        switch(self.spark, base, run)
         return f"{base}/{run}"
+
+    def publish_tables(self, database: str) -> str:
+        """The same into the session's catalog: `database.arr_final` and so on
+        are views that are switched to the new run's tables when all of these
+        are written (`sources.catalog.TableStore`); returns the run."""
+        try:
+            return TableStore(self.spark, database).publish(self.outputs())
+        finally:
+            self.drop_stages()

@@ -12,6 +12,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # arrays of a customer's months are gathered by hashing, not by another sort
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -69,3 +71,31 @@ def materialize(df: DataFrame, name: str = "stage", written: list[str] | None =
     if written is not None:
         written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, name: str, keys: list[str], written: list[str] | None = None) -> DataFrame:
+    """As `materialize`, bucketed by `keys` into as many buckets as the session
+    has shuffle partitions: the rows are moved once, here, and a join or
+    aggregate on `keys` reads them as they lie. Buckets are known to a table
+    only, so this is one of the session's catalog, its files under the shared
+    folder; `written` gets both."""
+    spark = df.sparkSession
+    ident = f"recurra_{name}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{ensure_checkpoint_dir(spark)}/{ident}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys)
+    writer.option("path", path).saveAsTable(ident)
+    if written is not None:
+        written += [path, TABLE_MARK + ident]
+    return spark.table(ident)
+
+
+#: Before the name of a table among the stages written.
+TABLE_MARK = "table:"
+
+
+def drop_stage(spark: SparkSession, stage: str) -> None:
+    if stage.startswith(TABLE_MARK):
+        spark.sql(f"DROP TABLE IF EXISTS {stage.removeprefix(TABLE_MARK)}")
+    else:
+        delete_folder(spark, stage)

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
+RUN_PREFIX = "run-"
+_POINTER = "current"
+_ASIDE = ".current-"
+
 
 def write_table(
     df: DataFrame,
@@ -23,12 +29,18 @@ def write_noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(conf), target
+
+
 def switch(spark: SparkSession, base: str, run: str) -> None:
     """Make `run` the current run of `base`: a small text file is written
     aside and renamed over the former one, which readers see at once."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    aside = jvm.org.apache.hadoop.fs.Path(f"{base}/.current-{run}")
-    current = jvm.org.apache.hadoop.fs.Path(f"{base}/current")
+    aside = jvm.org.apache.hadoop.fs.Path(f"{base}/{_ASIDE}{run}")
+    current = jvm.org.apache.hadoop.fs.Path(f"{base}/{_POINTER}")
     fs = current.getFileSystem(conf)
     out = fs.create(aside, True)
     out.write(bytearray(run.encode()))
@@ -42,5 +54,25 @@ def switch(spark: SparkSession, base: str, run: str) -> None:
 
 def current_run(spark: SparkSession, base: str) -> str:
     """The folder of the current run of `base`."""
-    name = spark.read.text(f"{base}/current").first()[0]
+    name = spark.read.text(f"{base}/{_POINTER}").first()[0]
     return f"{base}/{name}"
+
+
+def expire_runs(spark: SparkSession, base: str, older_than: dt.timedelta, keep: int = 1, now: dt.datetime | None = None) -> list[str]:
+    """Delete the run folders of `base` that are not current, were last
+    written to longer ago than `older_than` and are not among the `keep`
+    latest, with what an interrupted switch left; returns their names. The age
+    must exceed what a run, or a reader of one, takes."""
+    fs, folder = _file_system(spark, base)
+    if not fs.exists(folder):
+        return []
+    latest_first = sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime())
+    now_ms = (now or dt.datetime.now(dt.timezone.utc)).timestamp() * 1000
+    old = {s.getPath().getName(): now_ms - s.getModificationTime() > older_than.total_seconds() * 1000 for s in latest_first}
+    runs = [s.getPath() for s in latest_first if s.getPath().getName().startswith(RUN_PREFIX)]
+    current = current_run(spark, base).rsplit("/", 1)[1] if any(n == _POINTER for n in old) else None
+    gone = [p for p in runs[keep:] if old[p.getName()] and p.getName() != current]
+    asides = [s.getPath() for s in latest_first if s.getPath().getName().startswith(_ASIDE) and old[s.getPath().getName()]]
+    for p in gone + asides:
+        fs.delete(p, True)
+    return sorted(p.getName() for p in gone)
