@@ -28,6 +28,7 @@ ids decodes to no bytes, a null or unknown id in it raises.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -189,10 +190,12 @@ class Codec:
         self.ranks = read_ranks(path)
         self.forest = Forest(self.ranks)
         self.matches = regex.compile(pattern).findall
-        # a space beside other white space, or at an end of the text
+        # white space of other kinds, and a space beside any or at an end of the text
+        self.odd = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.loose = regex.compile(r"\s \s?| \s|^ | $").search
         self.most = most
-        self.words: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # words without a space before them
+        self.later: dict[str, bytes] = {}  # words after a space
         self.pieces: dict[str, bytes] = {}
         self.bytes_of: list = [None] * (max(self.ranks.values(), default=-1) + 1)
         for token, i in self.ranks.items():
@@ -215,34 +218,40 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        if len(self.words) + len(self.pieces) > self.most:
-            self.words.clear()
-            self.pieces.clear()
-        words, pieces, matches = self.words, self.pieces, self.matches
+        first, later, pieces, matches = self.first, self.later, self.pieces, self.matches
+        if len(first) + len(later) + len(pieces) > self.most:
+            for known in (first, later, pieces):
+                known.clear()
         whole: dict[int, list[str]] = {}
         split: list[list[str]] = []
-        new: dict[str, list[str]] = {}
+        firsts: set[str] = set()
+        laters: set[str] = set()
         for k, t in enumerate(texts):
-            if self.loose(t):
-                whole[k] = matches(t)
-                split.append([])
-                continue
-            first, *later = t.split(" ")
-            later = [first, *[" " + w for w in later]]
-            split.append(later)
-            for w in later:
-                if w not in words and w not in new:
-                    new[w] = matches(w)
-        found = {p for m in new.values() for p in m if p not in pieces}
-        found.update(p for m in whole.values() for p in m if p not in pieces)
-        self._fill(found)
+            if self._apart(t):
+                words = t.split(" ")
+                firsts.add(words[0])
+                laters.update(words[1:])
+            else:
+                words, whole[k] = [], matches(t)
+            split.append(words)
+        new = [(first, w, matches(w)) for w in firsts.difference(first)]
+        new += [(later, w, matches(" " + w)) for w in laters.difference(later)]
+        found = {p for _, _, m in new for p in m}
+        found.update(p for m in whole.values() for p in m)
+        self._fill(found.difference(pieces))
         get = pieces.__getitem__
-        for w, m in new.items():
-            words[w] = get(m[0]) if len(m) == 1 else b"".join(map(get, m))
-        out = [b"".join(map(words.__getitem__, s)) for s in split]
-        for k, m in whole.items():
-            out[k] = b"".join(map(get, m))
-        return out
+        for known, w, m in new:
+            known[w] = get(m[0]) if len(m) == 1 else b"".join(map(get, m))
+        get_later = later.__getitem__
+        return [
+            b"".join(map(get, whole[k])) if k in whole else first[s[0]] + b"".join(map(get_later, s[1:])) for k, s in enumerate(split)
+        ]
+
+    def _apart(self, t: str) -> bool:
+        """Whether every space stands alone between two other characters."""
+        if "  " in t or t[:1] == " " or t[-1:] == " " or " \n" in t or "\n " in t:
+            return False
+        return not (self.odd(t) and self.loose(t))
 
     def decode(self, ids: np.ndarray) -> bytes:
         table = self.bytes_of

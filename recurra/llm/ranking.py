@@ -129,14 +129,8 @@ def _item_terms(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in small_blocks(batches):
             t = Terms(block)
-            _, first = np.unique(t.hash, return_index=True)
             raw = t.buf.tobytes()
-            # terms whose hash is that of another one are all kept
-            shown = {raw[t.start[i] : t.end[i]] for i in first.tolist()}
-            if len(first) < len(t.hash):
-                length = t.end - t.start
-                rest = np.flatnonzero(length != length[first][np.searchsorted(t.hash[first], t.hash)])
-                shown.update(raw[t.start[i] : t.end[i]] for i in rest.tolist())
+            shown = {raw[i:j] for i, j in zip(t.start.tolist(), t.end.tolist())}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(shown), pa.binary())], names=["term"])
 
     return items.mapInArrow(run, "term binary").distinct()

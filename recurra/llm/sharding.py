@@ -25,8 +25,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recurra.llm.common import documents, stage, stage_path, sums
 
@@ -39,6 +40,26 @@ def shard_of(doc_id, n_shards: int):
     return F.array_max(scored)["s"]
 
 
+def without_maps(c: Column, kind: T.DataType) -> Column:
+    """`c` with every map, at any depth, as its entries in order of their keys:
+    what can be hashed, grouped and compared."""
+    if not _holds_map(kind):
+        return c
+    if isinstance(kind, T.StructType):
+        some = F.struct(*[without_maps(c[f.name], f.dataType).alias(f"c{k}") for k, f in enumerate(kind.fields)])
+        return F.when(c.isNotNull(), some)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: without_maps(x, kind.elementType))
+    entry = lambda e: F.struct(without_maps(e["key"], kind.keyType).alias("k"), without_maps(e["value"], kind.valueType).alias("v"))
+    return F.sort_array(F.transform(F.map_entries(c), entry))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _holds_map(kind.elementType))
+
+
 def copies_spread(keyed: DataFrame, size, bucket_bytes: int) -> DataFrame:
     """`keyed` with `copy`: 0, and 0, 1, ... for equal rows of over
     `bucket_bytes` in all, whose records are counted and dealt out again."""
@@ -46,7 +67,10 @@ def copies_spread(keyed: DataFrame, size, bucket_bytes: int) -> DataFrame:
     many = stage(many.filter((F.col("n") > 1) & (F.col("bytes") > bucket_bytes)).select("tie"), "sharding-ties")  # fewer than buckets
     if many.isEmpty():
         return keyed.withColumn("copy", F.lit(0).cast("long"))
-    equal = keyed.join(F.broadcast(many), "tie", "left_semi").groupBy(keyed.columns).agg(F.count("*").alias("n"))
+    equal = keyed.join(F.broadcast(many), "tie", "left_semi")
+    content = without_maps(F.col("rec"), keyed.schema["rec"].dataType).alias("content")
+    same = [c for c in keyed.columns if c != "rec"]
+    equal = equal.groupBy(*same, content).agg(F.first("rec").alias("rec"), F.count("*").alias("n")).select(*keyed.columns, "n")
     piece = F.greatest(F.lit(1), F.floor(F.lit(bucket_bytes // 8) / size)).cast("long")  # copies dealt out in one go
     equal = stage(equal.select("*", piece.alias("piece")), "sharding-equal")
     pieces = sums(equal, n=F.sum(F.ceil(F.col("n") / F.col("piece"))))["n"]
@@ -67,7 +91,7 @@ def bucketed(docs: DataFrame, n_shards: int, seed: int, bucket_bytes: int) -> Da
         "rec",
         shard_of(F.col("rec.doc_id"), n_shards).alias("shard"),
         shard_of(F.col("rec.doc_id"), n_shards + 1).alias("grown_shard"),
-        F.xxhash64("rec").alias("tie"),
+        F.xxhash64(without_maps(F.col("rec"), recs.schema["rec"].dataType)).alias("tie"),
     )
     held = dict(keyed.groupBy("shard").agg(F.sum(size)).collect())  # a row a shard
     buckets = [max(1, -(-held.get(s, 0) // bucket_bytes)) for s in range(n_shards)]

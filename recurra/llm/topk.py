@@ -14,8 +14,10 @@ by a window over at most k rows a block.
 
 Defined cases: vectors that are null or hold a null or non-finite component,
 and rows without an id, take no part; a query meets the vectors of its own
-length only; rows that repeat an id and vector count once; ties go to the
-smaller id; an empty table gives no rows; other columns are ignored. Scores
+length only; a row's own is that row alone, so rows that repeat its id or its
+vector are candidates, and each of several rows with a query's id is a query
+with results of its own (equal rows are compared once and counted); ties go to
+the smaller id; an empty table gives no rows; other columns are ignored. Scores
 must fit a long.
 """
 
@@ -35,15 +37,18 @@ BLOCK_ROWS = 2048
 
 def _pack_vectors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     x = np.array(table["x"].combine_chunks().flatten(), np.int64)
-    ids = np.array(table["vec_id"], np.int64)
-    return pa.table({"block": [key[0].as_py()], "dim": [key[1].as_py()], "ids": [ids.tobytes()], "x": [x.tobytes()]})
+    ids, copies = np.array(table["vec_id"], np.int64), np.array(table["copies"], np.int64)
+    blobs = {"ids": [ids.tobytes()], "copies": [copies.tobytes()], "x": [x.tobytes()]}
+    return pa.table({"block": [key[0].as_py()], "dim": [key[1].as_py()]} | blobs)
 
 
 def as_blocks(vectors: DataFrame, rows: int, n: int) -> DataFrame:
-    """(vec_id, x) in blocks of about `rows` rows, by a hash of the id."""
+    """(vec_id, x, copies) in blocks of about `rows` rows, by a hash of both."""
     blocks = max(1, -(-n // rows))
-    keyed = vectors.select("vec_id", "x", F.size("x").cast("long").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
-    return keyed.groupBy("block", "dim").applyInArrow(_pack_vectors, "block long, dim long, ids binary, x binary")
+    keyed = vectors.select(
+        "vec_id", "x", "copies", F.size("x").cast("long").alias("dim"), F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).alias("block")
+    )
+    return keyed.groupBy("block", "dim").applyInArrow(_pack_vectors, "block long, dim long, ids binary, copies binary, x binary")
 
 
 def _kind(q: np.ndarray, x: np.ndarray):
@@ -52,9 +57,22 @@ def _kind(q: np.ndarray, x: np.ndarray):
     return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
 
 
-def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple:
-    """Query rows, candidate rows and scores of each query's k best."""
+def own_rows(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """For each query the candidate that is equal to it, or -1."""
+    out = np.full(len(q_ids), -1)
+    i, j = np.nonzero(q_ids[:, None] == ids[None, :])
+    same = (q[i] == x[j]).all(axis=1)
+    out[i[same]] = j[same]
+    return out
+
+
+def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, copies: np.ndarray | None = None) -> tuple:
+    """Query rows, candidate rows and scores of each query's k best. A query's
+    equal is a candidate where it has `copies`."""
     n, d = x.shape
+    own_at = own_rows(q_ids, q, ids, x)
+    if copies is not None and len(own_at):
+        own_at = np.where((own_at >= 0) & (copies[own_at] > 1), -1, own_at)
     kind = _kind(q, x)
     low = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
     order = np.argsort(x, axis=0, kind="stable")
@@ -74,7 +92,7 @@ def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
         upper += (a @ last_top + b @ last_bottom)[:, None]
         lower = a @ (top * (x - lists[0])).T + b @ (bottom * (x - lists[-1])).T
         lower += (a @ lists[0] + b @ lists[-1])[:, None]
-        own = q_ids[active][:, None] == ids[None, :]
+        own = own_at[active][:, None] == np.arange(n)[None, :]
         upper[own] = lower[own] = low
         bar = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(active), low)
         open_ = (upper >= bar[:, None]) & ~own
@@ -92,37 +110,44 @@ def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
 
 def top_k(vectors: DataFrame, is_query, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """`vectors`: vec_id, x (array<bigint>). query_id, rank, vec_id, score."""
-    vectors = vectors.dropDuplicates(["vec_id", "x"])
+    vectors = vectors.groupBy("vec_id", "x").agg(F.count("*").alias("copies"))
     queries = vectors.filter(is_query)
     size = sums(vectors, n=F.count("*"), q=F.count(F.when(is_query, 1)))
     c = as_blocks(vectors, block_rows, size["n"])
     q = as_blocks(queries, block_rows, size["q"])
     n_c, n_q = (max(1, -(-size[s] // block_rows)) for s in ("n", "q"))
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    pairs = (
-        q.select(F.col("block").alias("qb"), "dim", F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), every(n_c).alias("cb"))
-        .join(c.select(F.col("block").alias("cb"), "dim", "ids", "x", every(n_q).alias("qb")), ["qb", "cb", "dim"])
+    queries = q.select(
+        F.col("block").alias("qb"), "dim", F.col("ids").alias("q_ids"), F.col("copies").alias("q_copies"), F.col("x").alias("q_x"), every(n_c).alias("cb")
     )
+    pairs = queries.join(c.select(F.col("block").alias("cb"), "dim", "ids", "copies", "x", every(n_q).alias("qb")), ["qb", "cb", "dim"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in rows_of(batches):
             d = r["dim"]
-            q_ids, ids = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
+            q_ids, ids, q_copies, copies = (np.frombuffer(r[c], np.int64) for c in ("q_ids", "ids", "q_copies", "copies"))
             qx = np.frombuffer(r["q_x"], np.int64).reshape(len(q_ids), d)
             cx = np.frombuffer(r["x"], np.int64).reshape(len(ids), d)
-            got = best_of_pair(q_ids, qx, ids, cx, k)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "query_id": pa.array([int(q_ids[i]) for i, left, _ in got for _ in left], pa.int64()),
-                    "q": pa.array([f"{r['qb']}-{d}-{i}" for i, left, _ in got for _ in left], pa.string()),
-                    "vec_id": pa.array([int(ids[j]) for _, left, _ in got for j in left], pa.int64()),
-                    "score": pa.array([int(s) for _, _, score in got for s in score], pa.int64()),
-                }
-            )
-
-    found = pairs.mapInArrow(run, "query_id long, q string, vec_id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            got = best_of_pair(q_ids, qx, ids, cx, k, copies)
+            own = own_rows(q_ids, qx, ids, cx)
+            flat = [(i, j, s) for i, left, score in got for j, s in zip(left, score)]
+            cols = {
+                "query_id": [int(q_ids[i]) for i, _, _ in flat],
+                "q": [f"{r['qb']}-{d}-{i}" for i, _, _ in flat],
+                "queries": [int(q_copies[i]) for i, _, _ in flat],
+                "vec_id": [int(ids[j]) for _, j, _ in flat],
+                "n": [int(copies[j]) - int(own[i] == j) for i, j, _ in flat],
+                "score": [int(s) for _, _, s in flat],
+            }
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.string() if c == "q" else pa.int64()) for c, v in cols.items()})
+
+    found = pairs.mapInArrow(run, "query_id long, q string, queries long, vec_id long, n long, score long")
+    # at most k distinct candidates of a block for a query; equal ones take as many ranks as they are
+    w = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("before", F.sum("n").over(w) - F.col("n")).filter(F.col("before") < k)
+    ranks = F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("n"), F.lit(k)))
+    found = found.withColumn("rank", F.explode(ranks)).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "queries")))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def integer_vectors(embeddings: DataFrame, scale: int = 256) -> DataFrame:
@@ -143,15 +168,15 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.c, c.c) AS BIGINT) AS score
-  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.c, c.c) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.r <> q.r
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s
 ) WHERE rank <= 5
 """

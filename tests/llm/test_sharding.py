@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from recurra.llm.common import stage_path
-from recurra.llm.sharding import bucketed, shuffle_to_shards
+from recurra.llm.sharding import bucketed, shuffle_to_shards, without_maps
 from tests.llm.corpus import awkward, frame
 
 
@@ -73,3 +73,17 @@ def test_equal_rows_are_spread(spark):
     again = shuffle_to_shards(docs.repartition(7), stage_path(spark, "test-shards"), bucket_bytes=2000)
     order = lambda x: sorted((r["shard"], r["slot"], repr(r["doc_id"])) for r in x)
     assert order(got) == order(again.select("rec.doc_id", "shard", "slot").collect())
+
+
+def test_map_columns(spark):
+    rows = [(i % 40, f"t{i % 7}", {"a": i % 3, "b": 1}, [{"x": {"k": None}}], None) for i in range(400)]
+    rows += [(5, "the same text", {"b": 2, "a": 1}, [None, {}], (None, {"z": 1}))] * 2000
+    schema = "doc_id long, text string, tie map<string,int>, more array<map<string,struct<k:int>>>, bucket struct<p:int,q:map<string,int>>"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    got = shuffle_to_shards(docs, stage_path(spark, "test-shards"), bucket_bytes=2000)
+    assert got.select("rec.*").dtypes == docs.dtypes
+    assert sorted(map(repr, got.select("rec.*").collect())) == sorted(map(repr, docs.collect()))
+    assert bucketed(docs, 24, 7, 2000).groupBy("bucket").count().agg({"count": "max"}).first()[0] < 500
+    turned = spark.sql("SELECT map('a', 1, 'b', 2) AS m, 1 AS n UNION ALL SELECT map('b', 2, 'a', 1), 1").selectExpr("struct(*) AS rec")
+    same = turned.select(F.xxhash64(without_maps(F.col("rec"), turned.schema["rec"].dataType)).alias("h"))
+    assert same.distinct().count() == 1

@@ -1,5 +1,6 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -17,11 +18,11 @@ def brute(rows, k):
     def fine(e):
         return e and all(v is not None and math.isfinite(v) for v in e)
 
-    v = sorted({(i, tuple(math.floor(256 * float(np.float32(c))) for c in e)) for i, e in rows if i is not None and fine(e)})
+    v = [(i, tuple(math.floor(256 * float(np.float32(c))) for c in e)) for i, e in rows if i is not None and fine(e)]
     out = []
-    for q, a in v:
+    for at, (q, a) in enumerate(v):
         if q % 50 == 0:
-            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in v if i != q and len(a) == len(b))[:k]
+            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for j, (i, b) in enumerate(v) if j != at and len(a) == len(b))[:k]
             out += [(q, r + 1, i, -n) for r, (n, i) in enumerate(s)]
     return sorted(out)
 
@@ -33,7 +34,7 @@ def test_top_k(spark, block_rows):
     e[100:180] = e[50]  # ties
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(e)]
     rows += [(1000, None), (1050, [None] * 12), (1100, [float("nan")] * 12), (1150, [float("inf")] * 12), (None, rows[0][1]), (1200, [1.0, 2.0])]
-    rows += [rows[3], rows[50], (1250, []), (1300, [1e6] * 12), (1301, [1.5e6] * 12), (1350, [0.0] * 12)]
+    rows += [rows[3], rows[50], rows[100], rows[150], rows[150], rows[150], (100, rows[7][1]), (1250, []), (1300, [1e6] * 12), (1301, [1.5e6] * 12), (1350, [0.0] * 12)]
     vectors = topk.integer_vectors(table(spark, rows))
     got = topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5, block_rows)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
@@ -41,3 +42,14 @@ def test_top_k(spark, block_rows):
 
 def test_empty(spark):
     assert topk.top_k(topk.integer_vectors(table(spark, [])), F.col("vec_id") % 50 == 0, 5).count() == 0
+
+
+def test_repeated_rows_in_sql(spark, tmp_path):
+    rows = [(50, [1.0, 2.0]), (50, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [0.5, 0.25]), (50, [4.0, 0.0]), (100, [1.0, 1.0])]
+    for k in (3, len(rows)):
+        path = f"{tmp_path}/{k}"
+        table(spark, rows[:k]).write.parquet(f"{path}/embeddings.parquet")
+        con = duckdb.connect()
+        con.execute(f"create view embeddings as select * from '{path}/embeddings.parquet/*.parquet'")
+        got = sorted(tuple(r) for r in topk.op3_topk(spark, path).collect())
+        assert got == sorted(con.execute(topk.OP3_SQL).fetchall()) == brute(rows[:k], 5)
