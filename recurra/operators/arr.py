@@ -148,38 +148,48 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
         ~churned & F.col("_tail.a").isNotNull(),
         F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"), F.col("_tail.h").alias("h")),
     )
-    # the companies of a customer's month meet in a window: the first row stands for them
-    of_month = Window.partitionBy(*K3)
+    # the companies of a customer's month are peers in a window; its first row stands for them
+    w = Window.partitionBy(*key).orderBy("pivot_month")
+    of_month = w.rangeBetween(Window.currentRow, Window.currentRow)
     months = (
         labelled.filter(F.col("_sum_u").isNotNull() & F.col("customer_id").isNotNull())
         .select(
             *K3,
             "_first_order_date",
-            F.row_number().over(of_month.orderBy(F.col("company").asc_nulls_first())).alias("_nth"),
+            F.lag("pivot_month").over(w).alias("_before"),
             F.sum(F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).over(of_month).alias("_cum_u"),
             F.min(tail).over(of_month).alias("_tail"),
             F.min("_min_on").over(of_month).alias("_min_on"),
             F.max("_null_on").over(of_month).alias("_null_on"),
             F.collect_list(F.struct(F.col("company").alias("c"), F.col("_label").alias("label"))).over(of_month).alias("_cos"),
         )
-        .filter("_nth = 1")
+        .filter("_before IS NULL OR _before <> pivot_month")
+        .drop("_before")
     )
     # A churn month after every paying month that the next month does not follow paying.
     # Where the next month has (unpaying) orders it is that month, else a month of its own.
-    w = Window.partitionBy(*key).orderBy("pivot_month")
-    late = next_month_end(F.col("pivot_month"))
-    months = months.withColumns({"_next": F.lead("pivot_month").over(w), "_next_pays": F.lead(F.col("_tail").isNotNull()).over(w)})
-    months = months.withColumn("_next", F.when(F.col("_next") == late, F.col("_next")))
-    gap = F.col("_tail").isNotNull() & ~truthy(F.col("_next").isNotNull() & F.col("_next_pays"))
-    months = months.withColumn("_gap", gap).withColumn("_alone", gap & F.col("_next").isNull())
-    before = F.lag(F.struct("_gap", "_alone", "_cum_u", "_tail")).over(w)
-    end = F.max(F.when(F.col("_alone"), late).otherwise(F.col("pivot_month"))).over(Window.partitionBy(*key))
-    months = months.withColumns({"_b": before, "_churn_date": end})
-    met = truthy(F.col("_b._gap") & ~F.col("_b._alone"))  # the churn of the month before is of this month
+    late = lambda m: next_month_end(F.col(m))
+    pays = F.col("_tail").isNotNull()
+    months = months.withColumns(
+        {
+            "_b": F.lag(F.struct("pivot_month", "_cum_u", "_tail")).over(w),
+            "_next": F.lead(F.struct("pivot_month", pays.alias("pays"))).over(w),
+            # a month that pays is followed by that month or a later one, so only the last one's counts
+            "_churn_date": F.max(F.when(pays, late("pivot_month")).otherwise(F.col("pivot_month"))).over(
+                w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            ),
+        }
+    )
+    follows = truthy(F.col("_next.pivot_month") == late("pivot_month"))
+    months = months.withColumn("_gap", pays & ~(follows & truthy(F.col("_next.pays"))))
+    joins = truthy(F.col("pivot_month") == late("_b.pivot_month"))  # the month before is the one before in the calendar
+    before_pays = F.col("_b._tail").isNotNull()
+    met = before_pays & joins & ~pays  # its churn is of this month
+    broken = before_pays & ~joins  # its churn is of a month in between
     copied = F.struct(F.col("_b._tail.o").alias("o"), F.col("_b._tail.h").alias("h"))
     first = F.when(met, F.least(F.col("_min_on"), copied)).otherwise(F.col("_min_on"))
     null_on = F.col("_null_on") | (met & F.col("_b._tail.o").isNull())
-    delta = F.col("_cum_u") - F.when(truthy(F.col("_b._alone")), F.lit(0)).otherwise(F.coalesce(F.col("_b._cum_u"), F.lit(0)))
+    delta = F.col("_cum_u") - F.when(broken, F.lit(0)).otherwise(F.coalesce(F.col("_b._cum_u"), F.lit(0)))
     own = F.transform(
         "_cos",
         lambda x: F.struct(
@@ -188,7 +198,7 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
         ),
     )
     churn = F.struct(
-        F.col("_tail.c").alias("c"), late.alias("m"), F.lit("Churn").alias("label"), F.lit(None).cast("long").alias("delta"),
+        F.col("_tail.c").alias("c"), late("pivot_month").alias("m"), F.lit("Churn").alias("label"), F.lit(None).cast("long").alias("delta"),
         F.col("_tail.h").alias("h"), (-F.col("_cum_u")).alias("u"), F.lit(True).alias("syn"),
     )
     months = months.withColumns({"_delta_u": delta, "_first_h": F.when(~null_on, first["h"])})

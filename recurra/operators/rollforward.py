@@ -67,24 +67,31 @@ SPAN = ["client_end_date", "_first_start", "_first_order_date"]
 
 
 def _span_months(spans: DataFrame, bounds: SpineBounds) -> DataFrame:
+    """`_lo` and `_hi`: the first and last month of a span within the spine."""
     cs, ce = F.col("client_start_date"), F.col("client_end_date")
-    lo = F.greatest(month_start(cs), bounds.first)
-    hi = F.least(month_start(churn_month_end(ce)), bounds.last)
-    months = F.when(cs.isNotNull() & ce.isNotNull(), bounds.within(month_starts_between(lo, hi)))
-    cols = ["for_product", "customer_id", "company", *SPAN]
-    return spans.select(*cols, F.explode(months).alias("_ms")).select(*cols, F.last_day("_ms").alias("pivot_month"))
+    ends = {
+        "_lo": F.greatest(month_start(cs), bounds.first),
+        "_hi": F.least(month_start(churn_month_end(ce)), bounds.last),
+    }
+    return spans.filter(cs.isNotNull() & ce.isNotNull()).withColumns(ends)
+
+
+def _explode_months(df: DataFrame, bounds: SpineBounds, columns: list[str]) -> DataFrame:
+    months = bounds.within(month_starts_between(F.col("_lo"), F.col("_hi")))
+    return df.select(*columns, F.explode(months).alias("_ms")).select(*columns, F.last_day("_ms").alias("pivot_month"))
 
 
 def rollforward_base(spans: DataFrame, slices: DataFrame, bounds: SpineBounds) -> DataFrame:
     """Spine x spans: every covered month of each span, and one NULL-customer
-    row for each slice month no span covers."""
-    covered = _span_months(spans, bounds)
+    row for each slice month no span covers. Which months are covered is read
+    off the distinct (slice, first, last month), not off every span's months."""
+    ends = _span_months(spans, bounds)
+    covered = _explode_months(ends, bounds, ["for_product", "customer_id", "company", *SPAN])
+    runs = ends.select("for_product", "_lo", "_hi").distinct()
     spine = slices.select("for_product", F.explode(bounds.months).alias("_ms")).select(
         "for_product", F.last_day("_ms").alias("pivot_month")
     )
-    empty = spine.join(
-        covered.select("for_product", "pivot_month").distinct(), ["for_product", "pivot_month"], "left_anti"
-    )
+    empty = spine.join(_explode_months(runs, bounds, ["for_product"]), ["for_product", "pivot_month"], "left_anti")
     return covered.unionByName(empty, allowMissingColumns=True)
 
 
@@ -113,28 +120,28 @@ def labelled_months(
     label, and the month's own facts from `ccm` for the ARR table.
 
     Spans and month facts meet on data partitioned by (slice, customer) and
-    sorted by month and company, where a month's facts are the row after it;
-    the lag window, and whatever follows on that key (`arr.customer_facts`),
-    reuse that one exchange and that one sort. `first_dates`:
-    (for_product, customer_id, _first_date), by default the first start; a
-    'New' month after the month of that date becomes 'Reactivation'.
+    sorted by month and company, where a month's facts are the row after it,
+    and what the row before holds is the ARR before; whatever follows on that
+    key (`arr.customer_facts`) reuses that one exchange and that one sort.
+    `first_dates`: (for_product, customer_id, _first_date), by default the
+    first start; a 'New' month after the month of that date becomes
+    'Reactivation'.
     """
     base = rollforward_base(spans, slices, bounds).withColumn("_is", F.lit(0))
     # A month of `ccm` lies in exactly one span month. The source's join on
     # customer, company and month never matches a NULL, so the rollforward's
     # ARR leaves those out; the ARR table's facts keep NULL companies.
     cm = ccm.filter(F.col("customer_id").isNotNull()).withColumn("_is", F.lit(1))
-    by_month = [F.col("pivot_month"), F.col("company").asc_nulls_first()]
-    w = Window.partitionBy(*KEY).orderBy(*by_month)
-    after = F.lead(F.struct("_is", "pivot_month", "company", *MONTH)).over(Window.partitionBy(*KEY).orderBy(*by_month, "_is"))
-    rf = base.unionByName(cm, allowMissingColumns=True).repartition(*KEY).withColumn("_after", after).filter("_is = 0")
+    cm = cm.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
+    w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first(), "_is")
+    after = F.lead(F.struct("_is", "pivot_month", "company", "_arr_u", *MONTH)).over(w)
+    rf = base.unionByName(cm, allowMissingColumns=True).repartition(*KEY)
+    rf = rf.withColumns({"_after": after, "_prev_u": F.lag("_arr_u").over(w)}).filter("_is = 0")
     own = (F.col("_after._is") == 1) & (F.col("_after.pivot_month") == F.col("pivot_month"))
     own = own & F.col("_after.company").eqNullSafe(F.col("company"))
-    rf = rf.withColumns({c: F.when(own, F.col(f"_after.{c}")) for c in MONTH}).drop("_after", "_is")
-    rf = rf.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
+    rf = rf.withColumns({c: F.when(own, F.col(f"_after.{c}")) for c in ("_arr_u", *MONTH)}).drop("_after", "_is")
     arr, prev = F.col("_arr_u"), F.col("_prev_u")
     zero = F.lit(0)
-    rf = rf.withColumn("_prev_u", F.lag("_arr_u").over(w))
     rf = rf.withColumn(
         "_chg_c5", F.coalesce(round_units(arr, 5), zero) - F.coalesce(round_units(prev, 5), zero)
     ).withColumn("_label", classify(arr, prev, F.col("_chg_c5"), F.col("pivot_month"), F.col("client_end_date")))

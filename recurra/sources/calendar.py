@@ -28,8 +28,9 @@ class SpineBounds:
     Exposed as scalar subqueries, so the plan stays lazy and they are computed
     once per query from a partial aggregate of the calendar; `months` holds at
     most twelve dates per calendar year. `within` keeps a generated run of
-    months to those that the calendar has, so a month missing from it is
-    missing from every expansion, as in a join to the spine.
+    months (between first and last) to those that the calendar has, so a month
+    missing from it is missing from every expansion, as in a join to the spine;
+    where none is missing the run stays as it is.
     """
 
     def __init__(self, calendar: DataFrame):
@@ -38,9 +39,11 @@ class SpineBounds:
             F.trunc(F.max("ds"), "month").alias("hi"),
             F.sort_array(F.collect_set(F.trunc("ds", "month"))).alias("months"),
         )
+        whole = F.size("months") == (F.year("hi") - F.year("lo")) * 12 + F.month("hi") - F.month("lo") + 1
         self.first: Column = agg.select("lo").scalar()
         self.last: Column = agg.select("hi").scalar()
         self.months: Column = agg.select("months").scalar()
+        self._whole: Column = agg.select(whole.alias("whole")).scalar()
 
     def within(self, month_starts: Column) -> Column:
-        return F.array_intersect(month_starts, self.months)
+        return F.when(self._whole, month_starts).otherwise(F.array_intersect(month_starts, self.months))

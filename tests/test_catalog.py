@@ -204,7 +204,7 @@ def test_missing_and_mistyped_columns_are_all_named(spark, tmp_path, database):
 
 
 def test_columns_take_their_types(spark):
-    df = spark.sql("SELECT 7 AS ID, decimal('1.50') AS TransactionArr, date'2000-01-31' AS `date`, * FROM VALUES ('c', 'm', 'n', 'o', 't', 'r') AS v(currentbillingentityid, termlength, customername, objecttypeid, type, matchingrefund)")
+    df = spark.sql("SELECT 7 AS ID, 1.50 AS TransactionArr, date'2000-01-31' AS `date`, * FROM VALUES ('c', 'm', 'n', 'o', 't', 'r') AS v(currentbillingentityid, termlength, customername, objecttypeid, type, matchingrefund)")
     got = conform(df, "classified_transactions")
     assert got.columns == list(COLUMNS["classified_transactions"])
     row = got.first()
