@@ -197,9 +197,7 @@ class Codec:
         self.first: dict[str, bytes] = {}  # words without a space before them
         self.later: dict[str, bytes] = {}  # words after a space
         self.pieces: dict[str, bytes] = {}
-        self.bytes_of: list = [None] * (max(self.ranks.values(), default=-1) + 1)
-        for token, i in self.ranks.items():
-            self.bytes_of[i] = token
+        self.bytes_of = {i: token for token, i in self.ranks.items()}
 
     def _fill(self, pieces: set[str]) -> None:
         """Remember the ids of matches that are not known yet."""
@@ -254,11 +252,10 @@ class Codec:
         return not (self.odd(t) and self.loose(t))
 
     def decode(self, ids: np.ndarray) -> bytes:
-        table = self.bytes_of
-        parts = [table[i] for i in ids.tolist()]
-        if None in parts:
-            raise ValueError("an id is not in the vocabulary")
-        return b"".join(parts)
+        try:
+            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        except KeyError as e:
+            raise ValueError(f"id {e} is not in the vocabulary") from None
 
 
 def _codec(vocabulary: str | None, pattern: str | None) -> Codec:
