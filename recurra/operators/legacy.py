@@ -56,8 +56,26 @@ def latest_transaction(txn: DataFrame) -> DataFrame:
     return _newest_columns(txn.groupBy("objectid").agg(F.max(_newest()).alias("_t")))
 
 
+def _paid() -> Column:
+    """The type test is case-sensitive (`type != 'Refund'`) and drops NULL
+    types, as in the source."""
+    return truthy((F.col("originalamount") > 0) & (F.col("type") != "Refund"))
+
+
+def licence_facts(txn: DataFrame) -> DataFrame:
+    """One pass over the transactions for O30-O32: a row per (licence,
+    customer, type id, access type) with its first date, last end, newest
+    transaction and first paid start."""
+    return txn.groupBy("objectid", "currentbillingentityid", "objecttypeid", "objectaccesstype").agg(
+        F.min("DATE").alias("_min_date"),
+        F.max("periodend").alias("_max_end"),
+        F.max(_newest()).alias("_t"),
+        F.min(F.when(_paid(), F.to_date("periodstart"))).alias("_since"),
+    )
+
+
 def license_summary(
-    txn: DataFrame,
+    facts: DataFrame,
     company: DataFrame,
     legacy_licenses: DataFrame,
     product_dim: DataFrame,
@@ -65,17 +83,13 @@ def license_summary(
 ) -> DataFrame:
     """One row per licence and attribute combination.
 
-    Transactions are first reduced per (licence, customer, type id, access
-    type) -- every grouping attribute is a function of those plus the
-    dimension joins -- so the joins see one row per licence key, not one
-    per transaction.
+    Every grouping attribute is a function of the keys of `licence_facts` plus
+    the dimension joins, so the joins see one row per licence key, not one per
+    transaction.
     """
-    pre = txn.groupBy("objectid", "currentbillingentityid", "objecttypeid", "objectaccesstype").agg(
-        F.min("DATE").alias("_min_date"), F.max("periodend").alias("_max_end"), F.max(_newest()).alias("_t")
-    )
     # the newest of a licence is the newest of its pre-aggregated rows: no second pass over the transactions
-    lt = _newest_columns(pre.groupBy("objectid").agg(F.max("_t").alias("_t"))).withColumnRenamed("objectid", "_lt_obj")
-    pre = pre.drop("_t")
+    lt = _newest_columns(facts.groupBy("objectid").agg(F.max("_t").alias("_t"))).withColumnRenamed("objectid", "_lt_obj")
+    pre = facts.drop("_t", "_since")
     comp = company.select(
         F.col("id").alias("_b_id"), F.col("name").alias("_b_name"), F.col("countrycode").alias("_b_cc")
     )
@@ -175,20 +189,18 @@ def legacy_tracker(summary: DataFrame, price_grid: DataFrame, rules: PriceRules)
 
 def churn_for_legacy(
     txn: DataFrame,
+    facts: DataFrame,
     tracker: DataFrame,
     company: DataFrame,
     product_dim: DataFrame,
     as_of: dt.date,
 ) -> DataFrame:
-    """Paid transactions of companies that own a legacy licence.
-
-    The type test is case-sensitive (`type != 'Refund'`) and drops NULL
-    types, as in the source. `as_of` replaces current_date().
+    """Paid transactions of companies that own a legacy licence; who has
+    been a customer since when comes from `licence_facts`. `as_of` replaces
+    current_date().
     """
-    paid = txn.filter(truthy((F.col("originalamount") > 0) & (F.col("type") != "Refund")))
-    since = paid.groupBy("currentbillingentityid").agg(
-        F.min(F.to_date("periodstart")).alias("customer_since")
-    ).withColumnRenamed("currentbillingentityid", "_d_cust")
+    paid = txn.filter(_paid())
+    since = facts.groupBy(F.col("currentbillingentityid").alias("_d_cust")).agg(F.min("_since").alias("customer_since"))
     owners = tracker.select(F.col("companyid").alias("_own"))
     a = paid.join(owners, paid["currentbillingentityid"] == owners["_own"], "left_semi")
     lic = tracker.select(F.col("licenseid").alias("_b_lic"))

@@ -8,7 +8,9 @@ transaction table; nothing depends on the product slice, so it runs once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,33 +59,43 @@ def refund_match(txn: DataFrame) -> DataFrame:
     )
 
 
-def dup_refunds(pairs: DataFrame) -> DataFrame:
-    """Refunds paired with more than one distinct charge."""
-    return (
-        pairs.groupBy("refund_id")
-        .agg(F.countDistinct("charge_id").alias("n"))
-        .filter(F.col("n") > 1)
+def ambiguous_ends(pairs: DataFrame) -> DataFrame:
+    """(end, id, n): the refunds paired with more than one distinct charge and
+    the charges paired with more than one distinct refund, from one pass over
+    the pairs (each is looked at from both of its ends)."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.lit("refund").alias("end"), F.col("refund_id").alias("id"), F.col("charge_id").alias("other")),
+            F.struct(F.lit("charge").alias("end"), F.col("charge_id").alias("id"), F.col("refund_id").alias("other")),
+        )
     )
+    degrees = pairs.select(ends.alias("e")).groupBy("e.end", "e.id").agg(F.countDistinct("e.other").alias("n"))
+    return degrees.filter(F.col("n") > 1)
+
+
+def dup_refunds(ends: DataFrame) -> DataFrame:
+    """Refunds paired with more than one distinct charge."""
+    return ends.filter("end = 'refund'").select(F.col("id").alias("refund_id"), "n")
 
 
-def dup_charges(pairs: DataFrame) -> DataFrame:
+def dup_charges(ends: DataFrame) -> DataFrame:
     """Charges paired with more than one distinct refund."""
-    return (
-        pairs.groupBy("charge_id")
-        .agg(F.countDistinct("refund_id").alias("n"))
-        .filter(F.col("n") > 1)
-    )
+    return ends.filter("end = 'charge'").select(F.col("id").alias("charge_id"), "n")
 
 
-def _ambiguous_refund_ids(pairs: DataFrame, dref: DataFrame, dchg: DataFrame) -> DataFrame:
-    via_charge = pairs.join(dchg.select("charge_id"), "charge_id", "left_semi").select("refund_id")
-    return dref.select("refund_id").union(via_charge).distinct()
+def flag_pairs(pairs: DataFrame, dref: DataFrame, dchg: DataFrame) -> DataFrame:
+    """The pairs, read once more, with `_doubtful`: either end is ambiguous."""
+    r = dref.select(F.col("refund_id").alias("_d_r"))
+    c = dchg.select(F.col("charge_id").alias("_d_c"))
+    both = pairs.join(r, pairs["refund_id"] == r["_d_r"], "left").join(c, pairs["charge_id"] == c["_d_c"], "left")
+    return both.withColumn("_doubtful", F.col("_d_r").isNotNull() | F.col("_d_c").isNotNull()).select(*PAIR_COLUMNS, "_doubtful")
 
 
-def unmatched_refunds(txn: DataFrame, pairs: DataFrame, dref: DataFrame, dchg: DataFrame) -> DataFrame:
-    """Refunds without a charge, plus every pair of an ambiguous refund.
+def unmatched_refunds(txn: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Refunds without a charge, plus every pair of an ambiguous refund
+    (one that has a doubtful pair).
 
-    Both parts come from `pairs`, which already holds every refund-charge
+    Both parts come from the pairs, which already hold every refund-charge
     match, so the charge side is not joined again: a refund without a pair
     (same id and key) has no charge, and with transaction ids as the key an
     ambiguous refund's rows left-joined to the charges are its pairs.
@@ -94,43 +106,55 @@ def unmatched_refunds(txn: DataFrame, pairs: DataFrame, dref: DataFrame, dchg: D
         F.lit(None).cast("string").alias("charge_id"),
         "originalamount",
     )
-    matched = pairs.select(F.col("refund_id").alias("_p_id"), F.col("key_col").alias("_p_key")).distinct()
+    matched = flagged.select(F.col("refund_id").alias("_p_id"), F.col("key_col").alias("_p_key"))
     lonely = r.join(
         matched,
         r["refund_id"].eqNullSafe(matched["_p_id"]) & r["key_col"].eqNullSafe(matched["_p_key"]),
         "left_anti",
     )
-    amb = _ambiguous_refund_ids(pairs, dref, dchg)
-    amb_rows = pairs.join(amb, "refund_id", "left_semi").select(*PAIR_COLUMNS)
+    doubtful = flagged.filter("_doubtful").select("refund_id").distinct()
+    amb_rows = flagged.join(doubtful, "refund_id", "left_semi").select(*PAIR_COLUMNS)
     return lonely.unionByName(amb_rows).distinct()
 
 
-def clean_refund_map(pairs: DataFrame, dref: DataFrame, dchg: DataFrame) -> DataFrame:
+def clean_refund_map(flagged: DataFrame) -> DataFrame:
     """Pairs minus ambiguous refunds and ambiguous charges."""
-    return pairs.join(dref.select("refund_id"), "refund_id", "left_anti").join(
-        dchg.select("charge_id"), "charge_id", "left_anti"
-    ).select(*PAIR_COLUMNS)
+    return flagged.filter("NOT _doubtful").select(*PAIR_COLUMNS)
 
 
 @dataclass
 class RefundSets:
-    pairs: DataFrame
-    dup_refunds: DataFrame
-    dup_charges: DataFrame
-    unmatched: DataFrame
-    clean: DataFrame
-
-
-def refund_sets(txn: DataFrame, cut=lambda df, name: df) -> RefundSets:
-    """All refund sets; `cut` may materialize the pairs, which the other
-    four sets each read."""
-    pairs = cut(refund_match(txn), "refund-pairs")
-    dref = dup_refunds(pairs)
-    dchg = dup_charges(pairs)
-    return RefundSets(
-        pairs=pairs,
-        dup_refunds=dref,
-        dup_charges=dchg,
-        unmatched=unmatched_refunds(txn, pairs, dref, dchg),
-        clean=clean_refund_map(pairs, dref, dchg),
-    )
+    """All refund sets, each made when it is asked for. `cut` may materialize
+    the pairs, their ambiguous ends and the flagged pairs; the pairs are then
+    read twice in all."""
+
+    txn: DataFrame
+    cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return self.cut(refund_match(self.txn), "refund-pairs")
+
+    @cached_property
+    def _ends(self) -> DataFrame:
+        return self.cut(ambiguous_ends(self.pairs), "refund-ends")
+
+    @cached_property
+    def dup_refunds(self) -> DataFrame:
+        return dup_refunds(self._ends)
+
+    @cached_property
+    def dup_charges(self) -> DataFrame:
+        return dup_charges(self._ends)
+
+    @cached_property
+    def _flagged(self) -> DataFrame:
+        return self.cut(flag_pairs(self.pairs, self.dup_refunds, self.dup_charges), "refund-flags")
+
+    @cached_property
+    def unmatched(self) -> DataFrame:
+        return unmatched_refunds(self.txn, self._flagged)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return clean_refund_map(self._flagged)

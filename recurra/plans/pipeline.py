@@ -52,7 +52,7 @@ class Pipeline:
 
     @cached_property
     def refund_sets(self) -> refunds.RefundSets:
-        return refunds.refund_sets(self.inputs.transactions, cut=self._cut)
+        return refunds.RefundSets(self.inputs.transactions, self._cut)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name, self._written) if self.cfg.materialize else df
@@ -144,10 +144,14 @@ class Pipeline:
         return facts.trial_arr(self.staged, i.calendar, i.region_dim)
 
     # --- legacy licences -------------------------------------------------
+    @cached_property
+    def licence_facts(self) -> DataFrame:
+        return self._cut(legacy.licence_facts(self.inputs.transactions), "licence-facts")
+
     @cached_property
     def license_summary(self) -> DataFrame:
         i = self.inputs
-        return legacy.license_summary(i.transactions, i.company, i.legacy_licenses, i.product_dim, i.region_dim)
+        return legacy.license_summary(self.licence_facts, i.company, i.legacy_licenses, i.product_dim, i.region_dim)
 
     @cached_property
     def legacy_tracker(self) -> DataFrame:
@@ -156,7 +160,7 @@ class Pipeline:
 
     def churn_for_legacy(self) -> DataFrame:
         i = self.inputs
-        return legacy.churn_for_legacy(i.transactions, self.legacy_tracker, i.company, i.product_dim, self.cfg.as_of)
+        return legacy.churn_for_legacy(i.transactions, self.licence_facts, self.legacy_tracker, i.company, i.product_dim, self.cfg.as_of)
 
     # --- batch generation --------------------------------------------------
     @cached_property
@@ -197,9 +201,19 @@ class Pipeline:
         rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
         return arr_ops.public(rows, arr_ops.BATCH)
 
-    def outputs(self) -> dict[str, DataFrame]:
+    def batch_outputs(self) -> dict[str, DataFrame]:
+        """The batch generation's tables; `batch_product_map` must be set."""
+        if not self.cfg.batch_product_map:
+            raise ValueError("Config.batch_product_map is empty: every batch order would be an add-on")
+        return {
+            "batch_arr_final": self.batch_arr_final(),
+            "batch_rollforward": self.batch_rollforward(),
+            "batch_refunded_arr": self.batch_refunded_arr(),
+        }
+
+    def outputs(self, batch: bool = True) -> dict[str, DataFrame]:
         """Every table the daily run publishes; the batch generation's too,
-        where its inputs are there (`batch_product_map` must then be set)."""
+        where its inputs are there and `batch` is set."""
         out = {
             "arr_final": self.arr_final,
             "arr_rollforward": self.rollforward,
@@ -209,14 +223,8 @@ class Pipeline:
             "legacy_tracker": self.legacy_tracker,
             "churn_for_legacy": self.churn_for_legacy(),
         }
-        if self.inputs.classified is not None and self.inputs.batch_company is not None:
-            if not self.cfg.batch_product_map:
-                raise ValueError("Config.batch_product_map is empty: every batch order would be an add-on")
-            out |= {
-                "batch_arr_final": self.batch_arr_final(),
-                "batch_rollforward": self.batch_rollforward(),
-                "batch_refunded_arr": self.batch_refunded_arr(),
-            }
+        if batch and self.inputs.classified is not None and self.inputs.batch_company is not None:
+            out |= self.batch_outputs()
         return out
 
     def publish(self, base: str) -> str:
