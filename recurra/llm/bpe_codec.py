@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from recurra.llm.common import documents, id_and_text
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-NO_PAIR = 1 << 62
+NO_PAIR, NONE_32 = 1 << 62, np.int32((1 << 31) - 1)
 SHORT = 64  # bytes of a match that is merged together with others
 ROWS, BYTES = 1024, 4 << 20  # documents and characters encoded at a time
 
@@ -115,8 +115,10 @@ class Forest:
     looked up by its two ids among all splits of a token into two tokens."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.base = max(ranks.values()) + 1
+        if self.base * SHORT >= NONE_32:
+            raise ValueError("the vocabulary is too large for 32-bit trees")
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         found = {}
         for token, r in ranks.items():
             for k in range(1, len(token)):
@@ -124,32 +126,38 @@ class Forest:
                 if a is not None and b is not None:
                     found[a * self.base + b] = r
         self.pairs = np.array(sorted(found), np.int64)
-        self.rank = np.array([found[k] for k in self.pairs.tolist()], np.int64)
-        of_bytes = self.byte_id[:, None] * self.base + self.byte_id[None, :]
-        self.first = self._ranks(of_bytes.ravel()).reshape(256, 256)  # of two single bytes, -1: no token
+        self.rank = np.array([found[k] for k in self.pairs.tolist()], np.int32)
+        first, second = np.divmod(np.arange(1 << 16), 256)
+        self.first = self._ranks(self.byte_id[first], self.byte_id[second]).reshape(256, 256)  # of two single bytes
 
-    def _ranks(self, keys: np.ndarray) -> np.ndarray:
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of tokens, -1 where it is none."""
+        keys = left.astype(np.int64) * self.base + right
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == keys, self.rank[at], -1)
+        return np.where(self.pairs[at] == keys, self.rank[at], np.int32(-1))
 
-    def merge(self, pieces: list[bytes], size: int) -> list[bytes]:
-        """Little-endian ids of matches of 2 to `size` bytes each."""
+    def merge(self, pieces: list[bytes], size: int, rows: int = 2048) -> list[bytes]:
+        """Little-endian ids of matches of 2 to `size` bytes each, `rows` of
+        them at a time (what the processor's cache holds)."""
+        return [x for k in range(0, len(pieces), rows) for x in self._merge(pieces[k : k + rows], size)]
+
+    def _merge(self, pieces: list[bytes], size: int) -> list[bytes]:
         n_rows, last = len(pieces), size - 1
-        n = np.array([len(p) for p in pieces])
+        n = np.array([len(p) for p in pieces], np.int32)
         raw = np.frombuffer(b"".join([p.ljust(size, b"\0") for p in pieces]), np.uint8).reshape(n_rows, size)
-        place = np.arange(size)
+        place = np.arange(size, dtype=np.int32)
         token = self.byte_id[raw]
         live = place < n[:, None]
         after = np.broadcast_to(place + 1, (n_rows, size)).copy()
         before = np.broadcast_to(place - 1, (n_rows, size)).copy()
-        tree = np.full((n_rows, 2 * size), NO_PAIR)
+        tree = np.full((n_rows, 2 * size), NONE_32, np.int32)
         r = self.first[raw[:, :-1], raw[:, 1:]]
-        tree[:, size:-1] = np.where((r >= 0) & live[:, 1:], r * size + place[:-1], NO_PAIR)
+        tree[:, size:-1] = np.where((r >= 0) & live[:, 1:], r * size + place[:-1], NONE_32)
         x = size
         while x > 1:
             tree[:, x // 2 : x] = np.minimum(tree[:, x : 2 * x : 2], tree[:, x + 1 : 2 * x : 2])
             x //= 2
-        row = np.flatnonzero(tree[:, 1] != NO_PAIR)
+        row = np.flatnonzero(tree[:, 1] != NONE_32)
         while len(row):
             least = tree[row, 1]
             i = least & last
@@ -161,21 +169,21 @@ class Forest:
             more = end < n[row]
             right = np.where(more, end, 0)
             before[row[more], end[more]] = i[more]
-            r = np.where(more, self._ranks(merged * self.base + token[row, right]), -1)
-            tree[row, size + i] = np.where(r >= 0, r * size + i, NO_PAIR)
-            tree[row, size + gone] = NO_PAIR
+            r = np.where(more, self._ranks(merged, token[row, right]), -1)
+            tree[row, size + i] = np.where(r >= 0, r * size + i, NONE_32)
+            tree[row, size + gone] = NONE_32
             left = before[row, i]
             any_left = left >= 0
             left = np.where(any_left, left, i)
-            r = self._ranks(token[row, left] * self.base + merged)
+            r = self._ranks(token[row, left], merged)
             at = size + left
-            tree[row, at] = np.where(any_left, np.where(r >= 0, r * size + left, NO_PAIR), tree[row, at])
+            tree[row, at] = np.where(any_left, np.where(r >= 0, r * size + left, NONE_32), tree[row, at])
             a, b, c = size + i, size + gone, at
             while a[0] > 1:
                 a, b, c = a >> 1, b >> 1, c >> 1
                 for x in (a, b, c):
                     tree[row, x] = np.minimum(tree[row, 2 * x], tree[row, 2 * x + 1])
-            row = row[tree[row, 1] != NO_PAIR]
+            row = row[tree[row, 1] != NONE_32]
         flat = token[live].astype("<i4").tobytes()
         ends = 4 * np.cumsum(live.sum(1))
         return [flat[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
