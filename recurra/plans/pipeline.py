@@ -33,7 +33,7 @@ from ..operators import arr as arr_ops
 from ..operators import batch as batch_ops
 from ..operators import facts, legacy, refunds, rollforward, staging
 from ..operators.monthly import arr_by_month, with_active_run
-from ..session import delete_folder, drop_stage, materialize, materialize_bucketed
+from ..session import bucket_count, delete_folder, drop_stage, folder_bytes, materialize, materialize_bucketed
 from ..sources.calendar import SpineBounds
 from ..sources.catalog import TableStore
 from ..sources.sinks import RUN_PREFIX, switch, write_table
@@ -55,10 +55,23 @@ class Pipeline:
         return refunds.RefundSets(self.inputs.transactions, self._cut)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self._written) if self.cfg.materialize else df
+        if not self.cfg.materialize:
+            return df
+        out = materialize(df, name, self._written)
+        self._paths[name] = self._written[-1]
+        return out
+
+    @cached_property
+    def _paths(self) -> dict[str, str]:
+        return {}
 
-    def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize_bucketed(df, name, staging.MEET, self._written) if self.cfg.materialize else df
+    def _bucketed(self, df: DataFrame, name: str, of: str) -> DataFrame:
+        """Orders by what they meet their facts on; `of` is the stage they come
+        from, each row of which is in at most two slices."""
+        if not self.cfg.materialize:
+            return df
+        buckets = bucket_count(self.spark, 2 * folder_bytes(self.spark, self._paths[of]))
+        return materialize_bucketed(df, name, staging.MEET, buckets, self._written)
 
     @cached_property
     def _written(self) -> list[str]:
@@ -90,7 +103,7 @@ class Pipeline:
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
         o = staging.slice_orders(staging.mark_copies(self.staged), self.inputs.region_dim, self.cfg, self.products)
-        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.hot), "orders")
+        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.hot), "orders", "staged")
 
     @cached_property
     def hot(self) -> DataFrame:
@@ -168,7 +181,7 @@ class Pipeline:
         i = self.inputs
         o = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
         o = staging.mark_copies(self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged"))
-        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.batch_hot), "batch-orders")
+        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.batch_hot), "batch-orders", "batch-staged")
 
     @cached_property
     def batch_hot(self) -> DataFrame:

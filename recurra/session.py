@@ -73,16 +73,30 @@ def materialize(df: DataFrame, name: str = "stage", written: list[str] | None =
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, name: str, keys: list[str], written: list[str] | None = None) -> DataFrame:
-    """As `materialize`, bucketed by `keys` into as many buckets as the session
-    has shuffle partitions: the rows are moved once, here, and a join or
-    aggregate on `keys` reads them as they lie. Buckets are known to a table
-    only, so this is one of the session's catalog, its files under the shared
-    folder; `written` gets both."""
+BUCKET_BYTES = 32 << 20
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(conf).getContentSummary(target).getLength()
+
+
+def bucket_count(spark: SparkSession, size: int) -> int:
+    """Buckets for about `size` bytes: one a slot at least, and no more than
+    the session has shuffle partitions (bucketed reads are not coalesced)."""
+    slots = spark.sparkContext.defaultParallelism
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(slots, -(-size // BUCKET_BYTES))))
+
+
+def materialize_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, written: list[str] | None = None) -> DataFrame:
+    """As `materialize`, in `buckets` by `keys`: the rows are moved once, here,
+    and a join or aggregate on `keys` reads them as they lie. Buckets are known
+    to a table only, so this is one of the session's catalog, its files under
+    the shared folder; `written` gets both."""
     spark = df.sparkSession
     ident = f"recurra_{name}_{uuid.uuid4().hex}".replace("-", "_")
     path = f"{ensure_checkpoint_dir(spark)}/{ident}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys)
     writer.option("path", path).saveAsTable(ident)
     if written is not None:

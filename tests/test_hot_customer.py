@@ -66,7 +66,7 @@ def test_hot_customer_is_split_where_it_lies(spark, hot, no_broadcast):
     assert others.filter("customer_id IS NOT NULL AND _salt <> 0").count() == 0
     # the join reads the orders as they lie: the only exchanges are on the facts' side
     orders_side = re.search(r"FileScan parquet [^\n]*recurra_orders[^\n]*", plan_of(hot.arr_final)).group(0)
-    assert "Bucketed: true" in orders_side and "SelectedBucketsCount: 8 out of 8" in orders_side
+    assert "Bucketed: true" in orders_side and re.search(r"SelectedBucketsCount: (\d+) out of \1\b", orders_side)
 
 
 def test_orders_are_not_exchanged(spark, hot, no_broadcast):
