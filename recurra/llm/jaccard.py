@@ -8,18 +8,26 @@ lower-cased) have 100 * shared >= 75 * union. The steps:
 2. A document of n shingles needs a = ceil(0.75 n) shared ones. Shingles that
    no other document has cannot be shared; with fewer than `a` others it links
    with nothing. Else its shingles are ordered by (count, hash), and its prefix
-   for l matches is the first n - a + l: two linked documents share at least
-   min(l, l') of their prefixes' shingles. l is chosen by estimated candidate
-   cost: a longer prefix reads more lists, but more shared shingles are asked
-   for before a pair is verified.
-3. Equal sets are one node. Parts get the prefixes by shingle. Short lists give
-   pairs, which are counted over all shingles and verified when they reach l.
-   Of a long list (near copies by the thousand) only the pairs with its hub,
+   for l matches is the first n - a + l. The smaller of two linked documents
+   shares at least ceil(6 n / 7) of its shingles, so for it the *head* of that
+   prefix, the first n - ceil(6 n / 7) + l, is enough: the head of the smaller
+   and the prefix of the larger share at least min(l, l') shingles (of equal
+   sizes, both heads). l is chosen by estimated candidate cost: a longer prefix
+   reads more lists, but more shared shingles are asked for before a pair is
+   verified.
+3. Equal sets are one node. Parts get the prefixes by shingle. Short lists, and
+   those in few members' heads, give pairs, which are counted over all shingles
+   and verified when they reach l; a list in nobody's head gives none (a
+   passage that many documents share, but too little of each to link them).
+   Of any other list (near copies by the thousand) only the pairs with its hub,
    the member with the fewest shingles of its own, are verified. Members linked
-   with the hub are in one class already. For two others the hub bounds what
-   they can share, |x & y| <= min(|x & c|, |y & c|) + min(rest of x, rest of y),
-   and the pairs that pass this bound are verified as well, so no link is lost.
-   The bound is tested on every pair of an open member and a member of its hub.
+   with the hub are in one class already. For two others, neither of which is
+   linked with the hub or only one, two bounds say what they can share:
+   |x & y| <= min(|x & c|, |y & c|) + min(rest of x, rest of y), and the bits in
+   which their parity sketches differ, which are at most the shingles that only
+   one of them has. Pairs that pass both are verified, so no link is lost. The
+   bounds are tested on the pairs of an open member and a member of its hub of
+   nearly its size: narrow rows, but still pairs.
 4. Verified links become classes by label propagation with pointer jumping.
 
 Defined cases: null, empty and blank texts have no shingles and link with
@@ -60,6 +68,8 @@ SHINGLE = 5
 PERCENT = 75
 SHORT = 8
 MOST_MATCHES = 8
+HEADS = 2
+SKETCH = 16  # 64-bit words of a parity sketch
 U64 = np.uint64
 
 
@@ -68,6 +78,19 @@ def needed(n):
     return -(-PERCENT * n // 100)
 
 
+def needed_of_smaller(n):
+    """Shingles a document of n must share with any it links with that has as
+    many or more."""
+    return -(-2 * PERCENT * n // (100 + PERCENT))
+
+
+def sketch(token: np.ndarray) -> np.ndarray:
+    """Parity of how many shingles fall on each bit: two sets' sketches differ
+    in at most as many bits as there are shingles that only one of them has."""
+    odd = np.bincount((token & U64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class Sets:
     """Distinct shingles of a block's documents: `token`/`doc`, ordered by
     document and hash, `n` of each document and a 64-bit `key` of its set."""
@@ -178,7 +201,9 @@ def shingle_links(blocks: DataFrame, part_tokens: int = 3_000_000) -> tuple[Data
                 order = common[np.lexsort((s.token[at][common], c[common]))]
                 ask = _matches(c[order], len(order) - need + 1, need, n)
                 prefix = s.token[at][order[: len(order) - need + ask]]
-                out.append((prefix, s.key[d], n, len(common), ask))
+                least = needed_of_smaller(n)
+                head = len(order) - least + ask if len(order) >= least else 0
+                out.append((prefix, s.key[d], n, len(common), ask, np.arange(len(prefix)) < head))
                 sets_.append((int(s.key[d].view(np.int64)), pack_arrays(delta(s.token[at] >> U64(16))), n, len(common)))
             if out:
                 ident, blob, n_, m_ = (list(c) for c in zip(*sets_))
@@ -186,6 +211,7 @@ def shingle_links(blocks: DataFrame, part_tokens: int = 3_000_000) -> tuple[Data
                 size = [len(x[0]) for x in out]
                 token = np.concatenate([x[0] for x in out])
                 more = [np.repeat(np.array([x[k] for x in out], t), size) for k, t in ((1, U64), (2, np.int32), (3, np.int32), (4, np.uint8))]
+                more.append(np.concatenate([x[5] for x in out]).astype(np.uint8))
                 order = np.argsort(token, kind="stable")
                 token, more = token[order], [m[order] for m in more]
                 cut = _cuts(_parts_of(token, 64, parts), parts)
@@ -217,9 +243,9 @@ def shingle_links(blocks: DataFrame, part_tokens: int = 3_000_000) -> tuple[Data
     def read_lists(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
         got = [unpack_arrays(x.as_py()) for x in sent["payload"]]
         token = np.concatenate([undelta(x[0]) for x in got])
-        node, n, m, ask = (np.concatenate([x[k] for x in got]) for k in (1, 2, 3, 4))
-        x, y, shared, ask, hub = pairs_of_lists(token, node, n.astype(np.int64), m.astype(np.int64), ask)
-        return pa.table({"x": x.view(np.int64), "y": y.view(np.int64), "shared": shared, "ask": ask, "hub": hub})
+        node, n, m, ask, head = (np.concatenate([x[k] for x in got]) for k in (1, 2, 3, 4, 5))
+        x, y, shared, ask, hub, head = pairs_of_lists(token, node, n.astype(np.int64), m.astype(np.int64), ask, head.astype(bool))
+        return pa.table({"x": x.view(np.int64), "y": y.view(np.int64), "shared": shared, "ask": ask, "hub": hub, "head": head})
 
     doc_keys = found.filter("kind = 0").select("id", "payload").mapInArrow(
         read_docs, "block long, place long, doc_id long, n_shingles long, key long"
@@ -227,25 +253,15 @@ def shingle_links(blocks: DataFrame, part_tokens: int = 3_000_000) -> tuple[Data
     sets = found.filter("kind = 1").groupBy(F.col("id").alias("key")).agg(*[F.first(c).alias(c) for c in ("payload", "n", "m")])
     pairs = stage(
         found.filter("kind = 2").select(F.col("id").alias("part"), "payload").groupBy("part")
-        .applyInArrow(read_lists, "x long, y long, shared long, ask long, hub boolean"),
+        .applyInArrow(read_lists, "x long, y long, shared long, ask long, hub boolean, head boolean"),
         "jaccard-pairs",
     )
-    hubs = stage(verify(pairs.filter("hub").select("x", "y").distinct(), sets), "jaccard-hubs")
+    spokes = pairs.filter("hub").groupBy("x", "y").agg(F.max("head").alias("head"))
+    hubs = stage(verify(spokes, sets, sketches=True), "jaccard-hubs")
     linked = _links()
-    # what a hub's other members can share with any member at most
-    open_ = hubs.filter(~linked & (F.col("m_x") >= F.ceil(F.col("n_x") * PERCENT / 100)))
-    a, b = open_.alias("a"), hubs.alias("b")
-    least = F.least(F.col("a.shared"), F.col("b.shared")) + F.least(
-        F.col("a.m_x") - F.col("a.shared"), F.col("b.m_x") - F.col("b.shared")
-    )
-    fits = (
-        (F.col("a.y") == F.col("b.y"))
-        & (F.col("a.x") != F.col("b.x"))
-        & (least * (100 + PERCENT) >= PERCENT * (F.col("a.n_x") + F.col("b.n_x")))
-    )
-    further = a.join(b, fits).select(F.least("a.x", "b.x").alias("x"), F.greatest("a.x", "b.x").alias("y"))
     direct = pairs.filter("NOT hub").groupBy("x", "y").agg(F.sum("shared").alias("s"), F.first("ask").alias("ask")).filter("s >= ask")
-    other = verify(direct.select("x", "y").unionByName(further).distinct(), sets)
+    open_pairs = stage(direct.select("x", "y").unionByName(further_pairs(hubs)).distinct(), "jaccard-open")
+    other = verify(open_pairs.withColumn("head", F.lit(True)), sets)
     links = hubs.filter(linked).select("x", "y").unionByName(other.filter(linked).select("x", "y"))
     return doc_keys, stage(links, "jaccard-links")
 
@@ -267,16 +283,47 @@ def _links():
     return F.col("shared") * (100 + PERCENT) >= PERCENT * (F.col("n_x") + F.col("n_y"))
 
 
-def pairs_of_lists(token, node, n, m, ask):
-    """Pairs of short lists (x < y, with how many lists they share and how many
-    they must), and (member, hub) pairs of long ones."""
+def further_pairs(hubs: DataFrame) -> DataFrame:
+    """(x, y) of the members of one hub, not both linked with it, that the hub
+    and their sketches leave open. `hubs`: verified (member, hub) pairs."""
+    # sizes of linked sets lie in one class of this width or in neighbours
+    size_class = F.floor(F.log("n_x") / float(np.log(100 / PERCENT)))
+    state = hubs.withColumn("open", ~_links()).withColumn("c", size_class)
+    a = state.filter("open").alias("a")
+    b = state.withColumn("c", F.explode(F.array(F.col("c") - 1, F.col("c"), F.col("c") + 1))).alias("b")
+    size = F.col("a.n_x") + F.col("b.n_x")
+    shares = F.least("a.shared", "b.shared") + F.least(F.col("a.m_x") - F.col("a.shared"), F.col("b.m_x") - F.col("b.shared"))
+    differ = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))))
+    fits = (
+        (F.col("a.y") == F.col("b.y"))
+        & (F.col("a.c") == F.col("b.c"))
+        & (~F.col("b.open") | (F.col("a.x") < F.col("b.x")))
+        & (F.col("a.head") | (F.col("a.n_x") > F.col("b.n_x")))
+        & (F.col("b.head") | (F.col("b.n_x") > F.col("a.n_x")))
+        & (shares * (100 + PERCENT) >= PERCENT * size)
+        & (differ * (100 + PERCENT) <= (100 - PERCENT) * size)
+    )
+    return a.join(b, fits).select(F.least("a.x", "b.x").alias("x"), F.greatest("a.x", "b.x").alias("y"))
+
+
+def pairs_of_lists(token, node, n, m, ask, head):
+    """Pairs of short lists and of those in few heads (x < y, with how many lists
+    they share and how many they must), and (member, hub) pairs of the others
+    (`head`: the list is in the member's head)."""
     order = np.lexsort((node, token))
-    token, node, n, m, ask = token[order], node[order], n[order], m[order], ask[order]
+    token, node, n, m, ask, head = token[order], node[order], n[order], m[order], ask[order], head[order]
     new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])]) if len(token) else np.empty(0, bool)
-    token, node, n, m, ask = token[new], node[new], n[new], m[new], ask[new].astype(np.int64)
+    token, node, n, m, ask, head = token[new], node[new], n[new], m[new], ask[new].astype(np.int64), head[new]
     start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
     size = np.diff(np.concatenate([start, [len(token)]]))
+    heads = np.add.reduceat(head.astype(np.int64), start) if len(token) else np.empty(0, np.int64)
     left, right = [], []
+    for k in np.flatnonzero((size > SHORT) & (heads > 0) & (heads <= HEADS)).tolist():
+        every = np.arange(start[k], start[k] + size[k])
+        for one in every[head[every]].tolist():
+            others = every[~head[every] | (every > one)]
+            left.append(np.minimum(one, others))
+            right.append(np.maximum(one, others))
     for k in range(2, SHORT + 1):
         base = start[size == k]
         for i in range(k):
@@ -285,51 +332,69 @@ def pairs_of_lists(token, node, n, m, ask):
                 right.append(base + j)
     i, j = (np.concatenate([np.empty(0, np.int64), *side]) for side in (left, right))
     fits = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+    fits &= (head[i] | (n[i] > n[j])) & (head[j] | (n[j] > n[i]))
     i, j = i[fits], j[fits]
     least = np.minimum(ask[i], ask[j])
     o = np.lexsort((node[j], node[i]))
     x, y, least = node[i][o], node[j][o], least[o]
     first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(x) else np.empty(0, np.int64)
     shared = np.diff(np.concatenate([first, [len(x)]]))
-    out = [[x[first]], [y[first]], [shared], [least[first]], [np.zeros(len(first), bool)]]
-    long = np.flatnonzero(size > SHORT)
+    out = [[x[first]], [y[first]], [shared], [least[first]], [np.zeros(len(first), bool)], [np.ones(len(first), bool)]]
+    long = np.flatnonzero((size > SHORT) & (heads > HEADS))
     if len(long):
         member = np.concatenate([np.arange(start[k], start[k] + size[k]) for k in long])
         which = np.repeat(np.arange(len(long)), size[long])
+        # others than heads matter to a smaller head of nearly their size only
+        in_list = np.concatenate([[0], np.cumsum(size[long])[:-1]])
+        low = np.minimum.reduceat(np.where(head[member], n[member], np.iinfo(np.int64).max), in_list)[which]
+        high = np.maximum.reduceat(np.where(head[member], n[member], 0), in_list)[which]
+        near = head[member] | ((n[member] > low) & (PERCENT * n[member] <= 100 * high))
+        member, which = member[near], which[near]
         o = np.lexsort((node[member], (n - m)[member], which))
-        hub = member[o][np.flatnonzero(np.concatenate([[True], which[o][1:] != which[o][:-1]]))][which]
-        both = np.unique(np.stack([node[member], node[hub]], axis=1), axis=0)
+        hub = member[o][np.flatnonzero(np.concatenate([[True], which[o][1:] != which[o][:-1]]))][which]  # each list keeps its heads
+        spoke = np.stack([node[member], node[hub]], axis=1)
+        both, at = np.unique(spoke, axis=0, return_inverse=True)
+        in_head = np.zeros(len(both), bool)
+        np.logical_or.at(in_head, at.reshape(-1), head[member])
         # the hub is a member too, with itself: it bounds what others share with it
-        for c, v in zip(out, (both[:, 0], both[:, 1], np.zeros(len(both), np.int64), np.zeros(len(both), np.int64), np.ones(len(both), bool))):
+        none = np.zeros(len(both), np.int64)
+        for c, v in zip(out, (both[:, 0], both[:, 1], none, none, np.ones(len(both), bool), in_head)):
             c.append(v)
     return tuple(np.concatenate(c) for c in out)
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, y) with their exact number of shared shingles and their sizes. The
-    set of y travels to each x, so a hub's set is copied and its members stay
-    spread."""
+def verify(pairs: DataFrame, sets: DataFrame, sketches: bool = False) -> DataFrame:
+    """(x, y, head) with their exact number of shared shingles and their sizes,
+    and the parity sketch of x if asked for. The set of y travels to each x, so
+    a hub's set is copied and its members stay spread."""
+    words = [f"s{k}" for k in range(SKETCH if sketches else 0)]
     side = lambda c: sets.select(*[F.col(k).alias(f"{k}_{c}") for k in ("payload", "n", "m")], F.col("key").alias(c))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             xs, ys = b.column(b.schema.get_field_index("payload_x")), b.column(b.schema.get_field_index("payload_y"))
-            shared, last, have = [], None, None
+            shared, last, have, parity = [], None, None, None
+            bits = []
             for p, q in zip(xs, ys):
                 p, q = p.as_py(), q.as_py()
                 if p != last:
                     last, have = p, undelta(unpack_arrays(p)[0])
+                    parity = sketch(have) if sketches else None
+                if sketches:
+                    bits.append(parity)
                 other = undelta(unpack_arrays(q)[0])
                 both = np.concatenate([have, other])
                 both.sort()
                 shared.append(int((both[1:] == both[:-1]).sum()))
-            keep = [b.column(b.schema.get_field_index(c)) for c in ("x", "y", "n_x", "m_x", "n_y")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(shared, pa.int64())], names=["x", "y", "n_x", "m_x", "n_y", "shared"])
+            keep = [b.column(b.schema.get_field_index(c)) for c in ("x", "y", "head", "n_x", "m_x", "n_y")]
+            more = [pa.array(np.array([w[k] for w in bits], np.int64), pa.int64()) for k in range(len(words))]
+            yield pa.RecordBatch.from_arrays(
+                [*keep, pa.array(shared, pa.int64()), *more], names=["x", "y", "head", "n_x", "m_x", "n_y", "shared", *words]
+            )
 
     both = pairs.join(side("y"), "y").join(side("x"), "x")
-    return both.select("x", "y", "n_x", "m_x", "n_y", "payload_x", "payload_y").mapInArrow(
-        run, "x long, y long, n_x long, m_x long, n_y long, shared long"
-    )
+    schema = "x long, y long, head boolean, n_x long, m_x long, n_y long, shared long" + "".join(f", {w} long" for w in words)
+    return both.select("x", "y", "head", "n_x", "m_x", "n_y", "payload_x", "payload_y").mapInArrow(run, schema)
 
 
 def components(links: DataFrame) -> DataFrame:
