@@ -69,6 +69,7 @@ PERCENT = 75
 SHORT = 8
 MOST_MATCHES = 8
 HEADS = 2
+HOT_CLASSES = 1000
 SKETCH = 16  # 64-bit words of a parity sketch
 U64 = np.uint64
 
@@ -423,11 +424,20 @@ def _rooted(blocks: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    rooted = _rooted(corpus_blocks(docs, "jaccard-blocks"))
+    """doc_id, n_shingles, component_id of every document. The ids of classes
+    with more than a thousandth of the documents are broadcast (fewer than
+    HOT_CLASSES rows), so that no task gets all documents of such a class."""
+    rooted = stage(_rooted(corpus_blocks(docs, "jaccard-blocks")), "jaccard-rooted")
     full = rooted.filter("n_shingles > 0")
-    least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = full.join(least, "root").select("doc_id", "n_shingles", "component_id")
+    least = stage(full.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")), "jaccard-classes")
+    total = sums(least, n=F.sum("n"))["n"]
+    hot = least.filter(F.col("n") * HOT_CLASSES > total).select("root", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot"))
+    full = full.join(F.broadcast(hot), "root", "left")
+    # documents of hot classes are done: a key of their own spreads them
+    full = full.withColumn("root", F.when(F.col("hot"), F.xxhash64("block", "place")).otherwise(F.col("root")))
+    full = full.join(least.select("root", "component_id"), "root", "left")
+    component = F.when(F.col("hot"), F.col("hot_id")).otherwise(F.col("component_id")).alias("component_id")
+    full = full.select("doc_id", "n_shingles", component)
     return full.unionByName(rooted.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
