@@ -34,9 +34,8 @@ from pyspark.sql import functions as F
 from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
 from .monthly import active_month_starts
-from .staging import MEET
+from .staging import LIE
 
-K3 = ["for_product", "customer_id", "pivot_month"]
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
 
 ARR_FINAL_COLUMNS = (
@@ -112,26 +111,32 @@ def _row() -> list[Column]:
     return [F.col("ordernumber").alias("o"), F.col("_h").alias("h")]
 
 
-def customer_company_months(om: DataFrame) -> DataFrame:
-    """Order-month rows reduced to (slice, customer, company, month).
+def customer_company_months(om: DataFrame, parts: int) -> DataFrame:
+    """Order-month rows of customers reduced to (slice, customer, company,
+    month), partitioned by `staging.LIE` into `parts`, under `_salt` 0.
 
     `_sum_u`: ARR (micro-units); `_tail`: (arr, order id, row) of the smallest
     paying row, the one a synthetic churn row copies; `_min_on` /
-    `_null_on`: first order row of the month. Partial aggregation runs
-    before the shuffle, so a customer's volume never meets in one task.
-    Computed once and shared by the rollforward and the ARR table.
+    `_null_on`: first order row of the month. A customer's orders lie in one
+    task, so nothing is moved; a hot customer's months are reduced where its
+    orders lie and then over its parts, so its volume never meets in one task.
     """
     paying = F.col("_arr_u") > 0
-    return (
-        om.filter(F.col("pivot_month").isNotNull())
-        .groupBy(*K4)
-        .agg(
+    om = om.filter(F.col("pivot_month").isNotNull() & F.col("customer_id").isNotNull())
+
+    def reduced(df: DataFrame) -> DataFrame:
+        return df.groupBy(*LIE, "company", "pivot_month").agg(
             F.sum("_arr_u").alias("_sum_u"),
             F.min(F.when(paying, F.struct(F.col("_arr_u").alias("a"), *_row()))).alias("_tail"),
             F.min(F.struct(*_row())).alias("_min_on"),
             F.max(F.col("ordernumber").isNull()).alias("_null_on"),
         )
+
+    merged = reduced(om.filter("_hot")).groupBy(*K4).agg(
+        F.sum("_sum_u").alias("_sum_u"), F.min("_tail").alias("_tail"), F.min("_min_on").alias("_min_on"), F.max("_null_on").alias("_null_on"),
+        F.min(F.lit(0).cast("long")).alias("_salt"),  # a column, which a partitioning can name
     )
+    return reduced(om.filter("NOT _hot")).unionByName(merged.repartition(parts, *LIE))
 
 
 def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
@@ -142,7 +147,7 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     `_syn`: its synthetic churn months (O24), each with the hash `h` of the
     order row it copies; `_churn_date`: the customer's last month.
     """
-    key = ["for_product", "customer_id"]
+    key = LIE  # `_salt` is 0
     churned = truthy(variant.churn_match(F.col("_label")))
     tail = F.when(
         ~churned & F.col("_tail.a").isNotNull(),
@@ -154,7 +159,8 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     months = (
         labelled.filter(F.col("_sum_u").isNotNull() & F.col("customer_id").isNotNull())
         .select(
-            *K3,
+            *key,
+            "pivot_month",
             "_first_order_date",
             F.lag("pivot_month").over(w).alias("_before"),
             F.sum(F.when(churned, F.lit(0)).otherwise(F.col("_sum_u"))).over(of_month).alias("_cum_u"),
@@ -232,12 +238,20 @@ def arr_rows(
 ) -> DataFrame:
     """O23-O27 for every slice at once, from `customer_facts` of the same
     orders: order-month rows, and synthetic churn rows (`_syn`). Both sides
-    carry the `MEET` columns (`staging.deal_orders`, `staging.copy_facts`).
+    carry the `MEET` columns (`staging.lay_orders`, `staging.lay_facts`) and
+    lie by customer, so neither is moved; of a customer's companies each order
+    takes its own.
 
     An order's months are a slice of its customer's: every month it is active
     in has an order, so none is missing between its first and its last."""
-    f = facts.select(*MEET, "_first_order_date", "_churn_date", "_facts", "_months", F.col("_syn").alias("_churns"))
-    joined = orders.join(f, MEET)  # an order with a customer finds each of its months among the facts
+    mine = [F.col(c).alias(f"_of_{c}") for c in (*LIE, "_company_key")]
+    f = facts.select(*mine, "_first_order_date", "_churn_date", "_facts", "_months", F.col("_syn").alias("_churns"))
+    # the company is no key of the join: neither side is partitioned by it
+    same = F.array_contains(F.array("_of__company_key"), F.col("_company_key"))
+    for c in LIE:
+        same = (F.col(f"_of_{c}") == F.col(c)) & same
+    # an order with a customer finds each of its months among the facts
+    joined = orders.join(f, same).drop(*[f"_of_{c}" for c in (*LIE, "_company_key")])
     at = F.array_position("_months", F.col("_first_month")).cast("int")
     own = F.when(F.col("_n_months") > 0, F.slice("_facts", at, F.col("_n_months")))
     copied = F.when((F.col("_copy") == 0) & (F.size("_churns") > 0), F.filter("_churns", lambda x: x["h"] == F.col("_h")))

@@ -94,7 +94,7 @@ def batch_orders(classified: DataFrame, company: DataFrame, cfg: Config) -> Data
     if cfg.strict:
         refs = _refund_ids(classified)
         s = s.join(refs, s["matchingrefund"] == refs["_ref_id"], "left_anti")
-    s = s.withColumn("for_product", F.lit(ALL_SLICE))
+    s = s.withColumn("for_product", F.explode(F.array(F.lit(ALL_SLICE))))  # a column, as in `staging.in_slices`
     return adjusted_end_date(s, cfg.grace_days, F.lit(True))
 
 
@@ -126,12 +126,12 @@ def batch_first_dates(classified: DataFrame) -> DataFrame:
     ).withColumn("for_product", F.lit(ALL_SLICE))
 
 
-def batch_customer_months(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
-    return customer_company_months(arr_by_month(orders, bounds, keep_monthless=False))
+def batch_customer_months(orders: DataFrame, bounds: SpineBounds, parts: int) -> DataFrame:
+    return customer_company_months(arr_by_month(orders, bounds, keep_monthless=False), parts)
 
 
 def batch_labelled_months(
-    spans: DataFrame, ccm: DataFrame, classified: DataFrame, bounds: SpineBounds
+    spans: DataFrame, ccm: DataFrame, classified: DataFrame, bounds: SpineBounds, parts: int
 ) -> DataFrame:
     """Labelled months with the batch 'customer since' rule."""
-    return labelled_months(spans, ccm, slice_list(spans.sparkSession), bounds, batch_first_dates(classified))
+    return labelled_months(spans, ccm, slice_list(spans.sparkSession), bounds, parts, batch_first_dates(classified))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import ALL_SLICE
 from ..functions import from_micros, from_units, month_start, month_starts_between, round_units
 from ..sources.calendar import SpineBounds
+from .staging import LIE
 
 KEY = ["for_product", "customer_id"]
 
@@ -63,7 +64,7 @@ def slice_list(spark, product_dim: DataFrame | None = None) -> DataFrame:
     return out
 
 
-SPAN = ["client_end_date", "_first_start", "_first_order_date"]
+SPAN = ["client_end_date", "_first_date", "_first_order_date"]
 
 
 def _span_months(spans: DataFrame, bounds: SpineBounds) -> DataFrame:
@@ -81,18 +82,21 @@ def _explode_months(df: DataFrame, bounds: SpineBounds, columns: list[str]) -> D
     return df.select(*columns, F.explode(months).alias("_ms")).select(*columns, F.last_day("_ms").alias("pivot_month"))
 
 
-def rollforward_base(spans: DataFrame, slices: DataFrame, bounds: SpineBounds) -> DataFrame:
+def rollforward_base(spans: DataFrame, slices: DataFrame, bounds: SpineBounds, parts: int) -> DataFrame:
     """Spine x spans: every covered month of each span, and one NULL-customer
     row for each slice month no span covers. Which months are covered is read
-    off the distinct (slice, first, last month), not off every span's months."""
+    off the distinct (slice, first, last month), not off every span's months.
+    Partitioned by `staging.LIE` into `parts` (`_salt` is 0); it is the spans
+    that are moved, not their months."""
     ends = _span_months(spans, bounds)
-    covered = _explode_months(ends, bounds, ["for_product", "customer_id", "company", *SPAN])
     runs = ends.select("for_product", "_lo", "_hi").distinct()
-    spine = slices.select("for_product", F.explode(bounds.months).alias("_ms")).select(
-        "for_product", F.last_day("_ms").alias("pivot_month")
-    )
+    spine = slices.select("for_product", F.explode(bounds.months).alias("_lo"))
+    spine = spine.withColumn("pivot_month", F.last_day("_lo"))
     empty = spine.join(_explode_months(runs, bounds, ["for_product"]), ["for_product", "pivot_month"], "left_anti")
-    return covered.unionByName(empty, allowMissingColumns=True)
+    empty = empty.withColumn("_hi", F.col("_lo")).drop("pivot_month")
+    zero = F.lit(0).cast("long")
+    laid = ends.withColumn("_salt", zero).unionByName(empty.withColumn("_salt", zero), allowMissingColumns=True)
+    return _explode_months(laid.repartition(parts, *LIE), bounds, [*LIE, "company", *SPAN])
 
 
 def classify(arr: Column, prev: Column, chg_const: Column, month: Column, client_end: Column) -> Column:
@@ -114,28 +118,32 @@ MONTH = ["_sum_u", "_tail", "_min_on", "_null_on"]
 
 
 def labelled_months(
-    spans: DataFrame, ccm: DataFrame, slices: DataFrame, bounds: SpineBounds, first_dates: DataFrame | None = None
+    spans: DataFrame, ccm: DataFrame, slices: DataFrame, bounds: SpineBounds, parts: int, first_dates: DataFrame | None = None
 ) -> DataFrame:
     """O20-O22 per (slice, customer, company, month): ARR, the ARR before, the
     label, and the month's own facts from `ccm` for the ARR table.
 
-    Spans and month facts meet on data partitioned by (slice, customer) and
-    sorted by month and company, where a month's facts are the row after it,
-    and what the row before holds is the ARR before; whatever follows on that
-    key (`arr.customer_facts`) reuses that one exchange and that one sort.
+    Spans and month facts meet where the customer's orders lie (`staging.LIE`,
+    `parts` partitions), sorted by month and company, where a month's facts are
+    the row after it, and what the row before holds is the ARR before; whatever
+    follows on that key (`arr.customer_facts`) reuses that one sort.
     `first_dates`: (for_product, customer_id, _first_date), by default the
     first start; a 'New' month after the month of that date becomes
     'Reactivation'.
     """
-    base = rollforward_base(spans, slices, bounds).withColumn("_is", F.lit(0))
+    if first_dates is None:
+        spans = spans.withColumn("_first_date", F.col("_first_start"))
+    else:
+        spans = spans.join(first_dates, KEY, "left")
+    base = rollforward_base(spans, slices, bounds, parts).withColumn("_is", F.lit(0))
     # A month of `ccm` lies in exactly one span month. The source's join on
     # customer, company and month never matches a NULL, so the rollforward's
     # ARR leaves those out; the ARR table's facts keep NULL companies.
-    cm = ccm.filter(F.col("customer_id").isNotNull()).withColumn("_is", F.lit(1))
+    cm = ccm.withColumn("_is", F.lit(1))
     cm = cm.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
-    w = Window.partitionBy(*KEY).orderBy("pivot_month", F.col("company").asc_nulls_first(), "_is")
+    w = Window.partitionBy(*LIE).orderBy("pivot_month", F.col("company").asc_nulls_first(), "_is")
     after = F.lead(F.struct("_is", "pivot_month", "company", "_arr_u", *MONTH)).over(w)
-    rf = base.unionByName(cm, allowMissingColumns=True).repartition(*KEY)
+    rf = base.unionByName(cm, allowMissingColumns=True)
     rf = rf.withColumns({"_after": after, "_prev_u": F.lag("_arr_u").over(w)}).filter("_is = 0")
     own = (F.col("_after._is") == 1) & (F.col("_after.pivot_month") == F.col("pivot_month"))
     own = own & F.col("_after.company").eqNullSafe(F.col("company"))
@@ -145,10 +153,6 @@ def labelled_months(
     rf = rf.withColumn(
         "_chg_c5", F.coalesce(round_units(arr, 5), zero) - F.coalesce(round_units(prev, 5), zero)
     ).withColumn("_label", classify(arr, prev, F.col("_chg_c5"), F.col("pivot_month"), F.col("client_end_date")))
-    if first_dates is None:
-        rf = rf.withColumn("_first_date", F.col("_first_start"))
-    else:
-        rf = rf.join(first_dates, KEY, "left")
     react = (F.col("_label") == "New") & (F.col("pivot_month") > F.last_day("_first_date"))
     return rf.withColumn(
         "_label", F.when(F.coalesce(react, F.lit(False)), F.lit("Reactivation")).otherwise(F.col("_label"))

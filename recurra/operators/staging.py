@@ -95,7 +95,8 @@ def with_country(df: DataFrame, region: DataFrame, fallback: bool) -> DataFrame:
 
 
 def stage_orders(txn: DataFrame, company: DataFrame, product_dim: DataFrame, cfg: Config) -> DataFrame:
-    """O06-O08 + projection of S01's staging table, for every transaction."""
+    """O06-O08 + projection of S01's staging table, for every transaction, and
+    its refund links where `txn` carries them."""
     comp = company.select(
         F.col("id").alias("_co_id"),
         F.col("name").alias("_co_name"),
@@ -132,31 +133,37 @@ def stage_orders(txn: DataFrame, company: DataFrame, product_dim: DataFrame, cfg
         "_dim_product",
         F.col("source").alias("transaction_source"),
         "connectedto",
+        *[c for c in FLAGS if c in txn.columns],
     ).withColumn("_cost_u", to_micros(F.col("_cost"))).withColumn(
         "totalordercost", from_micros(F.col("_cost_u"))
     )
 
 
-def flag_refund_links(staged: DataFrame, clean: DataFrame, unmatched: DataFrame) -> DataFrame:
-    """Tag each staged row once with its refund links.
+#: What `flag_refund_links` adds.
+FLAGS = ("_matched", "_not_in_clean", "_unmatched_refund")
+
+
+def flag_refund_links(txn: DataFrame, clean: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """Tag each transaction once with its refund links; before staging, since
+    a transaction is a third as wide as its staged row.
 
     `_matched`: the order is a charge in the clean refund map.
     `_not_in_clean`: SQL `ordernumber NOT IN (clean charge ids)`, which is
     not true for a NULL order id unless the map is empty.
     `_unmatched_refund`: the order is an unmatched/ambiguous refund.
     Every later IN / NOT IN test is a filter on these columns, so the
-    refund sets are joined to the staged table exactly once.
+    refund sets are joined to the transactions exactly once.
     """
     cids = clean.select(F.col("charge_id").alias("_fl_c")).distinct()
     rids = unmatched.select(F.col("refund_id").alias("_fl_r")).distinct()
     clean_empty = clean.select((F.count(F.lit(1)) == 0).alias("e")).scalar()
-    s = staged.join(cids, staged["ordernumber"] == cids["_fl_c"], "left")
-    s = s.join(rids, s["ordernumber"] == rids["_fl_r"], "left")
+    s = txn.join(cids, txn["id"] == cids["_fl_c"], "left")
+    s = s.join(rids, s["id"] == rids["_fl_r"], "left")
     matched = F.col("_fl_c").isNotNull()
     return s.withColumns(
         {
             "_matched": matched,
-            "_not_in_clean": F.when(F.col("ordernumber").isNull(), clean_empty).otherwise(~matched),
+            "_not_in_clean": F.when(F.col("id").isNull(), clean_empty).otherwise(~matched),
             "_unmatched_refund": F.col("_fl_r").isNotNull(),
         }
     ).drop("_fl_c", "_fl_r")
@@ -174,22 +181,29 @@ def mark_copies(rows: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     order, copy 0 carries a synthetic churn or a movement; `_h` and `_copy`
     depend on nothing but the rows, however they are partitioned.
 
-    Equal rows are told by a count of `_h` alone; only those are counted by
-    their whole content (partial aggregates, so no group meets in one task)
-    and written out again, `chunk` copies at a time.
+    Rows are counted by their whole content and written out again, `chunk`
+    copies at a time: one exchange, and none where `rows` are partitioned by
+    some of their columns already.
     """
-    again = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
-    single = rows.join(again, "_h", "left_anti").withColumn("_copy", F.lit(0).cast("long"))
-    counted = rows.join(again, "_h", "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / chunk)))
-    parts = counted.withColumn("_part", chunks).repartition("_h", "_part")
     last = F.least(F.col("_n"), (F.col("_part") + 1) * chunk) - 1
-    copies = parts.withColumn("_copy", F.explode(F.sequence(F.col("_part") * chunk, last)))
-    return single.select(*rows.columns, "_copy").unionByName(copies.select(*rows.columns, "_copy"))
+    parts = counted.withColumn("_part", chunks)
+    return parts.select(*rows.columns, F.explode(F.sequence(F.col("_part") * chunk, last)).alias("_copy"))
+
+
+def repeated_rows(rows: DataFrame, most: int) -> DataFrame:
+    """`_h` of the rows of which there are more than `most` (so at most one for
+    each `most` rows): their copies are numbered before they are dealt, all
+    others where they lie."""
+    return rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_h")
 
 
 #: What orders and customer facts meet on; none but the customer is ever NULL.
 MEET = ["for_product", "customer_id", "_company_key", "_salt"]
+#: How orders, customer-months and customer facts lie, from one exchange of the
+#: orders on: a customer's are in one task, a hot customer's orders in several.
+LIE = ["for_product", "customer_id", "_salt"]
 
 
 def hot_customers(keys: DataFrame, most: int) -> DataFrame:
@@ -212,9 +226,28 @@ def company_key(company) -> Column:
 
 
 def deal_orders(orders: DataFrame, hot: DataFrame) -> DataFrame:
-    """The `MEET` columns of orders: a hot customer's are dealt by content."""
+    """The `MEET` columns of orders: a hot customer's are dealt by content.
+    `_hot`: to more than one part."""
     dealt = F.pmod(F.xxhash64("_h", "_copy"), F.col("_salts"))
-    return _salts(orders, hot).withColumns({"_salt": dealt, "_company_key": company_key("company")}).drop("_salts")
+    out = _salts(orders, hot).withColumns({"_salt": dealt, "_company_key": company_key("company")})
+    return out.withColumn("_hot", F.col("_salts") > 1).drop("_salts")
+
+
+def lay_orders(orders: DataFrame, hot: DataFrame, repeated: DataFrame | None, parts: int) -> DataFrame:
+    """Orders partitioned as they `LIE`, their copies numbered there: a copy's
+    part follows from what it holds, so equal rows meet without another
+    exchange. Rows `repeated` too often for that are numbered first and dealt
+    copy by copy."""
+
+    def laid(df: DataFrame) -> DataFrame:
+        return deal_orders(df, hot).repartition(parts, *LIE)
+
+    zero = F.lit(0).cast("long")
+    if repeated is None:
+        return mark_copies(laid(orders.withColumn("_copy", zero)).drop("_copy"))
+    often = mark_copies(orders.join(repeated, "_h", "left_semi"))
+    seldom = orders.join(repeated, "_h", "left_anti").withColumn("_copy", zero)
+    return mark_copies(laid(seldom).drop("_copy")).unionByName(laid(often))
 
 
 def copy_facts(facts: DataFrame, hot: DataFrame) -> DataFrame:
@@ -223,6 +256,15 @@ def copy_facts(facts: DataFrame, hot: DataFrame) -> DataFrame:
     return _salts(facts, hot).withColumns({"_salt": each, "_company_key": company_key("company")}).drop("_salts")
 
 
+def lay_facts(facts: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+    """Customer facts partitioned as they `LIE`. They come so, under part 0;
+    only a hot customer's are moved, a row to each part of its orders."""
+    key = (facts["for_product"] == hot["for_product"]) & facts["customer_id"].eqNullSafe(hot["customer_id"])
+    cold = facts.join(hot, key, "left_anti").withColumn("_company_key", company_key("company"))
+    copied = copy_facts(facts.join(hot, key, "left_semi").drop("_salt"), hot).repartition(parts, *LIE)
+    return cold.unionByName(copied)
+
+
 def _in_all() -> Column:
     doomed = (F.col("_cost") == 0) | (lower_or_dash("type") == "refund") | F.col("_matched")
     return ~truthy(doomed)
@@ -292,8 +334,10 @@ def slice_orders(staged: DataFrame, region: DataFrame, cfg: Config, products: bo
 
 
 def in_slices(staged: DataFrame, products: bool) -> DataFrame:
-    """Each staged row once for every slice it is in."""
-    if not products:
-        return orders_all(staged)
-    slices = F.array(F.when(_in_all(), F.lit(ALL_SLICE)), F.when(_in_product(), F.col("_dim_product")))
+    """Each staged row once for every slice it is in. The slice is a column
+    even where there is only one: a partitioning by a constant is not kept."""
+    slices = [F.when(_in_all(), F.lit(ALL_SLICE))]
+    if products:
+        slices.append(F.when(_in_product(), F.col("_dim_product")))
+    slices = F.array(*slices)
     return staged.withColumn("for_product", F.explode(F.array_compact(slices)))

@@ -65,13 +65,23 @@ class Pipeline:
     def _paths(self) -> dict[str, str]:
         return {}
 
-    def _bucketed(self, df: DataFrame, name: str, of: str) -> DataFrame:
-        """Orders by what they meet their facts on; `of` is the stage they come
-        from, each row of which is in at most two slices."""
+    def _parts(self, of: str) -> int:
+        """Parts that orders and all that follows lie in; `of` is the stage the
+        orders come from, each row of which is in at most two slices."""
+        if not self.cfg.materialize:
+            return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return bucket_count(self.spark, 2 * folder_bytes(self.spark, self._paths[of]))
+
+    def _bucketed(self, df: DataFrame, name: str, parts: int) -> DataFrame:
+        """A stage cut of rows that lie by `staging.LIE`."""
         if not self.cfg.materialize:
             return df
-        buckets = bucket_count(self.spark, 2 * folder_bytes(self.spark, self._paths[of]))
-        return materialize_bucketed(df, name, staging.MEET, buckets, self._written)
+        return materialize_bucketed(df, name, staging.LIE, parts, self._written)
+
+    def _repeated(self, rows: DataFrame, name: str) -> DataFrame | None:
+        """Rows with too many copies for one task, if there are any."""
+        often = self._cut(staging.repeated_rows(rows, self.cfg.hot_orders), name)
+        return None if often.isEmpty() else often
 
     @cached_property
     def _written(self) -> list[str]:
@@ -87,9 +97,10 @@ class Pipeline:
         """Every transaction staged once, tagged with its refund links."""
         i = self.inputs
         rs = self.refund_sets
-        s = staging.stage_orders(i.transactions, i.company, i.product_dim, self.cfg)
-        s = s.withColumn("_h", staging.content_hash(s.columns))
-        return self._cut(staging.flag_refund_links(s, rs.clean, rs.unmatched), "staged")
+        txn = staging.flag_refund_links(i.transactions, rs.clean, rs.unmatched)
+        s = staging.stage_orders(txn, i.company, i.product_dim, self.cfg)
+        content = [c for c in s.columns if c not in staging.FLAGS]
+        return self._cut(s.withColumn("_h", staging.content_hash(content)), "staged")
 
     @cached_property
     def bounds(self) -> SpineBounds:
@@ -102,8 +113,15 @@ class Pipeline:
     @cached_property
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
-        o = staging.slice_orders(staging.mark_copies(self.staged), self.inputs.region_dim, self.cfg, self.products)
-        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.hot), "orders", "staged")
+        o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
+        o = o.drop("_cost", "_dim_product", *staging.FLAGS)  # their use is over; `_h` knows them
+        laid = staging.lay_orders(o, self.hot, self._repeated(self.staged, "repeated"), self.parts)
+        return self._bucketed(with_active_run(laid, self.bounds), "orders", self.parts)
+
+    @cached_property
+    def parts(self) -> int:
+        self.staged  # noqa: B018  (its size is asked for)
+        return self._parts("staged")
 
     @cached_property
     def hot(self) -> DataFrame:
@@ -124,11 +142,11 @@ class Pipeline:
         """(slice, customer, company, month) ARR facts, shared by the
         rollforward and the ARR table."""
         om = arr_by_month(self.orders, self.bounds, keep_monthless=False)
-        return self._cut(arr_ops.customer_company_months(om), "customer-months")
+        return arr_ops.customer_company_months(om, self.parts)
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return rollforward.labelled_months(self.spans, self.ccm, self.slices, self.bounds)
+        return rollforward.labelled_months(self.spans, self.ccm, self.slices, self.bounds, self.parts)
 
     @cached_property
     def rollforward(self) -> DataFrame:
@@ -136,8 +154,8 @@ class Pipeline:
 
     @cached_property
     def arr_final_full(self) -> DataFrame:
-        facts = self._cut(arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE), "customer-facts")
-        facts = staging.copy_facts(facts, self.hot)
+        facts = arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE)
+        facts = self._bucketed(staging.lay_facts(facts, self.hot, self.parts), "customer-facts", self.parts)
         return arr_ops.arr_rows(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
 
     @cached_property
@@ -180,8 +198,13 @@ class Pipeline:
     def batch_orders(self) -> DataFrame:
         i = self.inputs
         o = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
-        o = staging.mark_copies(self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged"))
-        return self._bucketed(staging.deal_orders(with_active_run(o, self.bounds), self.batch_hot), "batch-orders", "batch-staged")
+        o = self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged")
+        laid = staging.lay_orders(o, self.batch_hot, self._repeated(o, "batch-repeated"), self.batch_parts)
+        return self._bucketed(with_active_run(laid, self.bounds), "batch-orders", self.batch_parts)
+
+    @cached_property
+    def batch_parts(self) -> int:
+        return self._parts("batch-staged")
 
     @cached_property
     def batch_hot(self) -> DataFrame:
@@ -195,11 +218,13 @@ class Pipeline:
 
     @cached_property
     def batch_ccm(self) -> DataFrame:
-        return self._cut(batch_ops.batch_customer_months(self.batch_orders, self.bounds), "batch-customer-months")
+        return batch_ops.batch_customer_months(self.batch_orders, self.bounds, self.batch_parts)
 
     @cached_property
     def batch_labelled(self) -> DataFrame:
-        return batch_ops.batch_labelled_months(self.batch_spans, self.batch_ccm, self.inputs.classified, self.bounds)
+        return batch_ops.batch_labelled_months(
+            self.batch_spans, self.batch_ccm, self.inputs.classified, self.bounds, self.batch_parts
+        )
 
     def batch_rollforward(self) -> DataFrame:
         return rollforward.rollforward(self.batch_labelled, self.cfg.source_label)
@@ -209,8 +234,8 @@ class Pipeline:
         return batch_ops.batch_refunded_arr(i.classified, i.batch_company, self.batch_spans, i.calendar, self.cfg)
 
     def batch_arr_final(self) -> DataFrame:
-        facts = self._cut(arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH), "batch-customer-facts")
-        facts = staging.copy_facts(facts, self.batch_hot)
+        facts = arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH)
+        facts = self._bucketed(staging.lay_facts(facts, self.batch_hot, self.batch_parts), "batch-customer-facts", self.batch_parts)
         rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
         return arr_ops.public(rows, arr_ops.BATCH)
 

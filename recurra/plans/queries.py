@@ -22,12 +22,16 @@ from .pipeline import Pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def pipeline(spark: SparkSession, sf_dir: str, products: bool = False, **cfg) -> Pipeline:
-    return Pipeline(fixture_inputs(spark, sf_dir), fixture_config(**cfg), products=products)
+def pipeline(spark: SparkSession, sf_dir: str, products: bool = False, facts: tuple[str, ...] = ("transactions",), **cfg) -> Pipeline:
+    return Pipeline(fixture_inputs(spark, sf_dir, facts=facts), fixture_config(**cfg), products=products)
+
+
+def _batch(spark: SparkSession, sf_dir: str) -> Pipeline:
+    return pipeline(spark, sf_dir, facts=("classified",))
 
 
 def _txn(spark, sf_dir):
-    return fixture_inputs(spark, sf_dir).transactions
+    return fixture_inputs(spark, sf_dir, facts=("transactions",)).transactions
 
 
 # --- refund matching ------------------------------------------------------
@@ -208,21 +212,21 @@ def q_churn_for_legacy(spark, sf_dir):
 
 # --- batch generation -------------------------------------------------------
 def q_batch_orders(spark, sf_dir):
-    return pipeline(spark, sf_dir).batch_orders.select(
+    return _batch(spark, sf_dir).batch_orders.select(
         *batch_ops.BATCH_ORDER_COLUMNS, "standardenddate_adjusted"
     )
 
 
 def q_batch_refunded_arr(spark, sf_dir):
-    return pipeline(spark, sf_dir).batch_refunded_arr()
+    return _batch(spark, sf_dir).batch_refunded_arr()
 
 
 def q_batch_rollforward(spark, sf_dir):
-    return pipeline(spark, sf_dir).batch_rollforward()
+    return _batch(spark, sf_dir).batch_rollforward()
 
 
 def q_batch_arr_final(spark, sf_dir):
-    return pipeline(spark, sf_dir).batch_arr_final()
+    return _batch(spark, sf_dir).batch_arr_final()
 
 
 QUERIES: dict[str, Query] = {

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, PriceRules
+from ..session import materialize
 from .calendar import day_calendar
 from .tables import Inputs
 
@@ -250,22 +252,24 @@ def derive_classified(txn_with_k: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+FACTS = ("transactions", "classified")
 _PREPARED: dict[tuple[str, str], Inputs] = {}
+_WRITTEN: dict[tuple[str, str], set[str]] = {}
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> Inputs:
+def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True, facts: tuple[str, ...] = FACTS) -> Inputs:
     """Subscription tables derived from the driver's parquet in `sf_dir`.
 
-    With `prepare` the derived fact tables (transactions, companies,
-    classified transactions) are written once per session and directory
-    to the shared checkpoint folder and read back, so later queries scan
-    tables as a production run would instead of re-deriving them in every
-    branch of their plans.
+    With `prepare` the derived fact tables (companies, and of transactions and
+    classified transactions those named in `facts`) are written once per
+    session and directory to the shared checkpoint folder and read back, so
+    later queries scan tables as a production run would instead of re-deriving
+    them in every branch of their plans.
     """
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir))
     if prepare and key in _PREPARED:
-        return _PREPARED[key]
+        return _write_facts(key, facts)
 
     def rd(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -278,11 +282,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> In
     classified = derive_classified(txn_k, customer)
     txn = txn_k.drop("_k", "_ck")
     if prepare:
-        from ..session import materialize
-
-        txn = materialize(txn, "fixture-transactions")
         company = materialize(company, "fixture-company")
-        classified = materialize(classified, "fixture-classified")
     inputs = Inputs(
         transactions=txn,
         company=company,
@@ -294,6 +294,16 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, prepare: bool = True) -> In
         classified=classified,
         batch_company=company,
     )
-    if prepare:
-        _PREPARED[key] = inputs
-    return inputs
+    if not prepare:
+        return inputs
+    _PREPARED[key], _WRITTEN[key] = inputs, set()
+    return _write_facts(key, facts)
+
+
+def _write_facts(key: tuple[str, str], facts: tuple[str, ...]) -> Inputs:
+    for name in facts:
+        if name not in _WRITTEN[key]:
+            written = materialize(getattr(_PREPARED[key], name), f"fixture-{name}")
+            _PREPARED[key] = replace(_PREPARED[key], **{name: written})
+            _WRITTEN[key].add(name)
+    return _PREPARED[key]
