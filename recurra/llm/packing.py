@@ -87,50 +87,62 @@ class IdCache:
         ranks = {bytes(as_byte[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
         self.pieces = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.most = most
-        self.first: dict[str, bytes] = {}  # a word at the start of a line
-        self.later: dict[str, bytes] = {}  # a word after one space
+        self.known: dict[str, bytes] = {}  # a word after one space, or a line feed and the word after it
+        self.first: dict[str, bytes] = {}  # a word at the start of a text
         self.line = self._ids(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fill(self, cache: dict[str, bytes], found: set[str], lead: str) -> None:
-        """Remember the ids of new words. They are encoded as the lines of one
-        text, since a line feed between words is always a token of its own."""
-        new = [w for w in found if w not in cache]
+    def _fill(self, cache: dict[str, bytes], new: list[str], lead: str, before: bytes = b"") -> None:
+        """Remember the ids of new words, `before` in front of them. They are
+        encoded as the lines of one text, since a line feed between words is
+        always a token of its own."""
         line = int(np.frombuffer(self.line, "<u4")[0])
         for k in range(0, len(new), 2000):
             some = new[k : k + 2000]
-            ids = np.array(self.pieces.encode_ordinary("\n".join([lead + w for w in some])), "<u4")
+            words = [w[len(before) // 4 :] for w in some]  # `before` is one token, and one character of the key
+            ids = np.array(self.pieces.encode_ordinary("\n".join([lead + w for w in words])), "<u4")
             raw, cut = ids.tobytes(), 4 * np.flatnonzero(ids == line)
             if len(cut) != len(some) - 1:
                 raise ValueError("the tokenizer does not keep line feeds apart")
             ends = [*cut.tolist(), len(raw)]
-            cache.update(zip(some, (raw[i:j] for i, j in zip([0, *(4 + cut).tolist()], ends))))
+            cache.update(zip(some, (before + raw[i:j] for i, j in zip([0, *(4 + cut).tolist()], ends))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.most:
+        if len(self.first) + len(self.known) > self.most:
             self.first.clear()
-            self.later.clear()
+            self.known.clear()
         split: list = []
         first: set[str] = set()
-        later: set[str] = set()
+        new: set[str] = set()
+        known = self.known
+        get = known.get
         for t in texts:
             if not _plain(t) or self.added(t):
                 split.append(None)
                 continue
-            lines = [x.split(" ") for x in t.split("\n")] if t else []
-            split.append(lines)
-            for x in lines:
-                first.add(x[0])
-                later.update(x[1:])
-        self._fill(self.first, first, "")
-        self._fill(self.later, later, " ")
+            head, *rest = t.replace("\n", " \n").split(" ")
+            ids = list(map(get, rest))
+            missing = [k for k, x in enumerate(ids) if x is None]
+            words = [rest[k] for k in missing]
+            split.append((head, ids, missing, words))
+            first.add(head)
+            new.update(words)
+        self._fill(self.first, [w for w in first if w not in self.first], "")
+        self._fill(known, [w for w in new if w[:1] != "\n"], " ")
+        self._fill(known, [w for w in new if w[:1] == "\n"], "", self.line)
         whole = iter(self._ids([t for t, s in zip(texts, split) if s is None]))
-        a, b, line = self.first, self.later, self.line
-        return [
-            next(whole) if s is None else line.join([a[x[0]] + b"".join([b[w] for w in x[1:]]) for x in s]) for s in split
-        ]
+        out: list[bytes] = []
+        for s in split:
+            if s is None:
+                out.append(next(whole))
+                continue
+            head, ids, missing, words = s
+            for k, w in zip(missing, words):
+                ids[k] = known[w]
+            out.append(self.first[head] + b"".join(ids))
+        return out
 
 
 def pack_lengths(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:

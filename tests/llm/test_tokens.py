@@ -42,6 +42,29 @@ def test_ids_equal_the_library(texts):
     assert got == want
 
 
+def test_known_words_are_looked_up_once():
+    cache = packing.IdCache(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "one two\nthree two four\nfive"
+    want = cache.encode([text])
+    asked = []
+
+    class Counting(dict):
+        def get(self, w):
+            asked.append(w)
+            return super().get(w)
+
+        def __getitem__(self, w):
+            asked.append(w)
+            return super().__getitem__(w)
+
+        def __contains__(self, w):
+            asked.append(w)
+            return super().__contains__(w)
+
+    cache.known = Counting(cache.known)
+    assert cache.encode([text]) == want and asked == ["two", "\nthree", "two", "four", "\nfive"]
+
+
 def test_count_rows(spark):
     rows = awkward()
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
