@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
-from .monthly import active_month_starts
+from .monthly import active_month_starts, arr_by_month
+from .rollforward import SPAN, labelled_months, with_first_date, with_label
 from .staging import LIE
 
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
@@ -111,6 +112,18 @@ def _row() -> list[Column]:
     return [F.col("ordernumber").alias("o"), F.col("_h").alias("h")]
 
 
+def _reduced(om: DataFrame, key: list[str], same: list[str] = ()) -> DataFrame:
+    """Month facts of order-month rows by `key`; columns that are the `same`
+    in all rows of a key are kept."""
+    return om.groupBy(*key).agg(
+        F.sum("_arr_u").alias("_sum_u"),
+        F.min(F.when(F.col("_arr_u") > 0, F.struct(F.col("_arr_u").alias("a"), *_row()))).alias("_tail"),
+        F.min(F.struct(*_row())).alias("_min_on"),
+        F.max(F.col("ordernumber").isNull()).alias("_null_on"),
+        *[F.max(c).alias(c) for c in same],
+    )
+
+
 def customer_company_months(om: DataFrame, parts: int) -> DataFrame:
     """Order-month rows of customers reduced to (slice, customer, company,
     month), partitioned by `staging.LIE` into `parts`, under `_salt` 0.
@@ -121,22 +134,13 @@ def customer_company_months(om: DataFrame, parts: int) -> DataFrame:
     task, so nothing is moved; a hot customer's months are reduced where its
     orders lie and then over its parts, so its volume never meets in one task.
     """
-    paying = F.col("_arr_u") > 0
     om = om.filter(F.col("pivot_month").isNotNull() & F.col("customer_id").isNotNull())
-
-    def reduced(df: DataFrame) -> DataFrame:
-        return df.groupBy(*LIE, "company", "pivot_month").agg(
-            F.sum("_arr_u").alias("_sum_u"),
-            F.min(F.when(paying, F.struct(F.col("_arr_u").alias("a"), *_row()))).alias("_tail"),
-            F.min(F.struct(*_row())).alias("_min_on"),
-            F.max(F.col("ordernumber").isNull()).alias("_null_on"),
-        )
-
-    merged = reduced(om.filter("_hot")).groupBy(*K4).agg(
+    key = [*LIE, "company", "pivot_month"]
+    merged = _reduced(om.filter("_hot"), key).groupBy(*K4).agg(
         F.sum("_sum_u").alias("_sum_u"), F.min("_tail").alias("_tail"), F.min("_min_on").alias("_min_on"), F.max("_null_on").alias("_null_on"),
         F.min(F.lit(0).cast("long")).alias("_salt"),  # a column, which a partitioning can name
     )
-    return reduced(om.filter("NOT _hot")).unionByName(merged.repartition(parts, *LIE))
+    return _reduced(om.filter("NOT _hot"), key).unionByName(merged.repartition(parts, *LIE))
 
 
 def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
@@ -149,10 +153,7 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
     """
     key = LIE  # `_salt` is 0
     churned = truthy(variant.churn_match(F.col("_label")))
-    tail = F.when(
-        ~churned & F.col("_tail.a").isNotNull(),
-        F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"), F.col("_tail.h").alias("h")),
-    )
+    tail = _paying_tail(churned)
     # the companies of a customer's month are peers in a window; its first row stands for them
     w = Window.partitionBy(*key).orderBy("pivot_month")
     of_month = w.rangeBetween(Window.currentRow, Window.currentRow)
@@ -172,6 +173,73 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
         .filter("_before IS NULL OR _before <> pivot_month")
         .drop("_before")
     )
+    return _month_facts(months)
+
+
+def _paying_tail(churned: Column) -> Column:
+    """A company's `_tail` with the company in it, unless its month is churned."""
+    return F.when(
+        ~churned & F.col("_tail.a").isNotNull(),
+        F.struct(F.col("_tail.a").alias("a"), F.col("_tail.o").alias("o"), F.col("company").alias("c"), F.col("_tail.h").alias("h")),
+    )
+
+
+def lone_company_facts(orders: DataFrame, lone: DataFrame, bounds: SpineBounds, variant: Variant) -> DataFrame:
+    """`customer_facts` of customers with one company each, whose orders lie in
+    one part. `lone`: their spans, partitioned by `staging.LIE`.
+
+    The row before a month is that of the same company in the month before, so
+    the span's months without orders are not needed: the month facts are
+    reduced in the order that the windows want, on one sort."""
+    of = {c: f"_of_{c}" for c in LIE}
+    span = lone.select(*[F.col(c).alias(of[c]) for c in LIE], *SPAN)
+    same = [orders[c] == span[of[c]] for c in LIE]
+    om = arr_by_month(orders.join(span, same).drop(*of.values()), bounds, keep_monthless=False)
+    months = _reduced(om.filter(F.col("pivot_month").isNotNull()), [*LIE, "pivot_month", "company"], SPAN)
+    w = Window.partitionBy(*LIE).orderBy("pivot_month")
+    months = months.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
+    months = months.withColumns({"_before": F.lag("pivot_month").over(w), "_before_u": F.lag("_arr_u").over(w)})
+    follows = bounds.follows(F.col("_before"), F.col("pivot_month"))
+    months = with_label(months.withColumn("_prev_u", F.when(follows, F.col("_before_u"))))
+    churned = truthy(variant.churn_match(F.col("_label")))
+    return _month_facts(
+        months.select(
+            *LIE,
+            "pivot_month",
+            "_first_order_date",
+            F.when(churned, F.lit(0)).otherwise(F.col("_sum_u")).alias("_cum_u"),
+            _paying_tail(churned).alias("_tail"),
+            "_min_on",
+            "_null_on",
+            F.array(F.struct(F.col("company").alias("c"), F.col("_label").alias("label"))).alias("_cos"),
+        )
+    )
+
+
+def all_customer_facts(
+    orders: DataFrame, spans: DataFrame, hot: DataFrame, slices: DataFrame, bounds: SpineBounds, parts: int,
+    variant: Variant, first_dates: DataFrame | None = None,
+) -> DataFrame:
+    """`customer_facts` of every customer: those with one company, and the
+    others and the `hot` ones by all months of their spans. All arguments as
+    in `rollforward.labelled_months`; the orders lie by `staging.LIE`."""
+    spans = spans.filter(F.col("customer_id").isNotNull())
+    is_hot = (spans["for_product"] == hot["for_product"]) & (spans["customer_id"] == hot["customer_id"])
+    lone = with_first_date(spans.filter("_companies = 1").join(hot, is_hot, "left_anti"), first_dates)
+    lone = lone.withColumn("_salt", F.lit(0).cast("long")).repartition(parts, *LIE)
+    apart = lone.select(*[F.col(c).alias(f"_of_{c}") for c in LIE])
+    rest_orders = orders.join(apart, [orders[c] == apart[f"_of_{c}"] for c in LIE], "left_anti")
+    of_rest = spans.filter("_companies > 1").unionByName(spans.filter("_companies = 1").join(hot, is_hot, "left_semi"))
+    ccm = customer_company_months(arr_by_month(rest_orders, bounds, keep_monthless=False), parts)
+    rest = customer_facts(labelled_months(of_rest, ccm, slices, bounds, parts, first_dates), variant)
+    return lone_company_facts(orders, lone, bounds, variant).unionByName(rest)
+
+
+def _month_facts(months: DataFrame) -> DataFrame:
+    """`customer_facts` from its rows per customer and month, which lie and
+    are sorted as the window wants them."""
+    key = LIE
+    w = Window.partitionBy(*key).orderBy("pivot_month")
     # A churn month after every paying month that the next month does not follow paying.
     # Where the next month has (unpaying) orders it is that month, else a month of its own.
     late = lambda m: next_month_end(F.col(m))

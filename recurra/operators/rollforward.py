@@ -25,7 +25,8 @@ KEY = ["for_product", "customer_id"]
 def customer_spans(orders: DataFrame) -> DataFrame:
     """One pass over the orders per (slice, customer, company): O19's span and
     the first order date, and over the customer's companies the first start
-    (`_first_start`) and first order date (`_first_order_date`)."""
+    (`_first_start`), the first order date (`_first_order_date`) and how many
+    they are (`_companies`)."""
     spans = orders.groupBy("for_product", "customer_id", "company").agg(
         F.min("standardstartdate").alias("client_start_date"),
         F.max("standardenddate_adjusted").alias("client_end_date"),
@@ -33,7 +34,11 @@ def customer_spans(orders: DataFrame) -> DataFrame:
     )
     w = Window.partitionBy(*KEY)
     return spans.withColumns(
-        {"_first_start": F.min("client_start_date").over(w), "_first_order_date": F.min("_first").over(w)}
+        {
+            "_first_start": F.min("client_start_date").over(w),
+            "_first_order_date": F.min("_first").over(w),
+            "_companies": F.count(F.lit(1)).over(w),
+        }
     ).drop("_first")
 
 
@@ -127,14 +132,9 @@ def labelled_months(
     `parts` partitions), sorted by month and company, where a month's facts are
     the row after it, and what the row before holds is the ARR before; whatever
     follows on that key (`arr.customer_facts`) reuses that one sort.
-    `first_dates`: (for_product, customer_id, _first_date), by default the
-    first start; a 'New' month after the month of that date becomes
-    'Reactivation'.
+    `first_dates`: see `with_first_date`.
     """
-    if first_dates is None:
-        spans = spans.withColumn("_first_date", F.col("_first_start"))
-    else:
-        spans = spans.join(first_dates, KEY, "left")
+    spans = with_first_date(spans, first_dates)
     base = rollforward_base(spans, slices, bounds, parts).withColumn("_is", F.lit(0))
     # A month of `ccm` lies in exactly one span month. The source's join on
     # customer, company and month never matches a NULL, so the rollforward's
@@ -148,6 +148,21 @@ def labelled_months(
     own = (F.col("_after._is") == 1) & (F.col("_after.pivot_month") == F.col("pivot_month"))
     own = own & F.col("_after.company").eqNullSafe(F.col("company"))
     rf = rf.withColumns({c: F.when(own, F.col(f"_after.{c}")) for c in ("_arr_u", *MONTH)}).drop("_after", "_is")
+    return with_label(rf)
+
+
+def with_first_date(spans: DataFrame, first_dates: DataFrame | None) -> DataFrame:
+    """`_first_date` of each span: from (for_product, customer_id,
+    _first_date), by default the first start."""
+    if first_dates is None:
+        return spans.withColumn("_first_date", F.col("_first_start"))
+    return spans.join(first_dates, KEY, "left")
+
+
+def with_label(rf: DataFrame) -> DataFrame:
+    """O21-O22 of months with their ARR and the ARR before (`_arr_u`,
+    `_prev_u`): a 'New' month after the month of `_first_date` is a
+    'Reactivation'."""
     arr, prev = F.col("_arr_u"), F.col("_prev_u")
     zero = F.lit(0)
     rf = rf.withColumn(

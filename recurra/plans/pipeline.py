@@ -154,7 +154,9 @@ class Pipeline:
 
     @cached_property
     def arr_final_full(self) -> DataFrame:
-        facts = arr_ops.customer_facts(self.labelled, arr_ops.PROCEDURE)
+        facts = arr_ops.all_customer_facts(
+            self.orders, self.spans, self.hot, self.slices, self.bounds, self.parts, arr_ops.PROCEDURE
+        )
         facts = self._bucketed(staging.lay_facts(facts, self.hot, self.parts), "customer-facts", self.parts)
         return arr_ops.arr_rows(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
 
@@ -234,7 +236,10 @@ class Pipeline:
         return batch_ops.batch_refunded_arr(i.classified, i.batch_company, self.batch_spans, i.calendar, self.cfg)
 
     def batch_arr_final(self) -> DataFrame:
-        facts = arr_ops.customer_facts(self.batch_labelled, arr_ops.BATCH)
+        facts = arr_ops.all_customer_facts(
+            self.batch_orders, self.batch_spans, self.batch_hot, rollforward.slice_list(self.spark), self.bounds,
+            self.batch_parts, arr_ops.BATCH, batch_ops.batch_first_dates(self.inputs.classified),
+        )
         facts = self._bucketed(staging.lay_facts(facts, self.batch_hot, self.batch_parts), "batch-customer-facts", self.batch_parts)
         rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
         return arr_ops.public(rows, arr_ops.BATCH)

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import month_start, month_starts_between, next_month_end, truthy
+
 
 def day_calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
     """One row per day `ds` in [first, last] (a generated date dimension)."""
@@ -47,3 +49,9 @@ class SpineBounds:
 
     def within(self, month_starts: Column) -> Column:
         return F.when(self._whole, month_starts).otherwise(F.array_intersect(month_starts, self.months))
+
+    def follows(self, before: Column, month: Column) -> Column:
+        """The month-end `month` is the first of the spine's after `before`."""
+        between = month_starts_between(F.add_months(month_start(before), 1), F.add_months(month_start(month), -1))
+        none = F.size(F.array_intersect(between, self.months)) == 0
+        return truthy((next_month_end(before) == month) | (~self._whole & none))
