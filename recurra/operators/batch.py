@@ -53,10 +53,10 @@ def _round4_micros(x):
 def batch_stage(classified: DataFrame, company: DataFrame, cfg: Config) -> DataFrame:
     comp = company.select(
         F.col("id").alias("_co_id"),
-        F.col("classification").alias("_co_class"),
-        F.col("countrycode").alias("_co_cc"),
-        F.col("state").alias("_co_state"),
-        F.col("city").alias("_co_city"),
+        norm("classification").alias("company_type"),
+        norm("countrycode").alias("countrycode"),
+        norm("state").alias("state"),
+        norm("city").alias("city"),
     )
     j = classified.join(comp, classified["currentbillingentityid"] == comp["_co_id"], "left")
     od = F.to_date(F.convert_timezone(F.lit(cfg.source_tz), F.lit("UTC"), F.col("DATE")))
@@ -68,10 +68,10 @@ def batch_stage(classified: DataFrame, company: DataFrame, cfg: Config) -> DataF
         (cost_u.cast("double") / F.lit(1e6)).alias("totalordercost"),
         F.col("termlength").alias("subtypeatordertime"),
         norm("customername").alias("company"),
-        norm("_co_class").alias("company_type"),
-        norm("_co_cc").alias("countrycode"),
-        norm("_co_state").alias("state"),
-        norm("_co_city").alias("city"),
+        "company_type",
+        "countrycode",
+        "state",
+        "city",
         batch_product("objecttypeid", cfg.batch_product_map).alias("product"),
         od.alias("standardstartdate"),
         batch_end_date("termlength", od).alias("standardenddate"),
@@ -87,7 +87,8 @@ def _refund_ids(classified: DataFrame) -> DataFrame:
 
 
 def batch_orders(classified: DataFrame, company: DataFrame, cfg: Config) -> DataFrame:
-    """O33 (+O34, O37, O14): paid non-refund orders with adjusted end."""
+    """O33 (+O34, O37): paid non-refund orders with the end that O14 stretches
+    (`staging.stretch_end_dates`, once the orders are laid)."""
     s = batch_stage(classified, company, cfg).filter(
         truthy((F.col("transactionarr") > 0) & (lower_or_dash("type") != "refund"))
     )
@@ -95,7 +96,7 @@ def batch_orders(classified: DataFrame, company: DataFrame, cfg: Config) -> Data
         refs = _refund_ids(classified)
         s = s.join(refs, s["matchingrefund"] == refs["_ref_id"], "left_anti")
     s = s.withColumn("for_product", F.explode(F.array(F.lit(ALL_SLICE))))  # a column, as in `staging.in_slices`
-    return adjusted_end_date(s, cfg.grace_days, F.lit(True))
+    return adjusted_end_date(s, F.lit(True))
 
 
 def batch_refunded_arr(

@@ -33,11 +33,8 @@ STAGED_COLUMNS = (
 
 def fx_rate(code, fx: dict[str, float]) -> Column:
     """USD rate of upper(trim(code)); unknown/NULL -> 1."""
-    key = norm(code)
-    out = None
-    for cur, rate in fx.items():
-        out = (F.when if out is None else out.when)(key == F.lit(cur), F.lit(float(rate)))
-    return out.otherwise(F.lit(1.0))
+    rates = F.create_map(*[F.lit(x) for cur, rate in fx.items() for x in (cur, float(rate))])
+    return F.coalesce(rates[norm(code)], F.lit(1.0))
 
 
 def annualized_cost(amount, start, end, rate: Column) -> Column:
@@ -99,11 +96,11 @@ def stage_orders(txn: DataFrame, company: DataFrame, product_dim: DataFrame, cfg
     its refund links where `txn` carries them."""
     comp = company.select(
         F.col("id").alias("_co_id"),
-        F.col("name").alias("_co_name"),
-        F.col("classification").alias("_co_class"),
-        F.col("countrycode").alias("_co_cc"),
-        F.col("state").alias("_co_state"),
-        F.col("city").alias("_co_city"),
+        norm("name").alias("company"),
+        norm("classification").alias("company_type"),
+        norm("countrycode").alias("countrycode"),
+        norm("state").alias("state"),
+        norm("city").alias("city"),
     )
     prod = product_dim.select(
         F.col("objecttypeid").alias("_p_type"), F.col("product").alias("_dim_product")
@@ -121,11 +118,11 @@ def stage_orders(txn: DataFrame, company: DataFrame, product_dim: DataFrame, cfg
         "type",
         cost.alias("_cost"),
         term_bucket("periodstart", "periodend").alias("subtypeatordertime"),
-        norm("_co_name").alias("company"),
-        norm("_co_class").alias("company_type"),
-        norm("_co_cc").alias("countrycode"),
-        norm("_co_state").alias("state"),
-        norm("_co_city").alias("city"),
+        "company",
+        "company_type",
+        comp["countrycode"],
+        "state",
+        "city",
         F.coalesce(F.col("_dim_product"), F.lit(UNMAPPED_PRODUCT)).alias("product"),
         "originalcurrencycode",
         F.to_date("periodstart").alias("standardstartdate"),
@@ -294,43 +291,55 @@ def orders_by_product(staged: DataFrame) -> DataFrame:
     return staged.filter(_in_product()).withColumn("for_product", F.col("_dim_product"))
 
 
-def adjusted_end_date(orders: DataFrame, grace_days: int, eligible: Column) -> DataFrame:
-    """Stretch an order's end by up to `grace_days`, but not past the
-    customer's next (strictly later) start within the same slice.
+def adjusted_end_date(orders: DataFrame, eligible: Column) -> DataFrame:
+    """O14 without a grace period: the end date. Rows that are not `eligible`,
+    or lack customer/order id/end date, get NULL, like the source's UPDATE that
+    finds no row."""
+    ok = eligible & F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull()
+    return orders.withColumn("standardenddate_adjusted", F.when(truthy(ok), F.col("standardenddate")))
 
-    The source does this with an inequality self-join and min(); here the
-    distinct start dates per (slice, customer) get `lead`, and each order
-    picks its next start with an equi-join. The window's partitions hold at
-    most one row per start date, however many orders a customer has.
-    Rows that are not `eligible`, or lack customer/order id/end date, get
-    NULL, like the source's UPDATE that finds no row.
-    """
-    end = F.col("standardenddate")
-    ok = eligible & end.isNotNull() & F.col("customer_id").isNotNull() & F.col("ordernumber").isNotNull()
+
+def hot_starts(rows: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+    """The start dates of `hot` customers' orders, partitioned as orders `LIE`:
+    a row for each date and part that the customer's orders are dealt to."""
+    key = (rows["for_product"] == hot["for_product"]) & (rows["customer_id"] == hot["customer_id"])
+    of_hot = rows.filter("standardstartdate IS NOT NULL").join(hot, key, "left_semi")
+    starts = of_hot.select("for_product", "customer_id", "standardstartdate").distinct()
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
+    return _salts(starts, hot).withColumn("_salt", each).drop("_salts").repartition(parts, *LIE)
+
+
+def stretch_end_dates(laid: DataFrame, grace_days: int, starts: DataFrame | None) -> DataFrame:
+    """Stretch an order's adjusted end by up to `grace_days`, but not past
+    the customer's next (strictly later) start within the same slice.
+
+    The source does this with an inequality self-join and min(); here a running
+    minimum over the customer's orders, latest start first, where they lie
+    (`lay_orders`): nothing is moved. `starts`: `hot_starts`, where there are
+    hot customers, whose orders lie in several parts."""
     if grace_days == 0:  # no stretch: max(end, min(end, next start)) is the end itself
-        return orders.withColumn("standardenddate_adjusted", F.when(truthy(ok), end))
-    starts = (
-        orders.filter(F.col("customer_id").isNotNull() & F.col("standardstartdate").isNotNull())
-        .select("for_product", "customer_id", "standardstartdate")
-        .distinct()
-    )
-    w = Window.partitionBy("for_product", "customer_id").orderBy("standardstartdate")
-    nxt = starts.withColumn("_next_start", F.lead("standardstartdate").over(w))
-    j = orders.join(nxt, ["for_product", "customer_id", "standardstartdate"], "left")
+        return laid
+    rows = laid.withColumn("_order", F.lit(True))
+    if starts is not None:
+        rows = rows.unionByName(starts.withColumn("_order", F.lit(False)), allowMissingColumns=True)
+    start, end = F.col("standardstartdate"), F.col("standardenddate_adjusted")
+    w = Window.partitionBy(*LIE).orderBy(F.unix_date(start).desc_nulls_last())
+    later = F.when(start.isNotNull(), F.min(start).over(w.rangeBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("_next_start", later).filter("_order").drop("_order")
     stretched = F.date_add(end, grace_days)
     adj = F.greatest(end, F.least(stretched, F.coalesce(F.col("_next_start"), stretched)))
-    return j.withColumn("standardenddate_adjusted", F.when(truthy(ok), adj)).drop("_next_start")
+    return rows.withColumn("standardenddate_adjusted", F.when(end.isNotNull(), adj)).drop("_next_start")
 
 
-def slice_orders(staged: DataFrame, region: DataFrame, cfg: Config, products: bool = True) -> DataFrame:
-    """O09 (+O10 when `products`) with adjusted end date and country name.
+def slice_orders(staged: DataFrame, region: DataFrame, products: bool = True) -> DataFrame:
+    """O09 (+O10 when `products`) with the end date that O14 stretches
+    (`stretch_end_dates`, once the orders are laid) and country name.
 
     `staged` carries the refund flags (`flag_refund_links`) and is read once:
     each row goes to the slices it is in. Output: one row per (for_product,
     order); the input of O17-O27.
     """
-    s = adjusted_end_date(in_slices(staged, products), cfg.grace_days, F.col("_cost") > 0)
-    return with_country(s, region, fallback=True)
+    return with_country(adjusted_end_date(in_slices(staged, products), F.col("_cost") > 0), region, fallback=True)
 
 
 def in_slices(staged: DataFrame, products: bool) -> DataFrame:

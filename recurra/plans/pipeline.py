@@ -83,6 +83,13 @@ class Pipeline:
         often = self._cut(staging.repeated_rows(rows, self.cfg.hot_orders), name)
         return None if often.isEmpty() else often
 
+    def _stretched(self, laid: DataFrame, rows: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+        """`laid` orders, of `rows`, with their end dates stretched."""
+        if self.cfg.grace_days == 0:
+            return laid
+        starts = None if hot.isEmpty() else staging.hot_starts(rows, hot, parts)
+        return staging.stretch_end_dates(laid, self.cfg.grace_days, starts)
+
     @cached_property
     def _written(self) -> list[str]:
         return []
@@ -113,9 +120,10 @@ class Pipeline:
     @cached_property
     def orders(self) -> DataFrame:
         """Sliced orders with adjusted end date: read by every later stage."""
-        o = staging.slice_orders(self.staged, self.inputs.region_dim, self.cfg, self.products)
+        o = staging.slice_orders(self.staged, self.inputs.region_dim, self.products)
         o = o.drop("_cost", "_dim_product", *staging.FLAGS)  # their use is over; `_h` knows them
         laid = staging.lay_orders(o, self.hot, self._repeated(self.staged, "repeated"), self.parts)
+        laid = self._stretched(laid, staging.in_slices(self.staged, self.products), self.hot, self.parts)
         return self._bucketed(with_active_run(laid, self.bounds), "orders", self.parts)
 
     @cached_property
@@ -202,6 +210,7 @@ class Pipeline:
         o = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
         o = self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged")
         laid = staging.lay_orders(o, self.batch_hot, self._repeated(o, "batch-repeated"), self.batch_parts)
+        laid = self._stretched(laid, o, self.batch_hot, self.batch_parts)
         return self._bucketed(with_active_run(laid, self.bounds), "batch-orders", self.batch_parts)
 
     @cached_property
