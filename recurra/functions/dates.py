@@ -31,9 +31,7 @@ def month_boundaries(start, end) -> Column:
 
 def hour_boundaries(start, end) -> Column:
     """Hour boundaries crossed between two wall-clock timestamps."""
-    return F.timestamp_diff(
-        "HOUR", F.date_trunc("HOUR", _c(start)), F.date_trunc("HOUR", _c(end))
-    )
+    return day_boundaries(start, end).cast("long") * 24 + F.hour(_c(end)) - F.hour(_c(start))
 
 
 def day_boundaries(start, end) -> Column:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
 from .monthly import active_month_starts, arr_by_month
-from .rollforward import SPAN, labelled_months, with_first_date, with_label
+from .rollforward import SPAN, classify, labelled_months, with_first_date, with_label
 from .staging import LIE
 
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
@@ -184,35 +184,115 @@ def _paying_tail(churned: Column) -> Column:
     )
 
 
+#: `staging.LIE` with what tells rows apart first: a sort compares less.
+BY = ["customer_id", "for_product", "_salt"]
+
+
+def order_runs(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
+    """Orders with months, once for each run of months they are active in; a
+    customer's runs are cut wherever one of its orders begins or ends, so the
+    same orders are active in all months of a run. `_at`: the run's first month
+    in the spine (from 0), `_run`: its months."""
+    at, to = F.col("_at"), F.col("_to")
+    of_customer = Window.partitionBy(*LIE)
+    o = orders.filter("_n_months > 0").withColumn("_at", bounds.place(F.col("_first_month")))
+    o = o.withColumn("_to", at + F.col("_n_months"))
+    o = o.withColumns({"_ats": F.collect_set(at).over(of_customer), "_tos": F.collect_set(to).over(of_customer)})
+    o = o.withColumn("_cuts", bounds.cuts(F.sort_array(F.array_union("_ats", "_tos"))))
+    o = o.withColumns({"_lo": F.array_position("_cuts", at).cast("int"), "_hi": F.array_position("_cuts", to).cast("int")})
+    n = F.col("_hi") - F.col("_lo")
+    runs = F.arrays_zip(F.slice("_cuts", F.col("_lo"), n).alias("at"), F.slice("_cuts", F.col("_lo") + 1, n).alias("to"))
+    o = o.drop("_ats", "_tos").withColumn("_r", F.explode(runs))
+    return o.withColumns({"_at": F.col("_r.at"), "_run": F.col("_r.to") - F.col("_r.at")}).drop("_r", "_cuts", "_lo", "_hi", "_to")
+
+
 def lone_company_facts(orders: DataFrame, lone: DataFrame, bounds: SpineBounds, variant: Variant) -> DataFrame:
     """`customer_facts` of customers with one company each, whose orders lie in
     one part. `lone`: their spans, partitioned by `staging.LIE`.
 
     The row before a month is that of the same company in the month before, so
-    the span's months without orders are not needed: the month facts are
-    reduced in the order that the windows want, on one sort."""
+    the span's months without orders are not needed; and from a run's second
+    month on nothing changes, so a run is one row (`order_runs`), reduced in the
+    order that the windows want, on one sort. Only the facts name each month."""
     of = {c: f"_of_{c}" for c in LIE}
     span = lone.select(*[F.col(c).alias(of[c]) for c in LIE], *SPAN)
     same = [orders[c] == span[of[c]] for c in LIE]
-    om = arr_by_month(orders.join(span, same).drop(*of.values()), bounds, keep_monthless=False)
-    months = _reduced(om.filter(F.col("pivot_month").isNotNull()), [*LIE, "pivot_month", "company"], SPAN)
-    w = Window.partitionBy(*LIE).orderBy("pivot_month")
-    months = months.withColumn("_arr_u", F.when(F.col("company").isNotNull(), F.col("_sum_u")))
-    months = months.withColumns({"_before": F.lag("pivot_month").over(w), "_before_u": F.lag("_arr_u").over(w)})
-    follows = bounds.follows(F.col("_before"), F.col("pivot_month"))
-    months = with_label(months.withColumn("_prev_u", F.when(follows, F.col("_before_u"))))
+    mine = orders.select(*LIE, "company", "ordernumber", "_h", "_cost_u", "_first_month", "_n_months")
+    # within its months an order pays
+    om = order_runs(mine.join(span, same).drop(*of.values()), bounds).withColumnRenamed("_cost_u", "_arr_u")
+    runs = _reduced(om, [*BY, "_at", "company"], [*SPAN, "_run"])
+    nth = lambda k: F.last_day(F.element_at(bounds.months, k))  # noqa: E731  (from 1)
+    w = Window.partitionBy(*BY).orderBy("_at")
+    runs = runs.withColumns(
+        {
+            "pivot_month": nth(F.col("_at") + 1),
+            "_last": nth(F.col("_at") + F.col("_run")),
+            "_arr_u": F.when(F.col("company").isNotNull(), F.col("_sum_u")),
+        }
+    )
+    runs = runs.withColumns({"_to": F.lag(F.col("_at") + F.col("_run")).over(w), "_before_u": F.lag("_arr_u").over(w)})
+    runs = with_label(runs.withColumn("_prev_u", F.when(F.col("_to") == F.col("_at"), F.col("_before_u"))))
+    # the second month's label, and each one's after it: the ARR before is the ARR
+    later = classify(F.col("_arr_u"), F.col("_arr_u"), F.lit(0), F.lit(None).cast("date"), F.col("client_end_date"))
     churned = truthy(variant.churn_match(F.col("_label")))
-    return _month_facts(
-        months.select(
-            *LIE,
-            "pivot_month",
-            "_first_order_date",
-            F.when(churned, F.lit(0)).otherwise(F.col("_sum_u")).alias("_cum_u"),
-            _paying_tail(churned).alias("_tail"),
-            "_min_on",
-            "_null_on",
-            F.array(F.struct(F.col("company").alias("c"), F.col("_label").alias("label"))).alias("_cos"),
-        )
+    free = churned & (F.col("_run") == 1)  # of the last month: only a run's first can be a churn
+    runs = runs.withColumns(
+        {
+            "_cum_u": F.when(churned, F.lit(0)).otherwise(F.col("_sum_u")),
+            "_pays": ~churned & F.col("_tail").isNotNull(),
+            "_last_u": F.when(free, F.lit(0)).otherwise(F.col("_sum_u")),
+            "_last_tail": F.when(~free, F.struct(F.col("_tail.o").alias("o"), F.col("_tail.h").alias("h"), F.col("_tail").isNotNull().alias("pays"))),
+        }
+    )
+    runs = runs.withColumns(
+        {
+            "_b": F.lag(F.struct("_last", "_last_u", "_last_tail")).over(w),
+            "_next": F.lead(F.struct("pivot_month", "_pays")).over(w),
+        }
+    )
+    # as in `_month_facts`; the months of a run follow each other, and if one pays the later ones do
+    late = next_month_end(F.col("_last"))
+    last_pays = truthy(F.col("_last_tail.pays"))
+    before_pays = truthy(F.col("_b._last_tail.pays"))
+    joins = truthy(F.col("pivot_month") == next_month_end(F.col("_b._last")))
+    met = before_pays & joins & ~F.col("_pays")
+    broken = before_pays & ~joins
+    copied = F.struct(F.col("_b._last_tail.o").alias("o"), F.col("_b._last_tail.h").alias("h"))
+    first = F.when(met, F.least(F.col("_min_on"), copied)).otherwise(F.col("_min_on"))
+    null_on = F.col("_null_on") | (met & F.col("_b._last_tail.o").isNull())
+    gap = last_pays & ~(truthy(F.col("_next.pivot_month") == late) & truthy(F.col("_next._pays")))
+    run = F.struct(
+        F.col("pivot_month").alias("m"), F.col("_run").alias("run"), F.col("_label").alias("label"), later.alias("later"),
+        (F.col("_cum_u") - F.when(broken, F.lit(0)).otherwise(F.coalesce(F.col("_b._last_u"), F.lit(0)))).alias("delta"),
+        (F.col("_sum_u") - F.coalesce("_sum_u", F.lit(0))).alias("later_delta"),
+        F.when(~null_on, first["h"]).alias("h"), F.when(~F.col("_null_on"), F.col("_min_on.h")).alias("later_h"),
+        F.when(gap, late).alias("churn"), F.col("_last_tail.h").alias("tail_h"), (-F.col("_last_u")).alias("u"),
+    )
+    facts = runs.withColumns({"_x": run, "_ends": F.when(last_pays, late).otherwise(F.col("_last"))}).groupBy(*BY, "company").agg(
+        F.max("_first_order_date").alias("_first_order_date"), F.max("_ends").alias("_churn_date"), F.collect_list("_x").alias("_all")
+    )
+
+    def fact(m, label, delta, h, u, syn) -> Column:
+        cols = {"m": m, "label": label, "delta": delta, "h": h, "u": u, "syn": F.lit(syn)}
+        return F.struct(*[c.alias(n) for n, c in cols.items()])
+
+    none = F.lit(None).cast("long")
+
+    def months(x: Column) -> Column:
+        head = F.array(fact(x["m"], x["label"], x["delta"], x["h"], none, False))
+        rest = F.slice(F.sequence(F.lit(0), x["run"] - 1), 2, x["run"])  # of the calendar: a run has no month missing
+        each = lambda k: F.last_day(F.add_months(x["m"], k))
+        return F.concat(head, F.transform(rest, lambda k: fact(each(k), x["later"], x["later_delta"], x["later_h"], none, False)))
+
+    def churn(x: Column) -> Column:
+        return fact(x["churn"], F.lit("Churn"), none, x["tail_h"], x["u"], True)
+
+    facts = facts.withColumn("_all", F.sort_array("_all"))
+    return (
+        facts.withColumn("_facts", F.flatten(F.transform("_all", months)))
+        .withColumn("_syn", F.transform(F.filter("_all", lambda x: x["churn"].isNotNull()), churn))
+        .withColumn("_months", F.col("_facts.m"))
+        .drop("_all")
     )
 
 

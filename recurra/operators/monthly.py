@@ -9,10 +9,10 @@ shuffle, no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import month_start, month_starts_between
+from ..functions import month_index, month_start, month_starts_between
 from ..sources.calendar import SpineBounds, month_spine  # noqa: F401  (re-export)
 
 
@@ -21,18 +21,28 @@ def active_month_starts(start, end_exclusive, bounds: SpineBounds):
     last_day(end), within the spine (explode, then `last_day`)."""
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end_exclusive) if isinstance(end_exclusive, str) else end_exclusive
-    lo = F.greatest(month_start(s), bounds.first)
-    hi = F.least(F.add_months(month_start(e), -1), bounds.last)
+    lo, hi = active_ends(s, e, bounds)
     return F.when(s.isNotNull() & e.isNotNull(), bounds.within(month_starts_between(lo, hi)))
 
 
+def active_ends(start: Column, end_exclusive: Column, bounds: SpineBounds) -> tuple[Column, Column]:
+    """The first and the last of `active_month_starts`, if there are any."""
+    return F.greatest(month_start(start), bounds.first), F.least(F.add_months(month_start(end_exclusive), -1), bounds.last)
+
+
 def with_active_run(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
     """`_first_month` (a month-end) and `_n_months`: where an order's active
     months begin in a run of months that has them all, and how many they are."""
-    months = active_month_starts("standardstartdate", "standardenddate_adjusted", bounds)
-    return orders.withColumn("_months", months).withColumns(
-        {"_first_month": F.last_day(F.get("_months", F.lit(0))), "_n_months": F.coalesce(F.size("_months"), F.lit(0))}
-    ).withColumn("_n_months", F.greatest("_n_months", F.lit(0))).drop("_months")
+    start, end = F.col("standardstartdate"), F.col("standardenddate_adjusted")
+    lo, hi = active_ends(start, end, bounds)
+    # step by step: expressions that are too long for one method are not compiled to machine code
+    o = orders.withColumns({"_lo": F.when(end.isNotNull() & start.isNotNull(), lo), "_hi": hi})
+    few = bounds.when_whole(F.lit(None).cast("array<date>"), bounds.within(month_starts_between(F.col("_lo"), F.col("_hi"))))
+    o = o.withColumn("_months", few)
+    n = F.greatest(bounds.when_whole(month_index("_hi") - month_index("_lo") + 1, F.size("_months")), F.lit(0))
+    o = o.withColumn("_n_months", F.coalesce(F.when(F.col("_lo").isNotNull(), n), F.lit(0)))
+    first = bounds.when_whole(F.col("_lo"), F.get("_months", F.lit(0)))
+    return o.withColumn("_first_month", F.when(F.col("_n_months") > 0, F.last_day(first))).drop("_lo", "_hi", "_months")
 
 
 def arr_by_month(orders: DataFrame, bounds: SpineBounds, keep_monthless: bool = True) -> DataFrame:

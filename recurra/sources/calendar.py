@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import month_start, month_starts_between, next_month_end, truthy
+from ..functions import month_index, month_start, month_starts_between, next_month_end, truthy
 
 
 def day_calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
@@ -50,6 +50,21 @@ class SpineBounds:
     def within(self, month_starts: Column) -> Column:
         return F.when(self._whole, month_starts).otherwise(F.array_intersect(month_starts, self.months))
 
+    def when_whole(self, value: Column, otherwise: Column) -> Column:
+        """`value` where the calendar lacks no month."""
+        return F.when(self._whole, value).otherwise(otherwise)
+
+    def place(self, month: Column) -> Column:
+        """The place of a month of the spine in it, from 0."""
+        past = month_index(month) - month_index(self.first)
+        return self.when_whole(past, (F.array_position(self.months, F.trunc(month, "month")) - 1).cast("int"))
+
+    def cuts(self, ends: Column) -> Column:
+        """Where runs of months begin and end, in places: at `ends`; where the
+        calendar lacks a month, at every one of its months, so that none is
+        taken to follow another across a missing one."""
+        return self.when_whole(ends, F.sequence(F.lit(0), F.size(self.months)))
+
     def follows(self, before: Column, month: Column) -> Column:
         """The month-end `month` is the first of the spine's after `before`."""
         between = month_starts_between(F.add_months(month_start(before), 1), F.add_months(month_start(month), -1))
