@@ -35,7 +35,7 @@ from ..functions import from_micros, month_boundaries, next_month_end, truthy
 from ..sources.calendar import SpineBounds
 from .monthly import active_month_starts, arr_by_month
 from .rollforward import SPAN, classify, labelled_months, with_first_date, with_label
-from .staging import LIE
+from .staging import LIE, lay_dates
 
 K4 = ["for_product", "customer_id", "company", "pivot_month"]
 
@@ -382,13 +382,15 @@ def _with_facts(df: DataFrame) -> DataFrame:
 
 
 def arr_rows(
-    orders: DataFrame, facts: DataFrame, spans: DataFrame, bounds: SpineBounds, variant: Variant = PROCEDURE
+    orders: DataFrame, facts: DataFrame, spans: DataFrame, hot: DataFrame, bounds: SpineBounds, parts: int,
+    variant: Variant = PROCEDURE,
 ) -> DataFrame:
     """O23-O27 for every slice at once, from `customer_facts` of the same
     orders: order-month rows, and synthetic churn rows (`_syn`). Both sides
     carry the `MEET` columns (`staging.lay_orders`, `staging.lay_facts`) and
     lie by customer, so neither is moved; of a customer's companies each order
-    takes its own.
+    takes its own. Nor are orders without months moved, to which the first order
+    dates go.
 
     An order's months are a slice of its customer's: every month it is active
     in has an order, so none is missing between its first and its last."""
@@ -425,9 +427,7 @@ def arr_rows(
     ).drop("_ms")
     rows = rows.unionByName(nobody)
     if variant.keep_monthless:
-        lone = orders.filter("_n_months = 0").join(
-            first_order_dates(spans), ["for_product", "customer_id"], "left"
-        )
+        lone = orders.filter("_n_months = 0").join(lay_dates(first_order_dates(spans), hot, parts), LIE, "left")
         rows = rows.unionByName(lone.withColumns(none | {"pivot_month": F.lit(None).cast("date"), "_arr_u": zero}))
     return _finish(rows, variant)
 

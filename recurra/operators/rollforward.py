@@ -26,11 +26,13 @@ def customer_spans(orders: DataFrame) -> DataFrame:
     """One pass over the orders per (slice, customer, company): O19's span and
     the first order date, and over the customer's companies the first start
     (`_first_start`), the first order date (`_first_order_date`) and how many
-    they are (`_companies`)."""
-    spans = orders.groupBy("for_product", "customer_id", "company").agg(
-        F.min("standardstartdate").alias("client_start_date"),
-        F.max("standardenddate_adjusted").alias("client_end_date"),
-        F.min("orderdate").alias("_first"),
+    they are (`_companies`). Orders are reduced where they lie (`staging.LIE`);
+    only what comes out, a row for each part of a customer, is moved, once."""
+    laid = orders.groupBy(*LIE, "company").agg(
+        F.min("standardstartdate").alias("_start"), F.max("standardenddate_adjusted").alias("_end"), F.min("orderdate").alias("_first")
+    )
+    spans = laid.repartition(*KEY).groupBy(*KEY, "company").agg(
+        F.min("_start").alias("client_start_date"), F.max("_end").alias("client_end_date"), F.min("_first").alias("_first")
     )
     w = Window.partitionBy(*KEY)
     return spans.withColumns(

@@ -189,11 +189,14 @@ def mark_copies(rows: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     return parts.select(*rows.columns, F.explode(F.sequence(F.col("_part") * chunk, last)).alias("_copy"))
 
 
-def repeated_rows(rows: DataFrame, most: int) -> DataFrame:
+def repeated_rows(rows: DataFrame, hot: DataFrame, most: int) -> DataFrame:
     """`_h` of the rows of which there are more than `most` (so at most one for
     each `most` rows): their copies are numbered before they are dealt, all
-    others where they lie."""
-    return rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_h")
+    others where they lie. So many equal rows make their customer one of
+    `hot_customers`, so no other's rows are counted."""
+    customers = hot.select(F.col("customer_id").alias("_h_cust")).distinct()
+    of_hot = rows.join(customers, rows["customer_id"].eqNullSafe(customers["_h_cust"]), "left_semi")
+    return of_hot.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_h")
 
 
 #: What orders and customer facts meet on; none but the customer is ever NULL.
@@ -234,17 +237,19 @@ def lay_orders(orders: DataFrame, hot: DataFrame, repeated: DataFrame | None, pa
     """Orders partitioned as they `LIE`, their copies numbered there: a copy's
     part follows from what it holds, so equal rows meet without another
     exchange. Rows `repeated` too often for that are numbered first and dealt
-    copy by copy."""
+    copy by copy. The company's key is made where they lie, not moved."""
 
     def laid(df: DataFrame) -> DataFrame:
-        return deal_orders(df, hot).repartition(parts, *LIE)
+        return deal_orders(df, hot).drop("_company_key").repartition(parts, *LIE)
 
     zero = F.lit(0).cast("long")
     if repeated is None:
-        return mark_copies(laid(orders.withColumn("_copy", zero)).drop("_copy"))
-    often = mark_copies(orders.join(repeated, "_h", "left_semi"))
-    seldom = orders.join(repeated, "_h", "left_anti").withColumn("_copy", zero)
-    return mark_copies(laid(seldom).drop("_copy")).unionByName(laid(often))
+        out = mark_copies(laid(orders.withColumn("_copy", zero)).drop("_copy"))
+    else:
+        often = mark_copies(orders.join(repeated, "_h", "left_semi"))
+        seldom = orders.join(repeated, "_h", "left_anti").withColumn("_copy", zero)
+        out = mark_copies(laid(seldom).drop("_copy")).unionByName(laid(often))
+    return out.withColumn("_company_key", company_key("company"))
 
 
 def copy_facts(facts: DataFrame, hot: DataFrame) -> DataFrame:
@@ -299,14 +304,19 @@ def adjusted_end_date(orders: DataFrame, eligible: Column) -> DataFrame:
     return orders.withColumn("standardenddate_adjusted", F.when(truthy(ok), F.col("standardenddate")))
 
 
+def lay_dates(dates: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+    """Dates of customers partitioned as orders `LIE`: a row for each part that
+    the customer's orders are dealt to."""
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
+    return _salts(dates, hot).withColumn("_salt", each).drop("_salts").repartition(parts, *LIE)
+
+
 def hot_starts(rows: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
     """The start dates of `hot` customers' orders, partitioned as orders `LIE`:
     a row for each date and part that the customer's orders are dealt to."""
     key = (rows["for_product"] == hot["for_product"]) & (rows["customer_id"] == hot["customer_id"])
     of_hot = rows.filter("standardstartdate IS NOT NULL").join(hot, key, "left_semi")
-    starts = of_hot.select("for_product", "customer_id", "standardstartdate").distinct()
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
-    return _salts(starts, hot).withColumn("_salt", each).drop("_salts").repartition(parts, *LIE)
+    return lay_dates(of_hot.select("for_product", "customer_id", "standardstartdate").distinct(), hot, parts)
 
 
 def stretch_end_dates(laid: DataFrame, grace_days: int, starts: DataFrame | None) -> DataFrame:

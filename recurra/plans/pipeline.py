@@ -27,8 +27,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions import from_micros
 from ..operators import arr as arr_ops
 from ..operators import batch as batch_ops
 from ..operators import facts, legacy, refunds, rollforward, staging
@@ -78,9 +80,11 @@ class Pipeline:
             return df
         return materialize_bucketed(df, name, staging.LIE, parts, self._written)
 
-    def _repeated(self, rows: DataFrame, name: str) -> DataFrame | None:
+    def _repeated(self, rows: DataFrame, hot: DataFrame, name: str) -> DataFrame | None:
         """Rows with too many copies for one task, if there are any."""
-        often = self._cut(staging.repeated_rows(rows, self.cfg.hot_orders), name)
+        if hot.isEmpty():
+            return None
+        often = self._cut(staging.repeated_rows(rows, hot, self.cfg.hot_orders), name)
         return None if often.isEmpty() else often
 
     def _stretched(self, laid: DataFrame, rows: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
@@ -122,8 +126,10 @@ class Pipeline:
         """Sliced orders with adjusted end date: read by every later stage."""
         o = staging.slice_orders(self.staged, self.inputs.region_dim, self.products)
         o = o.drop("_cost", "_dim_product", *staging.FLAGS)  # their use is over; `_h` knows them
-        laid = staging.lay_orders(o, self.hot, self._repeated(self.staged, "repeated"), self.parts)
+        repeated = self._repeated(self.staged, self.hot, "repeated")
+        laid = staging.lay_orders(o.drop("totalordercost"), self.hot, repeated, self.parts)
         laid = self._stretched(laid, staging.in_slices(self.staged, self.products), self.hot, self.parts)
+        laid = laid.withColumn("totalordercost", from_micros(F.col("_cost_u")))  # made anew where they lie, not moved
         return self._bucketed(with_active_run(laid, self.bounds), "orders", self.parts)
 
     @cached_property
@@ -166,7 +172,7 @@ class Pipeline:
             self.orders, self.spans, self.hot, self.slices, self.bounds, self.parts, arr_ops.PROCEDURE
         )
         facts = self._bucketed(staging.lay_facts(facts, self.hot, self.parts), "customer-facts", self.parts)
-        return arr_ops.arr_rows(self.orders, facts, self.spans, self.bounds, arr_ops.PROCEDURE)
+        return arr_ops.arr_rows(self.orders, facts, self.spans, self.hot, self.bounds, self.parts, arr_ops.PROCEDURE)
 
     @cached_property
     def arr_final(self) -> DataFrame:
@@ -205,23 +211,29 @@ class Pipeline:
 
     # --- batch generation --------------------------------------------------
     @cached_property
-    def batch_orders(self) -> DataFrame:
+    def batch_staged(self) -> DataFrame:
+        """The batch generation's paid orders, staged once."""
         i = self.inputs
         o = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
-        o = self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged")
-        laid = staging.lay_orders(o, self.batch_hot, self._repeated(o, "batch-repeated"), self.batch_parts)
+        return self._cut(o.withColumn("_h", staging.content_hash(o.columns)), "batch-staged")
+
+    @cached_property
+    def batch_orders(self) -> DataFrame:
+        # as in `orders`: what only `_h` still needs, or can be made anew, is not moved
+        o = self.batch_staged.drop("transactionarr", "type", "matchingrefund", "totalordercost")
+        laid = staging.lay_orders(o, self.batch_hot, self._repeated(o, self.batch_hot, "batch-repeated"), self.batch_parts)
         laid = self._stretched(laid, o, self.batch_hot, self.batch_parts)
+        laid = laid.withColumn("totalordercost", from_micros(F.col("_cost_u")))
         return self._bucketed(with_active_run(laid, self.bounds), "batch-orders", self.batch_parts)
 
     @cached_property
     def batch_parts(self) -> int:
+        self.batch_staged  # noqa: B018  (its size is asked for)
         return self._parts("batch-staged")
 
     @cached_property
     def batch_hot(self) -> DataFrame:
-        i = self.inputs
-        keys = batch_ops.batch_orders(i.classified, i.batch_company, self.cfg)
-        return self._cut(staging.hot_customers(keys, self.cfg.hot_orders), "batch-hot-customers")
+        return self._cut(staging.hot_customers(self.batch_staged, self.cfg.hot_orders), "batch-hot-customers")
 
     @cached_property
     def batch_spans(self) -> DataFrame:
@@ -250,7 +262,9 @@ class Pipeline:
             self.batch_parts, arr_ops.BATCH, batch_ops.batch_first_dates(self.inputs.classified),
         )
         facts = self._bucketed(staging.lay_facts(facts, self.batch_hot, self.batch_parts), "batch-customer-facts", self.batch_parts)
-        rows = arr_ops.arr_rows(self.batch_orders, facts, self.batch_spans, self.bounds, arr_ops.BATCH)
+        rows = arr_ops.arr_rows(
+            self.batch_orders, facts, self.batch_spans, self.batch_hot, self.bounds, self.batch_parts, arr_ops.BATCH
+        )
         return arr_ops.public(rows, arr_ops.BATCH)
 
     def batch_outputs(self) -> dict[str, DataFrame]:
