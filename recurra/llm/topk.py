@@ -2,15 +2,17 @@
 
 Vectors become integers, floor(256 x). Rows are packed into blocks; each
 (query block, candidate block) pair is one row of an equi-join, so work and
-memory per task are bounded and the query set meets all rows in blocks. In a
-pair, every dimension is a list of the candidates sorted by value, read from
-the end that suits the sign of the query's component. Lists are read
-sequentially, deeper by steps; each step gives every candidate a lower and an
-upper bound (what was read, plus the worst or the last read value for the
-dimensions not read). A query stops when few candidates' upper bounds reach
-the k-th best lower bound; those candidates' scores are then resolved, and all
-others are outsiders that cannot qualify. The best k of all blocks are merged
-by a window over at most k rows a block.
+memory per task are bounded and the query set meets all rows in blocks. Both
+sides of that join are shuffled: a block stands in it once for every block of
+the other side, which Spark does not see when it guesses which side is small
+enough to be broadcast. In a pair, every dimension is a list of the candidates
+sorted by value, read from the end that suits the sign of the query's
+component. Lists are read sequentially, deeper by steps; each step gives every
+candidate a lower and an upper bound (what was read, plus the worst or the last
+read value for the dimensions not read). A query stops when few candidates'
+upper bounds reach the k-th best lower bound; those candidates' scores are then
+resolved, and all others are outsiders that cannot qualify. The best k of all
+blocks are merged by a window over at most k rows a block.
 
 Defined cases: vectors that are null or hold a null or non-finite component,
 and rows without an id, take no part; a query meets the vectors of its own
@@ -33,10 +35,26 @@ from pyspark.sql import functions as F
 from recurra.llm.common import rows_of, sums, table
 
 BLOCK_ROWS = 2048
+#: Candidate blocks grow up to so many times BLOCK_ROWS once there are MANY of
+#: them, and query blocks have so many rows: a block is sent once for every
+#: block of the other side. Scores of a pair that are held at a time.
+WIDE, MANY, CELLS = 4, 64, 1 << 22
+
+
+def narrow(x: np.ndarray) -> np.ndarray:
+    """`x` in the narrowest integers that hold it."""
+    fits = (t for t in (np.int8, np.int16, np.int32) if np.iinfo(t).min <= x.min(initial=0) and x.max(initial=0) <= np.iinfo(t).max)
+    return x.astype(next(fits, np.int64))
+
+
+def wide(blob: bytes, rows: int, dim: int) -> np.ndarray:
+    """What `narrow` was given: `rows` of `dim`."""
+    kind = f"i{len(blob) // (rows * dim)}" if rows * dim else np.int64
+    return np.frombuffer(blob, kind).reshape(rows, dim).astype(np.int64)
 
 
 def _pack_vectors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    x = np.array(table["x"].combine_chunks().flatten(), np.int64)
+    x = narrow(np.array(table["x"].combine_chunks().flatten(), np.int64))
     ids, copies = np.array(table["vec_id"], np.int64), np.array(table["copies"], np.int64)
     blobs = {"ids": [ids.tobytes()], "copies": [copies.tobytes()], "x": [x.tobytes()]}
     return pa.table({"block": [key[0].as_py()], "dim": [key[1].as_py()]} | blobs)
@@ -60,12 +78,20 @@ def _kind(q: np.ndarray, x: np.ndarray):
 def own_rows(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
     """For each query the candidate that is equal to it, or -1."""
     out = np.full(len(q_ids), -1)
-    i, j = np.nonzero(q_ids[:, None] == ids[None, :])
-    same = (q[i] == x[j]).all(axis=1)
-    out[i[same]] = j[same]
+    for rows in _few(len(q_ids), len(ids)):
+        i, j = np.nonzero(q_ids[rows, None] == ids[None, :])
+        i = rows[i]
+        same = (q[i] == x[j]).all(axis=1)
+        out[i[same]] = j[same]
     return out
 
 
+def _few(queries: int, n: int) -> list[np.ndarray]:
+    """The queries, as many at a time as have CELLS scores."""
+    step = max(1, CELLS // max(1, n))
+    return [np.arange(lo, min(queries, lo + step)) for lo in range(0, queries, step)]
+
+
 def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, copies: np.ndarray | None = None) -> tuple:
     """Query rows, candidate rows and scores of each query's k best. A query's
     equal is a candidate where it has `copies`."""
@@ -74,14 +100,27 @@ def best_of_pair(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
     if copies is not None and len(own_at):
         own_at = np.where((own_at >= 0) & (copies[own_at] > 1), -1, own_at)
     kind = _kind(q, x)
-    low = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
     order = np.argsort(x, axis=0, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.broadcast_to(np.arange(n)[:, None], (n, d)), axis=0)
     lists = np.take_along_axis(x, order, axis=0).astype(kind)
     x = x.astype(kind)
     up, down = np.maximum(q, 0).astype(kind), np.minimum(q, 0).astype(kind)
-    active = np.arange(len(q))
+    out: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for active in _few(len(q), n):
+        out += _read_lists(active, q, up, down, ids, x, place, lists, own_at, k)
+    return out
+
+
+def _read_lists(
+    active: np.ndarray, q: np.ndarray, up: np.ndarray, down: np.ndarray, ids: np.ndarray, x: np.ndarray, place: np.ndarray, lists: np.ndarray,
+    own_at: np.ndarray, k: int,
+) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """`best_of_pair` of the `active` queries. `up`, `down`: the positive and the
+    negative part of the queries; `lists`: each dimension sorted, `place`: where
+    the candidates stand in it."""
+    n, kind = len(x), x.dtype.type
+    low = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
     out: list[tuple[int, np.ndarray, np.ndarray]] = []
     depth = min(n, max(64, n // 8))
     while len(active) and n:
@@ -113,21 +152,22 @@ def top_k(vectors: DataFrame, is_query, k: int, block_rows: int = BLOCK_ROWS) ->
     vectors = vectors.groupBy("vec_id", "x").agg(F.count("*").alias("copies"))
     queries = vectors.filter(is_query)
     size = sums(vectors, n=F.count("*"), q=F.count(F.when(is_query, 1)))
-    c = as_blocks(vectors, block_rows, size["n"])
-    q = as_blocks(queries, block_rows, size["q"])
-    n_c, n_q = (max(1, -(-size[s] // block_rows)) for s in ("n", "q"))
+    of_c, of_q = min(WIDE * block_rows, max(block_rows, size["n"] // MANY)), WIDE * block_rows
+    c = as_blocks(vectors, of_c, size["n"])
+    q = as_blocks(queries, of_q, size["q"])
+    n_c, n_q = max(1, -(-size["n"] // of_c)), max(1, -(-size["q"] // of_q))
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
     queries = q.select(
         F.col("block").alias("qb"), "dim", F.col("ids").alias("q_ids"), F.col("copies").alias("q_copies"), F.col("x").alias("q_x"), every(n_c).alias("cb")
     )
-    pairs = queries.join(c.select(F.col("block").alias("cb"), "dim", "ids", "copies", "x", every(n_q).alias("qb")), ["qb", "cb", "dim"])
+    candidates = c.select(F.col("block").alias("cb"), "dim", "ids", "copies", "x", every(n_q).alias("qb"))
+    pairs = queries.hint("merge").join(candidates, ["qb", "cb", "dim"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in rows_of(batches):
             d = r["dim"]
             q_ids, ids, q_copies, copies = (np.frombuffer(r[c], np.int64) for c in ("q_ids", "ids", "q_copies", "copies"))
-            qx = np.frombuffer(r["q_x"], np.int64).reshape(len(q_ids), d)
-            cx = np.frombuffer(r["x"], np.int64).reshape(len(ids), d)
+            qx, cx = wide(r["q_x"], len(q_ids), d), wide(r["x"], len(ids), d)
             got = best_of_pair(q_ids, qx, ids, cx, k, copies)
             own = own_rows(q_ids, qx, ids, cx)
             flat = [(i, j, s) for i, left, score in got for j, s in zip(left, score)]

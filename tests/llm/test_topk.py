@@ -40,6 +40,31 @@ def test_top_k(spark, block_rows):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
 
 
+def test_blocks_are_not_broadcast(spark):
+    """Queries that are few still stand in the join once for every candidate block."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 0.3, (900, 8)))]
+    got = topk.top_k(topk.integer_vectors(table(spark, rows)), F.col("vec_id") % 50 == 0, 5, 16)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_blocks_hold_what_they_were_given():
+    for least, most in ((0, 0), (-128, 127), (0, 128), (-(2**15), 2**15 - 1), (-(2**15) - 1, 0), (0, 2**31), (-(2**63), 2**63 - 1)):
+        x = np.array([[least, most]], np.int64)
+        assert (topk.wide(topk.narrow(x).tobytes(), 1, 2) == x).all()
+
+
+def test_queries_in_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-9, 9, (300, 4))
+    best = lambda: {i: sorted(zip(-s, at)) for i, at, s in topk.best_of_pair(np.arange(300), x, np.arange(300), x, 5)}
+    whole = best()
+    monkeypatch.setattr(topk, "CELLS", 1000)
+    assert len(whole) == 300 and best() == whole
+
+
 def test_empty(spark):
     assert topk.top_k(topk.integer_vectors(table(spark, [])), F.col("vec_id") % 50 == 0, 5).count() == 0
 
