@@ -9,7 +9,7 @@ partial aggregation, and on one exchange by (slice, customer):
 
     orders --explode, partial agg--> (slice, cust, company, month)
         --exchange by (slice, cust), one sort--> labels -> month totals -> gaps
-        --> one row per (slice, cust, company) with an array of month facts
+        --> one row per (slice, cust, company) with an array of its runs of months
 
 That row is joined to the *unexploded* orders, which lie bucketed by the join's
 key, so the join moves facts only; each order then explodes to the months of
@@ -143,13 +143,26 @@ def customer_company_months(om: DataFrame, parts: int) -> DataFrame:
     return _reduced(om.filter("NOT _hot"), key).unionByName(merged.repartition(parts, *LIE))
 
 
-def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
+#: A month with orders, or a synthetic churn month, of a customer's company.
+FACT = ["m", "label", "delta", "h", "u", "syn"]
+
+
+def _run(**known: Column) -> Column:
+    """A run of `run` months from `m` on in which the same orders are active:
+    what `FACT` says of its first month, and `later` of the months after it."""
+    none = F.lit(None).cast("long")
+    columns = {c: none for c in FACT} | {"run": F.lit(1), "later": F.lit(None).cast("string"), "later_delta": none, "later_h": none}
+    return F.struct(*[c.alias(n) for n, c in (columns | {"syn": F.lit(False)} | known).items()])
+
+
+def customer_facts(labelled: DataFrame, variant: Variant, by_runs: bool = False) -> DataFrame:
     """O23-O26 facts: one row per (slice, customer, company) with its months,
     from `rollforward.labelled_months` and all on its partitioning and sort.
 
     `_facts`: the months with orders, in order (`_months`: their month-ends);
     `_syn`: its synthetic churn months (O24), each with the hash `h` of the
-    order row it copies; `_churn_date`: the customer's last month.
+    order row it copies; `_churn_date`: the customer's last month. With
+    `by_runs` as `all_customer_runs`, each month a run of its own.
     """
     key = LIE  # `_salt` is 0
     churned = truthy(variant.churn_match(F.col("_label")))
@@ -173,7 +186,7 @@ def customer_facts(labelled: DataFrame, variant: Variant) -> DataFrame:
         .filter("_before IS NULL OR _before <> pivot_month")
         .drop("_before")
     )
-    return _month_facts(months)
+    return _month_facts(months, by_runs)
 
 
 def _paying_tail(churned: Column) -> Column:
@@ -207,13 +220,13 @@ def order_runs(orders: DataFrame, bounds: SpineBounds) -> DataFrame:
 
 
 def lone_company_facts(orders: DataFrame, lone: DataFrame, bounds: SpineBounds, variant: Variant) -> DataFrame:
-    """`customer_facts` of customers with one company each, whose orders lie in
-    one part. `lone`: their spans, partitioned by `staging.LIE`.
+    """`all_customer_runs` of customers with one company each, whose orders lie
+    in one part. `lone`: their spans, partitioned by `staging.LIE`.
 
     The row before a month is that of the same company in the month before, so
     the span's months without orders are not needed; and from a run's second
     month on nothing changes, so a run is one row (`order_runs`), reduced in the
-    order that the windows want, on one sort. Only the facts name each month."""
+    order that the windows want, on one sort."""
     of = {c: f"_of_{c}" for c in LIE}
     span = lone.select(*[F.col(c).alias(of[c]) for c in LIE], *SPAN)
     same = [orders[c] == span[of[c]] for c in LIE]
@@ -248,6 +261,7 @@ def lone_company_facts(orders: DataFrame, lone: DataFrame, bounds: SpineBounds,
         {
             "_b": F.lag(F.struct("_last", "_last_u", "_last_tail")).over(w),
             "_next": F.lead(F.struct("pivot_month", "_pays")).over(w),
+            "_through": F.sum("_run").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"),
         }
     )
     # as in `_month_facts`; the months of a run follow each other, and if one pays the later ones do
@@ -261,48 +275,63 @@ def lone_company_facts(orders: DataFrame, lone: DataFrame, bounds: SpineBounds,
     first = F.when(met, F.least(F.col("_min_on"), copied)).otherwise(F.col("_min_on"))
     null_on = F.col("_null_on") | (met & F.col("_b._last_tail.o").isNull())
     gap = last_pays & ~(truthy(F.col("_next.pivot_month") == late) & truthy(F.col("_next._pays")))
-    run = F.struct(
-        F.col("pivot_month").alias("m"), F.col("_run").alias("run"), F.col("_label").alias("label"), later.alias("later"),
-        (F.col("_cum_u") - F.when(broken, F.lit(0)).otherwise(F.coalesce(F.col("_b._last_u"), F.lit(0)))).alias("delta"),
-        (F.col("_sum_u") - F.coalesce("_sum_u", F.lit(0))).alias("later_delta"),
-        F.when(~null_on, first["h"]).alias("h"), F.when(~F.col("_null_on"), F.col("_min_on.h")).alias("later_h"),
-        F.when(gap, late).alias("churn"), F.col("_last_tail.h").alias("tail_h"), (-F.col("_last_u")).alias("u"),
+    run = _run(
+        m=F.col("pivot_month"), run=F.col("_run"), label=F.col("_label"), later=later,
+        delta=F.col("_cum_u") - F.when(broken, F.lit(0)).otherwise(F.coalesce(F.col("_b._last_u"), F.lit(0))),
+        later_delta=F.col("_sum_u") - F.coalesce("_sum_u", F.lit(0)),
+        h=F.when(~null_on, first["h"]), later_h=F.when(~F.col("_null_on"), F.col("_min_on.h")),
     )
-    facts = runs.withColumns({"_x": run, "_ends": F.when(last_pays, late).otherwise(F.col("_last"))}).groupBy(*BY, "company").agg(
-        F.max("_first_order_date").alias("_first_order_date"), F.max("_ends").alias("_churn_date"), F.collect_list("_x").alias("_all")
+    churn = _run(m=late, label=F.lit("Churn"), h=F.col("_last_tail.h"), u=-F.col("_last_u"), syn=F.lit(True))
+    each = {"_x": run, "_c": F.when(gap, churn), "_ends": F.when(last_pays, late).otherwise(F.col("_last"))}
+    facts = runs.withColumns(each).groupBy(*BY, "company").agg(
+        F.max("_first_order_date").alias("_first_order_date"), F.max("_ends").alias("_churn_date"),
+        F.sort_array(F.collect_list("_x")).alias("_facts"), F.collect_list("_c").alias("_syn"),
+        F.sort_array(F.collect_list("_through")).alias("_through"),
     )
+    return facts.withColumn("_months", F.col("_facts.m"))
 
-    def fact(m, label, delta, h, u, syn) -> Column:
-        cols = {"m": m, "label": label, "delta": delta, "h": h, "u": u, "syn": F.lit(syn)}
-        return F.struct(*[c.alias(n) for n, c in cols.items()])
 
-    none = F.lit(None).cast("long")
+def all_customer_facts(
+    orders: DataFrame, spans: DataFrame, hot: DataFrame, slices: DataFrame, bounds: SpineBounds, parts: int,
+    variant: Variant, first_dates: DataFrame | None = None,
+) -> DataFrame:
+    """`customer_facts` of every customer: `all_customer_runs` by months."""
+    facts = all_customer_runs(orders, spans, hot, slices, bounds, parts, variant, first_dates)
 
     def months(x: Column) -> Column:
-        head = F.array(fact(x["m"], x["label"], x["delta"], x["h"], none, False))
-        rest = F.slice(F.sequence(F.lit(0), x["run"] - 1), 2, x["run"])  # of the calendar: a run has no month missing
-        each = lambda k: F.last_day(F.add_months(x["m"], k))
-        return F.concat(head, F.transform(rest, lambda k: fact(each(k), x["later"], x["later_delta"], x["later_h"], none, False)))
-
-    def churn(x: Column) -> Column:
-        return fact(x["churn"], F.lit("Churn"), none, x["tail_h"], x["u"], True)
-
-    facts = facts.withColumn("_all", F.sort_array("_all"))
-    return (
-        facts.withColumn("_facts", F.flatten(F.transform("_all", months)))
-        .withColumn("_syn", F.transform(F.filter("_all", lambda x: x["churn"].isNotNull()), churn))
-        .withColumn("_months", F.col("_facts.m"))
-        .drop("_all")
-    )
+        rest = F.slice(F.sequence(F.lit(0), x["run"] - 1), 2, x["run"])
+        return F.concat(F.array(fact(x)), F.transform(rest, lambda k: F.struct(*[c.alias(n) for n, c in _month_of(x, k).items()])))
+
+    def fact(x: Column) -> Column:
+        return F.struct(*[x[c].alias(c) for c in FACT])
+
+    facts = facts.withColumns({"_facts": F.flatten(F.transform("_facts", months)), "_syn": F.transform("_syn", fact)})
+    return facts.withColumn("_months", F.col("_facts.m")).drop("_through")
+
+
+def _month_of(run: Column, k: Column) -> dict[str, Column]:
+    """What `FACT` says of a run's month `k` (from 0); a run has no month missing."""
+    at_first = lambda c, later: F.when(k == 0, run[c]).otherwise(later)
+    return {
+        "m": at_first("m", F.last_day(F.add_months(run["m"], k))),
+        "label": at_first("label", run["later"]),
+        "delta": at_first("delta", run["later_delta"]),
+        "h": at_first("h", run["later_h"]),
+        "u": run["u"],
+        "syn": run["syn"],
+    }
 
 
-def all_customer_facts(
+def all_customer_runs(
     orders: DataFrame, spans: DataFrame, hot: DataFrame, slices: DataFrame, bounds: SpineBounds, parts: int,
     variant: Variant, first_dates: DataFrame | None = None,
 ) -> DataFrame:
-    """`customer_facts` of every customer: those with one company, and the
-    others and the `hot` ones by all months of their spans. All arguments as
-    in `rollforward.labelled_months`; the orders lie by `staging.LIE`."""
+    """The facts of every customer by runs of months (`_run`): of customers with
+    one company, and of the others and the `hot` ones by all months of their
+    spans. `_facts`, `_syn`: as in `customer_facts`; `_months`: the first
+    month-end of each run; `_through`: how many months there are up to its last.
+    An order's months are whole runs. All arguments as in
+    `rollforward.labelled_months`; the orders lie by `staging.LIE`."""
     spans = spans.filter(F.col("customer_id").isNotNull())
     is_hot = (spans["for_product"] == hot["for_product"]) & (spans["customer_id"] == hot["customer_id"])
     lone = with_first_date(spans.filter("_companies = 1").join(hot, is_hot, "left_anti"), first_dates)
@@ -311,11 +340,11 @@ def all_customer_facts(
     rest_orders = orders.join(apart, [orders[c] == apart[f"_of_{c}"] for c in LIE], "left_anti")
     of_rest = spans.filter("_companies > 1").unionByName(spans.filter("_companies = 1").join(hot, is_hot, "left_semi"))
     ccm = customer_company_months(arr_by_month(rest_orders, bounds, keep_monthless=False), parts)
-    rest = customer_facts(labelled_months(of_rest, ccm, slices, bounds, parts, first_dates), variant)
+    rest = customer_facts(labelled_months(of_rest, ccm, slices, bounds, parts, first_dates), variant, by_runs=True)
     return lone_company_facts(orders, lone, bounds, variant).unionByName(rest)
 
 
-def _month_facts(months: DataFrame) -> DataFrame:
+def _month_facts(months: DataFrame, by_runs: bool) -> DataFrame:
     """`customer_facts` from its rows per customer and month, which lie and
     are sorted as the window wants them."""
     key = LIE
@@ -357,35 +386,32 @@ def _month_facts(months: DataFrame) -> DataFrame:
     )
     months = months.withColumns({"_delta_u": delta, "_first_h": F.when(~null_on, first["h"])})
     facts = months.select(*key, "_first_order_date", "_churn_date", F.explode(F.when(F.col("_gap"), F.concat(own, F.array(churn))).otherwise(own)).alias("x"))
-    all_of = F.collect_list(F.struct(*[F.col(f"x.{c}").alias(c) for c in ("m", "label", "delta", "h", "u", "syn")]))
+    known = {c: F.col(f"x.{c}") for c in FACT}
+    all_of = F.collect_list(_run(**known) if by_runs else F.struct(*[c.alias(n) for n, c in known.items()]))
     facts = facts.groupBy(*key, F.col("x.c").alias("company")).agg(
         F.max("_first_order_date").alias("_first_order_date"), F.max("_churn_date").alias("_churn_date"), all_of.alias("_all")
     )
-    return (
+    facts = (
         facts.withColumn("_facts", F.sort_array(F.filter("_all", lambda x: ~x["syn"])))
         .withColumn("_syn", F.filter("_all", lambda x: x["syn"]))
         .withColumn("_months", F.col("_facts.m"))
         .drop("_all")
     )
+    n = F.size("_facts")
+    return facts.withColumn("_through", F.slice(F.sequence(F.lit(1), n + 1), 1, n)) if by_runs else facts
 
 
 def _with_facts(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "pivot_month": F.col("_f.m"),
-            "_label": F.col("_f.label"),
-            "_delta_u": F.col("_f.delta"),
-            "_first_on": F.col("_f.h"),
-            "_syn": F.col("_f.syn"),
-        }
-    )
+    names = {"m": "pivot_month", "label": "_label", "delta": "_delta_u", "h": "_first_on", "syn": "_syn"}
+    fact = _month_of(F.col("_f"), F.col("_k"))
+    return df.withColumns({name: fact[c] for c, name in names.items()})
 
 
 def arr_rows(
     orders: DataFrame, facts: DataFrame, spans: DataFrame, hot: DataFrame, bounds: SpineBounds, parts: int,
     variant: Variant = PROCEDURE,
 ) -> DataFrame:
-    """O23-O27 for every slice at once, from `customer_facts` of the same
+    """O23-O27 for every slice at once, from `all_customer_runs` of the same
     orders: order-month rows, and synthetic churn rows (`_syn`). Both sides
     carry the `MEET` columns (`staging.lay_orders`, `staging.lay_facts`) and
     lie by customer, so neither is moved; of a customer's companies each order
@@ -393,9 +419,10 @@ def arr_rows(
     dates go.
 
     An order's months are a slice of its customer's: every month it is active
-    in has an order, so none is missing between its first and its last."""
+    in has an order, so none is missing between its first and its last, and it
+    begins and ends with a run."""
     mine = [F.col(c).alias(f"_of_{c}") for c in (*LIE, "_company_key")]
-    f = facts.select(*mine, "_first_order_date", "_churn_date", "_facts", "_months", F.col("_syn").alias("_churns"))
+    f = facts.select(*mine, "_first_order_date", "_churn_date", "_facts", "_months", "_through", F.col("_syn").alias("_churns"))
     # the company is no key of the join: neither side is partitioned by it
     same = F.array_contains(F.array("_of__company_key"), F.col("_company_key"))
     for c in LIE:
@@ -403,11 +430,16 @@ def arr_rows(
     # an order with a customer finds each of its months among the facts
     joined = orders.join(f, same).drop(*[f"_of_{c}" for c in (*LIE, "_company_key")])
     at = F.array_position("_months", F.col("_first_month")).cast("int")
-    own = F.when(F.col("_n_months") > 0, F.slice("_facts", at, F.col("_n_months")))
-    copied = F.when((F.col("_copy") == 0) & (F.size("_churns") > 0), F.filter("_churns", lambda x: x["h"] == F.col("_h")))
-    none = F.filter("_churns", lambda x: F.lit(False))
-    taken = F.concat(F.coalesce(own, none), F.coalesce(copied, none))
-    wide = joined.withColumn("_f", F.explode(taken)).drop("_facts", "_months", "_churns")
+    before = F.get("_through", at - 1) - F.get("_facts", at - 1)["run"]
+    to = F.array_position("_through", before + F.col("_n_months")).cast("int")
+    none = F.slice("_facts", 1, 0)
+    own = F.when(F.col("_n_months") > 0, F.slice("_facts", at, to - at + 1)).otherwise(none)
+    # an order that is copied sees all churn months and keeps its own: Spark compiles that, unlike a filter within the array
+    copied = truthy((F.col("_copy") == 0) & F.array_contains(F.col("_churns.h"), F.col("_h")))
+    taken = F.concat(own, F.when(copied, F.col("_churns")).otherwise(none))
+    wide = joined.withColumn("_f", F.explode(taken)).drop("_facts", "_months", "_through", "_churns")
+    wide = wide.filter(~F.col("_f.syn") | (F.col("_f.h") == F.col("_h")))
+    wide = wide.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_f.run") - 1)))
     zero = F.lit(0).cast("long")
     free = F.col("_syn") | truthy(variant.churn_match(F.col("_label")))
     # within its months an order pays; the month it ends in is not one of them
@@ -416,7 +448,7 @@ def arr_rows(
             "_arr_u": F.when(free, zero).otherwise(F.col("_cost_u")),
             "_churn_u": F.when(F.col("_syn"), F.col("_f.u")).otherwise(zero),
         }
-    ).drop("_f")
+    ).drop("_f", "_k")
     # Orders without a customer have months but no facts; those of the batch generation without months stay, too.
     none = {c: F.lit(None).cast(t) for c, t in (("_label", "string"), ("_delta_u", "long"), ("_first_on", "long"), ("_churn_date", "date"))}
     none |= {"_churn_u": zero, "_syn": F.lit(False)}

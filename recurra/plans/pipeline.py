@@ -168,7 +168,7 @@ class Pipeline:
 
     @cached_property
     def arr_final_full(self) -> DataFrame:
-        facts = arr_ops.all_customer_facts(
+        facts = arr_ops.all_customer_runs(
             self.orders, self.spans, self.hot, self.slices, self.bounds, self.parts, arr_ops.PROCEDURE
         )
         facts = self._bucketed(staging.lay_facts(facts, self.hot, self.parts), "customer-facts", self.parts)
@@ -257,7 +257,7 @@ class Pipeline:
         return batch_ops.batch_refunded_arr(i.classified, i.batch_company, self.batch_spans, i.calendar, self.cfg)
 
     def batch_arr_final(self) -> DataFrame:
-        facts = arr_ops.all_customer_facts(
+        facts = arr_ops.all_customer_runs(
             self.batch_orders, self.batch_spans, self.batch_hot, rollforward.slice_list(self.spark), self.bounds,
             self.batch_parts, arr_ops.BATCH, batch_ops.batch_first_dates(self.inputs.classified),
         )
