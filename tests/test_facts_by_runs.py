@@ -6,8 +6,9 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from recurra.operators import arr, staging
-from tests.test_hot_customer import plan_of
+from tests.test_hot_customer import no_broadcast, plan_of  # noqa: F401
 from tests.test_lone_company import pipe  # noqa: F401
+from tests.test_one_exchange import moves
 from tests.test_runs import pipe as whole_calendar  # noqa: F401
 
 
@@ -30,3 +31,10 @@ def test_runs_are_fewer_than_months(whole_calendar):  # noqa: F811
     last = F.get("_through", F.size("_through") - 1)
     runs, months = facts.agg(F.sum(F.size("_facts")), F.sum(last)).first()
     assert 2 * runs < months
+
+
+def test_orders_are_not_moved_for_the_facts(whole_calendar, no_broadcast):  # noqa: F811
+    p = whole_calendar
+    facts = arr.all_customer_runs(p.orders, p.spans, p.hot, p.slices, p.bounds, p.parts, arr.PROCEDURE)
+    # the third scan is that of the hot customers' orders
+    assert sorted(moves(plan_of(facts), "recurra_orders")) == [False, False, True]
